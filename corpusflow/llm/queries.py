@@ -6,20 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusflow.llm import bpe
+from corpusflow.llm import bpe, quality_rules, simple8b
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op9_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.round_trip(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe,)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_byte_bpe, op9_simple8b)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality_rules": quality_rules.ORACLE}
