@@ -83,12 +83,11 @@ def host_verdicts(judged: DataFrame, host: str = "source", max_rate: float = MAX
     own = judged.filter(F.col(host).isNotNull())
     hosts = own.groupBy(host).agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
     rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"))
-    weight = F.greatest(F.lit(PRIOR_WEIGHT[0]), F.least(F.lit(PRIOR_WEIGHT[1]), F.when(F.col("v") > 0, F.col("m") * (1 - F.col("m")) / F.col("v") - 1).otherwise(PRIOR_WEIGHT[1])))
-    # one row, joined by a constant key
-    prior = F.broadcast(prior.select(F.col("m"), weight.alias("weight"), F.lit(1).alias("one")))
-    shrunk = (F.col("n_failed") + F.col("weight") * F.col("m")) / (F.col("n_docs") + F.col("weight"))
-    return hosts.withColumn("one", F.lit(1)).join(prior, "one").select(host, "n_docs", "n_failed", shrunk.alias("host_rate"), (shrunk > max_rate).alias("host_rejected"))
+    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v")).first()  # two numbers
+    m, v = prior["m"] or 0.0, prior["v"] or 0.0
+    weight = min(max(m * (1 - m) / v - 1, PRIOR_WEIGHT[0]), PRIOR_WEIGHT[1]) if v > 0 else PRIOR_WEIGHT[1]
+    shrunk = (F.col("n_failed") + F.lit(weight * m)) / (F.col("n_docs") + F.lit(weight))
+    return hosts.select(host, "n_docs", "n_failed", shrunk.alias("host_rate"), (shrunk > max_rate).alias("host_rejected"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
