@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, langid, quality_rules, simhash, simple8b, toxicity
+from corpusflow.llm import bpe, kd_shards, langid, quality_rules, simhash, simple8b, toxicity, url_templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.report(table(spark, sf_dir, "documents"))
+
+
+def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -40,7 +48,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_byte_bpe, op5_language_id, op6_simhash, op9_simple8b, op10_toxicity)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_byte_bpe, op3_kd_shards, op4_url_templates, op5_language_id, op6_simhash, op9_simple8b, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
