@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, kd_shards, langid, quality_rules, simhash, simple8b, toxicity, url_templates
+from corpusflow.llm import bpe, decontam, kd_shards, langid, lm_score, quality_rules, simhash, simple8b, toxicity, url_templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents that ``labels`` marks as of good quality."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_score.score(table(spark, sf_dir, "documents"), good)
+
+
 def op9_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.round_trip(table(spark, sf_dir, "documents"))
 
@@ -48,7 +58,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_byte_bpe, op3_kd_shards, op4_url_templates, op5_language_id, op6_simhash, op9_simple8b, op10_toxicity)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_byte_bpe, op3_kd_shards, op4_url_templates, op5_language_id, op6_simhash, op7_decontamination, op8_lm_score, op9_simple8b, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
