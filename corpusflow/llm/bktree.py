@@ -15,7 +15,9 @@ FRONTIER = 1 << 20
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).astype(np.int64)
+    """Differing bits of fingerprints of one 64-bit word, or of a row of words, each."""
+    bits = np.bitwise_count(a ^ b)
+    return bits.astype(np.int64) if bits.ndim == 1 else bits.sum(1, dtype=np.int64)
 
 
 class Forest:
@@ -24,13 +26,14 @@ class Forest:
     def __init__(self, prints: np.ndarray, group: np.ndarray):
         n = len(prints)
         self.prints = prints
+        self.keys = prints.itemsize * 8 * (prints.shape[1] if prints.ndim == 2 else 1) + 1  # distances there are
         edges = []  # (parent, key, child)
         _, first, inverse = np.unique(group, return_index=True, return_inverse=True)
         self.roots = first  # one for each distinct group, in their order
         node = first[inverse]  # the node at which each item now stands
         rest = np.flatnonzero(node != np.arange(n))
         while len(rest):
-            slot = node[rest] * 65 + distance(prints[rest], prints[node[rest]])
+            slot = node[rest] * self.keys + distance(prints[rest], prints[node[rest]])
             taken, lead, inverse = np.unique(slot, return_index=True, return_inverse=True)
             child = rest[lead]  # the first to come becomes the child under its key
             edges.append(np.stack([taken, child]))
@@ -49,9 +52,9 @@ class Forest:
             hit = d <= radius
             if hit.any():
                 yield who[hit], node[hit]
-            base = node * 65
+            base = node * self.keys
             a = np.searchsorted(self.slots, base + np.maximum(d - radius, 0))
-            b = np.searchsorted(self.slots, base + np.minimum(d + radius, 64), "right")
+            b = np.searchsorted(self.slots, base + np.minimum(d + radius, self.keys - 1), "right")
             size = b - a
             open_ = size > 0
             who, a, size = who[open_], a[open_], size[open_]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +59,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_byte_bpe, op3_kd_shards, op4_url_templates, op5_language_id, op6_simhash, op7_decontamination, op8_lm_score, op9_simple8b, op10_toxicity)}
+    own = (op1_quality_rules, op2_byte_bpe, op3_kd_shards, op4_url_templates, op5_language_id, op6_simhash, op7_decontamination, op8_lm_score, op9_simple8b, op10_toxicity)
+    return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

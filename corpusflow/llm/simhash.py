@@ -38,6 +38,11 @@ RADIUS = 3
 CELL = 1024
 #: Expected members of a shard from which one more part joins the key.
 FULL_SHARD = 256
+#: Groups of similar texts: words of a shingle, 64-bit words of a fingerprint,
+#: differing bits (a Jaccard similarity of 0.8 gives some 35 of 256).
+WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, WIDE_CELL = 5, 4, 40, 8192
+#: Least share of equal bits for which bands are drawn, and how many pairs they find.
+BAND_AGREE, BAND_RECALL = 0.87, 0.97
 #: Shingles hashed between two rounds of counting.
 _STEP = 1 << 18
 
@@ -55,27 +60,44 @@ def _set_bits(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``(id_col, fingerprint long)`` for each row."""
+def _hashed(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
+    """``id, h``: the XXH64 hashes of each row's shingles, repeats included."""
     own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = docs.schema[id_col].dataType.simpleString()
     words = own.select("id", C.words_col(_lower_ascii(F.col("text"))).alias("w"))
     last = F.size("w") - shingle
     gram = lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(F.col("w"), i + k) for k in range(shingle)]))
     short = F.when(F.size("w") == 0, F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.array_join("w", " "))))
-    hashed = words.select("id", F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), gram)).otherwise(short).alias("h"))
+    return words.select("id", F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), gram)).otherwise(short).alias("h"))
+
+
+def _majority(column: pa.Array, seeds: int) -> np.ndarray:
+    """Rows of ``seeds`` 64-bit fingerprints; the first is that of the hashes themselves."""
+    lists = column.cast(pa.large_list(pa.int64()))
+    off = lists.offsets.to_numpy().astype(np.int64)
+    flat = np.ascontiguousarray(lists.values.to_numpy()).view(np.uint64)[off[0] : off[-1]]
+    off = off - off[0]
+    out = np.zeros((len(off) - 1, seeds), np.uint64)
+    for k in range(seeds):
+        own = flat
+        if k:
+            own = (flat + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
+            own = (own ^ (own >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            own ^= own >> np.uint64(29)
+        ones = _set_bits(own, off) * 2 > np.diff(off)[:, None]
+        out[:, k] = np.packbits(ones, axis=1, bitorder="little").view(np.uint64).reshape(-1)
+    return out
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """``(id_col, fingerprint long)`` for each row."""
+    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            lists = batch.column("h").cast(pa.large_list(pa.int64()))
-            off = lists.offsets.to_numpy().astype(np.int64)
-            flat = np.ascontiguousarray(lists.values.to_numpy()).view(np.uint64)[off[0] : off[-1]]
-            off = off - off[0]
-            ones = _set_bits(flat, off) * 2 > np.diff(off)[:, None]
-            prints = np.packbits(ones, axis=1, bitorder="little").view(np.int64).reshape(-1)
+            prints = _majority(batch.column("h"), 1).view(np.int64).reshape(-1)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints)], names=["id", "fingerprint"])
 
-    return hashed.mapInArrow(run, f"id {kind}, fingerprint long").withColumnRenamed("id", id_col)
+    return _hashed(docs, id_col, text, shingle).mapInArrow(run, f"id {kind}, fingerprint long").withColumnRenamed("id", id_col)
 
 
 def _lower_ascii(text):
@@ -114,45 +136,45 @@ def _groups(batches):
         yield held
 
 
-def _links_of(table: pa.Table, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """One link for each member that is not the least of its set, over whole cells."""
-    cell, side, prints = (table.column(c).to_numpy() for c in ("cell", "side", "fingerprint"))
-    prints = prints.view(np.uint64)
+def _words_of(column: pa.ChunkedArray) -> np.ndarray:
+    """Fingerprints as unsigned words; binary ones as rows of words."""
+    if pa.types.is_int64(column.type):
+        return column.to_numpy().view(np.uint64)
+    values = column.combine_chunks().cast(pa.large_binary())
+    raw = np.frombuffer(b"".join(values.to_pylist()), np.uint64)
+    return raw.reshape(len(values), -1)
+
+
+def _links_of(table: pa.Table, radius: int) -> tuple[pa.Array, pa.Array]:
+    """One link for each member that is not its set's first, over whole cells."""
+    column = table.column("fingerprint")
+    cell, side, prints = table.column("cell").to_numpy(), table.column("side").to_numpy(), _words_of(column)
     _, number = np.unique(cell, return_inverse=True)
     size = np.bincount(number)
-    keep = size[number] > 1
+    keep = np.flatnonzero(size[number] > 1)
+    # by cell, the trees' members first
+    keep = keep[np.lexsort((side[keep] == 1, number[keep]))]
     number, side, prints = number[keep], side[keep], prints[keep]
-    if not len(prints):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    order = np.argsort(prints, kind="stable")  # the least print gets the least number
-    number, side, prints = number[order], side[order], prints[order]
     # side 0: the cell's tree; side 1: passes through it; side 2: both
-    in_tree = np.flatnonzero(side != 1)
-    asks = np.flatnonzero(side != 0)
-    forest = Forest(prints[in_tree], number[in_tree])
+    in_tree, asks = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     groups = np.unique(number[in_tree])
-    at = np.searchsorted(groups, number[asks])
-    known = (at < len(groups)) & (groups[np.minimum(at, len(groups) - 1)] == number[asks])
-    asks, at = asks[known], at[known]
+    if len(groups):
+        forest = Forest(prints[in_tree], number[in_tree])
+        at = np.searchsorted(groups, number[asks])
+        known = (at < len(groups)) & (groups[np.minimum(at, len(groups) - 1)] == number[asks])
+        asks, at = asks[known], at[known]
     sets = Union(len(prints))
-    for who, node in forest.search(prints[asks], forest.roots[at], radius):
-        a, b = asks[who], in_tree[node]
-        other = a != b
-        sets.link(a[other], b[other])
+    if len(groups):
+        for who, node in forest.search(prints[asks], forest.roots[at], radius):
+            a, b = asks[who], in_tree[node]
+            other = a != b
+            sets.link(a[other], b[other])
     moved = np.flatnonzero(sets.label != np.arange(len(prints)))
-    return prints[moved].view(np.int64), prints[sets.label[moved]].view(np.int64)
-
+    return column.take(pa.array(keep[moved])), column.take(pa.array(keep[sets.label[moved]]))
 
-def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
-    """Links ``(a, b)`` that connect all fingerprints within ``radius`` of each other.
 
-    ``prints`` has distinct fingerprints. Not every pair is given: of each cell,
-    one link for each member, which is all that components need.
-    """
-    n = prints.count()
-    keys = shard_keys(n, radius)
-    own = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fingerprint").bitwiseAND(F.lit(m)).alias("v")) for k, m in keys]))
-    shards = prints.select("fingerprint", own.alias("s")).select("fingerprint", "s.k", "s.v")
+def _cells(shards: DataFrame, cell: int) -> DataFrame:
+    """``cell, side, fingerprint`` of shards ``k, v, fingerprint``; large ones in a triangle of cells."""
     sizes = shards.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     large = C.broadcast_if_small(sizes.filter(F.col("n") > cell).select("k", "v", F.ceil(F.col("n") / cell).cast("int").alias("m")))
     alone = C.materialise(shards.join(large, ["k", "v"], "left"), "shards")
@@ -163,25 +185,110 @@ def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFram
     as_tree = cut.select("k", "v", F.explode(F.sequence("p", F.col("m") - 1)).alias("j"), F.col("p").alias("i"), "fingerprint").withColumn("side", F.when(F.col("i") == F.col("j"), 2).otherwise(0))
     asking = cut.filter(F.col("p") > 0).select("k", "v", F.explode(F.sequence(F.lit(0), F.col("p") - 1)).alias("i"), F.col("p").alias("j"), "fingerprint").withColumn("side", F.lit(1))
     cells = as_tree.unionByName(asking).select(F.xxhash64("k", "v", "i", "j").alias("cell"), "side", "fingerprint")
-    n_parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = small.unionByName(cells).repartition(n_parts, "cell").sortWithinPartitions("cell")
+    return small.unionByName(cells)
+
+
+def _linked(cells: DataFrame, radius: int) -> DataFrame:
+    """Links ``(a, b)`` out of cells, each cell whole in one task."""
+    kind = cells.schema["fingerprint"].dataType.simpleString()
+    n_parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
         for table in _groups(batches):
             a, b = _links_of(table, radius)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                yield from pa.table({"a": a, "b": b}).to_batches()
+
+    return cells.repartition(n_parts, "cell").sortWithinPartitions("cell").mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
+    """Links ``(a, b)`` that connect all fingerprints within ``radius`` of each other.
 
-    return sorted_.mapInArrow(run, "a long, b long")
+    ``prints`` has distinct fingerprints. Not every pair is given: of each cell,
+    one link for each member, which is all that components need.
+    """
+    n = prints.count()
+    keys = shard_keys(n, radius)
+    own = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fingerprint").bitwiseAND(F.lit(m)).alias("v")) for k, m in keys]))
+    shards = prints.select("fingerprint", own.alias("s")).select("fingerprint", "s.k", "s.v")
+    return _linked(_cells(shards, cell), radius)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Per row: ``id_col, fingerprint long, component_id`` (least id reachable)."""
-    prints = C.materialise(fingerprints(docs, id_col, text, shingle), "prints").withColumnRenamed(id_col, "id_")
-    least = C.materialise(prints.groupBy("fingerprint").agg(F.min("id_").alias("least")), "least")
+    prints = C.materialise(fingerprints(docs, id_col, text, shingle).withColumnRenamed(id_col, "id"), "prints")
+    least = C.materialise(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "least")
     roots = components(links(least.select("fingerprint"), radius))
+    return _named(prints, least, roots, id_col)
+
+
+def _named(prints: DataFrame, least: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
+    """Rows with the least id of their fingerprint's component."""
     joined = least.join(roots, least["fingerprint"] == roots["node"]).select("root", "node", "least")
     by_root = joined.groupBy("root").agg(F.min("least").alias("component"))
     linked = roots.join(by_root, "root").select(F.col("node").alias("fingerprint"), "component")
     named = least.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("component", "least").alias("component_id"))
-    return prints.join(named, "fingerprint").select(F.col("id_").alias(id_col), "fingerprint", "component_id")
+    return prints.join(named, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
+
+
+def band_bits(n: int, agree: float, recall: float) -> tuple[int, int]:
+    """Bits of a band and number of bands: buckets of a few dozen strangers, and
+    ``recall`` of the pairs whose fingerprints agree in a share ``agree`` of bits."""
+    bits = max(8, int(np.ceil(np.log2(max(n, 2)))) - 5)
+    return bits, int(np.ceil(np.log(1 - recall) / np.log(1 - agree**bits)))
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = WIDE_SHINGLE, radius: int = WIDE_RADIUS) -> DataFrame:
+    """Per row: ``id_col, fingerprint binary, component_id``, for a similarity of 0.8.
+
+    64 bits tell such texts apart from others too coarsely. Here a fingerprint
+    has ``WIDE_WORDS`` words; shards are bands of its bits, drawn from a fixed
+    seed, as many as give ``BAND_RECALL`` at the least similarity; in the shards
+    the trees are searched as ever.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def wide(batches):
+        for batch in batches:
+            rows = _majority(batch.column("h"), WIDE_WORDS)
+            raw = pa.py_buffer(rows.tobytes())
+            values = pa.Array.from_buffers(pa.binary(8 * WIDE_WORDS), len(rows), [None, raw]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), values], names=["id", "fingerprint"])
+
+    prints = C.materialise(_hashed(docs, id_col, text, shingle).mapInArrow(wide, f"id {kind}, fingerprint binary"), "prints")
+    least = C.materialise(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "least")
+    bits, bands = band_bits(least.count(), BAND_AGREE, BAND_RECALL)
+    rng = np.random.default_rng(17)
+    places = [rng.choice(64 * WIDE_WORDS, bits, replace=False) for _ in range(bands)]
+
+    def cut(batches):
+        for batch in batches:
+            values = pa.chunked_array([batch.column("fingerprint")])
+            rows = _words_of(values)
+            ones = np.unpackbits(rows.view(np.uint8), axis=1, bitorder="little")
+            for k, place in enumerate(places):
+                v = ones[:, place].astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), k, np.int32)), pa.array(v), batch.column("fingerprint")], names=["k", "v", "fingerprint"])
+
+    shards = least.select("fingerprint").mapInArrow(cut, "k int, v long, fingerprint binary")
+    return _named(prints, least, components(_linked(_cells(shards, WIDE_CELL), radius)), id_col)
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """The documents without all but the least ``doc_id`` of each group of similar ones.
+
+    Rows with a null id stay; of rows with the same id the first by text stays.
+    """
+    groups = C.materialise(similar_groups(docs), "groups")
+    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_")).distinct()
+    kept = docs.join(C.broadcast_if_small(C.materialise(gone, "gone")), F.col("doc_id") == F.col("gone_"), "left_anti")
+    twice = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("twice_"))
+    twice = C.materialise(twice, "twice")
+    if twice.limit(1).count() == 0:
+        return kept
+    ids = C.broadcast_if_small(twice)
+    again = kept.join(ids, F.col("doc_id") == F.col("twice_"), "left_semi")
+    # equal ids are few rows each unless a table repeats one id; those rows are aggregated, not sorted
+    first = again.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias("row_")).select("row_.*")
+    return kept.join(ids, F.col("doc_id") == F.col("twice_"), "left_anti").unionByName(first)
