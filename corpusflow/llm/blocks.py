@@ -8,8 +8,9 @@ often the item occurs, so the hottest item weighs no more than any other),
 answers each distinct item once, and the answers go back to their blocks, where
 the documents are put together again by position.
 
-Three stages with two shuffles; no stage holds more than a block or a bucket,
-nothing is broadcast, and the table between them lies in the shared folder.
+The documents' positions never move: the table between the stages lies in the
+shared folder, bucketed by block, and the answers are shuffled to its buckets.
+No stage holds more than a block or a bucket, and nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm import common as C
 
 #: Bytes of text in a block. More bytes: fewer copies of a word, more memory.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 ROW = "block long, bucket int, head binary, body binary"
 _ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("head", pa.large_binary()), ("body", pa.large_binary())])
 #: The bucket of a block's own documents.
@@ -42,7 +43,8 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         _, off = C.utf8(batch.column(text))
-        for a, b in C.spans(off, most):
+        even = -(-int(off[-1]) // max(1, -(-int(off[-1]) // most)))
+        for a, b in C.spans(off, max(even, 1)):
             yield number, batch.slice(a, b - a)
             number += 1
 
@@ -78,6 +80,7 @@ def exchange(
     def first(batches):
         for number, batch in blocks(batches, text, block_bytes):
             yield rows(cut(number, batch, buckets))
+            pa.default_memory_pool().release_unused()
 
     def second(batches):
         def each():
@@ -88,12 +91,12 @@ def exchange(
         for r in answer(each()):
             yield rows([r])
 
-    table = C.materialise(docs.mapInArrow(first, ROW), "blocks")
+    table = C.bucketed(docs.mapInArrow(first, ROW), "blocks", buckets, "block")
     if between:
         answer = between(table)
-    own = F.col("bucket") >= 0
-    replies = table.filter(own).repartitionById(buckets, F.col("bucket")).mapInArrow(second, ROW)
-    return table.filter(F.col("bucket") == DOCS).unionByName(replies).groupBy("block").applyInArrow(lambda t: join(t.to_pylist()), schema)
+    replies = table.filter(F.col("bucket") >= 0).repartitionById(buckets, F.col("bucket")).mapInArrow(second, ROW)
+    own = table.filter(F.col("bucket") == DOCS).groupBy("block")
+    return own.cogroup(replies.groupBy("block")).applyInArrow(lambda a, b: join(a.to_pylist() + b.to_pylist()), schema)
 
 
 def deal(values: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:

@@ -58,6 +58,11 @@ def _cut(text: str, id_col: str):
         raw, off = C.utf8(batch.column(text))
         bounds, rows = C.split_pieces(raw, off)
         words, seq = C.distinct_pieces(raw, bounds)
+        # numbers by descending frequency: positions then take few bytes
+        order = np.argsort(-np.bincount(seq, minlength=len(words)), kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order))
+        words, seq = words.take(pa.array(order)), rank[seq]
         out = [(block, B.DOCS, B.ids_of(batch, id_col), C.pack(np.concatenate([[len(words)], np.diff(rows), seq]).astype(np.int32)))]
         for b, at in B.deal(B.hashes(words), buckets):
             out.append((block, b, C.pack(at.astype(np.int32)), C.pack_strings(words.take(pa.array(at)))))

@@ -58,6 +58,16 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, tag: str, buckets: int, *by: str) -> DataFrame:
+    """Write ``df`` once as a table in buckets of ``by``, so that joins and groups
+    on those columns read it where it lies. Its values are already compressed."""
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    name = f"corpusflow_{tag}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, *by).option("compression", "uncompressed").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if a count shows at most ``max_rows`` rows."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df.hint("merge")
@@ -110,14 +120,22 @@ def spans(offsets: np.ndarray, most: int) -> list[tuple[int, int]]:
 
 
 def pack(array: np.ndarray) -> bytes:
-    """zstd of an array's bytes, with the raw size in front."""
-    raw = np.ascontiguousarray(array).tobytes()
-    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+    """zstd of an array, byte plane by byte plane (small numbers have empty high planes)."""
+    width = array.dtype.itemsize
+    planes = np.ascontiguousarray(array).view(np.uint8).reshape(-1, width).T
+    parts = [pa.compress(np.ascontiguousarray(p).tobytes(), codec="zstd", asbytes=True) if len(array) else b"" for p in planes]
+    return b"".join([len(array).to_bytes(8, "little"), *(len(p).to_bytes(8, "little") for p in parts), *parts])
 
 
 def unpack(blob: bytes, dtype) -> np.ndarray:
-    size = int.from_bytes(blob[:8], "little")
-    return np.frombuffer(pa.decompress(blob[8:], size, codec="zstd", asbytes=True) if size else b"", dtype)
+    width, n = np.dtype(dtype).itemsize, int.from_bytes(blob[:8], "little")
+    out = np.empty((n, width), np.uint8)
+    at = 8 + 8 * width
+    for k in range(width if n else 0):
+        size = int.from_bytes(blob[8 + 8 * k : 16 + 8 * k], "little")
+        out[:, k] = np.frombuffer(pa.decompress(blob[at : at + size], n, codec="zstd", asbytes=True), np.uint8)
+        at += size
+    return out.view(dtype).reshape(-1)
 
 
 def pack_strings(values: pa.Array) -> bytes:
