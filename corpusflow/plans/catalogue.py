@@ -1 +1,476 @@
-"""All registered queries."""
+"""All registered queries: each operator over a whole table, beside its SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from corpusflow.functions import text as T
+from corpusflow.operators import carryover, enrich, glossary, graph, html, paragraphs, select
+from corpusflow.registry import query
+from corpusflow.sources import sinks
+
+#: The end of the data's time span; queries never read the clock.
+NOW = "2024-01-31 00:00:00"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
+_COLLAPSE = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
+
+
+def _title():
+    return F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+
+
+# ------------------------------------------------------------ scalar functions
+
+
+@query("q01_collapse", rf"SELECT doc_id, {_COLLAPSE.format('text')} AS collapsed FROM documents")
+def q01(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.collapse(F.col("text")).alias("collapsed"))
+
+
+@query("q02_summary", "SELECT page_id, substr(trim(regexp_replace(regexp_replace(substr(html, 1, 600), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')), 1, 500) AS summary FROM pages")
+def q02(spark, d):
+    return table(spark, d, "pages").select("page_id", T.summary(F.col("html")).alias("summary"))
+
+
+@query("q03_title_key", f"SELECT page_id, regexp_replace(lower({_TITLE}), '[^\\p{{L}}\\p{{N}}]+', '', 'g') AS title_key FROM pages")
+def q03(spark, d):
+    return table(spark, d, "pages").select("page_id", T.title_key(_title()).alias("title_key"))
+
+
+@query("q03b_gallery_suffix", f"SELECT page_id, trim(regexp_replace({_TITLE} || CASE page_id % 3 WHEN 0 THEN ' [Image ' || (page_id % 7) || ' of 7]' WHEN 1 THEN ' (image 2 OF 9) ' ELSE '' END, '\\s*[\\[(]\\s*image\\s+\\d+\\s+of\\s+\\d+\\s*[\\])]\\s*', '', 'gi')) AS title FROM pages")
+def q03b(spark, d):
+    tail = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit(" [Image "), (F.col("page_id") % 7).cast("string"), F.lit(" of 7]"))).when(F.col("page_id") % 3 == 1, " (image 2 OF 9) ").otherwise("")
+    return table(spark, d, "pages").select("page_id", T.strip_gallery(F.concat(_title(), tail)).alias("title"))
+
+
+@query(
+    "q04_dates",
+    """SELECT event_id, CASE event_id % 5 WHEN 4 THEN NULL WHEN 2 THEN date_trunc('second', ts) - INTERVAL 8 HOUR ELSE date_trunc('second', ts) END AS parsed FROM events""",
+)
+def q04(spark, d):
+    ts, k = F.date_trunc("second", F.col("ts")), F.col("event_id") % 5
+    rfc = F.concat(F.lit("Mon, "), F.date_format(ts, "dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
+    iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    raw = F.when(k == 0, rfc).when(k == 1, F.concat(iso, F.lit("Z"))).when(k == 2, F.concat(iso, F.lit("+08:00"))).when(k == 3, iso).otherwise("not a date")
+    return table(spark, d, "events").select("event_id", T.timestamp(raw).cast("timestamp_ntz").alias("parsed"))
+
+
+@query(
+    "q05_paragraphs",
+    rf"""SELECT doc_id, i - 1 AS pos, {_COLLAPSE.format("p[i]")} AS para FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM
+    (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS p FROM documents))""",
+)
+def q05(spark, d):
+    own = paragraphs.explode(table(spark, d, "documents"), separator="\n")
+    return own.select("doc_id", F.col("pos").cast("long").alias("pos"), "para")
+
+
+@query("q06_last_segment", "SELECT page_id, list_extract(string_split(url, '/'), -1) AS last FROM pages")
+def q06(spark, d):
+    return table(spark, d, "pages").select("page_id", T.last_segment(F.col("url")).alias("last"))
+
+
+_JUNK_FIXTURE = ["IMAGE INFO", "Date Taken: 01.02.2026", "PUBLIC DOMAIN", "01.02.2026", "Photo by Sgt. X", "MORE LIKE THIS", "read more", "MARINE CORPS BASE HAWAII, HAWAII, UNITED STATES", "The photo by the river was taken at dawn.", "3 / 14"]
+_LINES = "SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN list_extract([{0}], CAST((doc_id // 10) % 10 + 1 AS BIGINT)) || chr(10) || text ELSE text END AS text FROM documents".format(", ".join(f"'{x}'" for x in _JUNK_FIXTURE))
+_CAPS_SQL = T.CAPS_PLACE.replace("'", "''")
+_FURNITURE_SQL = f"(regexp_matches(trim(x), '{T.FURNITURE}', 'i') OR regexp_matches(trim(x), '{_CAPS_SQL}'))"
+
+
+def _with_furniture(spark, d):
+    pick = F.element_at(F.array(*[F.lit(x) for x in _JUNK_FIXTURE]), (F.floor(F.col("doc_id") / 10) % 10 + 1).cast("int"))
+    return table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.concat(pick, F.lit("\n"), "text")).otherwise(F.col("text")).alias("text"))
+
+
+@query(
+    "q07_furniture_lines",
+    f"""SELECT doc_id, array_to_string(list_filter(string_split(trim(text), chr(10)), lambda x: trim(x) <> '' AND NOT {_FURNITURE_SQL}), chr(10)) AS body
+    FROM ({_LINES})""",
+)
+def q07(spark, d):
+    own = _with_furniture(spark, d)
+    return own.select("doc_id", T.without_furniture(F.col("text")).alias("body"))
+
+
+_SQL_PARAS = rf"""p AS (SELECT doc_id, i - 1 AS pos, {_COLLAPSE.format("p[i]")} AS para FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM
+ (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS p FROM documents)))"""
+_END = "regexp_matches(para, '[.!?。！？\"”'')\\]]$')"
+_SQL_JUNK = rf"""j AS (SELECT *, len(string_split(para, ' ')) AS nw, {_END} AS fin FROM p),
+ k AS (SELECT *, regexp_matches(para, '^[\d\s.,xX×/|:+-]+$') OR (nw <= 2 AND NOT fin) OR (regexp_matches(para, '^[^:：]{{1,30}}[:：]$') AND nw <= 3)
+  OR (nw <= 4 AND regexp_matches(para, '^[A-Z0-9 .,''&()/-]{{1,40}}$') AND NOT fin) AS junk FROM j)"""
+_SQL_APART = "a AS (SELECT * FROM (SELECT *, lag(para) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM k WHERE NOT junk) WHERE para IS DISTINCT FROM before)"
+_SQL_MERGED = """s AS (SELECT *, nw <= 2 AND fin AS short, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS rn FROM a),
+ l AS (SELECT *, coalesce(max(CASE WHEN NOT short THEN rn END) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS last_long FROM s),
+ g AS (SELECT *, sum(CASE WHEN (rn - last_long) % 2 = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS grp FROM l),
+ m AS (SELECT doc_id, min(pos) AS pos, string_agg(para, ' ' ORDER BY pos) AS para FROM g GROUP BY doc_id, grp)"""
+
+
+@query("q08_junk_paragraphs", f"WITH {_SQL_PARAS}, {_SQL_JUNK} SELECT doc_id, pos, junk FROM k")
+def q08(spark, d):
+    own = paragraphs.explode(table(spark, d, "documents"), separator="\n")
+    return own.select("doc_id", F.col("pos").cast("long").alias("pos"), T.junk_paragraph(F.col("para")).alias("junk"))
+
+
+@query("q09_adjacent_repeats", f"WITH {_SQL_PARAS}, {_SQL_JUNK}, {_SQL_APART} SELECT doc_id, pos, para FROM a")
+def q09(spark, d):
+    own = paragraphs.drop_repeats(paragraphs.drop_junk(paragraphs.explode(table(spark, d, "documents"), separator="\n")))
+    return own.select("doc_id", F.col("pos").cast("long").alias("pos"), "para")
+
+
+@query("q10_clean_paragraphs", f"WITH {_SQL_PARAS}, {_SQL_JUNK}, {_SQL_APART}, {_SQL_MERGED} SELECT doc_id, count(*) AS n_paras, substr(string_agg(para, chr(10) || chr(10) ORDER BY pos), 1, 200000) AS body FROM m GROUP BY doc_id")
+def q10(spark, d):
+    return paragraphs.reassemble(paragraphs.clean(table(spark, d, "documents"), separator="\n"))
+
+
+@query("q10b_clean_in_row", f"WITH {_SQL_PARAS}, {_SQL_JUNK}, {_SQL_APART}, {_SQL_MERGED} SELECT doc_id, coalesce(body, '') AS body FROM documents LEFT JOIN (SELECT doc_id, string_agg(para, chr(10) || chr(10) ORDER BY pos) AS body FROM m GROUP BY doc_id) USING (doc_id)")
+def q10b(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.array_join(T.clean_array(F.split("text", "\n")), "\n\n").alias("body"))
+
+
+# ------------------------------------------------------------------------ pages
+
+_SELECTORS = ["article", "div.content", "main"]
+
+
+@query("q11_html_paragraphs")
+def q11(spark, d):
+    return html.fragment_body(html.routes(table(spark, d, "pages"), _SELECTORS))
+
+
+@query("q12_title_line_and_fallback")
+def q12(spark, d):
+    own = html.fragment_body(html.routes(table(spark, d, "pages"), _SELECTORS))
+    body = F.array_join(T.without_title_line(T.paragraphs(F.col("body")), F.col("title")), "\n\n")
+    media = T.media_asset(F.concat(F.lit("https://media.example/"), F.col("page_id").cast("string"))) & (F.col("page_id") % 5 == 0)
+    return own.select("page_id", html.body_or_fallback(media, body, F.substring("title", 1, 100), F.lit("caption")).alias("body"))
+
+
+@query("q13_page_body")
+def q13(spark, d):
+    return html.page_body(html.routes(table(spark, d, "pages"), _SELECTORS))
+
+
+@query("q13b_page_titles", f"SELECT page_id, trim(regexp_replace(replace({_TITLE}, '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages")
+def q13b(spark, d):
+    return html.routes(table(spark, d, "pages"), []).select("page_id", "title")
+
+
+@query(
+    "q14_url_guard",
+    r"""SELECT page_id, regexp_extract(u, '^https?://([^/?#:]+)', 1) AS host, regexp_matches(u, '^https?://') AND NOT regexp_matches(lower(regexp_extract(u, '^[a-z]+://([^/?#:]+)', 1)),
+    '^(?:localhost|.*\.local|.*\.internal|.*\.localhost|10\..*|127\..*)$') AS allowed FROM (SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'https://localhost/x' WHEN 1 THEN 'https://db.internal/x' WHEN 2 THEN 'https://127.0.0.1/x' ELSE url END AS u FROM pages)""",
+)
+def q14(spark, d):
+    k = F.col("page_id") % 6
+    u = F.when(k == 0, "https://localhost/x").when(k == 1, "https://db.internal/x").when(k == 2, "https://127.0.0.1/x").otherwise(F.col("url"))
+    return table(spark, d, "pages").select("page_id", T.url_host(u).alias("host"), T.url_allowed(u).alias("allowed"))
+
+
+# -------------------------------------------------------------------- selection
+
+
+@query(
+    "q15_lookback_top_n",
+    f"""SELECT event_type, event_id, rank FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC NULLS LAST, event_id) AS rank FROM events
+    WHERE ts IS NULL OR ts >= TIMESTAMP '{NOW}' - CASE event_type WHEN 'click' THEN 10 WHEN 'view' THEN 30 ELSE 7 END * INTERVAL 1 DAY) WHERE rank <= 40""",
+)
+def q15(spark, d):
+    days = F.when(F.col("event_type") == "click", 10).when(F.col("event_type") == "view", 30).otherwise(7)
+    own = select.lookback(table(spark, d, "events"), "ts", F.lit(NOW).cast("timestamp_ntz"), days)
+    top = select.top_n(own, ["event_type"], [F.desc_nulls_last("ts"), F.col("event_id")], 40)
+    return top.select("event_type", "event_id", F.col("rank").cast("long").alias("rank"))
+
+
+@query(
+    "q16_targets",
+    """SELECT doc_id, trim(coalesce(text, '')) <> '' AND (quality IS NULL OR quality <> 1 OR (toxic IS NULL AND doc_id % 7 <> 0) OR doc_id % 5 = 0) AS needs_work FROM documents LEFT JOIN labels USING (doc_id)""",
+)
+def q16(spark, d):
+    both = table(spark, d, "documents").select("doc_id", "text").join(table(spark, d, "labels"), "doc_id", "left")
+    state = F.when(F.col("quality") == 1, "ok")
+    return both.select("doc_id", select.needs_work(F.col("text"), state, F.col("toxic").isNotNull(), F.col("doc_id") % 7 == 0, F.col("doc_id") % 5 != 0).alias("needs_work"))
+
+
+@query(
+    "q17_length_ratio",
+    """SELECT a.conv_id, a.turn, coalesce(b.text, '') <> '' AND length(coalesce(b.text, '')) / greatest(length(a.text), 1) BETWEEN 0.1 AND 4.0 AS ratio_ok
+    FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""",
+)
+def q17(spark, d):
+    c = table(spark, d, "conversations")
+    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
+    return c.join(nxt, ["conv_id", "turn"], "left").select("conv_id", "turn", T.ratio_ok(F.col("text"), F.coalesce("reply", F.lit("")), 0.1, 4.0).alias("ratio_ok"))
+
+
+@query(
+    "q18_json_arrays",
+    """SELECT event_id, CASE event_id % 3 WHEN 0 THEN event_type || '|' || k WHEN 1 THEN NULL ELSE NULL END AS strings, CASE WHEN event_id % 3 = 0 THEN 'x' || k || '|' || event_type END AS titles
+    FROM (SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events)""",
+)
+def q18(spark, d):
+    k = F.get_json_object("props", "$.k")
+    e = table(spark, d, "events").withColumn("k", k)
+    third = F.col("event_id") % 3
+    strings = F.when(third == 0, F.format_string('pre ["%s","%s"] post', "event_type", "k")).when(third == 1, F.format_string('["%s"]', "k")).otherwise(F.format_string('["%s",""]', "k"))
+    titles = F.when(third == 0, F.format_string('[{"t":"x%s","s":"%s"}]', "k", "event_type")).when(third == 1, F.format_string('[{"t":"x%s"}]', "k")).otherwise(F.lit("[broken"))
+    t = T.parse_titles(titles, F.lit(1))
+    return e.select("event_id", F.array_join(T.parse_array(strings, F.lit(2)), "|").alias("strings"), F.array_join(F.transform(t, lambda x: F.concat(x["t"], F.lit("|"), x["s"])), ";").alias("titles"))
+
+
+@query(
+    "q19_field_ladder",
+    """SELECT event_id, CASE event_id % 5 WHEN 0 THEN event_type || k WHEN 1 THEN 'say "' || k || '" now' WHEN 2 THEN event_type WHEN 3 THEN event_type || ' ' || k ELSE '' END AS p
+    FROM (SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events)""",
+)
+def q19(spark, d):
+    e, fifth = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k")), F.col("event_id") % 5
+    raw = (
+        F.when(fifth == 0, F.format_string('```{"p": "[1] %s%s"}', "event_type", "k"))
+        .when(fifth == 1, F.format_string('{"p":"say "%s" now"}', "k"))
+        .when(fifth == 2, F.format_string("note\np：译文：%s\nend }", "event_type"))
+        .when(fifth == 3, F.format_string("“%s %s”", "event_type", "k"))
+        .otherwise(F.lit("{"))
+    )
+    return e.select("event_id", T.parse_field(raw, "p").alias("p"))
+
+
+@query(
+    "q19b_indexed_slots",
+    """SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'b' || k || '||' || event_type WHEN 1 THEN '|' || k || '|' ELSE 'one|two|' END AS slots
+    FROM (SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events)""",
+)
+def q19b(spark, d):
+    e, third = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k")), F.col("event_id") % 3
+    raw = (
+        F.when(third == 0, F.format_string('[{"i":1,"p":"a"},{"i":1,"p":"b%s"},{"i":3,"p":"%s"},{"i":9,"p":"far"}]', "k", "event_type"))
+        .when(third == 1, F.format_string('[{"i":2,"p":"%s"},{"i":3,"p":" "}]', "k"))
+        .otherwise(F.lit('[{"i":1,"p":"one"},{"i":2,"p":"two"} {"i":1,"p":"late"'))
+    )
+    return e.select("event_id", F.array_join(T.parse_slots(raw, F.lit(3)), "|").alias("slots"))
+
+
+@query(
+    "q19c_clean_output",
+    """SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_type WHEN 1 THEN '10月10日 ' || event_type WHEN 2 THEN event_type ELSE event_type || ' x' END AS cleaned FROM events""",
+)
+def q19c(spark, d):
+    k = F.col("event_id") % 4
+    raw = F.when(k == 0, F.concat(F.lit(" 译文： [1] "), "event_type")).when(k == 1, F.concat(F.lit("10月10日 "), "event_type")).when(k == 2, F.concat(F.lit("“「"), "event_type", F.lit("」”"))).otherwise(F.concat(F.lit("标题: （2）"), "event_type", F.lit(" x ")))
+    return table(spark, d, "events").select("event_id", T.clean_output(raw).alias("cleaned"))
+
+
+# -------------------------------------------------------------- slots, carry-over
+
+
+@query(
+    "q20_slots",
+    """SELECT conv_id, count(*) AS n_slots, count(*) FILTER (trim(coalesce(slot, '')) <> '') AS n_done, CASE WHEN bool_and(trim(coalesce(slot, '')) <> '') THEN 'ok' ELSE 'failed' END AS state,
+    string_agg(coalesce(slot, ''), '|' ORDER BY turn) AS slots FROM (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN role WHEN conv_id % 2 = 0 THEN 'n' || turn ELSE '' END AS slot FROM conversations) GROUP BY conv_id""",
+)
+def q20(spark, d):
+    c = table(spark, d, "conversations")
+    old, new = F.when(F.col("turn") % 3 == 0, F.col("role")).otherwise(""), F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("n"), F.col("turn").cast("string"))).otherwise("")
+    rows = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", old.alias("old"), new.alias("new")))).alias("s"))
+    filled = rows.select("conv_id", carryover.fill_slots(F.col("s.old"), F.col("s.new")).alias("slots"))
+    done, state = carryover.slots_state(F.col("slots"))
+    return filled.select("conv_id", F.size("slots").cast("long").alias("n_slots"), done.cast("long").alias("n_done"), state.alias("state"), F.array_join("slots", "|").alias("slots"))
+
+
+@query(
+    "q21_carry_over",
+    """WITH d AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS p FROM documents WHERE text IS NOT NULL),
+    e AS (SELECT *, len(p) AS n, CASE WHEN doc_id % 4 = 1 THEN greatest(len(p) - 2, 0) WHEN doc_id % 4 = 2 THEN CASE WHEN len(p) > 1 THEN 1 ELSE 0 END ELSE len(p) END AS k, doc_id % 4 <> 3 AS has FROM d)
+    SELECT doc_id, CASE WHEN has AND k > 0 THEN array_to_string(list_transform(range(1, n + 1), lambda i: CASE WHEN i <= k THEN 'T' || (i - 1) ELSE '' END), '|') END AS paras,
+    CASE WHEN has AND k > 0 THEN CASE WHEN k = n THEN 'ok' ELSE 'failed' END END AS state, CASE WHEN has THEN 'title' || doc_id END AS title_out FROM e""",
+)
+def q21(spark, d):
+    own = table(spark, d, "documents").filter("text is not null").withColumn("p", T.paragraphs(F.col("text"), "\n")).withColumn("n", F.size("p")).withColumn("url", F.col("doc_id").cast("string"))
+    kind = F.col("doc_id") % 4
+    # the new body: as before, with its last two lines altered, or all but the first
+    cut = F.when(kind == 1, F.greatest(F.col("n") - 2, F.lit(0))).when(kind == 2, F.when(F.col("n") > 1, 1).otherwise(0)).otherwise(F.col("n"))
+    changed = F.transform("p", lambda x, i: F.when(i < F.col("cut"), x).otherwise(F.concat(x, F.lit(" changed"))))
+    items = own.withColumn("cut", cut).select("doc_id", "url", F.array_join(changed, "\n").alias("body"))
+    done = F.transform(F.sequence(F.lit(0), F.greatest(F.col("n"), F.lit(1)) - 1), lambda i: F.concat(F.lit("T"), i.cast("string")))
+    prev = own.filter(kind != 3).select("url", F.lit(0).alias("ord"), F.col("text").alias("body"), F.concat(F.lit("title"), "url").alias("title_out"), F.lit("s").alias("summary_out"), F.when(F.col("n") > 0, done).alias("paras_out"), F.lit("ok").alias("state"))
+    return carryover.carry(items, prev, "\n").select("doc_id", F.array_join("paras_out", "|").alias("paras"), "state", "title_out")
+
+
+# --------------------------------------------------------------- glossary, graph
+
+_TERMS = "SELECT DISTINCT lower(t) AS term FROM (SELECT unnest([w[1], w[2] || ' ' || w[3]]) AS t FROM (SELECT regexp_split_to_array(text, '[^A-Za-z0-9\\-]+') AS w FROM benchmark) WHERE len(w) > 3) WHERE trim(t) <> ''"
+
+
+@query(
+    "q22_glossary_hits",
+    rf"""WITH t AS ({_TERMS}), w AS (SELECT doc_id, regexp_split_to_array(text, '[^A-Za-z0-9\-]+') AS w FROM documents WHERE text IS NOT NULL),
+    g AS (SELECT doc_id, i * 10 + n AS place, lower(trim(array_to_string(w[i + 1:i + n], ' '), '.-')) AS term FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM w), (SELECT unnest([1, 2, 3, 4]) AS n) WHERE i + n <= len(w)),
+    f AS (SELECT doc_id, term, min(place) AS place FROM g JOIN t USING (term) WHERE term <> '' GROUP BY ALL)
+    SELECT doc_id, term, rank FROM (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS rank FROM f) WHERE rank <= 8""",
+)
+def q22(spark, d):
+    w = F.split("text", r"[^A-Za-z0-9\-]+")
+    words = table(spark, d, "benchmark").select(w.alias("w")).filter(F.size("w") > 3)
+    terms = words.select(F.explode(F.array(F.get("w", F.lit(0)), F.concat(F.get("w", F.lit(1)), F.lit(" "), F.get("w", F.lit(2))))).alias("t")).filter(F.trim("t") != "").select(F.lower("t").alias("term")).distinct()
+    return glossary.hits(table(spark, d, "documents").select("doc_id", "text"), terms).select("doc_id", "term", F.col("rank").cast("long").alias("rank"))
+
+
+def _edges(spark, d):
+    return table(spark, d, "part").filter("p_partkey > 1").select(F.floor(F.col("p_partkey") / 10).cast("long").alias("parent"), F.col("p_partkey").alias("child"))
+
+
+@query(
+    "q23_class_tree",
+    """WITH RECURSIVE b(node, depth) AS (SELECT CAST(1 AS BIGINT), 0 UNION ALL SELECT p_partkey, depth + 1 FROM b JOIN part ON p_partkey // 10 = node AND p_partkey > 1 WHERE depth < 4) SELECT node, min(depth) AS depth FROM b GROUP BY node""",
+)
+def q23(spark, d):
+    return graph.descend(_edges(spark, d), spark.range(1, 2).select(F.col("id").alias("node")))
+
+
+@query(
+    "q24_class_terms",
+    """SELECT class, item, en, zh FROM (SELECT p_brand AS class, p_partkey AS item, p_name AS en, p_type AS zh, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS r FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 5 <> 0) WHERE r <= 30""",
+)
+def q24(spark, d):
+    p = table(spark, d, "part")
+    en = p.filter("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("item"), F.col("p_name").alias("label"))
+    zh = p.filter("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("item"), F.col("p_type").alias("label"))
+    return graph.class_terms(p.select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("class")), en, zh, 30).select("class", "item", "en", "zh")
+
+
+@query(
+    "q24b_roots",
+    """SELECT label, item, rank FROM (SELECT p_name AS label, p_partkey AS item, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey <> 7, p_partkey) AS rank FROM part WHERE p_partkey > 1 AND p_name IN ('red widget', 'blue bolt', 'small ring')) WHERE rank <= 4""",
+)
+def q24b(spark, d):
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("item"), F.col("p_name").alias("label"))
+    roots = spark.createDataFrame([("red widget", 7), ("blue bolt", 7), ("small ring", 7)], "label string, curated long")
+    found = p.join(F.broadcast(roots), "label").join(_edges(spark, d).select(F.col("child").alias("item")), "item", "left_semi").distinct()
+    top = select.top_n(found, ["label"], [F.col("item") != F.col("curated"), F.col("item")], graph.ROOTS_KEPT)
+    return top.select("label", "item", F.col("rank").cast("long").alias("rank"))
+
+
+@query("q24c_terms_first_class", "SELECT p_name AS term, min(p_brand) AS class, count(*) AS n FROM part GROUP BY p_name")
+def q24c(spark, d):
+    p = table(spark, d, "part")
+    return p.groupBy(F.col("p_name").alias("term")).agg(F.min("p_brand").alias("class"), F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------- dedup
+
+_KEYED = r"SELECT doc_id, source, text, length(text) AS n, regexp_replace(lower(string_split(text, chr(10))[1]), '[^\p{L}\p{N}]+', '', 'g') AS key FROM documents WHERE text IS NOT NULL"
+
+
+def _keyed(spark, d):
+    own = table(spark, d, "documents").filter("text is not null")
+    return own.select("doc_id", "source", "text", F.length("text").alias("n"), T.title_key(F.get(F.split("text", "\n"), F.lit(0))).alias("key"))
+
+
+@query("q25_longest_of_gallery", f"WITH k AS ({_KEYED}) SELECT doc_id, key FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, doc_id) AS r FROM k) WHERE r = 1 OR key = ''")
+def q25(spark, d):
+    return select.longest_wins(_keyed(spark, d), "key", "text", "doc_id").select("doc_id", "key")
+
+
+_SOURCE_ORD = "CAST(substr(source, 4) AS INTEGER)"
+
+
+@query("q26_cross_source", f"WITH k AS ({_KEYED}) SELECT doc_id, source, key FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY {_SOURCE_ORD}, doc_id) AS r FROM k) WHERE r = 1 OR key = ''")
+def q26(spark, d):
+    own = _keyed(spark, d).withColumn("source_ord", F.substring("source", 4, 9).cast("int"))
+    return select.first_wins(own, ["key"], ["source_ord", "doc_id"], F.col("key") == "").select("doc_id", "source", "key")
+
+
+@query("q26b_first_url", "SELECT page_id, url FROM (SELECT page_id, url, row_number() OVER (PARTITION BY url ORDER BY page_id) AS r FROM pages) WHERE r = 1")
+def q26b(spark, d):
+    return select.first_wins(table(spark, d, "pages").select("page_id", "url"), ["url"], ["page_id"])
+
+
+@query("q26c_unseen_keys", f"WITH k AS ({_KEYED}) SELECT doc_id FROM k WHERE key NOT IN (SELECT key FROM k WHERE source = 'src0')")
+def q26c(spark, d):
+    k = _keyed(spark, d)
+    return k.join(k.filter("source = 'src0'").select("key").distinct(), "key", "left_anti").select("doc_id")
+
+
+@query("q26d_union_of_roots", "SELECT lang AS value FROM documents UNION SELECT event_type FROM events")
+def q26d(spark, d):
+    return table(spark, d, "documents").select(F.col("lang").alias("value")).unionByName(table(spark, d, "events").select(F.col("event_type").alias("value"))).distinct()
+
+
+# --------------------------------------------------- statistics, budgets, context
+
+
+@query(
+    "q27_channel_stats",
+    """SELECT source, count(*) AS n, count(*) FILTER (length(text) >= 1000) AS n_long, count(DISTINCT text) AS n_distinct, CAST(sum(length(text)) AS BIGINT) AS chars, CASE WHEN count(*) FILTER (length(text) < 50) > 0 THEN 'error' ELSE 'ok' END AS status FROM documents GROUP BY source""",
+)
+def q27(spark, d):
+    n = F.length("text")
+    own = table(spark, d, "documents").withColumn("h", F.struct(F.xxhash64("text"), F.md5("text")))
+    short = F.count_if(n < 50) > 0
+    return own.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(n >= 1000).alias("n_long"), F.countDistinct("h").alias("n_distinct"), F.sum(n.cast("long")).alias("chars"), F.when(short, "error").otherwise("ok").alias("status"))
+
+
+@query("q27b_run_stats", "SELECT count(*) FILTER (quality = 1) AS ok_count, count(*) FILTER (quality = 0) AS fail_count, count(*) FILTER (quality IS NULL) AS deferred, count(*) AS total FROM documents LEFT JOIN labels USING (doc_id)")
+def q27b(spark, d):
+    both = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left")
+    return sinks.run_stats(both.withColumn("state", F.when(F.col("quality") == 1, "ok").when(F.col("quality") == 0, "failed")))
+
+
+@query(
+    "q28_budget",
+    """SELECT doc_id, todo, CAST(least(todo, greatest(0, 4000 - coalesce(sum(todo) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS granted
+    FROM (SELECT doc_id, len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x) <> '')) AS todo FROM documents)""",
+)
+def q28(spark, d):
+    own = table(spark, d, "documents").select("doc_id", F.size(T.paragraphs(F.col("text"), "\n")).cast("long").alias("todo"))
+    return select.budget(own, ["doc_id"], "todo", 4000).select("doc_id", "todo", "granted")
+
+
+@query("q29_chunks", f"WITH {_SQL_PARAS}, c AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1) // 6 AS chunk, para FROM p) SELECT doc_id, chunk, count(*) AS n, CAST(sum(length(para)) AS BIGINT) AS chars FROM c GROUP BY ALL")
+def q29(spark, d):
+    own = select.chunks(paragraphs.explode(table(spark, d, "documents"), separator="\n"), ["doc_id"], ["pos"], enrich.PARA_CHUNK)
+    return own.groupBy("doc_id", "chunk").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("para").cast("long")).alias("chars"))
+
+
+@query(
+    "q30_context",
+    "SELECT conv_id, turn, substr(lag(text) OVER w, 1, 200) AS prev, first_value(text IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS head FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)",
+)
+def q30(spark, d):
+    return select.context(table(spark, d, "conversations"), "conv_id", "turn", "text").select("conv_id", "turn", "prev", "head")
+
+
+@query("q31_coalesce", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source WHEN doc_id % 3 = 1 THEN lang || '、' || source ELSE '' END AS author, CASE WHEN doc_id % 2 = 0 THEN 'given' ELSE coalesce(substr(text, 1, 400), '') END AS summary FROM documents")
+def q31(spark, d):
+    k = F.col("doc_id") % 3
+    names = F.when(k == 1, F.array("lang", F.lit(""), "source")).otherwise(F.array().cast("array<string>"))
+    return table(spark, d, "documents").select("doc_id", T.authors(F.when(k == 0, F.col("source")).otherwise(""), names).alias("author"), T.backfilled_summary(F.when(F.col("doc_id") % 2 == 0, "given"), F.col("text")).alias("summary"))
+
+
+@query("q32_newest_first", "SELECT event_id, ts, rank FROM (SELECT event_id, ts, row_number() OVER (ORDER BY ts DESC NULLS LAST, event_id) AS rank FROM events) WHERE rank <= 100")
+def q32(spark, d):
+    top = table(spark, d, "events").select("event_id", "ts").orderBy(F.desc_nulls_last("ts"), "event_id").limit(100)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("ts"), "event_id")).cast("long"))
+
+
+@query("q33_enrichment")
+def q33(spark, d):
+    rows = paragraphs.explode(table(spark, d, "documents"), separator="\n").select("doc_id", "pos", F.col("para").alias("text"))
+    return enrich.enrich(rows, enrich.Stub(), _stored)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A checkpoint: a client's answers are never asked for again."""
+    graph._checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+@query("q34_glossary_prompt", "SELECT lang, string_agg(source || '=' || lang, '; ' ORDER BY n, source) AS line FROM (SELECT lang, source, min(doc_id) AS n FROM documents GROUP BY ALL) GROUP BY lang")
+def q34(spark, d):
+    terms = table(spark, d, "documents").groupBy("lang", "source").agg(F.min("doc_id").alias("rank")).select("lang", "rank", F.col("source").alias("term"), F.col("lang").alias("target"))
+    return terms.groupBy("lang").agg(enrich.glossary_line().alias("line"))
