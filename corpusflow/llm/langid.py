@@ -169,11 +169,13 @@ def train(docs: DataFrame) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns with ``lang_pred, score, ambiguous`` for each whole text."""
+    """``keep`` columns with ``lang_pred, score, ambiguous`` for each whole text;
+    these take the place of columns of their names."""
+    keep = [c for c in keep if c.lower() not in ("lang_pred", "score", "ambiguous")]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a size that BITS and the languages bound
     letter = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in keep]).schema]
-    t, l = C.fresh(docs, "text_"), C.fresh(docs, "letter_")
+    t, l = text if text in keep else C.fresh(docs, "text_"), C.fresh(docs, "letter_")
 
     def run(batches):
         m = shared.value
@@ -197,7 +199,8 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
                 names=[*keep, "lang_pred", "score", "ambiguous"],
             )
 
-    own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(t), letter.alias(l))
+    whole = [] if text in keep else [F.col(f"`{text}`").alias(t)]
+    own = docs.select(*[F.col(f"`{c}`") for c in keep], *whole, letter.alias(l))
     return own.mapInArrow(run, ", ".join([*fields, "lang_pred string, score double, ambiguous boolean"]))
 
 
@@ -218,5 +221,7 @@ def filter_documents(docs: DataFrame) -> DataFrame:
     Rejected: texts without a letter and those between two codewords.
     """
     model = train(docs.filter(~held_out()).select("doc_id", "text", "lang"))
-    found = predict(docs, model, docs.columns)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    found = predict(plain, model, plain.columns, f"c{docs.columns.index('text')}")
+    kept = found.filter((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous"))
+    return kept.select(*[F.col(a).alias(b) for a, b in zip(plain.columns, docs.columns, strict=True)])

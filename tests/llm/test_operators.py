@@ -1,0 +1,365 @@
+"""The ten operators on small tables, against brute force and in every odd case."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from corpusflow.llm import bpe, common, components, decontam, kd_shards, langid, lm_score, quality_rules, simhash, simple8b, toxicity, url_templates
+
+DIR = "/root/testdata/sf0.001"
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+ODD = [
+    (1, None, None, None, None), (2, "", "en", "src0", 0), (3, " \n\t ", "en", "src0", 4), (4, "word", "en", None, 4), (5, "Ünïcode “quotes” it's 12,5 kg\n\nünd\u00a0漢字 😀", "de", "src1", 40),
+    (6, "same text here", "en", "src1", 14), (7, "same text here", "fr", "src2", 14), (7, "same text here", "fr", "src2", 14), (None, "no id at all", "en", "src0", 12), (8, "a b c " * 20000, "en", "src0", 120000),
+]
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DIR}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Odd rows, with further columns whose names the operators use inside."""
+    return spark.createDataFrame(ODD, DOC).selectExpr("*", "'x' AS id", "1 AS words_", "2 AS n_words", "3 AS score", "4 AS fingerprint", "5 AS block").cache()
+
+
+@pytest.fixture(scope="module")
+def empty(odd):
+    return odd.limit(0)
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+# ------------------------------------------------------------------ quality rules
+
+
+def plain_counts(text):
+    words = WORD.findall(text or "")
+    grams = Counter(zip(words, words[1:], words[2:], strict=False))
+    hit = {p + k for p in range(len(words) - 2) if grams[tuple(words[p : p + 3])] > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(hit)
+
+
+def test_quality_counts(docs, odd, empty):
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    for df in (docs, odd):
+        texts = {r["doc_id"]: r["text"] for r in df.collect()}
+        for k, r in by_id(quality_rules.judge(df)).items():
+            assert tuple(r[n] for n in names) == plain_counts(texts[k]), k
+    assert quality_rules.judge(odd).count() == len(ODD) and quality_rules.judge(empty).count() == 0
+    kept = quality_rules.filter_documents(odd)
+    assert kept.columns == odd.columns and kept.count() == 0 and quality_rules.filter_documents(empty).count() == 0
+
+
+def test_bad_hosts_lose_their_documents(spark):
+    good, bad = " ".join(f"w{k}" for k in range(60)), "short"
+    rows = [(h * 100 + k, good if k < n else bad, h) for h, n in ((1, 40), (2, 38), (3, 39), (4, 4)) for k in range(40)]
+    got = quality_rules.judge(spark.createDataFrame([(i, t, f"h{h}") for i, t, h in rows], "doc_id long, text string, source string"))
+    kept = {r["doc_id"] // 100 for r in got.filter("kept").collect()}
+    assert kept == {1, 2, 3}
+    assert got.filter("kept and base_failed").count() == 0 and got.filter("kept").count() == 40 + 38 + 39
+
+
+# ---------------------------------------------------------------------------- BPE
+
+
+def test_bpe(docs, odd, empty):
+    enc = bpe.encoder(bpe.vocabulary_path())
+    for df in (docs, odd):
+        found = by_id(bpe.digests(df))
+        for r in df.collect():
+            text = r["text"] or ""
+            ids = enc.encode_ordinary(text)
+            own = found[r["doc_id"]]
+            assert own["n_tokens"] == len(ids)
+            assert own["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+            assert own["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert bpe.digests(odd).count() == len(ODD) and bpe.digests(empty).count() == 0
+
+
+def test_small_blocks_change_nothing(docs):
+    a, b = (sorted((r["doc_id"], tuple(r["ids"])) for r in bpe.encode(docs, block_bytes=n).collect()) for n in (1000, 1 << 24))
+    assert a == b
+
+
+def test_decode_keeps_columns(spark):
+    df = spark.createDataFrame([(1, [15496, 995], "x"), (2, [], "y"), (3, None, None)], "k long, ids array<int>, other string")
+    got = {r["k"]: (r["other"], r["decoded"] and bytes(r["decoded"])) for r in bpe.decode(df).collect()}
+    assert got == {1: ("x", b"Hello world"), 2: ("y", bytearray(b"")), 3: (None, None)} or got[2] == ("y", b"") and got[3] == (None, None)
+
+
+# ----------------------------------------------------------------------- sharding
+
+
+def test_shards(docs, odd, empty):
+    rows = kd_shards.report(docs).collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    sizes = Counter()
+    for r in rows:
+        raw = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), "bytes", None)
+        sizes[r["shard"]] += r["size"]
+    for s in range(8):
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * max(r["size"] for r in rows)
+    found = kd_shards.report(odd).collect()
+    assert len(found) == len(ODD) and {r["size"] for r in found if r["doc_id"] == 1} == {1}
+    assert kd_shards.report(empty).count() == 0
+
+
+@pytest.mark.parametrize("shards", [1, 3, 5])
+def test_other_numbers_of_shards(docs, shards):
+    rows = kd_shards.shard(docs, shards).collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+    assert sorted(sizes) == list(range(shards)) and len(rows) == docs.count()
+    assert max(sizes.values()) - min(sizes.values()) <= 3 * max(r["size"] for r in rows)
+
+
+def test_equal_texts_stay_together_and_a_huge_group_is_split(spark):
+    rows = [(k, f"text {k % 500} " * 5) for k in range(2000)]
+    got = kd_shards.shard(spark.createDataFrame([(i, t, "en", f"s{i % 7}", 1) for i, t in rows], DOC))
+    shards = {}
+    for r in got.collect():
+        shards.setdefault(r["doc_id"] % 500, set()).add(r["shard"])
+    assert sum(len(s) > 1 for s in shards.values()) <= 7
+    hot = kd_shards.shard(spark.createDataFrame([(k, "one text", "en", "s", 1) for k in range(800)], DOC))
+    assert {r["count"] for r in hot.groupBy("shard").count().collect()} == {100}
+
+
+# --------------------------------------------------------------------------- URLs
+
+
+def test_urls(spark):
+    rows = [
+        (1, "http://A.Example.NET/en/1?x", "a.example.net", "/en/1", "example.net/en/", "allow"), (2, "https://example.net/fr", "example.net", "/fr", "net/", "block"), (3, "http://net", "net", "", None, "allow"),
+        (4, "x://example.com/de/q#f", "example.com", "/de/q", "example.com/de/", "block"), (5, "http://badexample.com/de/q", "badexample.com", "/de/q", None, "allow"), (6, "http://a.org/fr/", "a.org", "/fr/", "org/fr/", "allow"),
+        (7, None, "", "", None, "allow"), (8, "no scheme/de/", "", "", None, "allow"), (9, "", "", "", None, "allow"), (9, "http://x.net?a/b", "x.net", "", None, "allow"), (10, "a://ÀB.net:80/p/é", "Àb.net:80", "/p/é", None, "allow"),
+    ]
+    df = spark.createDataFrame([(r[0], r[1], "h") for r in rows], "page_id long, url string, host string")
+    got = sorted(tuple(r[c] or "" for c in ("page_id", "host", "path", "rule", "verdict")) for r in url_templates.judge(df).collect())
+    assert got == sorted((r[0], r[2], r[3], r[4] or "", r[5]) for r in rows)
+    assert url_templates.judge(df.limit(0)).count() == 0
+
+
+def test_templates_of_blocked_urls_are_rejected(spark):
+    rules = [("block", "a.com", "/ads/x"), ("allow", "a.com", "/news/1")]
+    urls = [f"http://a.com/ads/x{k}" for k in range(30)] + [f"http://a.com/ads/y{k}" for k in range(30)] + [f"http://a.com/news/{k}" for k in range(100)] + [f"http://b.com/p/{k}" for k in range(30)]
+    got = url_templates.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules)
+    verdicts = {(r["host"], r["path"].split("/")[1], r["verdict"]) for r in got.filter("rule is null").collect()}
+    assert verdicts == {("a.com", "ads", "block"), ("a.com", "news", "allow"), ("b.com", "p", "allow")}
+
+
+# -------------------------------------------------------------------- language ID
+
+
+def test_codewords():
+    for n in (2, 4, 6, 9, 30):
+        code = langid.codewords(n)
+        apart = [(code[a] != code[b]).sum() for a in range(n) for b in range(a)]
+        assert min(apart) >= (1 if n == 2 else 2) and len(code) == n
+
+
+def test_language(spark, odd, empty):
+    big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.identify(big).join(big.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    assert np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.97 and all(0 <= r["score"] <= 1 for r in got)
+    model = langid.train(big.filter(~langid.held_out()))
+    found = langid.predict(odd, model, odd.columns).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found if r["doc_id"] in (1, 2, 3)} == dict.fromkeys((1, 2, 3), "und") and len(found) == len(ODD)
+    assert langid.predict(spark.createDataFrame([(1, "12 + 4!")], "doc_id long, text string"), model, ["doc_id"]).first()["lang_pred"] == "und"
+    assert langid.identify(empty).count() == 0 and langid.filter_documents(odd).columns == odd.columns
+    one = langid.fit([b"abc def"] * 3, ["xx"] * 3)
+    assert langid.predict(odd, one, ["doc_id"]).filter("lang_pred = 'xx'").count() == 7
+
+
+# ------------------------------------------------------------------------ SimHash
+
+
+def plain_print(text, k=3):
+    low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    words = WORD.findall(low)
+    grams = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] or ([" ".join(words)] if words else [])
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def plain_components(prints, radius):
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(prints))]
+
+
+def test_near_duplicates(docs, odd, empty):
+    for df in (docs, odd):
+        rows = sorted(df.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"]))
+        prints = [plain_print(r["text"]) for r in rows]
+        roots = plain_components(prints, 3)
+        found = {}
+        for r in simhash.near_duplicates(df).collect():
+            found.setdefault(r["doc_id"], set()).add((r["fingerprint"] % 2**64, r["component_id"]))
+        for k, r in enumerate(rows):
+            assert (prints[k], rows[roots[k]]["doc_id"]) in found[r["doc_id"]]
+    assert simhash.near_duplicates(odd).count() == len(ODD) and simhash.near_duplicates(empty).count() == 0
+
+
+@pytest.mark.parametrize("radius, cell", [(3, 8), (3, 1024), (5, 16)])
+def test_links_lose_nothing(spark, radius, cell):
+    rng = random.Random(radius)
+    base = [rng.getrandbits(64) for _ in range(30)]
+    dense = [base[0] ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for _ in range(150)]
+    prints = sorted(set(base + dense + [b ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for b in base]))
+    df = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in prints], "fingerprint long")
+    roots = {r["node"]: r["root"] for r in components.components(simhash.links(df, radius, cell)).collect()}
+    got = [roots.get(p - 2**64 if p >= 2**63 else p, p) for p in prints]
+    want = plain_components(prints, radius)
+    assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 101), (100, 101)]
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_deduplicate(spark, odd, empty):
+    rng = random.Random(1)
+    rows = []
+    for g in range(30):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        for c in range(3):
+            own = words[:]
+            if c:
+                own[rng.randrange(200)] = "changed"
+            rows.append((g * 10 + c, " ".join(own)))
+    kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == {g * 10 for g in range(30)}
+    found = simhash.deduplicate(odd)
+    # texts without words are one group; the repeated row is one; the null id stays
+    assert sorted((r["doc_id"] or 0) for r in found.collect()) == [0, 1, 4, 5, 6, 8] and found.columns == odd.columns
+    assert simhash.deduplicate(empty).count() == 0
+
+
+# ---------------------------------------------------------------- decontamination
+
+ITEM = "A farmer named Tom sells 12 apples for 3 dollars each day, and then Anna buys 5 kg of them with cash."
+
+
+def test_decontamination(spark, empty, odd):
+    items = spark.createDataFrame([(1, ITEM), (2, "Tom met Anna and Tom saw Anna again with Tom near the old Berlin station today"), (3, None), (4, ""), (5, "too short"), (6, "five words make one window")], "item_id long, text string")
+    texts = {
+        1: ITEM, 2: "Well now. " + ITEM.replace("Tom", "Bob").replace("12", "4,000.5").replace("Anna", "Carla") + " The end.", 3: "Nothing of the kind stands in this text at all, whatever the number 12 says.",
+        4: None, 5: "", 6: ITEM.split(" each")[0], 7: "It was said: five words make one window, always.", 8: "x Bob met Eve and Bob saw Eve again with Bob near the old Rome station today",
+        9: "x Bob met Eve and Max saw Lea again with Joe near the old Rome station today", 10: "too short",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["item_id"] for r in decontam.judge(df, items).collect() if r["contaminated"]}
+    assert got == {1: 1, 2: 1, 7: 6, 8: 2}
+    assert {r["doc_id"] for r in decontam.filter_documents(df, items).collect()} == {3, 4, 5, 6, 9, 10}
+    assert decontam.judge(df, items.limit(0)).filter("contaminated").count() == 0
+    assert decontam.judge(odd, items).count() == len(ODD) and decontam.judge(empty, items).count() == 0
+    assert decontam.filter_documents(odd, items).columns == odd.columns
+
+
+def test_planted_passages(spark):
+    d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    grams = {tuple(w[k : k + 8]) for w in (x["text"].lower().split() for x in b.collect()) for k in range(len(w) - 7)}
+    hit = {x["doc_id"] for x in d.collect() for w in [x["text"].lower().split()] if sum(tuple(w[k : k + 8]) in grams for k in range(len(w) - 7)) >= 4}
+    assert {r["doc_id"] for r in decontam.judge(d, b).filter("contaminated").collect()} == hit
+
+
+# --------------------------------------------------------------------- LM scoring
+
+
+def test_lm_scores(spark, docs, odd, empty):
+    import math
+
+    import public_tokenizers
+    import regex
+
+    pattern, good = regex.compile(public_tokenizers.PATTERN), {r["doc_id"] for r in docs.collect() if r["doc_id"] % 3 == 0}
+    texts = {r["doc_id"]: pattern.findall(r["text"]) for r in docs.collect()}
+    grams, heads = [Counter(), Counter()], [Counter(), Counter()]
+    cut = lambda w: [(("\0" * 4 + w)[i : i + 4], w[i]) for i in range(len(w))]
+    for k, words in texts.items():
+        for w, n in Counter(words).items():
+            for g in cut(w):
+                for m in (0, 1) if k in good else (1,):
+                    grams[m][g] += n
+                    heads[m][g[0]] += n
+    v, a = len({g[1] for g in grams[1]}), lm_score.SMOOTHING
+    scale = sum(grams[0].values()) / sum(grams[1].values())
+    ratio = {g: math.log((scale * grams[1][g] + a) / (scale * heads[1][g[0]] + a * v)) - math.log((grams[0][g] + a) / (heads[0][g[0]] + a * v)) for g in grams[1]}
+    got = by_id(lm_score.score(docs, docs.filter("doc_id % 3 = 0").select("doc_id")))
+    for k, words in texts.items():
+        assert got[k]["n_tokens"] == len(words) and abs(got[k]["score"] - sum(ratio[g] for w in words for g in cut(w)) / len(words)) < 1e-3
+    found = lm_score.score(odd, odd.filter("doc_id = 8").select("doc_id")).collect()
+    assert len(found) == len(ODD) and {r["score"] for r in found if r["doc_id"] in (1, 2)} == {0.0}
+    assert {r["score"] for r in lm_score.score(odd, odd.limit(0).select("doc_id")).collect()} == {0.0}
+    assert lm_score.score(empty, odd.select("doc_id")).count() == 0
+
+
+# --------------------------------------------------------------------- Simple-8b
+
+
+def test_token_files(spark, docs, odd, empty):
+    tokenizer = simple8b.word_encoder(simple8b.tokenizer_path()).tokenizer
+    tokenizer.encode_special_tokens = True
+    for df in (docs, odd.filter("doc_id is not null and doc_id <> 7")):
+        at, found = 0, by_id(simple8b.round_trip(df))
+        for r in sorted(df.collect(), key=lambda r: r["doc_id"]):
+            ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0]
+            own = found[r["doc_id"]]
+            assert (own["start"], own["n_tokens"], own["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+            at += len(ids)
+    assert simple8b.round_trip(odd).count() == len(ODD) and simple8b.round_trip(empty).count() == 0
+    special = spark.createDataFrame([(1, "a<|endoftext|>b")], "doc_id long, text string")
+    assert simple8b.round_trip(special).first()["n_tokens"] == len(tokenizer.encode("a<|endoftext|>b", add_special_tokens=False).ids) + 1
+
+
+# ----------------------------------------------------------------------- toxicity
+
+
+def test_toxicity(spark, odd, empty):
+    d, l = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    own = d.join(l.select("doc_id", "toxic"), "doc_id").filter("lang = 'en' and length(text) < 6000").cache()
+    model = toxicity.train(own.drop("toxic"), own.select("doc_id", "toxic"))
+    got = toxicity.predict(own, model).join(own.select("doc_id", "toxic"), "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
+    held = [r for r in got if r["held_out"]]
+    toxic, clean = [r["score"] for r in held if r["toxic"]], [r["score"] for r in held if not r["toxic"]]
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.9 and np.mean(np.array(clean) < 0.5) > 0.9
+    found = toxicity.predict(odd, model).collect()
+    assert len(found) == len(ODD) and len({r["score"] for r in found if r["doc_id"] in (1, 2, 3)}) == 1
+    assert toxicity.score(empty, l.limit(0)).count() == 0
+    assert {r["score"] for r in toxicity.score(odd, l.limit(0)).collect()} == {0.0}
+
+
+def test_checkpoint_dir_is_the_sessions(spark):
+    assert common.checkpoint_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or common.OWN_CHECKPOINT_DIR).rstrip("/")
