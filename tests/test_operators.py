@@ -128,3 +128,25 @@ def test_enrich_when_the_client_fails(spark):
 
     got = enrich.enrich(spark.createDataFrame([(1, 0, "a b")], "doc_id long, pos int, text string"), Broken(), lambda df, name: df.cache()).collect()
     assert [(r["out"], r["via"]) for r in got] == [("", "single")]
+
+
+def test_retrying_client():
+    waits, calls = [], []
+
+    class Flaky:
+        def answer(self, prompt, texts):
+            calls.append(texts)
+            if len(calls) < 3:
+                raise OSError("busy")
+            return "done"
+
+    assert enrich.Retrying(Flaky(), waits.append).answer("", ["a"]) == "done" and waits == [0, 2, 4]
+
+
+def test_preview_and_stages(spark):
+    rows = spark.createDataFrame([(1, k, "x y") for k in range(7)] + [(2, 0, "z")], "doc_id long, pos int, text string")
+    assert tuple(enrich.preview(rows).first()) == (2, 8, 3)
+    items = spark.createDataFrame([(1, "A title", "", ["one two", "three four"]), (2, "T two", "sum mary", ["x"]), (3, "", None, [])], "doc_id long, title string, summary string, paras array<string>")
+    got = {r["doc_id"]: r for r in enrich.staged(items, enrich.Stub(), lambda df, name: df.cache()).collect()}
+    assert (got[1]["paras_out"], got[1]["title_out"], got[1]["summary_out"], got[1]["state"]) == (["ONE TWO", "THREE FOUR"], "A TITLE", None, "ok")
+    assert got[2]["summary_out"] == "SUM MARY" and got[3]["state"] == "failed"

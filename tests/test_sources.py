@@ -76,3 +76,22 @@ def test_streams(spark, tmp_path):
     assert spark.table("unseen").count() == 2
     streams.upsert(source, str(tmp_path / "out"), str(tmp_path / "c2")).awaitTermination()
     assert {(r["url"], r["title"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {("u1", "Other"), ("u2", "same TITLE!")}
+
+
+def test_fetch(spark):
+    from corpusflow.sources import fetch as fetching
+
+    def client(url):
+        if url.endswith("/moved"):
+            return fetching.Response(302, location="/there")
+        if url.endswith("/inside"):
+            return fetching.Response(302, location="http://localhost/")
+        if url.endswith("/down"):
+            raise OSError("refused")
+        return fetching.Response(404 if url.endswith("/gone") else 200, url.encode())
+
+    urls = [f"https://a.example/{x}" for x in ("x", "moved", "inside", "down", "gone")] + ["http://localhost/x", "https://a.example/x"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r["url"].rsplit("/", 1)[1]: r for r in fetching.fetch(df, client, 0.0, lambda s: None).collect()}
+    assert len(got) == 5 and bytes(got["moved"]["body"]) == b"https://a.example/there" and got["gone"]["status"] == 404
+    assert "not allowed" in got["inside"]["error"] and got["down"]["error"] == "refused" and got["x"]["error"] is None
