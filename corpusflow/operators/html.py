@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as T
+from corpusflow.shipping import ship
 
 # ---- Fixed values: tag sets, words of page furniture, thresholds.
 FRAGMENT_DROP = "script style nav header footer aside form iframe noscript img picture figure video audio svg canvas source".split()
@@ -212,6 +213,7 @@ _SCHEMA = pa.schema([("title", pa.string()), ("fragment", pa.string()), ("select
 
 def routes(pages: DataFrame, selectors: list[str], id_col: str = "page_id", html: str = "html") -> DataFrame:
     """``id`` and the raw text of each route, parsed in Arrow batches."""
+    ship(pages.sparkSession)
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches):

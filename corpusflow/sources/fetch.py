@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as T
+from corpusflow.shipping import ship
 
 #: Attempts, hops, seconds between pages of a host, waits after an HTTP and another error.
 ATTEMPTS, HOPS, SPACING = 3, 5, 2.5
@@ -90,5 +91,6 @@ def fetch(urls: DataFrame, client: Callable[[str], Response], spacing: float = S
                 last[host] = time.monotonic()
             yield pd.DataFrame(out, columns=["url", "body", "status", "error"]).astype({"status": "Int32"})
 
+    ship(urls.sparkSession)
     own = urls.select("url").filter(T.url_allowed(F.col("url"))).distinct()
     return own.repartition(T.url_host(F.col("url"))).mapInPandas(run, SCHEMA)
