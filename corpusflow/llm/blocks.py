@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
+from corpusflow.shipping import ship
 
 #: Bytes of text in a block. More bytes: fewer copies of a word, more memory.
 BLOCK_BYTES = 12 << 20
@@ -75,6 +76,7 @@ def exchange(
     ``between(table)`` may make ``answer`` from the table of the first stage.
     """
     spark = docs.sparkSession
+    ship(spark)
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def first(batches):

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import blocks as B
 from corpusflow.llm import common as C
+from corpusflow.shipping import ship
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -134,6 +135,7 @@ def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
 def decode(tokens: DataFrame, ids_col: str = "ids", into: str = "decoded", path: str | None = None) -> DataFrame:
     """``tokens`` with the bytes of its ids in ``into``; null ids: null bytes."""
     path = path or vocabulary_path()
+    ship(tokens.sparkSession)
     keep = [c for c in tokens.columns if c != into]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema if f.name != into) + f", `{into}` binary"
 

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import unicodedata
 import uuid
 
@@ -64,10 +66,16 @@ def bucketed(df: DataFrame, tag: str, buckets: int, *by: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     name = f"corpusflow_{tag}_{uuid.uuid4().hex}"
+    atexit.register(_drop, spark, name)
     df.write.bucketBy(buckets, *by).option("compression", "uncompressed").option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
+def _drop(spark: SparkSession, name: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone by now
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if a count shows at most ``max_rows`` rows."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df.hint("merge")

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
+from corpusflow.shipping import ship
 
 SHARDS = 8
 GROUP_SLACK = 0.01
@@ -84,6 +85,7 @@ def _case(column: str, values: dict, default) -> Column:
 def _sorted(rows: DataFrame, axis: dict[int, str]) -> DataFrame:
     """Rows of all nodes in order, with bytes and rows before each, over all nodes."""
     spark = rows.sparkSession
+    ship(spark)
     order = ["node", "v", "g", "doc_id", "rid"]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.withColumn("v", _case("node", {k: F.col(d) for k, d in axis.items()}, 0.0)).repartitionByRange(n, *order).sortWithinPartitions(*order)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
+from corpusflow.shipping import ship
 
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 16 << 10
@@ -172,6 +173,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     """``keep`` columns with ``lang_pred, score, ambiguous`` for each whole text;
     these take the place of columns of their names."""
     keep = [c for c in keep if c.lower() not in ("lang_pred", "score", "ambiguous")]
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a size that BITS and the languages bound
     letter = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in keep]).schema]

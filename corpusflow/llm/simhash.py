@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm import common as C
 from corpusflow.llm.bktree import Forest, Union
 from corpusflow.llm.components import components
+from corpusflow.shipping import ship
 
 SHINGLE = 3
 RADIUS = 3
@@ -40,7 +41,7 @@ CELL = 1024
 FULL_SHARD = 256
 #: Groups of similar texts: words of a shingle, 64-bit words of a fingerprint,
 #: differing bits (a Jaccard similarity of 0.8 gives some 35 of 256).
-WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, WIDE_CELL = 5, 4, 44, 8192
+WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, WIDE_CELL = 5, 4, 42, 8192
 #: Least share of equal bits for which bands are drawn, and how many pairs they find.
 BAND_AGREE, BAND_RECALL = 0.86, 0.97
 #: Shingles hashed between two rounds of counting.
@@ -62,6 +63,7 @@ def _set_bits(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _hashed(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
     """``id, h``: the XXH64 hashes of each row's shingles, repeats included."""
+    ship(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     words = own.select("id", C.words_col(_lower_ascii(F.col("text"))).alias("w"))
     last = F.size("w") - shingle
@@ -190,6 +192,7 @@ def _cells(shards: DataFrame, cell: int) -> DataFrame:
 
 def _linked(cells: DataFrame, radius: int) -> DataFrame:
     """Links ``(a, b)`` out of cells, each cell whole in one task."""
+    ship(cells.sparkSession)
     kind = cells.schema["fingerprint"].dataType.simpleString()
     n_parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

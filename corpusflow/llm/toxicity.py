@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
+from corpusflow.shipping import ship
 
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 5000
 SAMPLE_BYTES = 16 << 10
 SEGMENT = 8
 DIMENSIONS = 8
@@ -42,6 +43,7 @@ RATES = (5.0, 0.02, 0.1)
 MIN_DOCS = 10
 DECAY = 0.002
 _STEP = 4 << 20
+_FIT_STEP = 1 << 19
 
 
 def _plain() -> np.ndarray:
@@ -156,6 +158,27 @@ def segment_logits(model_scores, bias, words: pa.Array, seq: np.ndarray, cut: np
     return C.sums(per_word[seq], cut) / np.maximum(np.diff(cut), 1) + bias
 
 
+def _known_grams(words: pa.Array, seq: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """The buckets of the words' n-grams that at least ``MIN_DOCS`` documents have;
+    per word the number of all its n-grams and of these. In steps, to bound memory."""
+    raw, off = binary(words)
+    parts, sizes = [], []
+    for a, b in C.spans(off, _FIT_STEP):
+        grams, at = subwords(raw[off[a] : off[b]], off[a : b + 1] - off[a])
+        parts.append(grams.astype(np.int32))
+        sizes.append(np.diff(at))
+    grams = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    n_grams = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+    at = C.ends(n_grams)
+    docs_with = np.zeros(BUCKETS, np.int32)
+    for a, b in zip(rows[:-1], rows[1:], strict=True):
+        own = np.unique(seq[a:b])
+        docs_with[np.unique(grams[C.ragged(at[own], n_grams[own])])] += 1
+    known = docs_with[grams] >= MIN_DOCS
+    kept = np.add.reduceat(known.astype(np.int32), at[:-1]) if len(n_grams) else n_grams
+    return grams[known], (n_grams, kept)
+
+
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Train embeddings and softmax together, full batch, by gradient steps with momentum.
 
@@ -169,19 +192,11 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         return Model(np.zeros(BUCKETS), 0.0, base, False)
     words, seq, rows = bag(pa.array(texts, pa.string()))
     cut, first = segments(rows)
-    raw, off = binary(words)
-    grams, at = subwords(raw, off)
-    n_grams, n_words = np.diff(at), len(words)
-    gram_word = np.repeat(np.arange(n_words), n_grams)
-    doc_of = np.repeat(np.arange(len(y)), np.diff(rows))
-    pair = np.unique(doc_of.astype(np.int64) * max(n_words, 1) + seq)  # each word once a document
-    size = n_grams[pair % max(n_words, 1)]
-    seen = grams[C.ragged(at[:-1][pair % max(n_words, 1)], size)]
-    seen = np.unique(np.repeat(pair // max(n_words, 1), size) * BUCKETS + seen) % BUCKETS
-    docs_with = np.bincount(seen, minlength=BUCKETS)
-    known_gram = docs_with[grams] >= MIN_DOCS
-    grams, gram_word = grams[known_gram], gram_word[known_gram]
-    at = C.ends(np.bincount(gram_word, minlength=n_words))
+    grams, n_grams = _known_grams(words, seq, rows)
+    n_words = len(words)
+    gram_word = np.repeat(np.arange(n_words, dtype=np.int32), n_grams[1])
+    held = np.flatnonzero(n_grams[1])
+    first_gram, n_grams = C.ends(n_grams[1])[:-1][held], n_grams[0]
     seg_of = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
     seg_len = np.maximum(np.diff(cut), 1)
     seg_doc = np.repeat(np.arange(len(y)), np.diff(first))
@@ -195,7 +210,8 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     used = np.unique(grams)
     for epoch in range(EPOCHS):
         p = e @ u
-        per_word = C.sums(p[grams], at) / n_grams
+        per_word = np.zeros(n_words)
+        per_word[held] = np.add.reduceat(p.astype(np.float32)[grams], first_gram) / n_grams[held] if len(held) else 0.0
         z = C.sums(per_word[seq], cut) / seg_len + bias[0]
         sharp = SHARP * max(0.0, epoch / EPOCHS - 0.2)
         top = np.maximum.reduceat(z, first[:-1])
@@ -207,7 +223,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         dz = err[seg_doc] * w
         dbias = np.array([dz.sum()])
         dword = np.bincount(seq, (dz / seg_len)[seg_of], minlength=n_words) / n_grams
-        dp = np.bincount(grams, dword[gram_word], minlength=BUCKETS)
+        dp = np.bincount(grams, dword.astype(np.float32)[gram_word], minlength=BUCKETS)
         de, du = dp[:, None] * u, e.T @ dp
         for param, grad, v, rate in zip(params, (de, du, dbias), speed, RATES, strict=True):
             v *= 0.8
@@ -256,6 +272,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Per document: ``doc_id, held_out, score, predicted``."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
     kind = docs.schema["doc_id"].dataType.simpleString()
 
