@@ -8,12 +8,19 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_BATCH_BYTES, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 12 << 20
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the workers, once an application."""
+    """Send this package's modules to the workers, once an application.
+
+    Also bounds Arrow batches by bytes where the session does not: ten thousand
+    rows, the default, have no bound if texts are long.
+    """
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, str(BATCH))
     if context.applicationId in _SHIPPED:
         return
     here = Path(__file__).resolve().parent
