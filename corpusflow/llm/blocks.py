@@ -27,7 +27,7 @@ from corpusflow.llm import common as C
 from corpusflow.shipping import ship
 
 #: Bytes of text in a block. More bytes: fewer copies of a word, more memory.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 16 << 20
 ROW = "block long, bucket int, head binary, body binary"
 _ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("head", pa.large_binary()), ("body", pa.large_binary())])
 #: The bucket of a block's own documents.
@@ -80,11 +80,13 @@ def exchange(
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def first(batches):
+        C.lean()
         for number, batch in blocks(batches, text, block_bytes):
             yield rows(cut(number, batch, buckets))
-            pa.default_memory_pool().release_unused()
 
     def second(batches):
+        C.lean()
+
         def each():
             for batch in batches:
                 for r in batch.to_pylist():

@@ -140,6 +140,7 @@ def decode(tokens: DataFrame, ids_col: str = "ids", into: str = "decoded", path:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema if f.name != into) + f", `{into}` binary"
 
     def run(batches):
+        C.lean()
         table, off = token_bytes(path)
         sizes = np.diff(off)
         for batch in batches:

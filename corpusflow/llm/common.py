@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import unicodedata
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +101,17 @@ def words_col(text):
 # --------------------------------------------------------------- Arrow helpers
 
 
+@lru_cache(1)
+def lean() -> None:
+    """Make a worker give memory back: Arrow through malloc, and large blocks of
+    malloc from the system one by one, so that what is freed leaves the process."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and int64 offsets (one more than rows) of a string column; null: empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -34,7 +34,7 @@ SAMPLE_BYTES = 16 << 10
 MARGIN = 0.02
 UNKNOWN = "und"
 BITS = 16
-_STEP = 1 << 20
+_STEP = 1 << 18
 
 
 def codewords(n: int) -> np.ndarray:
@@ -180,6 +180,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     t, l = text if text in keep else C.fresh(docs, "text_"), C.fresh(docs, "letter_")
 
     def run(batches):
+        C.lean()
         m = shared.value
         for batch in batches:
             raw, off = C.utf8(batch.column(t))

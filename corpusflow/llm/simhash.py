@@ -95,6 +95,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sh
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
+        C.lean()
         for batch in batches:
             prints = _majority(batch.column("h"), 1).view(np.int64).reshape(-1)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints)], names=["id", "fingerprint"])
@@ -197,6 +198,7 @@ def _linked(cells: DataFrame, radius: int) -> DataFrame:
     n_parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
+        C.lean()
         for table in _groups(batches):
             a, b = _links_of(table, radius)
             if len(a):
@@ -253,6 +255,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
 
     def wide(batches):
+        C.lean()
         for batch in batches:
             rows = _majority(batch.column("h"), WIDE_WORDS)
             raw = pa.py_buffer(rows.tobytes())
@@ -266,6 +269,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     places = [rng.choice(64 * WIDE_WORDS, bits, replace=False) for _ in range(bands)]
 
     def cut(batches):
+        C.lean()
         for batch in batches:
             values = pa.chunked_array([batch.column("fingerprint")])
             rows = _words_of(values)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
+from corpusflow.shipping import ship
 
 MAGIC = b"CFS8B\x00\x00\x01"
 BLOCK = 1024
@@ -267,11 +268,13 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, end_id: i
     attempt's own name and then renamed, so a repeated task replaces it whole.
     """
     spark = docs.sparkSession
+    ship(spark)
     path = path or tokenizer_path()
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches):
+        C.lean()
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         encode, file = word_encoder(path), 0
         ids, lengths, texts = [], [], []
@@ -313,15 +316,20 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
 
     The number of ids before each part is a list as long as there are parts.
     """
+    ship(manifest.sparkSession)
     totals = {r["part"]: r["n"] for r in manifest.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
     before, at = {}, 0
     for part in sorted(totals):
         before[part] = at
         at += totals[part]
     inside = Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     files = manifest.withColumn("inside", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
+    # the manifest is small but the files are not: a task for some files, not one for all
+    files = files.repartitionById(n, F.pmod(F.col("part") + F.col("file"), F.lit(n)))
 
     def run(batches):
+        C.lean()
         store, base = _place(folder)
         for batch in batches:
             for r in batch.to_pylist():
