@@ -27,7 +27,7 @@ from corpusflow.llm import common as C
 from corpusflow.shipping import ship
 
 #: Bytes of text in a block. More bytes: fewer copies of a word, more memory.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 14 << 20
 ROW = "block long, bucket int, head binary, body binary"
 _ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("head", pa.large_binary()), ("body", pa.large_binary())])
 #: The bucket of a block's own documents.

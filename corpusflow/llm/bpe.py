@@ -113,12 +113,22 @@ def _join(rows: list[dict]) -> pa.Table:
     return pa.table({"id": ids, "ids": values})
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
-    """``(id_col, ids array<int>)`` for each row of ``docs``."""
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, block_bytes: int = B.BLOCK_BYTES, with_decoded: bool = False) -> DataFrame:
+    """``(id_col, ids array<int>)`` for each row of ``docs``; on request also the ids
+    decoded again (``decoded binary``), in the same worker."""
     path = path or vocabulary_path()
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = B.exchange(own, _cut("text", "id"), _answer(path), _join, f"id {kind}, ids array<int>", block_bytes=block_bytes)
+
+    def join(rows: list[dict]) -> pa.Table:
+        C.lean()
+        table = _join(rows)
+        if not with_decoded:
+            return table
+        return table.append_column("decoded", pa.array(decoded(table.column("ids").combine_chunks(), path), pa.binary()))
+
+    schema = f"id {kind}, ids array<int>" + ", decoded binary" * with_decoded
+    out = B.exchange(own, _cut("text", "id"), _answer(path), join, schema, block_bytes=block_bytes)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -132,6 +142,24 @@ def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(by_id), np.uint8), C.ends(np.array([len(t) for t in by_id]))
 
 
+def decoded(lists: pa.Array, path: str) -> list[bytes | None]:
+    """The bytes of each row's ids, gathered from the token-byte table; null ids: null."""
+    table, off = token_bytes(path)
+    sizes = np.diff(off)
+    lists = lists.cast(pa.large_list(pa.int32()))
+    where = lists.offsets.to_numpy().astype(np.int64)
+    flat = lists.values.to_numpy(zero_copy_only=False)
+    null = lists.is_null().to_numpy(zero_copy_only=False)
+    out: list[bytes | None] = []
+    for a, b in C.spans(where, 1 << 20):
+        own = flat[where[a] : where[b]]
+        n = sizes[own]
+        raw = table[C.ragged(off[own], n)].tobytes()
+        cut = C.ends(n)[where[a : b + 1] - where[a]]
+        out += [raw[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
+    return [None if x else d for x, d in zip(null, out, strict=True)]
+
+
 def decode(tokens: DataFrame, ids_col: str = "ids", into: str = "decoded", path: str | None = None) -> DataFrame:
     """``tokens`` with the bytes of its ids in ``into``; null ids: null bytes."""
     path = path or vocabulary_path()
@@ -141,22 +169,8 @@ def decode(tokens: DataFrame, ids_col: str = "ids", into: str = "decoded", path:
 
     def run(batches):
         C.lean()
-        table, off = token_bytes(path)
-        sizes = np.diff(off)
         for batch in batches:
-            lists = batch.column(ids_col)
-            lists = lists.cast(pa.large_list(pa.int32()))
-            where = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy(zero_copy_only=False)
-            null = lists.is_null().to_numpy(zero_copy_only=False)
-            decoded: list[bytes | None] = []
-            for a, b in C.spans(where.astype(np.int64), 1 << 20):
-                own = flat[where[a] : where[b]]
-                n = sizes[own]
-                raw = table[C.ragged(off[own], n)].tobytes()
-                cut = C.ends(n)[where[a : b + 1] - where[a]]
-                decoded += [raw[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
-            values = [None if x else d for x, d in zip(null, decoded, strict=True)]
+            values = decoded(batch.column(ids_col), path)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(values, pa.binary())], names=[*keep, into])
 
     return tokens.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
@@ -164,7 +178,7 @@ def decode(tokens: DataFrame, ids_col: str = "ids", into: str = "decoded", path:
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per document: number of ids, SHA-256 of the ids as text and of the decoded bytes."""
-    both = decode(encode(docs, path=path), path=path)
+    both = encode(docs, path=path, with_decoded=True)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
