@@ -21,6 +21,7 @@ columns are ignored by ``near_duplicates`` and kept by ``deduplicate``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -42,6 +43,8 @@ FULL_SHARD = 256
 #: Groups of similar texts: words of a shingle, 64-bit words of a fingerprint,
 #: differing bits (a Jaccard similarity of 0.8 gives some 35 of 256).
 WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, WIDE_CELL = 5, 4, 42, 8192
+#: Least Jaccard similarity of linked texts, and members of a cell that holds whole sets.
+SIMILARITY, SET_CELL = 0.8, 512
 #: Least share of equal bits for which bands are drawn, and how many pairs they find.
 BAND_AGREE, BAND_RECALL = 0.86, 0.97
 #: Shingles hashed between two rounds of counting.
@@ -72,6 +75,11 @@ def _hashed(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
     return words.select("id", F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), gram)).otherwise(short).alias("h"))
 
 
+def _sets(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
+    """``id, mark, h``: the set of each row's shingles, ascending, and a hash that names it."""
+    return _hashed(docs, id_col, text, shingle).withColumn("h", F.array_sort(F.array_distinct("h"))).select("id", F.xxhash64("h").alias("mark"), "h")
+
+
 def _majority(column: pa.Array, seeds: int) -> np.ndarray:
     """Rows of ``seeds`` 64-bit fingerprints; the first is that of the hashes themselves."""
     lists = column.cast(pa.large_list(pa.int64()))
@@ -176,18 +184,18 @@ def _links_of(table: pa.Table, radius: int) -> tuple[pa.Array, pa.Array]:
     return column.take(pa.array(keep[moved])), column.take(pa.array(keep[sets.label[moved]]))
 
 
-def _cells(shards: DataFrame, cell: int) -> DataFrame:
-    """``cell, side, fingerprint`` of shards ``k, v, fingerprint``; large ones in a triangle of cells."""
+def _cells(shards: DataFrame, cell: int, member: str = "fingerprint") -> DataFrame:
+    """``cell, side, member`` of shards ``k, v, member``; large ones in a triangle of cells."""
     sizes = shards.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     large = C.broadcast_if_small(sizes.filter(F.col("n") > cell).select("k", "v", F.ceil(F.col("n") / cell).cast("int").alias("m")))
     alone = C.materialise(shards.join(large, ["k", "v"], "left"), "shards")
-    small = alone.filter(F.col("m").isNull()).select(F.xxhash64("k", "v").alias("cell"), F.lit(2).alias("side"), "fingerprint")
+    small = alone.filter(F.col("m").isNull()).select(F.xxhash64("k", "v").alias("cell"), F.lit(2).alias("side"), member)
     # A large shard: part i is the tree of cells (i, j), and part j passes through.
-    part = F.pmod(F.xxhash64("fingerprint"), F.col("m")).cast("int")
-    cut = alone.filter(F.col("m").isNotNull()).select("k", "v", "m", part.alias("p"), "fingerprint")
-    as_tree = cut.select("k", "v", F.explode(F.sequence("p", F.col("m") - 1)).alias("j"), F.col("p").alias("i"), "fingerprint").withColumn("side", F.when(F.col("i") == F.col("j"), 2).otherwise(0))
-    asking = cut.filter(F.col("p") > 0).select("k", "v", F.explode(F.sequence(F.lit(0), F.col("p") - 1)).alias("i"), F.col("p").alias("j"), "fingerprint").withColumn("side", F.lit(1))
-    cells = as_tree.unionByName(asking).select(F.xxhash64("k", "v", "i", "j").alias("cell"), "side", "fingerprint")
+    part = F.pmod(F.xxhash64(member), F.col("m")).cast("int")
+    cut = alone.filter(F.col("m").isNotNull()).select("k", "v", "m", part.alias("p"), member)
+    as_tree = cut.select("k", "v", F.explode(F.sequence("p", F.col("m") - 1)).alias("j"), F.col("p").alias("i"), member).withColumn("side", F.when(F.col("i") == F.col("j"), 2).otherwise(0))
+    asking = cut.filter(F.col("p") > 0).select("k", "v", F.explode(F.sequence(F.lit(0), F.col("p") - 1)).alias("i"), F.col("p").alias("j"), member).withColumn("side", F.lit(1))
+    cells = as_tree.unionByName(asking).select(F.xxhash64("k", "v", "i", "j").alias("cell"), "side", member)
     return small.unionByName(cells)
 
 
@@ -220,6 +228,55 @@ def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFram
     return _linked(_cells(shards, cell), radius)
 
 
+def _similar_in(marks: np.ndarray, asks: np.ndarray, tree: np.ndarray, flat: np.ndarray, off: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+    """Links of one cell: a member of ``tree`` and one that asks, of at least that similarity.
+
+    Each member of the tree is compared with whoever is not yet in its set, so
+    that a group of near copies costs as many comparisons as it has members.
+    """
+    _, flat = np.unique(flat, return_inverse=True)
+    size, sets = np.diff(off), Union(len(marks))
+    seen = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool)
+    both_sides = np.array_equal(asks, tree)
+    for t in tree:
+        rest = asks[(asks > t) | (not both_sides)]
+        rest = rest[sets.label[rest] != sets.label[t]]
+        small, large = np.minimum(size[rest], size[t]), np.maximum(size[rest], size[t])
+        rest = rest[small >= least * large - 1e-9]  # as sizes allow
+        if not len(rest):
+            continue
+        own = flat[off[t] : off[t + 1]]
+        seen[own] = True
+        both = C.sums(seen[flat[C.ragged(off[rest], size[rest])]], C.ends(size[rest])).astype(np.int64)
+        seen[own] = False
+        rest = rest[both >= least * (size[rest] + size[t] - both) - 1e-9]
+        if len(rest):
+            sets.link(np.full(len(rest), t), rest)
+            yield from ((marks[t], marks[r]) for r in rest)
+
+
+def _verified(cells: DataFrame, least: float) -> DataFrame:
+    """Links ``(a, b)`` of marks whose sets have at least that Jaccard similarity."""
+    ship(cells.sparkSession)
+    n_parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        C.lean()
+        for table in _groups(batches):
+            cell, side, marks = (table.column(c).to_numpy() for c in ("cell", "side", "mark"))
+            lists = table.column("h").combine_chunks().cast(pa.large_list(pa.int64()))
+            off = lists.offsets.to_numpy().astype(np.int64)
+            flat, off = lists.values.to_numpy()[off[0] : off[-1]], off - off[0]
+            cut = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1), len(cell)]
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                own = off[a : b + 1]
+                found = list(_similar_in(marks[a:b], np.flatnonzero(side[a:b] != 0), np.flatnonzero(side[a:b] != 1), flat[own[0] : own[-1]], own - own[0], least))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
+
+    return cells.repartition(n_parts, "cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Per row: ``id_col, fingerprint long, component_id`` (least id reachable)."""
     prints = C.materialise(fingerprints(docs, id_col, text, shingle).withColumnRenamed(id_col, "id"), "prints")
@@ -228,13 +285,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return _named(prints, least, roots, id_col)
 
 
-def _named(prints: DataFrame, least: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
-    """Rows with the least id of their fingerprint's component."""
-    joined = least.join(roots, least["fingerprint"] == roots["node"]).select("root", "node", "least")
+def _named(prints: DataFrame, least: DataFrame, roots: DataFrame, id_col: str, by: str = "fingerprint") -> DataFrame:
+    """Rows with the least id of the component of their ``by``."""
+    joined = least.join(roots, least[by] == roots["node"]).select("root", "node", "least")
     by_root = joined.groupBy("root").agg(F.min("least").alias("component"))
-    linked = roots.join(by_root, "root").select(F.col("node").alias("fingerprint"), "component")
-    named = least.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("component", "least").alias("component_id"))
-    return prints.join(named, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
+    linked = roots.join(by_root, "root").select(F.col("node").alias(by), "component")
+    named = least.join(linked, by, "left").select(by, F.coalesce("component", "least").alias("component_id"))
+    return prints.join(named, by).select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
 def band_bits(n: int, agree: float, recall: float) -> tuple[int, int]:
@@ -248,9 +305,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """Per row: ``id_col, fingerprint binary, component_id``, for a similarity of 0.8.
 
     64 bits tell such texts apart from others too coarsely. Here a fingerprint
-    has ``WIDE_WORDS`` words; shards are bands of its bits, drawn from a fixed
-    seed, as many as give ``BAND_RECALL`` at the least similarity; in the shards
-    the trees are searched as ever.
+    has ``WIDE_WORDS`` words and is that of the set of shingles; shards are bands
+    of its bits, drawn from a fixed seed, as many as give ``BAND_RECALL`` at the
+    least similarity; in the shards the trees are searched as ever. What they
+    link is a candidate only: within each component of candidates the sets
+    themselves are compared, and those of a Jaccard similarity of ``SIMILARITY``
+    or more are linked (sets are compared by their shingles' 64-bit hashes).
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -260,11 +320,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             rows = _majority(batch.column("h"), WIDE_WORDS)
             raw = pa.py_buffer(rows.tobytes())
             values = pa.Array.from_buffers(pa.binary(8 * WIDE_WORDS), len(rows), [None, raw]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), values], names=["id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), values], names=["id", "mark", "fingerprint"])
 
-    prints = C.materialise(_hashed(docs, id_col, text, shingle).mapInArrow(wide, f"id {kind}, fingerprint binary"), "prints")
-    least = C.materialise(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "least")
-    bits, bands = band_bits(least.count(), BAND_AGREE, BAND_RECALL)
+    prints = C.materialise(_sets(docs, id_col, text, shingle).mapInArrow(wide, f"id {kind}, mark long, fingerprint binary"), "prints")
+    least = C.materialise(prints.groupBy("mark", "fingerprint").agg(F.min("id").alias("least")), "least")
+    distinct = C.materialise(least.select("fingerprint").distinct(), "distinct")
+    bits, bands = band_bits(distinct.count(), BAND_AGREE, BAND_RECALL)
     rng = np.random.default_rng(17)
     places = [rng.choice(64 * WIDE_WORDS, bits, replace=False) for _ in range(bands)]
 
@@ -278,8 +339,16 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 v = ones[:, place].astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), k, np.int32)), pa.array(v), batch.column("fingerprint")], names=["k", "v", "fingerprint"])
 
-    shards = least.select("fingerprint").mapInArrow(cut, "k int, v long, fingerprint binary")
-    return _named(prints, least, components(_linked(_cells(shards, WIDE_CELL), radius)), id_col)
+    shards = distinct.mapInArrow(cut, "k int, v long, fingerprint binary")
+    roots = components(_linked(_cells(shards, WIDE_CELL), radius))
+    # candidates: the sets of components of more than one
+    near = least.join(roots, least["fingerprint"] == roots["node"], "left").select("mark", "least", F.coalesce("root", "fingerprint").alias("v"))
+    many = near.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("v")
+    near = C.materialise(near.join(C.broadcast_if_small(C.materialise(many, "many")), "v"), "near")
+    ids = C.broadcast_if_small(near.select(F.col("least").alias("least_")).distinct())
+    again = _sets(docs.join(ids, docs[id_col].eqNullSafe(ids["least_"]), "left_semi"), id_col, text, shingle)
+    cells = _cells(near.select(F.lit(0).alias("k"), "v", "mark"), SET_CELL, "mark").join(again.select("mark", "h").dropDuplicates(["mark"]), "mark")
+    return _named(prints, least, components(_verified(cells, SIMILARITY)), id_col, "mark")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

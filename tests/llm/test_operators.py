@@ -266,6 +266,52 @@ def test_deduplicate(spark, odd, empty):
     assert simhash.deduplicate(empty).count() == 0
 
 
+def jaccard(a, b):
+    a, b = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def shifted(rng, pairs, words, cut):
+    """Two windows, ``cut`` words apart, over texts of their own: ids 2k and 2k + 1."""
+    rows = []
+    for k in range(pairs):
+        w = [f"w{rng.randrange(10**9)}" for _ in range(words + cut)]
+        rows += [(2 * k, " ".join(w[:words])), (2 * k + 1, " ".join(w[cut:]))]
+    return rows
+
+
+def test_less_similar_texts_stay(spark):
+    rows = shifted(random.Random(3), 60, 204, 28)  # 200 shingles, 172 shared
+    assert 0.75 < jaccard(rows[0][1], rows[1][1]) < 0.76
+    # a chain through a text in the middle is cut where a link is under the bound
+    w = [f"v{k}" for k in range(300)]
+    rows += [(1000, " ".join(w[:204])), (1001, " ".join(w[8:212])), (1002, " ".join(w[38:242]))]
+    assert jaccard(rows[-3][1], rows[-2][1]) > 0.8 > jaccard(rows[-2][1], rows[-1][1])
+    kept = {r["doc_id"] for r in simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {r[0] for r in rows} - {1001}
+
+
+def test_sets_in_cells(spark):
+    rng = random.Random(4)
+    sets = [sorted(rng.sample(range(400), rng.randint(1, 12))) for _ in range(60)] + [sorted(set(range(k, k + 30)) - {rng.randrange(500)}) for k in range(0, 60, 2)]
+    marks = np.arange(len(sets)) + 100
+    flat, off = np.concatenate(sets), common.ends(np.array([len(s) for s in sets]))
+    everyone = np.arange(len(sets))
+    parts = [(everyone, everyone)] + [(everyone[:45], everyone[45:]), (everyone[:45], everyone[:45]), (everyone[45:], everyone[45:])]
+
+    def split(links):
+        root = {int(m): int(m) for m in marks}
+        for a, b in links:
+            old, new = max(root[a], root[b]), min(root[a], root[b])
+            root = {k: new if v == old else v for k, v in root.items()}
+        return root
+
+    want = split([(marks[i], marks[j]) for i in everyone for j in range(i) if len(set(sets[i]) & set(sets[j])) >= 0.8 * len(set(sets[i]) | set(sets[j]))])
+    assert len(set(want.values())) < len(sets)
+    for cells in (parts[:1], parts[1:]):
+        assert split([x for tree, asks in cells for x in simhash._similar_in(marks, asks, tree, flat, off, 0.8)]) == want
+
+
 # ---------------------------------------------------------------- decontamination
 
 ITEM = "A farmer named Tom sells 12 apples for 3 dollars each day, and then Anna buys 5 kg of them with cash."
