@@ -41,12 +41,12 @@ CELL = 1024
 #: Expected members of a shard from which one more part joins the key.
 FULL_SHARD = 256
 #: Groups of similar texts: words of a shingle, 64-bit words of a fingerprint,
-#: differing bits (a Jaccard similarity of 0.8 gives some 35 of 256).
-WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, WIDE_CELL = 5, 4, 42, 8192
+#: differing bits (a Jaccard similarity of 0.8 gives 39 of 256 and a deviation of 6).
+WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, WIDE_CELL = 5, 4, 54, 8192
 #: Least Jaccard similarity of linked texts, and members of a cell that holds whole sets.
 SIMILARITY, SET_CELL = 0.8, 512
-#: Least share of equal bits for which bands are drawn, and how many pairs they find.
-BAND_AGREE, BAND_RECALL = 0.86, 0.97
+#: How many of the pairs at the radius the bands find (nearer ones: more).
+BAND_RECALL = 0.95
 #: Shingles hashed between two rounds of counting.
 _STEP = 1 << 18
 
@@ -307,7 +307,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     64 bits tell such texts apart from others too coarsely. Here a fingerprint
     has ``WIDE_WORDS`` words and is that of the set of shingles; shards are bands
     of its bits, drawn from a fixed seed, as many as give ``BAND_RECALL`` at the
-    least similarity; in the shards the trees are searched as ever. What they
+    radius; in the shards the trees are searched as ever. What they
     link is a candidate only: within each component of candidates the sets
     themselves are compared, and those of a Jaccard similarity of ``SIMILARITY``
     or more are linked (sets are compared by their shingles' 64-bit hashes).
@@ -325,7 +325,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     prints = C.materialise(_sets(docs, id_col, text, shingle).mapInArrow(wide, f"id {kind}, mark long, fingerprint binary"), "prints")
     least = C.materialise(prints.groupBy("mark", "fingerprint").agg(F.min("id").alias("least")), "least")
     distinct = C.materialise(least.select("fingerprint").distinct(), "distinct")
-    bits, bands = band_bits(distinct.count(), BAND_AGREE, BAND_RECALL)
+    bits, bands = band_bits(distinct.count(), 1 - radius / (64 * WIDE_WORDS), BAND_RECALL)
     rng = np.random.default_rng(17)
     places = [rng.choice(64 * WIDE_WORDS, bits, replace=False) for _ in range(bands)]
 

@@ -291,6 +291,13 @@ def test_less_similar_texts_stay(spark):
     assert kept == {r[0] for r in rows} - {1001}
 
 
+def test_pairs_at_the_bound_are_found(spark):
+    rows = shifted(random.Random(5), 150, 409, 45)  # 405 shingles, 360 shared: a similarity of 0.8
+    assert jaccard(rows[0][1], rows[1][1]) == 0.8
+    kept = {r["doc_id"] for r in simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept >= {2 * k for k in range(150)} and len(kept) <= 153
+
+
 def test_sets_in_cells(spark):
     rng = random.Random(4)
     sets = [sorted(rng.sample(range(400), rng.randint(1, 12))) for _ in range(60)] + [sorted(set(range(k, k + 30)) - {rng.randrange(500)}) for k in range(0, 60, 2)]
