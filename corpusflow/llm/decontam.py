@@ -6,7 +6,8 @@ Windows of ``WINDOW`` template tokens of documents and benchmark items meet in a
 hash join. Where they meet, the values behind the placeholders are compared:
 within one alignment of a document with an item, a value of the item must stand
 for one value of the document throughout, as in a question with new parameters;
-a chance likeness of templates gives contradictory values and does not count. A
+a chance likeness of templates gives contradictory values, and windows that hold
+such a value do not count unless their values are the item's own. A
 document is contaminated by an item that it covers to at least ``MIN_COVER`` of
 its windows.
 
@@ -94,12 +95,14 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFr
     found = hits.join(again, hits["id"] == again["id2"]).select("id", "h", "w", "pos", F.slice("raw", F.col("pos") + 1, F.col("w")).alias("d_raw"), F.slice("tpl", F.col("pos") + 1, F.col("w")).alias("d_tpl"))
     own = C.broadcast_if_small(windows.select("h", "w", "item", F.col("id").alias("item_id"), "at", "raw", "tpl"))
     met = found.join(own, ["h", "w"]).filter(F.col("d_tpl") == F.col("tpl"))
-    met = C.materialise(met.select("id", "item", "item_id", "at", (F.col("pos") - F.col("at")).alias("shift"), "raw", "d_raw", "tpl"), "met")
     # slots: what an item's value stands for, by alignment
     pairs = F.filter(F.arrays_zip("tpl", "raw", "d_raw"), lambda x: x["tpl"].isin(NAME, NUMBER, UNIT))
-    slots = met.select("id", "item", "shift", F.explode(pairs).alias("s")).select("id", "item", "shift", F.concat_ws(" ", "s.tpl", "s.raw").alias("of"), F.col("s.d_raw").alias("to")).distinct()
-    clash = slots.groupBy("id", "item", "shift", "of").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("id", "item", "shift").distinct()
-    sound = met.join(clash, ["id", "item", "shift"], "left_anti")
+    slots = F.transform(pairs, lambda x: F.struct(F.concat_ws(" ", x["tpl"], x["raw"]).alias("of"), x["d_raw"].alias("to"), (x["raw"] == x["d_raw"]).alias("same")))
+    met = C.materialise(met.select("id", "item", "item_id", "at", (F.col("pos") - F.col("at")).alias("shift"), slots.alias("slots")), "met")
+    each = met.select("id", "item", "shift", F.explode("slots").alias("s")).select("id", "item", "shift", "s.of", "s.to").distinct()
+    clash = each.groupBy("id", "item", "shift", "of").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").groupBy("id", "item", "shift").agg(F.collect_set("of").alias("clash"))
+    kept = F.col("clash").isNull() | F.forall("slots", lambda x: x["same"]) | ~F.exists("slots", lambda x: F.array_contains(F.col("clash"), x["of"]))
+    sound = met.join(clash, ["id", "item", "shift"], "left").filter(kept)
     cover = sound.groupBy("id", "item", "item_id").agg(F.countDistinct("at").alias("n_matched"))
     joined = cover.join(C.broadcast_if_small(total), "item").withColumn("cover", F.col("n_matched") / F.col("total"))
     return joined.filter(F.col("cover") >= MIN_COVER).select("id", "item_id", "n_matched", "cover")

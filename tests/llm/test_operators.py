@@ -340,6 +340,21 @@ def test_decontamination(spark, empty, odd):
     assert decontam.filter_documents(odd, items).columns == odd.columns
 
 
+BARNS = (
+    "A farmer keeps 2 red barns and 2 blue barns on the wide green hill behind the old mill, where the river bends towards the village and the road "
+    "climbs slowly past three stone walls before it reaches the quiet forest that covers all of the northern slope."
+)
+
+
+def test_one_contradiction_does_not_clear_a_copy(spark):
+    items = spark.createDataFrame([(1, BARNS)], "item_id long, text string")
+    texts = [(1, BARNS.replace("2 blue", "3 blue")), (2, BARNS.replace("2 red", "5 red").replace("2 blue", "7 blue")), (3, "Only 2 red barns and 7 blue barns stand here.")]
+    got = {r["doc_id"]: r for r in decontam.judge(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
+    assert [got[k]["contaminated"] for k in (1, 2, 3)] == [True, True, False]
+    # windows that hold a contradiction are left out: one with both digits at least
+    assert all(0.5 < got[k]["cover"] < 1 for k in (1, 2))
+
+
 def test_planted_passages(spark):
     d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     grams = {tuple(w[k : k + 8]) for w in (x["text"].lower().split() for x in b.collect()) for k in range(len(w) - 7)}
