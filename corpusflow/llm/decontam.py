@@ -9,7 +9,8 @@ for one value of the document throughout, as in a question with new parameters;
 a chance likeness of templates gives contradictory values, and windows that hold
 such a value do not count unless their values are the item's own. A
 document is contaminated by an item that it covers to at least ``MIN_COVER`` of
-its windows.
+its windows, or of which it holds a passage of ``MIN_RUN`` tokens in a row,
+however long the item is.
 
 The first pass hashes each document's windows in place and sends only those that
 the benchmark has; the benchmark's windows are broadcast behind a count and
@@ -32,6 +33,8 @@ from corpusflow.llm import common as C
 WINDOW = 8
 MIN_TOKENS = 5
 MIN_COVER = 0.25
+#: Tokens of windows that touch, within one alignment.
+MIN_RUN = 13
 #: Ordinary words that a window must hold: placeholders alone prove nothing.
 MIN_WORDS = 3
 #: Words that count as units after a number. Fixed values.
@@ -72,13 +75,13 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text: str = "te
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Contaminated documents by item: ``id, item_id, n_matched, cover``."""
+    """Contaminated documents by item: ``id, item_id, n_matched, cover, longest``."""
     windows = C.materialise(benchmark_windows(items), "benchmark")
     # a window in which the item has fewer left to cover counts against what it has
     total = windows.groupBy("item").agg(F.count(F.lit(1)).alias("total"))
     lengths = sorted(r["w"] for r in windows.select("w").distinct().collect())  # at most WINDOW values
     if not lengths:
-        return docs.select(F.col(id_col).alias("id")).limit(0).select("id", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_matched"), F.lit(0.0).alias("cover"))
+        return docs.select(F.col(id_col).alias("id")).limit(0).select("id", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_matched"), F.lit(0.0).alias("cover"), F.lit(0).alias("longest"))
     prepared = _prepared(docs, id_col, "text").select("id", "tpl", F.size("tpl").alias("n"))
 
     def hashed(w: int) -> Column:
@@ -98,14 +101,24 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFr
     # slots: what an item's value stands for, by alignment
     pairs = F.filter(F.arrays_zip("tpl", "raw", "d_raw"), lambda x: x["tpl"].isin(NAME, NUMBER, UNIT))
     slots = F.transform(pairs, lambda x: F.struct(F.concat_ws(" ", x["tpl"], x["raw"]).alias("of"), x["d_raw"].alias("to"), (x["raw"] == x["d_raw"]).alias("same")))
-    met = C.materialise(met.select("id", "item", "item_id", "at", (F.col("pos") - F.col("at")).alias("shift"), slots.alias("slots")), "met")
+    met = C.materialise(met.select("id", "item", "item_id", "at", "w", (F.col("pos") - F.col("at")).alias("shift"), slots.alias("slots")), "met")
     each = met.select("id", "item", "shift", F.explode("slots").alias("s")).select("id", "item", "shift", "s.of", "s.to").distinct()
     clash = each.groupBy("id", "item", "shift", "of").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").groupBy("id", "item", "shift").agg(F.collect_set("of").alias("clash"))
     kept = F.col("clash").isNull() | F.forall("slots", lambda x: x["same"]) | ~F.exists("slots", lambda x: F.array_contains(F.col("clash"), x["of"]))
     sound = met.join(clash, ["id", "item", "shift"], "left").filter(kept)
-    cover = sound.groupBy("id", "item", "item_id").agg(F.countDistinct("at").alias("n_matched"))
+    # passages: windows of an alignment that overlap or touch
+    spans = sound.groupBy("id", "item", "item_id", "shift", "w").agg(F.sort_array(F.collect_set("at")).alias("ats"))
+    none = F.struct(F.lit(0).alias("start"), F.lit(-1).alias("end"), F.lit(0).alias("longest"))
+
+    def step(acc: Column, at: Column) -> Column:
+        start = F.when(at <= acc["end"], acc["start"]).otherwise(at)
+        end = at + F.col("w")
+        return F.struct(start.alias("start"), end.alias("end"), F.greatest(acc["longest"], end - start).alias("longest"))
+
+    spans = spans.withColumn("longest", F.aggregate("ats", none, step)["longest"])
+    cover = spans.groupBy("id", "item", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).cast("long").alias("n_matched"), F.max("longest").alias("longest"))
     joined = cover.join(C.broadcast_if_small(total), "item").withColumn("cover", F.col("n_matched") / F.col("total"))
-    return joined.filter(F.col("cover") >= MIN_COVER).select("id", "item_id", "n_matched", "cover")
+    return joined.filter((F.col("cover") >= MIN_COVER) | (F.col("longest") >= MIN_RUN)).select("id", "item_id", "n_matched", "cover", "longest")
 
 
 def _marked(docs: DataFrame, items: DataFrame) -> DataFrame:

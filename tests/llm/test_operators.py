@@ -355,6 +355,18 @@ def test_one_contradiction_does_not_clear_a_copy(spark):
     assert all(0.5 < got[k]["cover"] < 1 for k in (1, 2))
 
 
+def test_passages_of_a_long_item(spark):
+    rng = random.Random(6)
+    words = [f"k{rng.randrange(10**6)}x" for _ in range(400)]
+    other = [f"o{rng.randrange(10**6)}x" for _ in range(300)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    texts = [(k, " ".join(other[:100] + words[50 : 50 + k] + other[100:])) for k in (8, 12, 13, 60, 99)]
+    # two passages of 12 apart are no passage of 13
+    texts.append((1000, " ".join(other[:100] + words[50:62] + other[100:200] + words[90:102])))
+    got = {r["doc_id"]: r["contaminated"] for r in decontam.judge(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
+    assert got == {8: False, 12: False, 13: True, 60: True, 99: True, 1000: False}
+
+
 def test_planted_passages(spark):
     d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     grams = {tuple(w[k : k + 8]) for w in (x["text"].lower().split() for x in b.collect()) for k in range(len(w) - 7)}
