@@ -18,23 +18,29 @@ def resolve_roots(labels: DataFrame, edges: DataFrame, roots: DataFrame, keep: i
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= keep).select("label", "item", "rank")
 
 
-def descend(edges: DataFrame, roots: DataFrame, depth: int = MAX_DEPTH, max_classes: int = MAX_CLASSES, max_children: int = MAX_CHILDREN) -> DataFrame:
+def descend(edges: DataFrame, roots: DataFrame, depth: int = MAX_DEPTH, max_classes: int | None = MAX_CLASSES, max_children: int | None = MAX_CHILDREN) -> DataFrame:
     """``node, depth`` of the classes below the roots, levels 0 to ``depth``.
 
     A level expands at most what is left of ``max_classes``, in order of node; a
-    node gives at most ``max_children`` children. Each level is checkpointed.
+    node gives at most ``max_children`` children; None is no bound. Each level is
+    checkpointed.
     """
-    per = F.row_number().over(Window.partitionBy("parent").orderBy("child"))
-    edges = edges.distinct().withColumn("nth", per).filter(F.col("nth") <= max_children).drop("nth")
+    edges = edges.distinct()
+    if max_children is not None:
+        per = F.row_number().over(Window.partitionBy("parent").orderBy("child"))
+        edges = edges.withColumn("nth", per).filter(F.col("nth") <= max_children).drop("nth")
     _checkpoint_dir(edges.sparkSession)
     visited = roots.select(F.col("node"), F.lit(0).alias("depth")).distinct()
     frontier = visited.select("node")
     for level in range(1, depth + 1):
         found = frontier.join(edges, frontier["node"] == edges["parent"]).select(F.col("child").alias("node")).distinct()
-        left = max_classes - visited.count()
-        if left <= 0:
-            break
-        frontier = found.join(visited, "node", "left_anti").orderBy("node").limit(left).checkpoint()
+        found = found.join(visited, "node", "left_anti")
+        if max_classes is not None:
+            left = max_classes - visited.count()
+            if left <= 0:
+                break
+            found = found.orderBy("node").limit(left)
+        frontier = found.checkpoint()
         visited = visited.unionByName(frontier.withColumn("depth", F.lit(level))).checkpoint()
         if frontier.isEmpty():
             break

@@ -34,6 +34,15 @@ def test_equals_sql(spark, duck, name):
     assert got == sorted([tuple(norm(r[i]) for i in at) for r in rel.fetchall()], key=str)
 
 
+def test_class_tree_at_size(spark):
+    """More classes than the reference's cap."""
+    con = duckdb.connect()
+    con.execute("CREATE VIEW part AS SELECT * FROM '/root/testdata/sf0.1/part.parquet'")
+    want = con.sql(registry.oracle_sql()["q23_class_tree"]).fetchall()
+    got = [(r["node"], r["depth"]) for r in registry.queries()["q23_class_tree"](spark, "/root/testdata/sf0.1").collect()]
+    assert len(want) == 11111 and sorted(got) == sorted(want)
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
 def test_runs(spark, name):
     assert registry.queries()[name](spark, DIR).count() > 0
