@@ -19,8 +19,8 @@ joined by shuffle beyond it. Only documents with hits are read again.
 Cases: null or blank texts have no windows; items of fewer than ``WINDOW`` but at
 least ``MIN_TOKENS`` tokens are one window of their own length; shorter items
 match nothing; repeated items and rows count each for themselves; an empty
-benchmark or table gives no contamination; a null doc_id is judged as the row it
-is; further columns are ignored by ``judge`` and kept by ``filter_documents``.
+benchmark or table gives no contamination; rows are told apart by doc_id and text, so a
+null or repeated doc_id is judged as the row it is; further columns are ignored by ``judge`` and kept by ``filter_documents``.
 """
 
 from __future__ import annotations
@@ -74,15 +74,22 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text: str = "te
     return rows.filter(plain >= F.least(F.lit(MIN_WORDS), F.col("w"))).withColumn("h", F.xxhash64("tpl"))
 
 
+def _sum(text: Column) -> Column:
+    """What tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Contaminated documents by item: ``id, item_id, n_matched, cover, longest``."""
+    """Contaminated documents by item: ``id, sum, item_id, n_matched, cover, longest``."""
+    # a struct is never null itself, so rows with a null id meet in joins
+    docs = docs.select(F.struct(F.col(id_col).alias("id"), _sum(F.col("text")).alias("sum")).alias("id"), "text")
     windows = C.materialise(benchmark_windows(items), "benchmark")
     # a window in which the item has fewer left to cover counts against what it has
     total = windows.groupBy("item").agg(F.count(F.lit(1)).alias("total"))
     lengths = sorted(r["w"] for r in windows.select("w").distinct().collect())  # at most WINDOW values
     if not lengths:
-        return docs.select(F.col(id_col).alias("id")).limit(0).select("id", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_matched"), F.lit(0.0).alias("cover"), F.lit(0).alias("longest"))
-    prepared = _prepared(docs, id_col, "text").select("id", "tpl", F.size("tpl").alias("n"))
+        return docs.limit(0).select("id.id", "id.sum", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_matched"), F.lit(0.0).alias("cover"), F.lit(0).alias("longest"))
+    prepared = _prepared(docs, "id", "text").select("id", "tpl", F.size("tpl").alias("n"))
 
     def hashed(w: int) -> Column:
         spans = F.when(F.col("n") >= w, F.sequence(F.lit(0), F.col("n") - w)).otherwise(F.array().cast("array<int>"))
@@ -94,7 +101,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFr
     hits = C.materialise(grams.join(known, ["h", "w"]), "hits")
     # only documents with hits are read again, for the values behind placeholders
     ids = C.broadcast_if_small(hits.select("id").distinct())
-    again = _prepared(docs.join(ids, docs[id_col] == ids["id"], "left_semi"), id_col, "text").select(F.col("id").alias("id2"), "raw", "tpl")
+    again = _prepared(docs.join(ids, "id", "left_semi").dropDuplicates(["id"]), "id", "text").select(F.col("id").alias("id2"), "raw", "tpl")
     found = hits.join(again, hits["id"] == again["id2"]).select("id", "h", "w", "pos", F.slice("raw", F.col("pos") + 1, F.col("w")).alias("d_raw"), F.slice("tpl", F.col("pos") + 1, F.col("w")).alias("d_tpl"))
     own = C.broadcast_if_small(windows.select("h", "w", "item", F.col("id").alias("item_id"), "at", "raw", "tpl"))
     met = found.join(own, ["h", "w"]).filter(F.col("d_tpl") == F.col("tpl"))
@@ -118,15 +125,15 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFr
     spans = spans.withColumn("longest", F.aggregate("ats", none, step)["longest"])
     cover = spans.groupBy("id", "item", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).cast("long").alias("n_matched"), F.max("longest").alias("longest"))
     joined = cover.join(C.broadcast_if_small(total), "item").withColumn("cover", F.col("n_matched") / F.col("total"))
-    return joined.filter((F.col("cover") >= MIN_COVER) | (F.col("longest") >= MIN_RUN)).select("id", "item_id", "n_matched", "cover", "longest")
+    return joined.filter((F.col("cover") >= MIN_COVER) | (F.col("longest") >= MIN_RUN)).select("id.id", "id.sum", "item_id", "n_matched", "cover", "longest")
 
 
 def _marked(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` with ``contaminated`` and the item that it covers most."""
     found = matches(docs.select("doc_id", "text"), items, "doc_id")
-    worst = found.groupBy("id").agg(F.max_by("item_id", F.struct("cover", -F.col("item_id"))).alias("item_id"), F.max("cover").alias("cover"), F.count(F.lit(1)).alias("n_items"))
+    worst = found.groupBy("id", "sum").agg(F.max_by("item_id", F.struct("cover", -F.col("item_id"))).alias("item_id"), F.max("cover").alias("cover"), F.count(F.lit(1)).alias("n_items"))
     worst = C.broadcast_if_small(C.materialise(worst, "contaminated"))
-    return docs.join(worst, docs["doc_id"].eqNullSafe(worst["id"]), "left").withColumn("contaminated", F.col("n_items").isNotNull())
+    return docs.join(worst, docs["doc_id"].eqNullSafe(worst["id"]) & (_sum(docs["text"]) == worst["sum"]), "left").withColumn("contaminated", F.col("n_items").isNotNull())
 
 
 def judge(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -136,6 +143,6 @@ def judge(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def filter_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that no benchmark item contaminates, with all their columns."""
-    found = C.materialise(matches(docs.select("doc_id", "text"), items, "doc_id").select("id").distinct(), "contaminated")
+    found = C.materialise(matches(docs.select("doc_id", "text"), items, "doc_id").select("id", "sum").distinct(), "contaminated")
     bad = C.broadcast_if_small(found)
-    return docs.join(bad, docs["doc_id"] == bad["id"], "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["id"]) & (_sum(docs["text"]) == bad["sum"]), "left_anti")

@@ -367,6 +367,16 @@ def test_passages_of_a_long_item(spark):
     assert got == {8: False, 12: False, 13: True, 60: True, 99: True, 1000: False}
 
 
+def test_rows_without_an_id_of_their_own(spark):
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    rows = [(None, ITEM), (None, "nothing of the kind"), (None, None), (None, ITEM), (7, ITEM), (7, "nothing of the kind")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bad = [(r["doc_id"], r["n_items"], r["cover"]) for r in decontam.judge(df, items).collect() if r["contaminated"]]
+    assert sorted(bad, key=str) == [(7, 1, 1.0), (None, 1, 1.0), (None, 1, 1.0)]
+    kept = [tuple(r) for r in decontam.filter_documents(df, items).collect()]
+    assert sorted(kept, key=str) == sorted([rows[1], rows[2], rows[5]], key=str)
+
+
 def test_planted_passages(spark):
     d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     grams = {tuple(w[k : k + 8]) for w in (x["text"].lower().split() for x in b.collect()) for k in range(len(w) - 7)}
