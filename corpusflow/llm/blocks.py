@@ -52,9 +52,22 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[
 
 def hashes(values: pa.Array) -> np.ndarray:
     """Stable 64-bit hashes of strings, the same in every process."""
-    from pandas.util import hash_array
+    raw, off = C.utf8(values)
+    out = np.zeros(len(off) - 1, np.uint64)
+    full = np.flatnonzero(np.diff(off))
+    if len(full):
+        powers = np.cumprod(np.full(int(np.diff(off).max()), 0x9E3779B97F4A7C15, np.uint64))
+        place = np.arange(len(raw)) - np.repeat(off[:-1], np.diff(off))
+        out[full] = np.add.reduceat((raw.astype(np.uint64) + np.uint64(1)) * powers[place], off[:-1][full])
+    out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(32))
 
-    return hash_array(np.array(values.to_pylist(), dtype=object), categorize=False) if len(values) else np.zeros(0, np.uint64)
+
+def each(table: pa.Table | pa.RecordBatch) -> Iterator[dict]:
+    """Rows whose binary values lie where they are in ``table``, not copied."""
+    for k in range(table.num_rows):
+        block, bucket, head, body = (table.column(c)[k] for c in _ARROW.names)
+        yield {"block": block.as_py(), "bucket": bucket.as_py(), **{n: memoryview(x.as_buffer()) if x.is_valid else None for n, x in (("head", head), ("body", body))}}
 
 
 def exchange(
@@ -80,27 +93,26 @@ def exchange(
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def first(batches):
-        C.lean()
         for number, batch in blocks(batches, text, block_bytes):
             yield rows(cut(number, batch, buckets))
 
     def second(batches):
-        C.lean()
-
-        def each():
-            for batch in batches:
-                for r in batch.to_pylist():
-                    yield r["block"], r["bucket"], r["head"], r["body"]
-
-        for r in answer(each()):
+        found = ((r["block"], r["bucket"], r["head"], r["body"]) for batch in batches for r in each(batch))
+        for r in answer(found):
             yield rows([r])
 
-    table = C.bucketed(docs.mapInArrow(first, ROW), "blocks", buckets, "block")
+    def third(a: pa.Table, b: pa.Table) -> pa.Table:
+        C.lean()
+        out = join([*each(a), *each(b)])
+        C.give_back()
+        return out
+
+    table = C.bucketed(docs.mapInArrow(C.in_worker(first), ROW), "blocks", buckets, "block")
     if between:
         answer = between(table)
-    replies = table.filter(F.col("bucket") >= 0).repartitionById(buckets, F.col("bucket")).mapInArrow(second, ROW)
+    replies = table.filter(F.col("bucket") >= 0).repartitionById(buckets, F.col("bucket")).mapInArrow(C.in_worker(second), ROW)
     own = table.filter(F.col("bucket") == DOCS).groupBy("block")
-    return own.cogroup(replies.groupBy("block")).applyInArrow(lambda a, b: join(a.to_pylist() + b.to_pylist()), schema)
+    return own.cogroup(replies.groupBy("block")).applyInArrow(third, schema)
 
 
 def deal(values: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -122,5 +134,5 @@ def ids_of(batch: pa.RecordBatch, name: str) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def column(blob: bytes) -> pa.Array:
-    return pa.ipc.open_stream(blob).read_all().column("id").combine_chunks()
+def column(blob) -> pa.Array:
+    return pa.ipc.open_stream(pa.py_buffer(blob)).read_all().column("id").combine_chunks()

@@ -14,6 +14,8 @@ null; an empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +28,8 @@ from corpusflow.llm import common as C
 from corpusflow.shipping import ship
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Ids put together at once.
+_STEP = 1 << 18
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -48,10 +52,10 @@ def encoder(path: str):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={})
 
 
-def encode_words(words: list[str], path: str) -> list[list[int]]:
-    """Ids of pre-tokens, none of which is split again."""
+def encode_words(words: list[str], path: str) -> list[bytes]:
+    """Ids (int32) of pre-tokens, none of which is split again."""
     enc = encoder(path)
-    return [enc._encode_single_piece(w) for w in words]
+    return [np.array(enc._encode_single_piece(w), np.int32).tobytes() for w in words]
 
 
 def _cut(text: str, id_col: str):
@@ -74,25 +78,26 @@ def _cut(text: str, id_col: str):
 
 def _answer(path: str):
     def answer(rows):
-        known: dict[str, np.ndarray] = {}
+        known: dict[str, bytes] = {}
         for block, bucket, head, body in rows:
             words = C.unpack_strings(body).to_pylist()
             new = [w for w in words if w not in known]
             known.update(zip(new, encode_words(new, path), strict=True))
             found = [known[w] for w in words]
-            sizes = np.fromiter(map(len, found), np.int32, len(found))
-            flat = np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum()))
-            yield block, bucket, head, C.pack(np.concatenate([sizes, flat]))
+            sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+            yield block, bucket, bytes(head), C.pack(np.concatenate([sizes, np.frombuffer(b"".join(found), np.int32)]))
 
     return answer
 
 
-def _join(rows: list[dict]) -> pa.Table:
+def _ids_of_block(rows: list[dict]) -> tuple[pa.Array, np.ndarray, Iterator[np.ndarray]]:
+    """Of a block: its documents' ids (keys), their offsets in tokens, and the token ids
+    of all documents one after another, some at a time."""
     docs = next(r for r in rows if r["bucket"] == B.DOCS)
-    ids = B.column(docs["head"])
+    keys = B.column(docs["head"])
     body = C.unpack(docs["body"], np.int32)
-    n_words, counts, seq = int(body[0]), body[1 : 1 + len(ids)], body[1 + len(ids) :]
-    sizes, starts, flats, at = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64), [], 0
+    n_words, counts, seq = int(body[0]), body[1 : 1 + len(keys)], body[1 + len(keys) :]
+    sizes, starts, flats, at = np.zeros(n_words, np.int32), np.zeros(n_words, np.int64), [], 0
     for r in rows:
         if r["bucket"] != B.DOCS:
             where, got = C.unpack(r["head"], np.int32), C.unpack(r["body"], np.int32)
@@ -101,35 +106,75 @@ def _join(rows: list[dict]) -> pa.Table:
             flats.append(flat)
             at += len(flat)
     flat = np.concatenate(flats) if flats else np.zeros(0, np.int32)
-    lists, tokens, rows_at = [], [], C.ends(counts)
-    for a, b in C.spans(rows_at, 1 << 20):
-        own = seq[rows_at[a] : rows_at[b]]
-        n = sizes[own]
-        tokens.append(flat[C.ragged(starts[own], n)])
-        lists.append(np.diff(C.ends(n)[rows_at[a : b + 1] - rows_at[a]]))
-    flat = np.concatenate(tokens) if tokens else flat[:0]
-    offsets = C.ends(np.concatenate(lists) if lists else np.zeros(0, np.int64))
+    offsets = C.ends(sizes[seq])[C.ends(counts)]
+
+    def tokens():
+        for a in range(0, len(seq), _STEP):
+            own = seq[a : a + _STEP]
+            yield flat[C.ragged(starts[own], sizes[own])]
+
+    return keys, offsets, tokens()
+
+
+def _lists(rows: list[dict]) -> pa.Table:
+    keys, offsets, tokens = _ids_of_block(rows)
+    flat = np.concatenate([np.zeros(0, np.int32), *tokens])
     values = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32())).cast(pa.list_(pa.int32()))
-    return pa.table({"id": ids, "ids": values})
+    return pa.table({"id": keys, "ids": values})
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, block_bytes: int = B.BLOCK_BYTES, with_decoded: bool = False) -> DataFrame:
-    """``(id_col, ids array<int>)`` for each row of ``docs``; on request also the ids
-    decoded again (``decoded binary``), in the same worker."""
-    path = path or vocabulary_path()
+@lru_cache(2)
+def decimals(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Each id as a space and its digits, end to end, and their offsets."""
+    text = [b" %d" % k for k in range(max(ranks(path).values()) + 1)]
+    return np.frombuffer(b"".join(text), np.uint8), C.ends(np.array([len(t) for t in text]))
+
+
+def _digests(rows: list[dict], path: str) -> pa.Table:
+    """Digests document by document, as the tokens come; no document is held whole."""
+    keys, offsets, tokens = _ids_of_block(rows)
+    tables = [decimals(path), token_bytes(path)]
+    out: list[list[str]] = [[], []]
+    open_, at, row = [hashlib.sha256(), hashlib.sha256()], 0, 0
+
+    def close():
+        nonlocal open_, row
+        for o, h in zip(out, open_, strict=True):
+            o.append(h.hexdigest())
+        open_, row = [hashlib.sha256(), hashlib.sha256()], row + 1
+
+    for own in tokens:
+        raws = []
+        for table, off in tables:
+            n = (off[1:] - off[:-1])[own]
+            raws.append((memoryview(table[C.ragged(off[own], n)].tobytes()), C.ends(n)))
+        end = at + len(own)
+        a = at
+        while row < len(keys):
+            b = min(end, int(offsets[row + 1]))
+            for k, (raw, cut) in enumerate(raws):
+                # the first id of a document has no space before it
+                lead = 1 if k == 0 and a == offsets[row] and b > a else 0
+                open_[k].update(raw[cut[a - at] + lead : cut[b - at]])
+            a = b
+            if offsets[row + 1] > end:
+                break
+            close()
+        at = end
+    while row < len(keys):
+        close()
+    return pa.table({"id": keys, "n_tokens": pa.array(np.diff(offsets), pa.int64()), "ids_sha256": out[0], "decoded_sha256": out[1]})
+
+
+def _exchanged(docs: DataFrame, join, schema: str, id_col: str, text_col: str, path: str, block_bytes: int) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return B.exchange(own, _cut("text", "id"), _answer(path), join, f"id {kind}, {schema}", block_bytes=block_bytes).withColumnRenamed("id", id_col)
 
-    def join(rows: list[dict]) -> pa.Table:
-        C.lean()
-        table = _join(rows)
-        if not with_decoded:
-            return table
-        return table.append_column("decoded", pa.array(decoded(table.column("ids").combine_chunks(), path), pa.binary()))
 
-    schema = f"id {kind}, ids array<int>" + ", decoded binary" * with_decoded
-    out = B.exchange(own, _cut("text", "id"), _answer(path), join, schema, block_bytes=block_bytes)
-    return out.withColumnRenamed("id", id_col)
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+    """``(id_col, ids array<int>)`` for each row of ``docs``."""
+    return _exchanged(docs, _lists, "ids array<int>", id_col, text_col, path or vocabulary_path(), block_bytes)
 
 
 @lru_cache(2)
@@ -151,7 +196,7 @@ def decoded(lists: pa.Array, path: str) -> list[bytes | None]:
     flat = lists.values.to_numpy(zero_copy_only=False)
     null = lists.is_null().to_numpy(zero_copy_only=False)
     out: list[bytes | None] = []
-    for a, b in C.spans(where, 1 << 20):
+    for a, b in C.spans(where, _STEP):
         own = flat[where[a] : where[b]]
         n = sizes[own]
         raw = table[C.ragged(off[own], n)].tobytes()
@@ -168,20 +213,18 @@ def decode(tokens: DataFrame, ids_col: str = "ids", into: str = "decoded", path:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema if f.name != into) + f", `{into}` binary"
 
     def run(batches):
-        C.lean()
         for batch in batches:
             values = decoded(batch.column(ids_col), path)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(values, pa.binary())], names=[*keep, into])
 
-    return tokens.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return tokens.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(C.in_worker(run), schema)
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per document: number of ids, SHA-256 of the ids as text and of the decoded bytes."""
-    both = encode(docs, path=path, with_decoded=True)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+def digests(docs: DataFrame, path: str | None = None, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+    """Per document: ``doc_id, n_tokens``, SHA-256 of the ids as text and of the decoded bytes.
+
+    The ids are decoded where a block's documents are put together, and only
+    digests leave the worker.
+    """
+    path = path or vocabulary_path()
+    return _exchanged(docs, lambda rows: _digests(rows, path), "n_tokens long, ids_sha256 string, decoded_sha256 string", "doc_id", "text", path, block_bytes)

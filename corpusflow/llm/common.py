@@ -4,7 +4,10 @@
   ``spark.checkpoint.dir`` names, so a lost executor never costs more than the
   stage it was running.
 * ``broadcast_if_small`` is the only way these operators broadcast a table: it
-  counts the rows first and leaves the join to shuffle beyond the bound.
+  counts rows and bytes first and leaves the join to shuffle beyond the bounds.
+* ``join_groups`` joins rows with a row of their group where one group may hold
+  a third of all rows.
+* ``lean`` and ``give_back`` bound what a Python worker keeps between tasks.
 * ``split_pieces`` is a vectorised byte-level BPE pre-tokeniser over whole
   Arrow string buffers.
 """
@@ -14,6 +17,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import gc
 import unicodedata
 import uuid
 from functools import lru_cache
@@ -22,19 +26,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: ASCII white space of the word pattern ``[^\x20\x09-\x0D]+``.
 WS = " \t\n\x0b\x0c\r"
-#: Used only where the cluster names no folder (tests, single machines).
+#: Used only where a single machine (tests) names no folder.
 OWN_CHECKPOINT_DIR = "/tmp/checkpoints"
-#: A broadcast side has at most so many (narrow) rows; beyond it joins shuffle.
+#: A broadcast side has at most so many rows and bytes; beyond it joins shuffle.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+#: A group is heavy from one row in so many on; there are no more heavy groups than that.
+HEAVY_SHARE = 4096
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; sets an own one where it is unset."""
+    """The shared folder of the session; on a single machine an own one where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = OWN_CHECKPOINT_DIR
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
@@ -78,9 +88,38 @@ def _drop(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if a count shows at most ``max_rows`` rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df.hint("merge")
+def _bytes(c, kind: T.DataType):
+    """About how many bytes a value takes."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("long") + 16
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(c, F.lit(0).cast("long"), lambda s, x: s + _bytes(x, kind.elementType)), F.lit(0).cast("long")) + 16
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(c[f.name], f.dataType) for f in kind), F.lit(8).cast("long"))
+    return F.lit(8).cast("long")
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows and about
+    ``max_bytes`` bytes, which a pass over it shows."""
+    width = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(8).cast("long"))
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return F.broadcast(df) if found["n"] <= max_rows and (found["b"] or 0) <= max_bytes else df.hint("merge")
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """Rows joined with the one row of ``groups`` that has their ``key``; every row has one.
+
+    ``groups[count]`` is the number of the key's rows and ``total`` that of all
+    rows. Groups of more than ``total / HEAVY_SHARE`` rows, of which there are
+    fewer than ``HEAVY_SHARE``, are broadcast, so that their rows stay where
+    they are; the others meet in a shuffle, in which no key weighs much.
+    """
+    heavy = F.col(count) * HEAVY_SHARE > total
+    large = F.broadcast(groups.filter(heavy).drop(count))  # fewer than HEAVY_SHARE rows
+    own = rows.join(large, key)
+    rest = rows.join(F.broadcast(groups.filter(heavy).select(key)), key, "left_anti")
+    return own.unionByName(rest.join(groups.filter(~heavy).drop(count), key))
 
 
 def fresh(df: DataFrame, wanted: str) -> str:
@@ -112,6 +151,26 @@ def lean() -> None:
         libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
 
 
+def give_back() -> None:
+    """Return freed memory to the system, at the end of a task's work in a worker."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def in_worker(run):
+    """``run`` for ``mapInArrow``, in a worker that gives memory back when it ends."""
+
+    def wrapped(batches):
+        lean()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and int64 offsets (one more than rows) of a string column; null: empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -148,7 +207,7 @@ def pack(array: np.ndarray) -> bytes:
     return b"".join([len(array).to_bytes(8, "little"), *(len(p).to_bytes(8, "little") for p in parts), *parts])
 
 
-def unpack(blob: bytes, dtype) -> np.ndarray:
+def unpack(blob, dtype) -> np.ndarray:
     width, n = np.dtype(dtype).itemsize, int.from_bytes(blob[:8], "little")
     out = np.empty((n, width), np.uint8)
     at = 8 + 8 * width
@@ -165,7 +224,7 @@ def pack_strings(values: pa.Array) -> bytes:
     return len(head).to_bytes(8, "little") + head + pack(raw)
 
 
-def unpack_strings(blob: bytes) -> pa.Array:
+def unpack_strings(blob) -> pa.Array:
     cut = 8 + int.from_bytes(blob[:8], "little")
     return strings(unpack(blob[cut:], np.uint8), ends(unpack(blob[8:cut], np.int32)))
 

@@ -90,7 +90,7 @@ def _sorted(rows: DataFrame, axis: dict[int, str]) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.withColumn("v", _case("node", {k: F.col(d) for k, d in axis.items()}, 0.0)).repartitionByRange(n, *order).sortWithinPartitions(*order)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema) + ", part int, bytes_before long, rows_before long"
-    table = C.materialise(placed.mapInArrow(_running, schema), "kd")
+    table = C.materialise(placed.mapInArrow(C.in_worker(_running), schema), "kd")
     totals = table.groupBy("part").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("r")).orderBy("part").collect()
     before, b, r = [], 0, 0
     for t in totals:  # one a partition

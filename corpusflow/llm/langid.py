@@ -180,7 +180,6 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     t, l = text if text in keep else C.fresh(docs, "text_"), C.fresh(docs, "letter_")
 
     def run(batches):
-        C.lean()
         m = shared.value
         for batch in batches:
             raw, off = C.utf8(batch.column(t))
@@ -204,7 +203,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
 
     whole = [] if text in keep else [F.col(f"`{text}`").alias(t)]
     own = docs.select(*[F.col(f"`{c}`") for c in keep], *whole, letter.alias(l))
-    return own.mapInArrow(run, ", ".join([*fields, "lang_pred string, score double, ambiguous boolean"]))
+    return own.mapInArrow(C.in_worker(run), ", ".join([*fields, "lang_pred string, score double, ambiguous boolean"]))
 
 
 def held_out(id_col: str = "doc_id"):

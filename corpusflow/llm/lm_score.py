@@ -150,7 +150,7 @@ def score(docs: DataFrame, target: DataFrame, smoothing: float = SMOOTHING) -> D
                     yield pa.RecordBatch.from_pydict({"point": pa.array([-1, -2, *p.tolist()], pa.int32()), "mass": pa.array([*m.tolist(), *[0.0] * len(p)], pa.float64())})
 
         # at most as many rows as there are code points, and two masses
-        found = chars.mapInArrow(read, "point int, mass double").groupBy("point").agg(F.sum("mass").alias("mass"))
+        found = chars.mapInArrow(C.in_worker(read), "point int, mass double").groupBy("point").agg(F.sum("mass").alias("mass"))
         sums = found.agg(F.count_if(F.col("point") >= 0).alias("v"), F.max(F.when(F.col("point") == -1, F.col("mass"))).alias("t"), F.max(F.when(F.col("point") == -2, F.col("mass"))).alias("b")).first()
         return _answer(max(sums["v"], 1), sums["t"] or 0.0, sums["b"] or 0.0, smoothing)
 

@@ -103,12 +103,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sh
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        C.lean()
         for batch in batches:
             prints = _majority(batch.column("h"), 1).view(np.int64).reshape(-1)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints)], names=["id", "fingerprint"])
 
-    return _hashed(docs, id_col, text, shingle).mapInArrow(run, f"id {kind}, fingerprint long").withColumnRenamed("id", id_col)
+    return _hashed(docs, id_col, text, shingle).mapInArrow(C.in_worker(run), f"id {kind}, fingerprint long").withColumnRenamed("id", id_col)
 
 
 def _lower_ascii(text):
@@ -206,13 +205,12 @@ def _linked(cells: DataFrame, radius: int) -> DataFrame:
     n_parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        C.lean()
         for table in _groups(batches):
             a, b = _links_of(table, radius)
             if len(a):
                 yield from pa.table({"a": a, "b": b}).to_batches()
 
-    return cells.repartition(n_parts, "cell").sortWithinPartitions("cell").mapInArrow(run, f"a {kind}, b {kind}")
+    return cells.repartition(n_parts, "cell").sortWithinPartitions("cell").mapInArrow(C.in_worker(run), f"a {kind}, b {kind}")
 
 
 def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
@@ -261,7 +259,6 @@ def _verified(cells: DataFrame, least: float) -> DataFrame:
     n_parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        C.lean()
         for table in _groups(batches):
             cell, side, marks = (table.column(c).to_numpy() for c in ("cell", "side", "mark"))
             lists = table.column("h").combine_chunks().cast(pa.large_list(pa.int64()))
@@ -274,7 +271,7 @@ def _verified(cells: DataFrame, least: float) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
-    return cells.repartition(n_parts, "cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+    return cells.repartition(n_parts, "cell").sortWithinPartitions("cell").mapInArrow(C.in_worker(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -315,14 +312,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
 
     def wide(batches):
-        C.lean()
         for batch in batches:
             rows = _majority(batch.column("h"), WIDE_WORDS)
             raw = pa.py_buffer(rows.tobytes())
             values = pa.Array.from_buffers(pa.binary(8 * WIDE_WORDS), len(rows), [None, raw]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), values], names=["id", "mark", "fingerprint"])
 
-    prints = C.materialise(_sets(docs, id_col, text, shingle).mapInArrow(wide, f"id {kind}, mark long, fingerprint binary"), "prints")
+    prints = C.materialise(_sets(docs, id_col, text, shingle).mapInArrow(C.in_worker(wide), f"id {kind}, mark long, fingerprint binary"), "prints")
     least = C.materialise(prints.groupBy("mark", "fingerprint").agg(F.min("id").alias("least")), "least")
     distinct = C.materialise(least.select("fingerprint").distinct(), "distinct")
     bits, bands = band_bits(distinct.count(), 1 - radius / (64 * WIDE_WORDS), BAND_RECALL)
@@ -330,7 +326,6 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     places = [rng.choice(64 * WIDE_WORDS, bits, replace=False) for _ in range(bands)]
 
     def cut(batches):
-        C.lean()
         for batch in batches:
             values = pa.chunked_array([batch.column("fingerprint")])
             rows = _words_of(values)
@@ -339,7 +334,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 v = ones[:, place].astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), k, np.int32)), pa.array(v), batch.column("fingerprint")], names=["k", "v", "fingerprint"])
 
-    shards = distinct.mapInArrow(cut, "k int, v long, fingerprint binary")
+    shards = distinct.mapInArrow(C.in_worker(cut), "k int, v long, fingerprint binary")
     roots = components(_linked(_cells(shards, WIDE_CELL), radius))
     # candidates: the sets of components of more than one
     near = least.join(roots, least["fingerprint"] == roots["node"], "left").select("mark", "least", F.coalesce("root", "fingerprint").alias("v"))

@@ -274,7 +274,6 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, end_id: i
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches):
-        C.lean()
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         encode, file = word_encoder(path), 0
         ids, lengths, texts = [], [], []
@@ -305,7 +304,7 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, end_id: i
         if texts:
             yield flush()
 
-    return C.materialise(ordered.mapInArrow(run, "part int, file int, name string, doc_ids array<long>, n_ids long"), "s8b-manifest")
+    return C.materialise(ordered.mapInArrow(C.in_worker(run), "part int, file int, name string, doc_ids array<long>, n_ids long"), "s8b-manifest")
 
 
 _manifest = pa.schema([("part", pa.int32()), ("file", pa.int32()), ("name", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("n_ids", pa.int64())])
@@ -329,7 +328,6 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
     files = files.repartitionById(n, F.pmod(F.col("part") + F.col("file"), F.lit(n)))
 
     def run(batches):
-        C.lean()
         store, base = _place(folder)
         for batch in batches:
             for r in batch.to_pylist():
@@ -343,7 +341,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(C.in_worker(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:

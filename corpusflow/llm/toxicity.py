@@ -277,13 +277,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        C.lean()
         for batch in batches:
             score = score_batch(shared.value, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     own = docs.select("doc_id", held_out().alias("held_out"), F.col("text"))
-    return own.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return own.mapInArrow(C.in_worker(run), f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
