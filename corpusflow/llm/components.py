@@ -18,8 +18,10 @@ from corpusflow.llm import common as C
 def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """``node, root`` for every node of ``links(a, b)``; ``root`` is the least node.
 
-    Self links and repeated links change nothing; no links give no rows.
+    Self links and repeated links change nothing; no links give no rows. Links are
+    computed once: computed again, rows in another order may give other ones.
     """
+    links = C.materialise(links.select("a", "b"), "links")
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = C.materialise(both, "links")
     labels = C.materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node"), "labels")

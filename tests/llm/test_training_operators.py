@@ -248,6 +248,15 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_links_that_change(spark):
+    """Links in another order at each evaluation: the two directions must be of one evaluation."""
+    from pyspark.sql import functions as F
+
+    star = spark.range(200).select(F.when(F.rand() < 0.5, F.col("id")).otherwise(F.col("id") + 1000).alias("a"), F.lit(5000).alias("b"))
+    roots = {r["root"] for r in components.components(star.select(F.col("b").alias("a"), F.col("a").alias("b"))).collect()}
+    assert len(roots) == 1
+
+
 def test_deduplicate(spark, odd, empty):
     rng = random.Random(1)
     rows = []
