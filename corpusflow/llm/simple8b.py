@@ -10,6 +10,9 @@ then the value as a word of its own.
 File: ``MAGIC``, then the numbers of documents, ids, blocks and words (int64
 each), then ids per document (int32), word offsets of blocks (int64), words.
 
+Ids are the tokenizers library's: an added token that stands in a text (such as
+``<|endoftext|>``) is one id, and the texts around it are encoded by themselves.
+
 Cases: a null or empty text has the end id alone; rows with a null doc_id come
 first, equal doc_ids follow one another in order of their texts; an empty table
 writes no file; further columns are ignored.
@@ -18,11 +21,13 @@ writes no file; further columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -212,6 +217,11 @@ class WordEncoder:
             said = json.load(f)
         if said["pre_tokenizer"].get("type") != "ByteLevel" or said.get("normalizer") or said["pre_tokenizer"]["add_prefix_space"]:
             raise ValueError("only plain byte-level tokenizers split as this operator does")
+        added = {t["content"]: t["id"] for t in said.get("added_tokens", [])}
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in said.get("added_tokens", [])):
+            raise ValueError("added tokens are taken as they stand only")
+        self.added = {k.encode(): v for k, v in added.items()}
+        self.pattern = "|".join(map(re.escape, sorted(added, key=len, reverse=True)))
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters, self.cache = self.tokenizer.model, _byte_letters(), {}
 
@@ -234,20 +244,39 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _added(column: pa.Array, raw: np.ndarray, off: np.ndarray, encode: WordEncoder) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends, in bytes, of the added tokens in the rows of ``raw``."""
+    found = []
+    if encode.added:
+        pattern = re.compile(encode.pattern.encode())
+        for k in np.flatnonzero(pc.fill_null(pc.match_substring_regex(column, encode.pattern), False).to_numpy(zero_copy_only=False)):
+            found += [(off[k] + m.start(), off[k] + m.end()) for m in pattern.finditer(raw[off[k] : off[k + 1]].tobytes())]
+    found = np.array(found, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
 def encode_batch(column: pa.Array, encode: WordEncoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids per row with the end id, and all ids."""
     raw, off = C.utf8(column)
-    bounds, rows = C.split_pieces(raw, off)
+    a, b = _added(column, raw, off, encode)
+    # added tokens and what lies between them are rows of their own
+    cut = np.sort(np.concatenate([off, np.setdiff1d(np.concatenate([a, b]), off)]))
+    bounds, rows = C.split_pieces(raw, cut)
     words, seq = C.distinct_pieces(raw, bounds)
     found = encode(words.to_pylist())
     sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    flat, starts = np.frombuffer(b"".join(found), "<i4"), C.ends(sizes)[:-1]
-    n = sizes[seq]
-    lengths = C.sums(n, rows).astype(np.int64) + 1
+    special = np.array([encode.added[raw[x:y].tobytes()] for x, y in zip(a, b, strict=True)], np.int32)
+    flat, starts = np.concatenate([np.frombuffer(b"".join(found), "<i4"), special]), C.ends(sizes)[:-1]
+    n, at = sizes[seq], starts[seq]
+    if len(a):
+        first, last = np.searchsorted(bounds, a), np.searchsorted(bounds, b)
+        n[C.ragged(first, last - first)] = 0
+        n[first], at[first] = 1, len(flat) - len(special) + np.arange(len(special))
+    lengths = C.sums(n, np.searchsorted(bounds, off)).astype(np.int64) + 1
     ids = np.full(int(lengths.sum()), end_id, np.uint32)
     inner = np.ones(len(ids), bool)
     inner[C.ends(lengths)[1:] - 1] = False
-    ids[inner] = flat[C.ragged(starts[seq], n)]
+    ids[inner] = flat[C.ragged(at, n)]
     return lengths, ids
 
 

@@ -427,19 +427,39 @@ def test_lm_scores(spark, docs, odd, empty):
 # --------------------------------------------------------------------- Simple-8b
 
 
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(simple8b.tokenizer_path())
+
+
 def test_token_files(spark, docs, odd, empty):
-    tokenizer = simple8b.word_encoder(simple8b.tokenizer_path()).tokenizer
-    tokenizer.encode_special_tokens = True
-    for df in (docs, odd.filter("doc_id is not null and doc_id <> 7")):
+    tokenizer = library()
+    end = "<|endoftext|>"
+    special = spark.createDataFrame(enumerate([end, f"a{end}b", f"{end}{end} x  {end}", f"tail  {end}", f"  {end}\n\n{end}y", end[:-1], f"{end[:-2]}{end}|>", f"é{end}漢 {end}", f"{'word ' * 3000}{end}{' word' * 3000}"]), "doc_id long, text string")
+    for df in (docs, odd.filter("doc_id is not null and doc_id <> 7"), special):
         at, found = 0, by_id(simple8b.round_trip(df))
         for r in sorted(df.collect(), key=lambda r: r["doc_id"]):
             ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0]
             own = found[r["doc_id"]]
-            assert (own["start"], own["n_tokens"], own["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+            assert (own["start"], own["n_tokens"], own["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), r["text"]
             at += len(ids)
     assert simple8b.round_trip(odd).count() == len(ODD) and simple8b.round_trip(empty).count() == 0
-    special = spark.createDataFrame([(1, "a<|endoftext|>b")], "doc_id long, text string")
-    assert simple8b.round_trip(special).first()["n_tokens"] == len(tokenizer.encode("a<|endoftext|>b", add_special_tokens=False).ids) + 1
+
+
+def test_added_tokens_at_every_step_size(monkeypatch):
+    import pyarrow as pa
+
+    tokenizer, encode = library(), simple8b.word_encoder(simple8b.tokenizer_path())
+    rng = random.Random(2)
+    parts = ["<|endoftext|>", "<|endoftext|", "|>", " ", "  ", "word", "é", "\n", "'ll", "12"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(300)] + [None]
+    want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    split = common.split_pieces
+    for step in (1, 17, 1000, 4 << 20):
+        monkeypatch.setattr(common, "split_pieces", lambda raw, off, step=step: split(raw, off, step))
+        lengths, ids = simple8b.encode_batch(pa.array(texts), encode, 0)
+        assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
 # ----------------------------------------------------------------------- toxicity
