@@ -277,18 +277,24 @@ def _verified(cells: DataFrame, least: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Per row: ``id_col, fingerprint long, component_id`` (least id reachable)."""
     prints = C.materialise(fingerprints(docs, id_col, text, shingle).withColumnRenamed(id_col, "id"), "prints")
-    least = C.materialise(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "least")
+    least = C.materialise(prints.groupBy("fingerprint").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")), "least")
     roots = components(links(least.select("fingerprint"), radius))
     return _named(prints, least, roots, id_col)
 
 
 def _named(prints: DataFrame, least: DataFrame, roots: DataFrame, id_col: str, by: str = "fingerprint") -> DataFrame:
-    """Rows with the least id of the component of their ``by``."""
+    """Rows with the least id of the component of their ``by``.
+
+    ``least`` has a row for each ``by``, with its least id and its number of ``rows``.
+    """
     joined = least.join(roots, least[by] == roots["node"]).select("root", "node", "least")
     by_root = joined.groupBy("root").agg(F.min("least").alias("component"))
     linked = roots.join(by_root, "root").select(F.col("node").alias(by), "component")
-    named = least.join(linked, by, "left").select(by, F.coalesce("component", "least").alias("component_id"))
-    return prints.join(named, by).select(F.col("id").alias(id_col), "fingerprint", "component_id")
+    named = least.join(linked, by, "left").select(by, "rows", F.coalesce("component", "least").alias("component_id"))
+    named = C.materialise(named, "named")
+    total = named.agg(F.sum("rows").alias("n")).first()["n"] or 0
+    keys = prints.select("id", by, *({"fingerprint"} - {by}))
+    return C.join_groups(keys, named, by, "rows", total).select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
 def band_bits(n: int, agree: float, recall: float) -> tuple[int, int]:
@@ -319,7 +325,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), values], names=["id", "mark", "fingerprint"])
 
     prints = C.materialise(_sets(docs, id_col, text, shingle).mapInArrow(C.in_worker(wide), f"id {kind}, mark long, fingerprint binary"), "prints")
-    least = C.materialise(prints.groupBy("mark", "fingerprint").agg(F.min("id").alias("least")), "least")
+    least = C.materialise(prints.groupBy("mark", "fingerprint").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")), "least")
     distinct = C.materialise(least.select("fingerprint").distinct(), "distinct")
     bits, bands = band_bits(distinct.count(), 1 - radius / (64 * WIDE_WORDS), BAND_RECALL)
     rng = np.random.default_rng(17)
@@ -347,19 +353,23 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The documents without all but the least ``doc_id`` of each group of similar ones.
+    """The documents without all but one of each group of similar ones, with all their columns.
 
-    Rows with a null id stay; of rows with the same id the first by text stays.
+    The one with the least ``doc_id`` stays (null comes first), of equal ids the
+    one whose text has the least hash, of repeated rows one. Rows are told apart
+    by ``doc_id`` and text, so two documents under one id are two documents.
     """
-    groups = C.materialise(similar_groups(docs), "groups")
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_")).distinct()
-    kept = docs.join(C.broadcast_if_small(C.materialise(gone, "gone")), F.col("doc_id") == F.col("gone_"), "left_anti")
-    twice = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("twice_"))
+    key, gone_, twice_, row_ = (C.fresh(docs, c) for c in ("key_", "gone_", "twice_", "row_"))
+    keyed = docs.withColumn(key, F.struct(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("sum")))
+    groups = C.materialise(similar_groups(keyed.select(F.col(key).alias("key"), "text"), "key"), "groups")
+    gone = C.materialise(groups.filter(F.col("key") != F.col("component_id")).select(F.col("key").alias(gone_)).distinct(), "gone")
+    kept = keyed.join(C.broadcast_if_small(gone), F.col(key) == F.col(gone_), "left_anti")
+    twice = groups.filter(F.col("key") == F.col("component_id")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("key").alias(twice_))
     twice = C.materialise(twice, "twice")
     if twice.limit(1).count() == 0:
-        return kept
+        return kept.drop(key)
     ids = C.broadcast_if_small(twice)
-    again = kept.join(ids, F.col("doc_id") == F.col("twice_"), "left_semi")
-    # equal ids are few rows each unless a table repeats one id; those rows are aggregated, not sorted
-    first = again.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias("row_")).select("row_.*")
-    return kept.join(ids, F.col("doc_id") == F.col("twice_"), "left_anti").unionByName(first)
+    again = kept.join(ids, F.col(key) == F.col(twice_), "left_semi")
+    # rows that repeat are aggregated, not sorted
+    first = again.groupBy(key).agg(F.any_value(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(row_)).select(f"{row_}.*")
+    return kept.join(ids, F.col(key) == F.col(twice_), "left_anti").drop(key).unionByName(first)

@@ -273,6 +273,21 @@ def test_deduplicate(spark, odd, empty):
     # texts without words are one group; the repeated row is one; the null id stays
     assert sorted((r["doc_id"] or 0) for r in found.collect()) == [0, 1, 4, 5, 6, 8] and found.columns == odd.columns
     assert simhash.deduplicate(empty).count() == 0
+    named = odd.selectExpr("*", "1 AS gone_", "2 AS twice_", "3 AS row_", "4 AS key_", "5 AS component_id", "6 AS sum")
+    assert simhash.deduplicate(named).columns == named.columns and simhash.deduplicate(named).count() == 6
+
+
+def test_two_documents_under_one_id(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(80)) for x in "ab")
+    rows = [(7, a, "x"), (7, b, "y"), (9, a, "z"), (None, b, "n"), (9, a, "z"), (None, None, "m")]
+    kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, tag string"))
+    assert sorted(r["tag"] for r in kept.collect()) == ["m", "n", "x"]
+
+
+def test_a_hot_fingerprint(spark):
+    rows = [(k, "one text for a third of all rows") for k in range(3000)] + [(k, f"text {k} of its own {k * 7}") for k in range(3000, 9000)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.count() == 9000 and got.filter("doc_id < 3000 and component_id = 0").count() == 3000
 
 
 def jaccard(a, b):
