@@ -2,7 +2,8 @@
 
 A node of the tree is a run of shards. It is split along the dimension in which
 its documents spread widest (relative to the spread of all), at the weighted
-median by bytes, until every leaf holds one shard's share of the bytes. All
+median by bytes, until every leaf holds one shard's share of the bytes; the number
+of shards is given, or follows from the bytes that a leaf may hold. All
 nodes of a level are split by one range sort of a narrow table (no texts), whose
 partitions carry running sums; only sums of partitions and of nodes reach the
 driver, and their number is bounded by partitions and shards.
@@ -55,9 +56,9 @@ def digest(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("rid"),
     )
     own = C.materialise(own, "digest")
-    groups = own.groupBy("g").agg(F.min("doc_id").cast("double").alias("d_id"), F.min("lang_").alias("d_lang"), F.min("source_").alias("d_source"))
-    groups = groups.withColumn("d_id", F.coalesce("d_id", F.lit(-1.0)))
-    joined = own.join(groups, "g").withColumn("d_size", F.log2(F.col("size").cast("double")))
+    groups = own.groupBy("g").agg(F.min("doc_id").cast("double").alias("d_id"), F.min("lang_").alias("d_lang"), F.min("source_").alias("d_source"), F.count(F.lit(1)).alias("rows"))
+    groups = C.materialise(groups.withColumn("d_id", F.coalesce("d_id", F.lit(-1.0))), "groups")
+    joined = C.join_groups(own, groups, "g", "rows", own.count()).withColumn("d_size", F.log2(F.col("size").cast("double")))
     return joined.select("doc_id", "size", "text_crc32", "g", "rid", *DIMENSIONS, F.lit(0).alias("node"))
 
 
@@ -75,11 +76,10 @@ def _running(batches):
         size_at, rows_at = int(before[-1]), rows_at + n
 
 
-def _case(column: str, values: dict, default) -> Column:
-    out = F.lit(default)
-    for k, v in values.items():
-        out = F.when(F.col(column) == k, v).otherwise(out)
-    return out
+def _with(rows: DataFrame, values: dict[int, tuple], schema: str) -> DataFrame:
+    """Rows with what is known of their node; nodes are no more than shards."""
+    known = rows.sparkSession.createDataFrame([(k, *v) for k, v in values.items()], "node int, " + schema)
+    return rows.join(F.broadcast(known), "node", "left")
 
 
 def _sorted(rows: DataFrame, axis: dict[int, str]) -> DataFrame:
@@ -88,7 +88,9 @@ def _sorted(rows: DataFrame, axis: dict[int, str]) -> DataFrame:
     ship(spark)
     order = ["node", "v", "g", "doc_id", "rid"]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.withColumn("v", _case("node", {k: F.col(d) for k, d in axis.items()}, 0.0)).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    named = _with(rows, {k: (DIMENSIONS.index(d),) for k, d in axis.items()}, "axis int")
+    v = F.coalesce(F.get(F.array(*DIMENSIONS), F.col("axis")), F.lit(0.0))
+    placed = named.withColumn("v", v).drop("axis").repartitionByRange(n, *order).sortWithinPartitions(*order)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema) + ", part int, bytes_before long, rows_before long"
     table = C.materialise(placed.mapInArrow(C.in_worker(_running), schema), "kd")
     totals = table.groupBy("part").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("r")).orderBy("part").collect()
@@ -101,9 +103,14 @@ def _sorted(rows: DataFrame, axis: dict[int, str]) -> DataFrame:
     return moved.withColumn("bytes_before", F.col("bytes_before") + F.col("b")).withColumn("rows_before", F.col("rows_before") + F.col("r")).drop("part", "b", "r")
 
 
-def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Per document: ``doc_id, size, text_crc32, shard, slot``."""
+def shard(docs: DataFrame, shards: int = SHARDS, target_bytes: int | None = None) -> DataFrame:
+    """Per document: ``doc_id, size, text_crc32, shard, slot``.
+
+    With ``target_bytes`` there are as many shards as keep a leaf's share within it.
+    """
     rows = C.materialise(digest(docs), "coordinates")
+    if target_bytes:
+        shards = max(1, -(-(rows.agg(F.sum("size").alias("b")).first()["b"] or 0) // target_bytes))
     sizes = {0: shards}  # first shard of a node: number of its shards
     wide: dict[str, float] = {}
     while max(sizes.values()) > 1:
@@ -120,18 +127,21 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             if sizes[k] > 1:
                 cuts[k] = at + nodes[k]["b"] * (sizes[k] // 2) / sizes[k]
             at += nodes[k]["b"]
-        cut = _case("node", {k: F.lit(c) for k, c in cuts.items()}, float("inf"))
-        over = table.filter((F.col("bytes_before") < cut) & (F.col("bytes_before") + F.col("size") >= cut)).select("node", "v", "g").collect()
-        for t in over:  # one a node: the group that the cut would part
-            edge = table.filter((F.col("node") == t["node"]) & (F.col("v") == t["v"]) & (F.col("g") == t["g"])).agg(F.min("bytes_before").alias("a"), F.max(F.col("bytes_before") + F.col("size")).alias("b")).first()
-            near = min((edge["a"], edge["b"]), key=lambda x: abs(x - cuts[t["node"]]))  # noqa: B023
-            if abs(near - cuts[t["node"]]) <= GROUP_SLACK * share:
-                cuts[t["node"]] = float(near)
+        at = _with(table, {k: (float(c),) for k, c in cuts.items()}, "cut double")
+        over = at.filter((F.col("bytes_before") < F.col("cut")) & (F.col("bytes_before") + F.col("size") >= F.col("cut"))).select("node", "v", "g").collect()
+        if over:  # one a node: the group that the cut would part
+            parted = rows.sparkSession.createDataFrame([tuple(t) for t in over], "node int, v double, g long")
+            ends = table.join(F.broadcast(parted), ["node", "v", "g"]).groupBy("node").agg(F.min("bytes_before").alias("a"), F.max(F.col("bytes_before") + F.col("size")).alias("b"))
+            for edge in ends.collect():
+                k = edge["node"]
+                near = min((edge["a"], edge["b"]), key=lambda x: abs(x - cuts[k]))  # noqa: B023
+                if abs(near - cuts[k]) <= GROUP_SLACK * share:
+                    cuts[k] = float(near)
         # a row goes left if its middle lies before the cut
-        cut = _case("node", {k: F.lit(c) for k, c in cuts.items()}, float("inf"))
-        right = F.col("bytes_before") + F.col("size") / 2 > cut
         half = {k: sizes[k] // 2 for k in cuts}
-        placed = table.withColumn("node", F.when(right, F.col("node") + _case("node", {k: F.lit(h) for k, h in half.items()}, 0)).otherwise(F.col("node")))
+        at = _with(table, {k: (float(cuts[k]), half[k]) for k in cuts}, "cut double, half int")
+        right = F.col("bytes_before") + F.col("size") / 2 > F.col("cut")
+        placed = at.withColumn("node", F.when(right, F.col("node") + F.col("half")).otherwise(F.col("node")))
         rows = C.materialise(placed.select("doc_id", "size", "text_crc32", "g", "rid", *DIMENSIONS, "node", "rows_before"), "level")
         grown = {}
         for k, m in sizes.items():
@@ -143,10 +153,10 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     if "rows_before" not in rows.columns:
         rows = _sorted(rows, {})
     first = {t["node"]: t["f"] for t in rows.groupBy("node").agg(F.min("rows_before").alias("f")).collect()}
-    slot = F.col("rows_before") - _case("node", {k: F.lit(f) for k, f in first.items()}, 0)
-    return rows.select("doc_id", "size", "text_crc32", F.col("node").alias("shard"), slot.cast("long").alias("slot"))
+    slot = F.col("rows_before") - F.col("first")
+    return _with(rows, {k: (f,) for k, f in first.items()}, "first long").select("doc_id", "size", "text_crc32", F.col("node").alias("shard"), slot.cast("long").alias("slot"))
 
 
-def report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+def report(docs: DataFrame, shards: int = SHARDS, target_bytes: int | None = None) -> DataFrame:
     """``shard`` with the law that holds and without a grown shard."""
-    return shard(docs, shards).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return shard(docs, shards, target_bytes).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -4,7 +4,8 @@ Base rules count, for each document, words, their characters, symbols, repeated
 lines and repeated three-word windows. A document fails with fewer than
 ``min_words`` words or more than ``max_repeat_percent`` of its words in repeated
 windows. Failures are then summed by host; each host's rate is shrunk towards a
-beta prior fitted to all hosts by moments, and a host whose shrunk rate exceeds
+beta prior fitted to all hosts by the beta-binomial's moments (of the spread of the
+rates, what small numbers of documents explain is taken off), and a host whose shrunk rate exceeds
 ``max_host_rate`` loses all its documents.
 
 The counts of a document need no shuffle: they are array expressions over its
@@ -83,9 +84,11 @@ def host_verdicts(judged: DataFrame, host: str = "source", max_rate: float = MAX
     own = judged.filter(F.col(host).isNotNull())
     hosts = own.groupBy(host).agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
     rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v")).first()  # two numbers
-    m, v = prior["m"] or 0.0, prior["v"] or 0.0
-    weight = min(max(m * (1 - m) / v - 1, PRIOR_WEIGHT[0]), PRIOR_WEIGHT[1]) if v > 0 else PRIOR_WEIGHT[1]
+    # mean and spread of the rates, and the share of the spread that is due to few documents
+    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"), F.avg(1 / F.col("n_docs")).alias("h")).first()
+    m, v, h = prior["m"] or 0.0, prior["v"] or 0.0, prior["h"] or 1.0
+    between = (v / (m * (1 - m)) - h) / (1 - h) if 0 < m < 1 and h < 1 else 0.0  # intraclass correlation
+    weight = min(max(1 / between - 1, PRIOR_WEIGHT[0]), PRIOR_WEIGHT[1]) if between > 0 else PRIOR_WEIGHT[1]
     shrunk = (F.col("n_failed") + F.lit(weight * m)) / (F.col("n_docs") + F.lit(weight))
     return hosts.select(host, "n_docs", "n_failed", shrunk.alias("host_rate"), (shrunk > max_rate).alias("host_rejected"))
 
@@ -95,9 +98,11 @@ def judge(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: s
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(host).alias("source"), F.col(text).alias("text"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     base = C.materialise(features(own, "text", ["doc_id", "source"]).withColumn("base_failed", failed), "quality")
-    verdicts = host_verdicts(base).select(F.col("source").alias("host_"), "host_rejected")
-    # A host's rows meet one row of verdicts, and the hot host's rows may be split.
-    both = base.join(verdicts, F.col("source") == F.col("host_"), "left")
+    verdicts = C.materialise(host_verdicts(base).select("source", "n_docs", "host_rejected"), "hosts")
+    with_host = base.filter(F.col("source").isNotNull())
+    # a hot host's rows stay where they are
+    both = C.join_groups(with_host, verdicts, "source", "n_docs", verdicts.agg(F.sum("n_docs").alias("n")).first()["n"] or 0)
+    both = both.unionByName(base.filter(F.col("source").isNull()).withColumn("host_rejected", F.lit(False)))
     kept = ~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))
     return both.select(F.col("doc_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
 
@@ -128,9 +133,10 @@ f AS (SELECT w.doc_id, source, CAST(len(words) AS BIGINT) AS n_words, CAST(lengt
   FROM w LEFT JOIN r USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
 h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS k FROM b WHERE source IS NOT NULL GROUP BY source),
-m AS (SELECT avg(k / n) AS m, var_pop(k / n) AS v FROM h),
+m AS (SELECT avg(k / n) AS m, var_pop(k / n) AS v, avg(1.0 / n) AS few FROM h),
+c AS (SELECT m, CASE WHEN m > 0 AND m < 1 AND few < 1 THEN (v / (m * (1 - m)) - few) / (1 - few) ELSE 0 END AS between_hosts FROM m),
 q AS (SELECT source, (k + wt * m) / (n + wt) > 0.5 AS bad FROM h,
-  (SELECT m, greatest(1.0, least(1e6, CASE WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 1e6 END)) AS wt FROM m))
+  (SELECT m, CASE WHEN between_hosts > 0 THEN greatest(1.0, least(1e6, 1 / between_hosts - 1)) ELSE 1e6 END AS wt FROM c))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(bad, false) AS kept
 FROM b LEFT JOIN q USING (source)
 """

@@ -129,6 +129,48 @@ def test_other_numbers_of_shards(docs, shards):
     assert max(sizes.values()) - min(sizes.values()) <= 3 * max(r["size"] for r in rows)
 
 
+def plain_kd(rows, shards, slack=kd_shards.GROUP_SLACK):
+    """A k-d tree over rows of the digest, node by node: shard and place of each row."""
+    dims = kd_shards.DIMENSIONS
+    spread = lambda own: [max(r[d] for r in own) - min(r[d] for r in own) for d in dims]
+    wide, share = [s or 1.0 for s in spread(rows)], sum(r["size"] for r in rows) / shards
+    out = []
+
+    def split(own, n, v):
+        if n == 1 or not own:
+            out.append(sorted(own, key=lambda r: (v(r), r["g"], r["doc_id"], r["rid"])))
+            out.extend([] for _ in range(n - 1))
+            return
+        d = max(range(len(dims)), key=lambda k: (spread(own)[k] / wide[k], -k))
+        order = sorted(own, key=lambda r: (r[dims[d]], r["g"], r["doc_id"], r["rid"]))
+        at = np.concatenate([[0], np.cumsum([r["size"] for r in order])])
+        cut = at[-1] * (n // 2) / n
+        over = next(k for k in range(len(order)) if at[k] < cut <= at[k + 1])
+        group = [k for k, r in enumerate(order) if (r[dims[d]], r["g"]) == (order[over][dims[d]], order[over]["g"])]
+        near = min((at[group[0]], at[group[-1] + 1]), key=lambda x: abs(x - cut))
+        cut = near if abs(near - cut) <= slack * share else cut
+        left = [r for k, r in enumerate(order) if at[k] + r["size"] / 2 <= cut]
+        key = lambda r, d=dims[d]: r[d]
+        split(left, n // 2, key)
+        split([r for k, r in enumerate(order) if at[k] + r["size"] / 2 > cut], n - n // 2, key)
+
+    split(rows, shards, lambda r: 0.0)
+    return out
+
+
+@pytest.mark.parametrize("shards", [2, 4, 8])
+def test_shards_are_those_of_a_plain_tree(docs, shards):
+    rows = [r.asDict() for r in kd_shards.digest(docs).collect()]
+    want = {r["doc_id"]: k for k, own in enumerate(plain_kd(rows, shards)) for r in own}
+    assert {r["doc_id"]: r["shard"] for r in kd_shards.shard(docs, shards).collect()} == want
+
+
+def test_target_bytes(docs):
+    target = docs.selectExpr("sum(octet_length(text) + 1) AS n").first()["n"] // 11
+    sizes = [r["n"] for r in kd_shards.shard(docs, target_bytes=target).groupBy("shard").sum("size").withColumnRenamed("sum(size)", "n").collect()]
+    assert len(sizes) in (11, 12) and max(sizes) <= target * 1.01 + docs.selectExpr("max(octet_length(text)) AS n").first()["n"]
+
+
 def test_equal_texts_stay_together_and_a_huge_group_is_split(spark):
     rows = [(k, f"text {k % 500} " * 5) for k in range(2000)]
     got = kd_shards.shard(spark.createDataFrame([(i, t, "en", f"s{i % 7}", 1) for i, t in rows], DOC))
