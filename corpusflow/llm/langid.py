@@ -6,9 +6,11 @@ Decoding sums each codeword's losses, weighted by the classifiers' training
 accuracy, and takes the nearest codeword; a text whose two nearest codewords lie
 within ``MARGIN`` of each other is flagged as ambiguous.
 
-Fitting uses a bounded sample of labelled rows: at most ``SAMPLE_ROWS`` rows over
-all languages (shares by language, chosen by a hash of the id), of at most
-``SAMPLE_BYTES`` bytes each. Prediction reads whole texts of any length.
+Fitting uses a sample of labelled rows that is bounded by their number alone: about
+``SAMPLE_ROWS`` different texts, the same number for each language (at least
+``LEAST_ROWS``, or all there are), chosen by a hash of the text. Their whole texts are
+counted where they lie, whatever their length; the driver gets the sums of one
+language after another and some numbers a row. Prediction reads whole texts too.
 
 Cases: a null text or one without a letter is ``und`` with score 0; no labelled
 rows give a model that says ``und``; one language only gives that language; ties
@@ -22,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +32,15 @@ from corpusflow.llm import common as C
 from corpusflow.shipping import ship
 
 SAMPLE_ROWS = 4000
-SAMPLE_BYTES = 16 << 10
+LEAST_ROWS = 40
 #: Weighted loss between the two nearest codewords below which a text is ambiguous.
 MARGIN = 0.02
 UNKNOWN = "und"
 BITS = 16
-_STEP = 1 << 18
+#: Buckets of pairs, then of triples.
+WIDTH = 2 << BITS
+#: Spaces after each row: n-grams that begin in a row end in it.
+_PAD = 3
 
 
 def codewords(n: int) -> np.ndarray:
@@ -50,7 +56,8 @@ def codewords(n: int) -> np.ndarray:
     width, rng, best, most = int(10 * np.log2(n)), np.random.default_rng(11), None, -1
     for _ in range(50):
         code = rng.integers(0, 2, (n, width)).astype(np.int8)
-        apart = (code[:, None, :] != code[None]).sum(2) + width * np.eye(n, dtype=int)
+        sign = 2 * code.astype(np.float32) - 1
+        apart = (width - sign @ sign.T) / 2 + width * np.eye(n, dtype=np.float32)
         if apart.min() > most and (code.min(0) != code.max(0)).all():
             best, most = code, apart.min()
     return best
@@ -66,10 +73,7 @@ def _byte_map() -> np.ndarray:
 
 
 def ngrams(raw: np.ndarray) -> np.ndarray:
-    """Hashed byte pairs and triples at each position, two columns.
-
-    Every row must end with a space, so that no n-gram spans two rows' letters.
-    """
+    """Hashed byte pairs and triples at each position, two columns."""
     b = _byte_map()[raw].astype(np.uint32)
     b = np.concatenate([b, np.full(2, 32, np.uint32)])
     two = b[:-2] << np.uint32(8) | b[1:-1]
@@ -77,6 +81,25 @@ def ngrams(raw: np.ndarray) -> np.ndarray:
     return np.stack([two, three + np.uint32(1 << 16)], axis=1)
 
 
+def padded(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows with ``_PAD`` spaces after each, and their offsets."""
+    n = len(off) - 1
+    wide = np.full(len(raw) + _PAD * n, 32, np.uint8)
+    ends = off + _PAD * np.arange(n + 1)
+    wide[C.ragged(ends[:-1], np.diff(off))] = raw
+    return wide, ends
+
+
+def _steps(raw: np.ndarray, off: np.ndarray, step: int):
+    """n-grams, ``step`` positions at a time, and where each row's first and last are
+    among them. A row's n-grams begin in its text or at the first space after it."""
+    for a, b in C.spans(off, step):
+        for x in range(off[a], off[b], step):  # a longer row in steps
+            y = min(x + step, off[b])
+            start, stop = np.clip(off[a:b], x, y) - x, np.clip(off[a + 1 : b + 1] - _PAD + 1, x, y) - x
+            yield a, b, ngrams(raw[x : y + 2])[: y - x], start, stop
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -87,51 +110,48 @@ class Model:
     trust: np.ndarray  # weight of each bit's loss
 
 
-def _rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(b"".join(t + b" " for t in texts), np.uint8)
-    return raw, C.ends(np.array([len(t) + 1 for t in texts], np.int64))
-
-
 def _means(weights: np.ndarray, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(off) - 1, weights.shape[1]))
-    for a, b in C.spans(off, _STEP):
-        for x in range(off[a], off[b], _STEP):  # a longer row in steps
-            y = min(x + _STEP, off[b])
-            grams = ngrams(raw[x:y])
-            cut = np.clip(off[a : b + 1], x, y) - x
-            for column in range(2):
-                out[a:b] += C.sums(weights[grams[:, column]], cut)
-    return out / (2 * np.maximum(np.diff(off), 1))[:, None]
+    """Mean weights of each padded row's n-grams."""
+    bits = weights.shape[1]
+    out = np.zeros((len(off) - 1, bits))
+    for a, b, grams, start, stop in _steps(raw, off, max(1 << 12, (1 << 21) // bits)):
+        for column in range(2):
+            total = np.zeros((len(grams) + 1, bits))
+            np.cumsum(weights[grams[:, column]], axis=0, dtype=np.float64, out=total[1:])
+            out[a:b] += total[stop] - total[start]
+    return out / (2 * np.maximum(np.diff(off) - _PAD + 1, 1))[:, None]
+
+
+def _counts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """How often each n-gram stands in padded rows, together."""
+    out = np.zeros(WIDTH, np.int64)
+    for _, _, grams, start, stop in _steps(raw, off, 1 << 18):
+        out += np.bincount(grams[C.ragged(start, stop - start)].reshape(-1), minlength=WIDTH)
+    return out
 
 
-def fit(texts: list[bytes], labels: list[str]) -> Model:
-    """One linear n-gram classifier for each bit of the code."""
-    languages = sorted(set(labels))
-    code = codewords(len(languages))
-    width = 2 << 16
-    if not languages:
-        return Model([], code, np.zeros((width, 1), np.float32), np.zeros(1), np.ones(1), np.ones(1))
-    raw, off = _rows(texts)
-    which = np.searchsorted(languages, labels)
-    grams = ngrams(raw)
-    row = np.repeat(which, np.diff(off))
-    counts = np.zeros((len(languages), width))
-    for column in range(2):
-        np.add.at(counts.reshape(-1), row * width + grams[:, column], 1.0)
-    rates = counts + 0.1
-    rates[:, : 1 << 16] /= rates[:, : 1 << 16].sum(1, keepdims=True)
-    rates[:, 1 << 16 :] /= rates[:, 1 << 16 :].sum(1, keepdims=True)
-    weights = np.zeros((width, code.shape[1]), np.float32)
+def _weights(code: np.ndarray, counts) -> np.ndarray:
+    """An n-gram's log odds for each bit, from ``(number of a language, counts)``."""
+    ones, all_ = np.zeros((WIDTH, code.shape[1])), np.zeros(WIDTH)
+    for k, n in counts:
+        rates = n + 0.1
+        for half in (slice(None, 1 << BITS), slice(1 << BITS, None)):
+            rates[half] /= rates[half].sum()
+        all_ += rates
+        ones[:, code[k] == 1] += rates[:, None]
+    out, n_ones = np.zeros(ones.shape, np.float32), code.sum(0)
     for bit in range(code.shape[1]):
-        one = code[:, bit] == 1
-        if one.all():
-            continue
-        weights[:, bit] = np.log(rates[one].mean(0)) - np.log(rates[~one].mean(0))
-    x = _means(weights, raw, off)
+        if 0 < n_ones[bit] < len(code):
+            out[:, bit] = np.log(ones[:, bit] / n_ones[bit]) - np.log((all_ - ones[:, bit]) / (len(code) - n_ones[bit]))
+    return out
+
+
+def _calibrated(languages: list[str], code: np.ndarray, weights: np.ndarray, x: np.ndarray, which: np.ndarray) -> Model:
+    """The model whose classifiers part the rows ``x`` of languages ``which`` best."""
     bias, scale, trust = np.zeros(code.shape[1]), np.ones(code.shape[1]), np.ones(code.shape[1])
     for bit in range(code.shape[1]):
         y = code[which, bit]
-        if y.min() == y.max():
+        if not len(y) or y.min() == y.max():
             continue
         a, b = np.median(x[y == 0, bit]), np.median(x[y == 1, bit])
         bias[bit], scale[bit] = (a + b) / 2, 8 / max(b - a, 1e-6)
@@ -139,6 +159,22 @@ def fit(texts: list[bytes], labels: list[str]) -> Model:
     return Model(languages, code, weights, bias, scale, trust / trust.sum())
 
 
+def fit(texts: list[bytes], labels: list[str]) -> Model:
+    """One linear n-gram classifier for each bit of the code, from rows at hand."""
+    languages = sorted(set(labels))
+    code = codewords(len(languages))
+    raw, off = padded(*C.utf8(pa.array([t.decode() for t in texts], pa.string())))
+    which = np.searchsorted(languages, labels) if languages else np.zeros(0, np.int64)
+
+    def counts():
+        for k in range(len(languages)):
+            own = np.flatnonzero(which == k)
+            yield k, _counts(raw[C.ragged(off[own], off[own + 1] - off[own])], C.ends(off[own + 1] - off[own]))
+
+    weights = _weights(code, counts())
+    return _calibrated(languages, code, weights, _means(weights, raw, off), which)
+
+
 def decode(model: Model, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of the nearest codeword, score, and whether it is ambiguous, by row."""
     z = (_means(model.weights, raw, off) - model.bias) * model.scale
@@ -150,23 +186,59 @@ def decode(model: Model, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray,
     return loss.argmin(1), 1 / share.sum(1), margin < MARGIN
 
 
-def sample(docs: DataFrame) -> list:
-    """At most about ``SAMPLE_ROWS`` rows ``(text, lang)``, shares by language."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
-    if not counts:
-        return []
-    each = SAMPLE_ROWS / len(counts)
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, each / n))])
-    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20)
-    picked = known.filter(drawn & (F.octet_length("text") <= SAMPLE_BYTES)).select("doc_id", "text", "lang")
-    return sorted(picked.limit(2 * SAMPLE_ROWS).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"]))
+def sample(docs: DataFrame) -> DataFrame:
+    """Different rows ``(text, lang)``, about ``SAMPLE_ROWS``, the same number by language.
+
+    Which rows there are depends on the set of texts alone, not on their order,
+    ids, lengths or numbers of copies.
+    """
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", F.xxhash64("text", F.lit(5)).alias("h"))
+    counts = C.materialise(known.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    each = max(SAMPLE_ROWS / max(counts.count(), 1), LEAST_ROWS)
+    shares = C.broadcast_if_small(counts.select("lang", (F.lit(each) / F.col("n")).alias("share")))
+    drawn = known.join(shares, "lang").filter(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    return C.materialise(drawn.select("lang", "h", "text").dropDuplicates(["lang", "h"]).drop("h"), "sample")
 
 
 def train(docs: DataFrame) -> Model:
-    """A model from labelled rows ``(doc_id, text, lang)``."""
+    """A model from labelled rows ``(text, lang)``."""
+    ship(docs.sparkSession)
     rows = sample(docs)
-    return fit([r["text"].encode() for r in rows], [r["lang"] for r in rows])
+    languages = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    languages.sort()
+    code = codewords(len(languages))
+
+    def count(batches):
+        for batch in batches:
+            lang = batch.column("lang").dictionary_encode()
+            for k, name in enumerate(lang.dictionary):
+                own = batch.column("text").filter(pc.equal(lang.indices, k))
+                n = _counts(*padded(*C.utf8(own)))
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([name.as_py()] * len(at), pa.string()), "gram": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())})
+
+    sums = rows.mapInArrow(C.in_worker(count), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # a language after another, each at most WIDTH numbers
+    each = sums.groupBy("lang").agg(F.collect_list("gram").alias("grams"), F.collect_list("n").alias("ns"))
+
+    def counts():
+        for r in each.toLocalIterator():
+            out = np.zeros(WIDTH, np.int64)
+            out[r["grams"]] = r["ns"]
+            yield languages.index(r["lang"]), out
+
+    weights = _weights(code, counts())
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def measure(batches):
+        for batch in batches:
+            x = _means(shared.value, *padded(*C.utf8(batch.column("text"))))
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(list(x), pa.list_(pa.float64()))], names=["lang", "x"])
+
+    # as many rows as the sample has, of some numbers each
+    found = sorted(tuple(r) for r in rows.mapInArrow(C.in_worker(measure), "lang string, x array<double>").collect())
+    x = np.array([r[1] for r in found]).reshape(len(found), code.shape[1])
+    return _calibrated(languages, code, weights, x, np.searchsorted(languages, [r[0] for r in found]) if found else np.zeros(0, np.int64))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
@@ -182,14 +254,8 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     def run(batches):
         m = shared.value
         for batch in batches:
-            raw, off = C.utf8(batch.column(t))
-            n = len(off) - 1
-            # a space after each row keeps rows' n-grams apart
-            wide = np.full(len(raw) + n, 32, np.uint8)
-            ends = off + np.arange(n + 1)
-            inner = np.ones(len(wide), bool)
-            inner[ends[1:] - 1] = False
-            wide[inner] = raw
+            wide, ends = padded(*C.utf8(batch.column(t)))
+            n = len(ends) - 1
             names, score, unsure = [UNKNOWN] * n, np.zeros(n), np.zeros(n, bool)
             if m.languages and n:
                 best, score, unsure = decode(m, wide, ends)

@@ -230,6 +230,44 @@ def test_language(spark, odd, empty):
     assert langid.predict(odd, one, ["doc_id"]).filter("lang_pred = 'xx'").count() == 7
 
 
+def invented(rng, letters, words):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(words))
+
+
+def test_a_language_with_long_texts_only(spark):
+    rng = random.Random(9)
+    rows = [(k, invented(rng, "abcde", 40), "en") for k in range(200)] + [(1000 + k, invented(rng, "vwxyz", 6000), "lx") for k in range(40)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {(r["doc_id"] >= 1000, r["lang_pred"]) for r in got} == {(False, "en"), (True, "lx")}
+
+
+def test_the_sample_does_not_depend_on_order_or_copies(docs):
+    draw = lambda df: sorted((r["lang"], r["text"]) for r in langid.sample(df).collect())
+    assert draw(docs) == draw(docs.orderBy("text").unionByName(docs).repartition(7))
+
+
+def test_steps_do_not_change_a_language(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    model = langid.fit([invented(rng, x, 50).encode() for x in ("abcé", "xyz漢") for _ in range(20)], ["aa"] * 20 + ["bb"] * 20)
+    raw, off = langid.padded(*common.utf8(pa.array([invented(rng, "abcxyz", n) for n in (0, 1, 300, 5000)])))
+    once = langid._means(model.weights, raw, off)
+    alone = [langid._means(model.weights, raw[a:b], np.array([0, b - a])) for a, b in zip(off[:-1], off[1:], strict=True)]
+    spans = common.spans
+    monkeypatch.setattr(common, "spans", lambda o, most: spans(o, 100))
+    steps = langid._steps
+    monkeypatch.setattr(langid, "_steps", lambda r, o, step: steps(r, o, 101))
+    assert np.allclose(once, langid._means(model.weights, raw, off), atol=1e-9) and np.allclose(once, np.concatenate(alone), atol=1e-9)
+
+
+def test_many_languages():
+    texts, labels = zip(*[(f"{chr(97 + k % 26)}{chr(97 + k // 26)}q " * 20, f"l{k:03d}") for k in range(60) for _ in range(2)], strict=True)
+    model = langid.fit([t.encode() for t in texts], list(labels))
+    raw, off = langid.padded(*common.utf8(__import__("pyarrow").array(texts)))
+    assert [model.languages[k] for k in langid.decode(model, raw, off)[0]] == list(labels)
+
+
 # ------------------------------------------------------------------------ SimHash
 
 
