@@ -7,9 +7,10 @@ so that a misspelling unseen in training still shares most of its n-grams'
 vectors with the word it hides. A document is as toxic as its worst segment of
 ``SEGMENT`` words: one insult in a long text is not averaged away.
 
-Training draws a bounded sample: at most ``SAMPLE_ROWS`` labelled rows, up to
-half of them toxic, of at most ``SAMPLE_BYTES`` bytes each. Scoring reads whole
-texts of any length.
+Training draws a bounded sample: about ``SAMPLE_ROWS`` labelled documents, up to half
+of them toxic, or so many fewer that their texts have about ``SAMPLE_BYTES`` bytes
+together. A hash of the id draws them, whatever their order and length. Scoring reads
+whole texts of any length.
 
 Cases: a null text, or one without words, is scored as an empty segment; without
 labelled rows of both classes all scores are the share of toxic ones (0 without
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 from corpusflow.llm import common as C
 from corpusflow.shipping import ship
 
-SAMPLE_ROWS = 5000
-SAMPLE_BYTES = 16 << 10
+SAMPLE_ROWS = 6000
+#: Of the whole sample.
+SAMPLE_BYTES = 24 << 20
 SEGMENT = 8
 DIMENSIONS = 8
 BUCKETS = 1 << 17
@@ -39,8 +41,6 @@ EPOCHS = 80
 #: Sharpness of the soft maximum at the end; steps of embeddings, softmax, bias.
 SHARP = 12.0
 RATES = (5.0, 0.02, 0.1)
-#: n-grams of fewer sampled documents have no embedding.
-MIN_DOCS = 10
 DECAY = 0.002
 _STEP = 4 << 20
 _FIT_STEP = 1 << 19
@@ -158,25 +158,15 @@ def segment_logits(model_scores, bias, words: pa.Array, seq: np.ndarray, cut: np
     return C.sums(per_word[seq], cut) / np.maximum(np.diff(cut), 1) + bias
 
 
-def _known_grams(words: pa.Array, seq: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """The buckets of the words' n-grams that at least ``MIN_DOCS`` documents have;
-    per word the number of all its n-grams and of these. In steps, to bound memory."""
+def _grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of the words' n-grams, and how many each word has. In steps, to bound memory."""
     raw, off = binary(words)
-    parts, sizes = [], []
+    parts, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
     for a, b in C.spans(off, _FIT_STEP):
         grams, at = subwords(raw[off[a] : off[b]], off[a : b + 1] - off[a])
         parts.append(grams.astype(np.int32))
         sizes.append(np.diff(at))
-    grams = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    n_grams = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-    at = C.ends(n_grams)
-    docs_with = np.zeros(BUCKETS, np.int32)
-    for a, b in zip(rows[:-1], rows[1:], strict=True):
-        own = np.unique(seq[a:b])
-        docs_with[np.unique(grams[C.ragged(at[own], n_grams[own])])] += 1
-    known = docs_with[grams] >= MIN_DOCS
-    kept = np.add.reduceat(known.astype(np.int32), at[:-1]) if len(n_grams) else n_grams
-    return grams[known], (n_grams, kept)
+    return np.concatenate(parts), np.concatenate(sizes)
 
 
 def fit(texts: list[str], labels: list[int]) -> Model:
@@ -192,11 +182,10 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         return Model(np.zeros(BUCKETS), 0.0, base, False)
     words, seq, rows = bag(pa.array(texts, pa.string()))
     cut, first = segments(rows)
-    grams, n_grams = _known_grams(words, seq, rows)
+    grams, n_grams = _grams(words)
     n_words = len(words)
-    gram_word = np.repeat(np.arange(n_words, dtype=np.int32), n_grams[1])
-    held = np.flatnonzero(n_grams[1])
-    first_gram, n_grams = C.ends(n_grams[1])[:-1][held], n_grams[0]
+    gram_word = np.repeat(np.arange(n_words, dtype=np.int32), n_grams)
+    first_gram = C.ends(n_grams)[:-1]
     seg_of = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
     seg_len = np.maximum(np.diff(cut), 1)
     seg_doc = np.repeat(np.arange(len(y)), np.diff(first))
@@ -210,8 +199,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     used = np.unique(grams)
     for epoch in range(EPOCHS):
         p = e @ u
-        per_word = np.zeros(n_words)
-        per_word[held] = np.add.reduceat(p.astype(np.float32)[grams], first_gram) / n_grams[held] if len(held) else 0.0
+        per_word = np.add.reduceat(p.astype(np.float32)[grams], first_gram) / n_grams if n_words else np.zeros(0)
         z = C.sums(per_word[seq], cut) / seg_len + bias[0]
         sharp = SHARP * max(0.0, epoch / EPOCHS - 0.2)
         top = np.maximum.reduceat(z, first[:-1])
@@ -263,11 +251,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     share = F.lit(0.0)
     for k, n in counts.items():
         share = F.when(F.col("toxic") == k, min(1.0, SAMPLE_ROWS / 2 / n)).otherwise(share)
-    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 20)) < share * (1 << 20)
-    picked = F.broadcast(own.filter(drawn).limit(2 * SAMPLE_ROWS))  # bounded by the sample
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES))
-    rows = sorted(texts.join(picked, "doc_id").limit(2 * SAMPLE_ROWS).collect(), key=lambda r: (r["doc_id"], r["text"]))
-    return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
+    # where in its class's share an id lies, from 0 to 1: the sample is a prefix of it
+    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 20)) / (F.lit(1 << 20) * share)
+    picked = C.broadcast_if_small(own.select("doc_id", "toxic", draw.alias("draw")).filter("draw < 1"))
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(picked, "doc_id")
+    # of an id's rows the one whose text has the least hash
+    one = F.min_by(F.struct("text", "toxic", "draw"), F.xxhash64("text")).alias("own")
+    rows = C.materialise(texts.groupBy("doc_id").agg(one).select("doc_id", "own.*"), "sample")
+    size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    drawn = rows.filter(F.col("draw") < min(1.0, SAMPLE_BYTES / max(size, 1))).orderBy("doc_id").collect()
+    return fit([r["text"] for r in drawn], [r["toxic"] for r in drawn])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

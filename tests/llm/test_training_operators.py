@@ -575,5 +575,40 @@ def test_toxicity(spark, odd, empty):
     assert {r["score"] for r in toxicity.score(odd, l.limit(0)).collect()} == {0.0}
 
 
+def test_unseen_misspellings(spark):
+    rng = random.Random(8)
+    bad = "blockhead numbskull dimwitted scoundrel wretched imbecile".split()
+    clean = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4))) for _ in range(400)]
+
+    def text(*words):
+        own = [rng.choice(clean) for _ in range(rng.randint(20, 60))]
+        for w in words:
+            own.insert(rng.randrange(len(own)), w)
+        return " ".join(own)
+
+    def misspelt(w):
+        k = rng.randrange(1, len(w) - 1)
+        return rng.choice([w[:k] + w[k + 1 :], w[:k] + w[k] + w[k:], w[:k] + "*" + w[k + 1 :]])
+
+    model = toxicity.fit([text(rng.choice(bad), rng.choice(bad)) for _ in range(400)] + [text() for _ in range(400)], [1] * 400 + [0] * 400)
+    seen = np.array(toxicity.score_batch(model, __import__("pyarrow").array([text(misspelt(rng.choice(bad)), misspelt(rng.choice(bad))) for _ in range(200)])))
+    other = np.array(toxicity.score_batch(model, __import__("pyarrow").array([text() for _ in range(200)])))
+    # 0.81 when written, where no n-gram of a word but those of its own letters helps
+    assert (seen >= 0.5).mean() > 0.75 and (other >= 0.5).mean() < 0.05
+
+
+def test_the_toxicity_sample_does_not_depend_on_order_copies_or_length(spark, monkeypatch):
+    drawn = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: drawn.append((texts, labels)))
+    rows = [(k, f"text {k} " * (1 if k % 2 else 4000)) for k in range(60)]
+    d, l = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, k // 30) for k in range(60)], "doc_id long, toxic int")
+    toxicity.train(d, l)
+    toxicity.train(d.orderBy("text").unionByName(d).repartition(5), l.orderBy(-l["doc_id"]))
+    assert drawn[0] == drawn[1] and any(len(t) > 16384 for t in drawn[0][0])
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 500_000)
+    toxicity.train(d, l)
+    assert 0 < len(drawn[2][0]) < len(drawn[0][0]) and {len(t) > 16384 for t in drawn[2][0]} == {True, False}
+
+
 def test_checkpoint_dir_is_the_sessions(spark):
     assert common.checkpoint_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or common.OWN_CHECKPOINT_DIR).rstrip("/")
