@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: A private character, between paragraphs that lie in one string.
+SEPARATOR = "\U000f0004"
 # ---- Fixed values: limits and patterns that results depend on.
 SUMMARY_SOURCE, SUMMARY, BACKFILL, BODY_CAP = 600, 500, 400, 200_000
 GALLERY = r"(?iU)\s*[\[(]\s*Image\s+\d+\s+of\s+\d+\s*[\])]\s*"
@@ -53,6 +55,8 @@ FURNITURE_LINES = [
     r"\d+\s*/\s*\d+\s*",
 ]
 FURNITURE = rf"^\s*(?:{'|'.join(FURNITURE_LINES)})\s*$"
+#: IPv4 networks that are not of the public internet.
+NOT_PUBLIC = r"^(?:0|10|127|22[4-9]|23\d|24\d|25[0-5])\.\d+\.\d+\.\d+$|^192\.168\.\d+\.\d+$|^169\.254\.\d+\.\d+$|^172\.(?:1[6-9]|2\d|3[01])\.\d+\.\d+$|^100\.(?:6[4-9]|[7-9]\d|1[01]\d|12[0-7])\.\d+\.\d+$|^192\.0\.[02]\.\d+$|^198\.(?:1[89]\.\d+|51\.100)\.\d+$|^203\.0\.113\.\d+$"
 PRIVATE_HOST = r"^(?:localhost|.*\.local|.*\.internal|.*\.localhost)$"
 # ----
 
@@ -158,20 +162,21 @@ def without_title_line(paras: Column, title: Column) -> Column:
 
 
 def url_host(url: Column) -> Column:
-    return F.lower(F.try_parse_url(url, F.lit("HOST")))
+    return F.rtrim(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit("."))
 
 
 def url_allowed(url: Column, schemes: tuple[str, ...] = ("http", "https"), hosts: list[str] | None = None) -> Column:
     """The static part of an outbound URL guard; name resolution is the fetcher's."""
     host = url_host(url)
-    ok = F.lower(F.try_parse_url(url, F.lit("PROTOCOL"))).isin(*schemes) & host.isNotNull() & ~host.rlike(PRIVATE_HOST) & ~_private_address(host)
+    ok = F.lower(F.try_parse_url(url, F.lit("PROTOCOL"))).isin(*schemes) & (host != "") & ~host.rlike(PRIVATE_HOST) & ~_private_address(host)
     ok = ok & host.isin(*hosts) if hosts else ok
     return F.coalesce(ok, F.lit(False))
 
 
 def _private_address(host: Column) -> Column:
-    """Literal private, loopback, link-local, multicast or unspecified addresses."""
-    return host.rlike(r"^(?:0|10|127|22[4-9]|23\d|24\d|25[0-5])\.\d+\.\d+\.\d+$|^192\.168\.|^169\.254\.|^172\.(?:1[6-9]|2\d|3[01])\.|^\[")
+    """Address literals that are not of the public internet, and numbers that resolvers read as one."""
+    quad = host.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$") & ~host.rlike(r"(?:^|\.)0\d")
+    return host.rlike(NOT_PUBLIC) | host.startswith("[") | (host.rlike(r"(?i)^(?:0x[0-9a-f]*|\d+)(?:\.(?:0x[0-9a-f]*|\d+))*$") & ~quad)
 
 
 def media_asset(url: Column, site: str = "media.example", articles: str = "/news/") -> Column:
@@ -250,19 +255,27 @@ def parse_slots(text: Column, n: Column) -> Column:
 # ------------------------------------------------------- paragraph arrays in a row
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def clean_array(paras: Column) -> Column:
     """The paragraph cleaner over an array: for bodies that are one row already."""
     kept = F.filter(F.transform(paras, collapse), lambda p: (p != "") & ~junk_paragraph(p))
-    apart = F.transform(F.arrays_zip(kept.alias("p"), F.concat(F.array(F.lit(None).cast("string")), kept).alias("q")), lambda x: F.when(~x["p"].eqNullSafe(x["q"]), x["p"]))
-    apart = F.filter(apart, lambda x: x.isNotNull())
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("open"))
+    apart = _let(kept, lambda k: F.filter(k, lambda p, i: (i == 0) | (p != F.get(k, i - 1))))
 
     def step(acc: Column, p: Column) -> Column:
-        n = F.size(acc["out"])
-        joined = F.concat(F.slice(acc["out"], F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(F.concat(F.try_element_at(acc["out"], F.lit(-1)), F.lit(" "), p)))
-        return F.struct(F.when(acc["open"], joined).otherwise(F.concat(acc["out"], F.array(p))).alias("out"), (~acc["open"] & short_sentence(p)).alias("open"))
+        # a 1 for a paragraph that joins the one before it
+        return F.struct(F.concat(acc["joins"], F.when(acc["open"], "1").otherwise("0")).alias("joins"), (~acc["open"] & short_sentence(p)).alias("open"))
+
+    def merged(all_: Column) -> Column:
+        start = F.struct(F.lit("").alias("joins"), F.lit(False).alias("open"))
+        lead = lambda joins: lambda p, i: F.concat(F.when(F.substr(joins, i + 1, F.lit(1)) == "1", " ").otherwise(SEPARATOR), p)
+        text = F.aggregate(all_, start, step, lambda acc: F.array_join(F.transform(all_, lead(acc["joins"])), ""))
+        return F.when(F.size(all_) == 0, F.array().cast("array<string>")).otherwise(F.split(F.substr(text, F.lit(2)), SEPARATOR))
 
-    return F.aggregate(apart, start, step, lambda acc: acc["out"])
+    return F.when(paras.isNotNull(), _let(apart, merged))
 
 
 def clean_body(body: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusflow.storage import spread
+
 MAX_WORDS, MAX_HITS = 4, 8
 #: Terms up to which a glossary is broadcast; it is shuffled beyond.
 BROADCAST_TERMS = 500_000
@@ -14,21 +16,20 @@ def hits(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text: str =
     """``id, rank, term`` (and the glossary's columns): distinct terms of windows of
     1 to 4 words, in order of first place and length, at most ``max_hits``.
 
-    ``terms`` has a unique lower-case ``term``. Windows meet the glossary first;
-    only hits are shuffled.
+    ``terms`` has a unique lower-case ``term``. A window is built only where a word
+    is the first of some term, and only hits are shuffled.
     """
     words = F.split(F.coalesce(F.col(text), F.lit("")), r"[^A-Za-z0-9\-]+")
-    own = docs.select(id_col, words.alias("w"))
-    lengths = F.array(*[F.lit(k) for k in range(1, MAX_WORDS + 1)])
-    gram = lambda i, n: F.lower(F.btrim(F.array_join(F.filter(F.slice("w", i + 1, n), lambda x: x.isNotNull()), " "), F.lit(".-")))
-    windows = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.size("w") - 1),
-            lambda i: F.transform(F.filter(lengths, lambda n: i + n <= F.size("w")), lambda n: F.struct((i * 10 + n).alias("place"), gram(i, n).alias("term"))),
-        )
-    )
-    grams = own.select(id_col, F.explode(windows).alias("g")).select(id_col, "g.place", "g.term").filter("term <> ''")
-    side = F.broadcast(terms) if terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else terms
+    bare = lambda c: F.btrim(c, F.lit(".-"))
+    small = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    hint = F.broadcast if small else lambda df: df
+    heads = terms.select(bare(F.substring_index("term", " ", 1)).alias("head")).distinct()
+    at = spread(docs.select(id_col, text)).select(id_col, words.alias("w")).select(id_col, "w", F.posexplode("w").alias("i", "x"))
+    at = at.join(hint(heads), bare(F.lower("x")) == F.col("head"), "left_semi")
+    gram = lambda n: bare(F.lower(F.array_join(F.slice("w", F.col("i") + 1, n), " ")))
+    windows = F.array(*[F.when(F.col("i") + n <= F.size("w"), F.struct((F.col("i") * 10 + n).alias("place"), gram(n).alias("term"))) for n in range(1, MAX_WORDS + 1)])
+    grams = at.select(id_col, F.explode(windows).alias("g")).select(id_col, "g.place", "g.term").filter("term <> ''")
+    side = hint(terms)
     first = grams.join(side, "term").groupBy(id_col, "term", *[c for c in terms.columns if c != "term"]).agg(F.min("place").alias("place"))
     rank = F.row_number().over(Window.partitionBy(id_col).orderBy("place"))
     return first.withColumn("rank", rank).filter(F.col("rank") <= max_hits).drop("place")

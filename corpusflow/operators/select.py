@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusflow.storage import checkpointed
+
 
 def first_wins(df: DataFrame, keys: list[str], order: list, bypass: Column | None = None) -> DataFrame:
     """One row for each key, the first in ``order``; rows where ``bypass`` holds all stay.
@@ -36,6 +38,18 @@ def top_n(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
     return df.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
+def first_of_each(df: DataFrame, keys: list[str], order: str, n: int, salts: int = 32) -> DataFrame:
+    """The first ``n`` rows of each key in ``order``, in two steps for hot keys.
+
+    A key's rows are first ranked in ``salts`` parts apart, so no task sorts more
+    than a part of a key, then among the at most ``salts * n`` that are left.
+    """
+    salt = F.pmod(F.xxhash64(order), F.lit(salts))
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(order))
+    part = df.withColumn("salt_", salt).withColumn("rank_", rank(*keys, "salt_")).filter(F.col("rank_") <= n)
+    return part.withColumn("rank_", rank(*keys)).filter(F.col("rank_") <= n).drop("salt_", "rank_")
+
+
 def budget(df: DataFrame, order: list, todo: str, cap: int) -> DataFrame:
     """How much of ``todo`` a running total grants each row, in order, up to ``cap``.
 
@@ -43,7 +57,8 @@ def budget(df: DataFrame, order: list, todo: str, cap: int) -> DataFrame:
     each range is ordered by itself and starts from the sum of those before it.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartitionByRange(n, *order).withColumn("part_", F.spark_partition_id())
+    # computed once: ranges drawn anew could part the rows elsewhere
+    parts = checkpointed(df.repartitionByRange(n, *order).withColumn("part_", F.spark_partition_id()))
     inside = Window.partitionBy("part_").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     totals = parts.groupBy("part_").agg(F.sum(todo).alias("sum_"))  # one row a range
     before = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,6 +81,25 @@ def context(df: DataFrame, key: str, order: str, text: str, width: int = 200) ->
     return df.withColumn("prev", F.substring(F.lag(text).over(w), 1, width)).withColumn("head", F.first(text, ignorenulls=True).over(whole))
 
 
+def in_requests(df: DataFrame, order: list, todo: str, size: int, cap: int) -> DataFrame:
+    """With ``requests`` (calls of ``size`` for what is to do) and ``deferred``: whether those
+    before it, in order, have used up ``cap`` calls already."""
+    own = df.withColumn("requests", F.ceil(F.col(todo) / size).cast("long"))
+    own = budget(own, order, "requests", cap)
+    return own.withColumn("deferred", (F.col("requests") > 0) & (F.col("granted") == 0)).drop("granted")
+
+
+def title_targets(items: DataFrame) -> DataFrame:
+    """Items whose title has no translation yet."""
+    return items.filter((F.trim(F.coalesce("title", F.lit(""))) != "") & (F.trim(F.coalesce("title_out", F.lit(""))) == ""))
+
+
+def full_targets(items: DataFrame, ts: str, now: Column, days: int = 3) -> DataFrame:
+    """Items with a body that is not translated, of the last ``days`` or without time."""
+    todo = items.filter(~F.col("state").eqNullSafe(F.lit("ok")) & (F.trim(F.coalesce("body", F.lit(""))) != ""))
+    return lookback(todo, ts, now, F.lit(days))
+
+
 def needs_work(body: Column, state: Column, title_done: Column, locked: Column, summary_done: Column) -> Column:
     """Whether a document still needs translating."""
     return (F.coalesce(F.trim(body), F.lit("")) != "") & (~state.eqNullSafe(F.lit("ok")) | (~title_done & ~locked) | ~summary_done)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from corpusflow.functions import text as T
 from corpusflow.operators import carryover, enrich, glossary, graph, html, paragraphs, select
 from corpusflow.registry import query
-from corpusflow.sources import sinks
+from corpusflow.sources import feeds, sinks
+from corpusflow.storage import checkpointed, spread
 
 #: The end of the data's time span; queries never read the clock.
 NOW = "2024-01-31 00:00:00"
@@ -94,7 +95,7 @@ def _with_furniture(spark, d):
     FROM ({_LINES})""",
 )
 def q07(spark, d):
-    own = _with_furniture(spark, d)
+    own = spread(_with_furniture(spark, d))
     return own.select("doc_id", T.without_furniture(F.col("text")).alias("body"))
 
 
@@ -130,7 +131,7 @@ def q10(spark, d):
 
 @query("q10b_clean_in_row", f"WITH {_SQL_PARAS}, {_SQL_JUNK}, {_SQL_APART}, {_SQL_MERGED} SELECT doc_id, coalesce(body, '') AS body FROM documents LEFT JOIN (SELECT doc_id, string_agg(para, chr(10) || chr(10) ORDER BY pos) AS body FROM m GROUP BY doc_id) USING (doc_id)")
 def q10b(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.array_join(T.clean_array(F.split("text", "\n")), "\n\n").alias("body"))
+    return spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.array_join(T.clean_array(F.split("text", "\n")), "\n\n").alias("body"))
 
 
 # ------------------------------------------------------------------------ pages
@@ -351,9 +352,7 @@ def q24(spark, d):
 def q24b(spark, d):
     p = table(spark, d, "part").select(F.col("p_partkey").alias("item"), F.col("p_name").alias("label"))
     roots = spark.createDataFrame([("red widget", 7), ("blue bolt", 7), ("small ring", 7)], "label string, curated long")
-    found = p.join(F.broadcast(roots), "label").join(_edges(spark, d).select(F.col("child").alias("item")), "item", "left_semi").distinct()
-    top = select.top_n(found, ["label"], [F.col("item") != F.col("curated"), F.col("item")], graph.ROOTS_KEPT)
-    return top.select("label", "item", F.col("rank").cast("long").alias("rank"))
+    return graph.resolve_roots(p, _edges(spark, d), F.broadcast(roots)).select("label", "item", F.col("rank").cast("long").alias("rank"))
 
 
 @query("q24c_terms_first_class", "SELECT p_name AS term, min(p_brand) AS class, count(*) AS n FROM part GROUP BY p_name")
@@ -459,7 +458,7 @@ def q32(spark, d):
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("ts"), "event_id")).cast("long"))
 
 
-@query("q33_enrichment")
+@query("q33_enrichment", f"WITH {_SQL_PARAS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, para AS text, upper(replace(para, 'ß', 'ss')) AS out, 'chunk' AS via FROM p")
 def q33(spark, d):
     rows = paragraphs.explode(table(spark, d, "documents"), separator="\n").select("doc_id", "pos", F.col("para").alias("text"))
     return enrich.enrich(rows, enrich.Stub(), _stored)
@@ -467,11 +466,89 @@ def q33(spark, d):
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """A checkpoint: a client's answers are never asked for again."""
-    graph._checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    return checkpointed(df)
 
 
 @query("q34_glossary_prompt", "SELECT lang, string_agg(source || '=' || lang, '; ' ORDER BY n, source) AS line FROM (SELECT lang, source, min(doc_id) AS n FROM documents GROUP BY ALL) GROUP BY lang")
 def q34(spark, d):
     terms = table(spark, d, "documents").groupBy("lang", "source").agg(F.min("doc_id").alias("rank")).select("lang", "rank", F.col("source").alias("term"), F.col("lang").alias("target"))
     return terms.groupBy("lang").agg(enrich.glossary_line().alias("line"))
+
+
+# ----------------------------------------------------- targets, budgets, fallbacks
+
+_DONE = """SELECT doc_id, source AS title, text AS body, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'x' END AS title_out, CASE doc_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'failed' END AS state,
+    CASE WHEN doc_id % 10 <> 9 THEN TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY * (doc_id % 10) END AS pub FROM documents"""
+
+
+@query(
+    "q35_targets",
+    f"""WITH i AS ({_DONE}) SELECT doc_id, 'title' AS target FROM i WHERE trim(coalesce(title, '')) <> '' AND trim(coalesce(title_out, '')) = ''
+    UNION ALL SELECT doc_id, 'full' FROM i WHERE state IS DISTINCT FROM 'ok' AND trim(coalesce(body, '')) <> '' AND (pub IS NULL OR pub >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 3 DAY)""",
+)
+def q35(spark, d):
+    k, now = F.col("doc_id"), F.lit(NOW).cast("timestamp_ntz")
+    own = table(spark, d, "documents").select("doc_id", F.col("source").alias("title"), F.col("text").alias("body"), F.when(k % 3 == 0, "").when(k % 3 == 2, "x").alias("title_out"), F.when(k % 4 == 0, "ok").when(k % 4 == 1, "failed").alias("state"), F.when(k % 10 != 9, now - F.make_dt_interval((k % 10).cast("int"))).alias("pub"))
+    return select.title_targets(own).select("doc_id", F.lit("title").alias("target")).unionByName(select.full_targets(own, "pub", now).select("doc_id", F.lit("full").alias("target")))
+
+
+@query(
+    "q36_request_budget",
+    """SELECT doc_id, requests, requests > 0 AND coalesce(sum(requests) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= 500 AS deferred
+    FROM (SELECT doc_id, CAST(ceil(len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x) <> '')) / 6) AS BIGINT) AS requests FROM documents)""",
+)
+def q36(spark, d):
+    own = table(spark, d, "documents").select("doc_id", F.size(T.paragraphs(F.col("text"), "\n")).cast("long").alias("todo"))
+    return select.in_requests(own, ["doc_id"], "todo", enrich.PARA_CHUNK, 500).select("doc_id", "requests", "deferred")
+
+
+@query(
+    "q37_body_fallback",
+    """WITH o AS (SELECT doc_id, doc_id % 3 = 0 AS media, CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(coalesce(text, ''), 1, 50) END AS body, CASE WHEN doc_id % 4 = 0 THEN '' ELSE source END AS feed, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE lang END AS said FROM documents)
+    SELECT doc_id, CASE status WHEN 'caption_feed' THEN feed WHEN 'summary' THEN feed WHEN 'caption_page' THEN said WHEN 'page' THEN body ELSE '' END AS body, status FROM
+    (SELECT *, CASE WHEN media AND feed <> '' THEN 'caption_feed' WHEN media AND said <> '' THEN 'caption_page' WHEN body <> '' THEN 'page' WHEN feed <> '' THEN 'summary' ELSE 'empty' END AS status FROM o)""",
+)
+def q37(spark, d):
+    k = F.col("doc_id")
+    own = table(spark, d, "documents").select("doc_id", (k % 3 == 0).alias("media"), F.when(k % 5 == 0, "").otherwise(F.substring(F.coalesce("text", F.lit("")), 1, 50)).alias("body"), F.when(k % 4 == 0, "").otherwise(F.col("source")).alias("feed"), F.when(k % 7 != 0, F.col("lang")).alias("said"))
+    parts = [F.col(c) for c in ("media", "body", "feed", "said")]
+    return own.select("doc_id", html.body_or_fallback(*parts).alias("body"), html.fetch_status(*parts).alias("status"))
+
+
+@query("q38_indexed_enrichment", f"WITH {_SQL_PARAS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, upper(replace(para, 'ß', 'ss')) AS out, CASE WHEN length(para) % 7 = 0 THEN 'single' ELSE 'chunk' END AS via FROM p WHERE length(para) > 20 AND regexp_matches(para, '^[A-Za-z].*[a-z.]$')")
+def q38(spark, d):
+    rows = paragraphs.explode(table(spark, d, "documents"), separator="\n").select("doc_id", "pos", F.col("para").alias("text"))
+    rows = rows.filter((F.length("text") > 20) & F.col("text").rlike("^[A-Za-z].*[a-z.]$")).withColumn("head", F.lit("head"))
+    return enrich.enrich(rows, enrich.Stub(), _stored, form="indexed").select("doc_id", "pos", "out", "via")
+
+
+@query("q39_titles", f"SELECT page_id AS doc_id, upper(t) AS title_out, 'OF ' || upper(t) AS summary_out, 'chunk' AS via FROM (SELECT page_id, trim({_TITLE}) AS t FROM pages)")
+def q39(spark, d):
+    own = table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.trim(_title()).alias("title"))
+    return enrich.titles(own.withColumn("summary", F.concat(F.lit("of "), "title")), enrich.Stub(), _stored)
+
+
+@query(
+    "q40_resume",
+    f"""WITH {_SQL_PARAS}, i AS (SELECT doc_id, list(para ORDER BY pos) AS p FROM p GROUP BY doc_id),
+    t AS (SELECT *, CAST(len(p) - least(len(p), doc_id % 3) AS BIGINT) AS todo, least(len(p), doc_id % 3) AS old FROM i),
+    g AS (SELECT *, least(todo, greatest(0, 3000 - coalesce(sum(todo) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS granted FROM t)
+    SELECT doc_id, CAST(old + granted AS INTEGER) AS n_done, todo > 0 AND granted = 0 AS deferred FROM g""",
+)
+def q40(spark, d):
+    own = paragraphs.explode(table(spark, d, "documents"), separator="\n").groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "para"))), lambda x: x["para"]).alias("paras"))
+    own = own.withColumn("paras_out", F.transform(F.slice("paras", F.lit(1), (F.col("doc_id") % 3).cast("int")), lambda _: F.lit("done")))
+    return enrich.resume(own, enrich.Stub(), _stored, ["doc_id"], 3000, 10**9).select("doc_id", "n_done", "deferred")
+
+
+@query("q41_stage_order", "SELECT page_id AS doc_id, upper(t) AS title_out, CASE WHEN page_id % 2 = 0 THEN upper(s) END AS summary_out, 'ok' AS state FROM (SELECT page_id, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS t, 'summary of ' || page_id AS s FROM pages)")
+def q41(spark, d):
+    own = table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.trim(_title()).alias("title"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("summary of "), F.col("page_id").cast("string"))).alias("summary"), F.array(F.lit("one text"), F.lit("another text")).alias("paras"))
+    return enrich.staged(own, enrich.Stub(), _stored, form="indexed").select("doc_id", "title_out", "summary_out", "state")
+
+
+@query("q42_channel_status", "SELECT source AS channel, count(*) FILTER (doc_id % 2 = 0) AS n, CASE WHEN count(*) FILTER (doc_id % 2 = 0) = 0 THEN 'error' ELSE 'ok' END AS status FROM documents GROUP BY source")
+def q42(spark, d):
+    good = F.col("doc_id") % 2 == 0
+    own = table(spark, d, "documents").select(F.col("source").alias("channel"), F.when(good, "ok").otherwise("error").alias("status"), F.when(good, "http://x").alias("link"), F.when(~good, "broken").alias("error"))
+    return feeds.channel_status(own, "channel").select("channel", "n", "status")

@@ -11,6 +11,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.utils import AnalysisException
 
 from corpusflow.functions import text as X
+from corpusflow.operators import html
 
 _TEXT, _TEXTS, _INT = T.StringType(), T.ArrayType(T.StringType()), T.IntegerType()
 
@@ -19,7 +20,7 @@ def _schema(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(k, v) for k, v in fields.items()])
 
 
-CHANNEL = _schema(id=_TEXT, name=_TEXT, feeds=_TEXTS, full=_TEXT, selectors=_TEXTS, lookback=_INT)
+CHANNEL = _schema(id=_TEXT, name=_TEXT, feeds=_TEXTS, full=_TEXT, selectors=_TEXTS, lookback=_INT, ua=_TEXT)
 ENTRY = _schema(link=_TEXT, title=_TEXT, author=_TEXT, pubDate=_TEXT, published=_TEXT, updated=_TEXT, summary=_TEXT, description=_TEXT, content=_TEXT)
 ITEM = _schema(
     **{k: _TEXT for k in "url title author pubDate summary body channel channelName titleZh summaryZh".split()},
@@ -45,19 +46,39 @@ def feed_files(spark: SparkSession, path: str, row_tag: str = "item") -> DataFra
 
 
 def entries(raw: DataFrame) -> DataFrame:
-    """Feed entries as items: fields chosen, cleaned and cut."""
-    html = X.or_else(F.col("content"), F.col("summary"), F.col("description"))
+    """Feed entries as items: fields chosen, cleaned and cut.
+
+    Where a column ``full`` says ``content``, the entry's content, else its summary, is
+    the body, through the fragment route and the cleaner; elsewhere the body is the
+    page's and stays empty here. A column ``authors`` (names) stands in for a missing
+    author.
+    """
+    content = F.coalesce(F.col("full") == "content", F.lit(False)) if "full" in raw.columns else F.lit(False)
+    said = X.or_else(F.col("summary"), F.col("description"))
+    raw_body = F.when(content, X.or_else(F.col("content"), said)).otherwise(said)
     when = F.coalesce(X.timestamp(F.col("published")), X.timestamp(F.col("updated")), X.timestamp(F.col("pubDate")))
-    keep = [c for c in raw.columns if c not in ENTRY.names]
-    return raw.filter(F.coalesce("link", F.lit("")) != "").select(
+    keep = [c for c in raw.columns if c not in (*ENTRY.names, "authors")]
+    names = F.col("authors") if "authors" in raw.columns else F.array().cast("array<string>")
+    own = raw.filter(F.trim(F.coalesce("link", F.lit(""))) != "").select(
         *keep,
-        F.col("link").alias("url"),
+        F.trim("link").alias("url"),
         X.collapse(X.strip_gallery(F.col("title"))).alias("title"),
-        X.or_else(F.col("author")).alias("author"),
+        X.collapse(X.authors(X.strip_tags(F.col("author")), names)).alias("author"),
         when.alias("pub_ts"),
-        X.summary(X.or_else(F.col("summary"), F.col("description"))).alias("summary"),
-        html.alias("raw_body"),
+        raw_body.alias("raw_body"),
+        F.when(content, html.fragment(raw_body)).otherwise("").alias("whole_"),
     )
+    own = own.withColumn("body", X.clean_body(F.col("whole_"))).drop("whole_")
+    return own.withColumn("summary", X.summary(X.or_else(F.col("body"), F.col("raw_body"))))
+
+
+def channel_status(rows: DataFrame, by: str = "feed_channel") -> DataFrame:
+    """``by, n, status, error``: a channel fails only if no feed of it gave an entry and one failed."""
+    ok = (F.col("status") == "ok") & (F.coalesce("link", F.lit("")) != "")
+    errors = F.sort_array(F.collect_set("error"))  # a message a feed, at most
+    own = rows.groupBy(by).agg(F.count_if(ok).alias("n"), F.substring(F.array_join(errors, "; "), 1, 400).alias("error"))
+    failed = (F.col("n") == 0) & (F.col("error") != "")
+    return own.select(by, "n", F.when(failed, "error").otherwise("ok").alias("status"), F.when(failed, F.col("error")).alias("error"))
 
 
 class FeedReader(DataSourceReader):

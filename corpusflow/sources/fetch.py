@@ -6,6 +6,11 @@ follows no redirects by itself.
 
 from __future__ import annotations
 
+import contextlib
+import ipaddress
+import json
+import random
+import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -21,7 +26,11 @@ from corpusflow.shipping import ship
 #: Attempts, hops, seconds between pages of a host, waits after an HTTP and another error.
 ATTEMPTS, HOPS, SPACING = 3, 5, 2.5
 HTTP_WAIT, OTHER_WAIT = 6.0, 1.5
+#: Seconds that chance adds to a pause, at most.
+JITTER = 1.5
 SCHEMA = "url string, body binary, status int, error string"
+_RESERVED_NAME = re.compile(r"(?:localhost|.*\.(?:local|internal|localhost))$", re.I)
+_NUMBERS = re.compile(r"(?:0x[0-9a-f]*|\d+)(?:\.(?:0x[0-9a-f]*|\d+))*", re.I)
 
 
 @dataclass
@@ -31,22 +40,57 @@ class Response:
     location: str | None = None
 
 
-def allowed(url: str) -> bool:
-    """The static guard, for redirects met while fetching."""
+def public(address: str) -> bool:
+    """Whether an address literal is one of the public internet."""
+    own = ipaddress.ip_address(address.partition("%")[0])
+    own = getattr(own, "ipv4_mapped", None) or own
+    return own.is_global and not (own.is_multicast or own.is_reserved or own.is_unspecified or own.is_loopback or own.is_link_local)
+
+
+def allowed(url: str, resolve: Callable[[str], list[str]] | None = None, schemes: tuple[str, ...] = ("http", "https"), hosts: set[str] | None = None) -> bool:
+    """The guard of every request and redirect: scheme, host name, address.
+
+    ``resolve(host)`` gives the addresses of a name, all of which must be public; it
+    raises if there is none. Without it only what is an address already is judged:
+    also one that is written as a single or an octal or hexadecimal number.
+    """
+    try:
+        parts = urlsplit(url)
+        host = (parts.hostname or "").lower().rstrip(".")
+        parts.port  # noqa: B018  raises if it is none
+    except ValueError:
+        return False
+    if parts.scheme not in schemes or not host or _RESERVED_NAME.match(host) or hosts is not None and host not in hosts:
+        return False
+    with contextlib.suppress(ValueError):
+        return public(host)
+    if _NUMBERS.fullmatch(host):  # resolvers read these as addresses, in one way or another
+        return False
+    if resolve is None:
+        return True
+    try:
+        found = resolve(host)
+    except OSError:
+        return False
+    return bool(found) and all(public(a) for a in found)
+
+
+def loopback(url: str, port: int | None = None) -> str:
+    """``url`` if it is one of this machine's own, for a model server beside the engine."""
     parts = urlsplit(url)
-    host = (parts.hostname or "").lower()
-    private = host in ("localhost", "") or host.endswith((".local", ".internal", ".localhost")) or host.startswith(("10.", "127.", "192.168.", "169.254.", "0."))
-    return parts.scheme in ("http", "https") and not private and ":" not in host
+    if parts.scheme != "http" or parts.hostname not in ("127.0.0.1", "localhost", "::1") or port is not None and parts.port != port:
+        raise ValueError(f"not a local endpoint: {url[:100]}")
+    return url
 
 
-def get(url: str, client: Callable[[str], Response], attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep) -> Response:
+def get(url: str, client: Callable[[str], Response], attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep, resolve: Callable[[str], list[str]] | None = None) -> Response:
     """One page, through guarded redirects; waits grow with the attempt, client errors end at once."""
     error: Exception | None = None
     for k in range(attempts):
         try:
             at = url
             for _ in range(HOPS + 1):
-                if not allowed(at):
+                if not allowed(at, resolve):
                     raise ValueError(f"not allowed: {at}")
                 found = client(at)
                 if found.location is None:
@@ -67,11 +111,13 @@ def get(url: str, client: Callable[[str], Response], attempts: int = ATTEMPTS, s
     raise error or OSError("no attempt")
 
 
-def fetch(urls: DataFrame, client: Callable[[str], Response], spacing: float = SPACING, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+def fetch(urls: DataFrame, client: Callable[[str], Response], spacing: float = SPACING, sleep: Callable[[float], None] = time.sleep, jitter: float = JITTER, resolve: Callable[[str], list[str]] | None = None, one_by_one: bool = False) -> DataFrame:
     """``url, body, status, error`` of allowed urls: a host's pages one after another, spaced.
 
-    Hosts are dealt out over the tasks; a failed page is a row. Write the result
-    once: a second use would fetch again.
+    Hosts are dealt out over the tasks, or with ``one_by_one`` all pages follow one
+    another, for a client that must send one request at a time to whatever host; a
+    pause is ``spacing`` and up to ``jitter`` seconds more. A failed page is a row.
+    Write the result once: a second use would fetch again.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,12 +125,12 @@ def fetch(urls: DataFrame, client: Callable[[str], Response], spacing: float = S
         for frame in frames:
             out = []
             for url in frame["url"]:
-                host = urlsplit(url).hostname or ""
-                rest = last.get(host, 0.0) + spacing - time.monotonic()
+                host = "" if one_by_one else urlsplit(url).hostname or ""
+                rest = last.get(host, 0.0) + spacing + random.uniform(0, jitter) - time.monotonic()
                 if host in last and rest > 0:
                     sleep(rest)
                 try:
-                    r = get(url, client, sleep=sleep)
+                    r = get(url, client, sleep=sleep, resolve=resolve)
                     out.append((url, r.body, r.status, None))
                 except Exception as e:
                     out.append((url, None, None, str(e)[:200]))
@@ -93,4 +139,13 @@ def fetch(urls: DataFrame, client: Callable[[str], Response], spacing: float = S
 
     ship(urls.sparkSession)
     own = urls.select("url").filter(T.url_allowed(F.col("url"))).distinct()
-    return own.repartition(T.url_host(F.col("url"))).mapInPandas(run, SCHEMA)
+    own = own.repartition(1) if one_by_one else own.repartition(T.url_host(F.col("url")))
+    return own.mapInPandas(run, SCHEMA)
+
+
+def json_of(url: str, client: Callable[[str], Response], **guard) -> dict:
+    """The JSON document at a url, through ``get``."""
+    found = get(url, client, **guard)
+    if found.status >= 400:
+        raise OSError(f"status {found.status}")
+    return json.loads(found.body)

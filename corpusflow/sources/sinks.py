@@ -1,8 +1,11 @@
-"""Sinks: nested snapshot, staged swap, versioned commit, conditional commit, run statistics."""
+"""Sinks: nested snapshot, staged swap, versioned commit, conditional commit, run statistics and log."""
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,18 +35,44 @@ def export_snapshot(items: DataFrame, updated_at: str, path: str) -> bool:
 
 
 def swap(df: DataFrame, path: str) -> None:
-    """Write beside ``path`` and rename, so that ``df`` may read ``path``."""
+    """Write beside ``path`` and rename, so that ``df`` may read ``path``.
+
+    If the writer ends between the two renames, the table lies in a folder
+    ``<path>.<id>.old``, from which ``exists`` and ``read`` bring it back.
+    """
     spark = df.sparkSession
+    exists(spark, path)
     staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     df.write.parquet(staged)
     fs, target = _fs(spark, path)
-    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staged}.old")
+    old = _fs(spark, f"{staged}.old")[1]
     if fs.exists(target):
         fs.rename(target, old)
-    fs.rename(_fs(spark, staged)[1], target)
+    if not fs.rename(_fs(spark, staged)[1], target):
+        exists(spark, path)
+        raise OSError(f"could not put the new table at {path}")
     fs.delete(old, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``, after a swap that was cut short is undone."""
+    fs, target = _fs(spark, path)
+    if fs.exists(target):
+        return True
+    left = fs.globStatus(_fs(spark, f"{path.rstrip('/')}.*.old")[1]) or []
+    newest = sorted(left, key=lambda s: s.getModificationTime())[-1:]
+    return bool(newest) and bool(fs.rename(newest[0].getPath(), target))
+
+
+def read(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The table at ``path``; without one, no rows of ``schema``."""
+    if not exists(spark, path):
+        if schema is None:
+            raise FileNotFoundError(path)
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+
+
 def current_version(spark: SparkSession, path: str) -> int:
     fs, root = _fs(spark, path)
     if not fs.exists(root):
@@ -74,6 +103,48 @@ def commit(df: DataFrame, path: str, expected: int) -> int:
     return version
 
 
+def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The rows of a committed version, by default the latest."""
+    version = current_version(spark, path) if version is None else version
+    fs, marker = _fs(spark, f"{path.rstrip('/')}/commit-{version}")
+    if not fs.exists(marker):
+        raise FileNotFoundError(f"{path} has no version {version}")
+    stream = fs.open(marker)
+    data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return spark.read.parquet(data)
+
+
+@contextmanager
+def exclusive(spark: SparkSession, path: str, stale: float = 6 * 3600, now=time.time) -> Iterator[None]:
+    """The only writer at ``path`` while it lasts; raises if there is another.
+
+    A lock that is older than ``stale`` seconds is of a writer that ended without it.
+    """
+    fs, lock = _fs(spark, f"{path.rstrip('/')}.lock")
+    if fs.exists(lock) and now() - fs.getFileStatus(lock).getModificationTime() / 1000 > stale:
+        fs.delete(lock, False)
+    try:
+        fs.create(lock, False).close()
+    except Exception as e:
+        raise RuntimeError(f"{path} has another writer") from e
+    try:
+        yield
+    finally:
+        fs.delete(lock, False)
+
+
+def log_run(stats: DataFrame, path: str, **about: str) -> None:
+    """Append the one row of a run's statistics, with what is said ``about`` it."""
+    stats.select(*[F.lit(str(v)).alias(k) for k, v in about.items()], "*").coalesce(1).write.mode("append").json(path)
+
+
+def export_terms(terms: DataFrame, classes: int, path: str, at: str) -> None:
+    """One JSON document with all terms and their number: for a bounded harvest."""
+    own = terms.agg(F.count(F.lit(1)).alias("term_count"), F.sort_array(F.collect_list(F.struct("item", *[c for c in terms.columns if c != "item"]))).alias("terms"))
+    own.select(F.lit(at).alias("generated_at"), F.lit(classes).alias("classes_visited"), "term_count", "terms").write.mode("overwrite").json(path)
+
+
 def commit_if_changed(delta: DataFrame, path: str, expected: int) -> int:
     """``commit`` if there are rows, else the version as it is."""
     return expected if delta.isEmpty() else commit(delta, path, expected)

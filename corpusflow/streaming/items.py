@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,13 +23,25 @@ def counts(events: DataFrame, ts: str = "ts", width: str = "1 day", delay: str =
     return events.withWatermark(ts, delay).groupBy(F.window(ts, width).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("day"), "event_type", "n", "total")
 
 
-def upsert(new: DataFrame, path: str, checkpoint: str, key: str = "url", ts: str = "pub_ts") -> StreamingQuery:
-    """Keep the latest row for each key at ``path``; a repeated batch changes nothing."""
+def recent(items: DataFrame, channels: DataFrame, ts: str = "pub_ts", now: Column | None = None) -> DataFrame:
+    """Items of ``channels(channel, lookback)`` within their channel's days; items without time stay."""
+    own = items.join(F.broadcast(channels.select("channel", "lookback")), "channel")  # a catalogue
+    limit = (F.current_timestamp() if now is None else now) - F.make_dt_interval("lookback")
+    return own.filter(F.col(ts).isNull() | (F.col(ts) >= limit)).drop("lookback")
+
+
+def upsert(new: DataFrame, path: str, checkpoint: str, key: str = "url", ts: str = "pub_ts", carry: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Keep the latest row for each key at ``path``; a repeated batch changes nothing.
+
+    ``carry(batch, table)`` may bring what is known of earlier versions forward
+    before the batch is merged (columns as in the batch).
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
         spark: SparkSession = batch.sparkSession
-        fs, target = sinks._fs(spark, path)
-        both = batch.unionByName(spark.read.schema(batch.schema).parquet(path)) if fs.exists(target) else batch
+        known = sinks.read(spark, path, batch.schema)
+        own = carry(batch, known).select(*batch.columns) if carry else batch
+        both = own.unionByName(known)
         best = F.max_by(F.struct(*both.columns), F.coalesce(F.col(ts).cast("double"), F.lit(0.0)))
         sinks.swap(both.groupBy(key).agg(best.alias("row")).select("row.*"), path)
 
