@@ -98,4 +98,5 @@ def harvest(classes: DataFrame, fetch, known: DataFrame | None = None) -> tuple[
 
 def distinct_terms(terms: DataFrame, key: str = "item", by: str = "class") -> DataFrame:
     """One row for each ``key``: that of the first ``by``."""
-    return terms.groupBy(key).agg(F.min_by(F.struct(*[c for c in terms.columns if c != key]), by).alias("row")).select(key, "row.*")
+    rest = [c for c in terms.columns if c != key]
+    return terms.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(by, *rest)).alias("row")).select(key, "row.*")

@@ -357,8 +357,9 @@ def q24b(spark, d):
 
 @query("q24c_terms_first_class", "SELECT p_name AS term, min(p_brand) AS class, count(*) AS n FROM part GROUP BY p_name")
 def q24c(spark, d):
-    p = table(spark, d, "part")
-    return p.groupBy(F.col("p_name").alias("term")).agg(F.min("p_brand").alias("class"), F.count(F.lit(1)).alias("n"))
+    own = table(spark, d, "part").select(F.col("p_name").alias("item"), F.col("p_brand").alias("class"))
+    counts = own.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    return graph.distinct_terms(own).join(counts, "item").select(F.col("item").alias("term"), "class", "n")
 
 
 # ---------------------------------------------------------------------- dedup

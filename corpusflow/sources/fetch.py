@@ -143,6 +143,18 @@ def fetch(urls: DataFrame, client: Callable[[str], Response], spacing: float = S
     return own.mapInPandas(run, SCHEMA)
 
 
+def routed(plain: Callable[[str], Response], special: Callable[[str], Response] | None, hosts: set[str]) -> Callable[[str], Response]:
+    """A client that asks some hosts, with their subdomains, through a ``special`` client
+    (such as one with a browser's handshake) where there is one, and all others as ever."""
+
+    def client(url: str) -> Response:
+        host = (urlsplit(url).hostname or "").lower()
+        theirs = any(host == h or host.endswith("." + h) for h in hosts)
+        return (special if special and theirs else plain)(url)
+
+    return client
+
+
 def json_of(url: str, client: Callable[[str], Response], **guard) -> dict:
     """The JSON document at a url, through ``get``."""
     found = get(url, client, **guard)

@@ -266,3 +266,34 @@ def test_a_long_body_in_a_row(spark):
         want.append(f"{body[k]} {body[k + 1]}" if body[k] == "Yes." and k + 1 < len(body) else body[k])
         k += 2 if body[k] == "Yes." and k + 1 < len(body) else 1
     assert got[0]["c"] == want and got[1]["c"] == [] and got[2]["c"] is None
+
+
+def test_clients_by_host():
+    client = fetch.routed(lambda u: "plain", lambda u: "special", {"a.com"})
+    assert [client(f"http://{h}/") for h in ("a.com", "x.a.com", "ba.com")] == ["special", "special", "plain"] and fetch.routed(lambda u: "plain", None, {"a.com"})("http://a.com/") == "plain"
+
+
+def test_recent_items_by_channel(spark):
+    from corpusflow.streaming import items
+
+    rows = [("a", 1, "2024-01-30"), ("a", 2, "2024-01-20"), ("b", 3, "2024-01-20"), ("b", 4, None), ("c", 5, "2024-01-31")]
+    own = spark.createDataFrame(rows, "channel string, id int, d string").selectExpr("channel", "id", "to_timestamp(d) AS pub_ts")
+    got = items.recent(own, spark.createDataFrame([("a", 7), ("b", 30)], "channel string, lookback int"), now=F.lit("2024-01-31").cast("timestamp"))
+    assert sorted(r["id"] for r in got.collect()) == [1, 3, 4]
+
+
+def test_an_upsert_that_carries_forward(spark, tmp_path):
+    from corpusflow.streaming import items
+
+    schema = "url string, pub_ts timestamp, body string, note string"
+    row = lambda url, day, body, note: spark.sql(f"SELECT '{url}' AS url, timestamp'2024-01-{day}' AS pub_ts, '{body}' AS body, {note} AS note").select("url", "pub_ts", "body", F.col("note").cast("string"))
+    source, table = str(tmp_path / "in"), str(tmp_path / "table")
+
+    def carry(batch, known):
+        old = known.select("url", F.col("note").alias("old"))
+        return batch.join(old, "url", "left").withColumn("note", F.coalesce("note", "old"))
+
+    for df in (row("u", "01", "one", "'kept'"), row("u", "02", "two", "null")):
+        df.write.mode("append").parquet(source)
+        items.upsert(spark.readStream.schema(schema).parquet(source), table, str(tmp_path / "state"), carry=carry).awaitTermination()
+    assert [(r["body"], r["note"]) for r in sinks.read(spark, table).collect()] == [("two", "kept")]
