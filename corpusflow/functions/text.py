@@ -21,13 +21,12 @@ ALL_CAPS = "^[A-Z0-9 .,'&()/-]{1,40}$"
 NUMBERS_ONLY = r"^[\d\s.,xX×/|:+-]+$"
 CAPS_PLACE = r"^[A-Z0-9 .,'&()/-]{4,80},\s*UNITED STATES\.?\s*$"
 #: Lines that are page furniture when they make up the whole line, any case.
-FURNITURE_LABELS = ["Date Taken", "Date Posted", "Photo ID", "VIRIN", "Resolution", "Size", "Location", "Web Views", "Downloads", r"High-Res\.?\s*Downloads", "Category", "Filename", "Length", "Originator", "Content ?type", "Status", "Not Released"]
 FURNITURE_LINES = [
     r"(?:IMAGE|AUDIO|VIDEO|GRAPHIC)\s+INFO\s*",
-    rf"(?:{'|'.join(FURNITURE_LABELS)})\s*[:：].*",
+    r"(?:Date Taken|Date Posted|Photo ID|VIRIN|Resolution|Size|Location|Web Views|Downloads|High-Res\.?\s*Downloads|Category|Filename|Length|Originator|Content ?type|Status|Not Released)\s*[:：].*",
     r"\d{1,2}\.\d{1,2}\.\d{4}\s*",
     r"PUBLIC DOMAIN\s*",
-    r"Photo ?by\s*[:：]?\s*.*",
+    r"Photo ?(?:by|By)\s*[:：]?\s*.*",
     r"(?:Video|Audio|Film|Graphic)\s+?by\s*[:：]?\s*.*",
     r"Courtesy\s+(?:Audio|Video|Photo|Image|Graphic)s?\s*[:：]?\s*.*",
     r"This work, .*must comply with.*",
@@ -37,8 +36,13 @@ FURNITURE_LINES = [
     r"OPTIONS\s*",
     r"RELATED\s+(?:LINKS|PRODUCTS|ARTICLES|IMAGES|VIDEOS|NEWS)\s*",
     r"NEWS INFO\s*",
-    r"(?:Register/Login to Download|Register to Download|Validate Your Account|Connect (?:My )?Placements|Add to (?:My )?Albums|Close Download Panel).*",
+    r"Register/Login to Download.*",
+    r"Register to Download.*",
+    r"Validate Your Account.*",
+    r"Connect (?:My )?Placements.*",
+    r"Add to (?:My )?Albums.*",
     r"Download (?:Audio|Video|Image|High-Res|Closed Caption|Transcript|Photo|Assets|Now).*",
+    r"Close Download Panel.*",
     r"VIEW (?:IMAGE|VIDEO|AUDIO) PAGE\s*",
     r"VIEW ORIGINAL\s*",
     r"DOWNLOAD PUBLICATION\s*",
@@ -51,7 +55,8 @@ FURNITURE_LINES = [
     r"EMAIL\s*",
     r"SUBSCRIBE\s*",
     r"Click (?:here|photo) .*",
-    r"(?:View|See) the full story.*",
+    r"View the full story.*",
+    r"See the full story.*",
     r"\d+\s*/\s*\d+\s*",
 ]
 FURNITURE = rf"^\s*(?:{'|'.join(FURNITURE_LINES)})\s*$"
