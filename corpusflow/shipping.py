@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -24,7 +26,9 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _SHIPPED:
         return
     here = Path(__file__).resolve().parent
-    path = Path(tempfile.mkdtemp(prefix="corpusflow-")) / "corpusflow.zip"
+    folder = tempfile.mkdtemp(prefix="corpusflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # the driver serves it until then
+    path = Path(folder) / "corpusflow.zip"
     with zipfile.ZipFile(path, "w") as out:
         for p in sorted(here.rglob("*.py")):
             out.write(p, f"corpusflow/{p.relative_to(here)}")
