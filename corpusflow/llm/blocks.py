@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
 from corpusflow.shipping import ship
+from corpusflow.storage import spread
 
 #: Bytes of text in a block. More bytes: fewer copies of a word, more memory.
 BLOCK_BYTES = 14 << 20
@@ -78,7 +79,7 @@ def exchange(
     schema: str,
     text: str = "text",
     block_bytes: int = BLOCK_BYTES,
-    between: Callable[[DataFrame], Callable] | None = None,
+    after: Callable[[DataFrame], Callable] | None = None,
 ) -> DataFrame:
     """Run the three stages.
 
@@ -86,7 +87,8 @@ def exchange(
     ``DOCS`` and one for each bucket that has items. ``answer(rows)`` takes all
     rows of some whole buckets, in any order, and yields one row for each.
     ``join(rows)`` takes a block's DOCS row and answers, and gives documents.
-    ``between(table)`` may make ``answer`` from the table of the first stage.
+    ``after(replies)`` may make ``join`` from all answers, among them those to no
+    block (a negative number), which then are written before they are joined.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -107,10 +109,12 @@ def exchange(
         C.give_back()
         return out
 
-    table = C.bucketed(docs.mapInArrow(C.in_worker(first), ROW), "blocks", buckets, "block")
-    if between:
-        answer = between(table)
+    table = C.bucketed(spread(docs).mapInArrow(C.in_worker(first), ROW), "blocks", buckets, "block")
     replies = table.filter(F.col("bucket") >= 0).repartitionById(buckets, F.col("bucket")).mapInArrow(C.in_worker(second), ROW)
+    if after:
+        replies = C.materialise(replies, "replies")
+        join = after(replies)
+        replies = replies.filter(F.col("block") >= 0)
     own = table.filter(F.col("bucket") == DOCS).groupBy("block")
     return own.cogroup(replies.groupBy("block")).applyInArrow(third, schema)
 

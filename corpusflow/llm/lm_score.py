@@ -1,26 +1,29 @@
 """Language-model scoring by cross-entropy difference (operator 8).
 
-Two n-gram models over the same vocabulary of code points, one of the target
-documents and one of the background (all documents), of equal order, smoothing
-and, by scaling the background's counts, equal mass. A token's loss under a model
-is the negative log probability of its code points, each given the ``ORDER - 1``
-before it in the token; a document's score is the mean over its tokens of the
-target's loss minus the background's: low scores read like the target.
-
-All n-grams of all texts are counted. Documents are cut into blocks; a block
-sends each of its distinct n-grams once, with its counts, to the bucket of the
-n-gram's context; the bucket sums over blocks, so that it holds whole contexts,
-and answers with log-probability ratios (see ``blocks``). What is gathered thus
-grows with the corpus, and no task or driver holds the model.
-
-Cases: a null or empty text has no tokens and score 0; without target documents
-or background all scores are 0; texts of any length are whole; repeated rows
-count and score each; an empty table gives an empty result; further columns are
-ignored.
+Two token-bigram models over the same vocabulary, one of the target documents and one
+of the background (all documents), of equal smoothing and, by scaling the background's
+counts, equal mass. A token's loss under a model is the negative log probability of the
+token after the one before it (at first: after the start of a document), interpolated
+with the token's own frequency; a document's score is the mean over its tokens of the
+target's loss minus the background's: low scores read like the target. A document's own
+counts are taken off before it is scored, so a target document is not its own model.
+
+All tokens and pairs of all texts are counted. Documents are cut into blocks; a block
+sends each of its distinct tokens and pairs once, as 64-bit hashes with their counts, to
+the bucket of the hash; the bucket sums over blocks and answers with the sums (see
+``blocks``). What is gathered thus grows with the corpus, and no task or driver holds
+the model: a bucket holds its share of all blocks' rows, which ``spark.sql.shuffle.partitions``
+bounds.
+
+Cases: a null or empty text has no tokens and score 0; without target documents or
+background all scores are 0; texts of any length are whole; bytes that are not UTF-8
+count as U+FFFD; repeated rows count and score each; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,134 +32,138 @@ from pyspark.sql import functions as F
 from corpusflow.llm import blocks as B
 from corpusflow.llm import common as C
 
-ORDER = 5
-#: Pseudo-count of each code point in each context.
-SMOOTHING = 0.05
-#: The bucket of a block's row of vocabulary and masses.
-CHARS = -2
+#: Pseudo-count of each token of the vocabulary; weight of its frequency against the pairs'.
+SMOOTHING, BACK_OFF = 0.05, 1.0
+#: Tokens scored at once.
+_STEP = 1 << 18
+#: The hash of the start of a document.
+_START = np.uint64(0x243F6A8885A308D3)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * _M2
-    return h ^ (h >> np.uint64(27))
-
+class _Units:
+    """The distinct tokens, the start and the distinct pairs of a block, dealt to buckets.
 
-def token_ngrams(words: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each code point of each token: its n-gram and context (64-bit hashes),
-    the code point, and its token's number."""
-    raw, off = C.utf8(words)
-    points = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.uint64)
-    lead = (raw & 0xC0) != 0x80
-    n_points = C.ends(lead)[off]
-    owner = np.repeat(np.arange(len(off) - 1), np.diff(n_points))
-    place = np.arange(len(points)) - n_points[:-1][owner]
-    context = np.zeros(len(points), np.uint64)
-    for k in range(order - 1, 0, -1):
-        before = np.zeros(len(points), np.uint64)
-        before[k:] = points[: len(points) - k] + np.uint64(2)
-        before[place < k] = 1  # before the token's start
-        context = context * _M1 + before
-    context = _mix(context * _M1)
-    return _mix(context * _M1 + points + np.uint64(2)), context, points, owner
+    ``keys`` are their hashes, tokens first, then the start (number ``n``), then pairs.
+    """
 
+    def __init__(self, hashes: np.ndarray, seq: np.ndarray, rows: np.ndarray, buckets: int):
+        self.n = n = len(hashes)
+        self.before = np.concatenate([[n], seq[:-1]])[: len(seq)].astype(np.int64)
+        self.before[rows[:-1][np.diff(rows) > 0]] = n
+        pairs, place = np.unique(self.before * (n + 1) + seq, return_inverse=True)
+        self.place = place + n + 1  # each token's pair
+        hashes = np.append(hashes, _START)
+        both = hashes[pairs // (n + 1)] * _M1 + hashes[pairs % (n + 1)]
+        both = (both ^ (both >> np.uint64(30))) * _M2
+        self.keys = np.concatenate([hashes, both ^ (both >> np.uint64(27))])
+        to = self.keys % np.uint64(buckets)
+        self.order = np.lexsort((self.keys, to))
+        self.cut = np.searchsorted(to[self.order], np.arange(buckets + 1, dtype=np.uint64))
 
-def _sums_of(keys: np.ndarray, *weights: np.ndarray):
-    """Distinct keys, the first place of each, the number of each, sums of weights."""
-    values, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    return values, first, inverse, [np.bincount(inverse, w, minlength=len(values)) for w in weights]
+    def of(self, bucket: int) -> np.ndarray:
+        """Numbers of the bucket's units, in order of their keys."""
+        return self.order[self.cut[bucket] : self.cut[bucket + 1]]
 
 
 def _cut(block: int, batch: pa.RecordBatch, buckets: int) -> list[tuple]:
     raw, off = C.utf8(batch.column("text"))
     bounds, rows = C.split_pieces(raw, off)
     words, seq = C.distinct_pieces(raw, bounds)
-    target = batch.column("target").to_numpy(zero_copy_only=False).astype(np.float64)
-    n_all = np.bincount(seq, minlength=len(words))
-    n_target = np.bincount(seq, np.repeat(target, np.diff(rows)), minlength=len(words))
-    grams, context, points, owner = token_ngrams(words)
-    keys, first, _, (t, b) = _sums_of(grams, n_target[owner], n_all[owner])
-    body = C.pack(np.concatenate([[len(words)], np.diff(rows), seq]).astype(np.int32))
-    out = [(block, B.DOCS, B.ids_of(batch, "id"), C.pack_strings(words) + body + len(body).to_bytes(8, "little"))]
-    known = np.unique(points)
-    masses = np.array([float((n_target[owner]).sum()), float(n_all[owner].sum())])
-    out.append((block, CHARS, C.pack(masses), C.pack(known.astype(np.int32))))
-    for k, at in B.deal(context[first], buckets):
-        out.append((block, k, C.pack(keys[at]), C.pack(np.stack([context[first][at], t[at].astype(np.uint64), b[at].astype(np.uint64)]).reshape(-1))))
+    target = batch.column("target").to_numpy(zero_copy_only=False)
+    hashes = B.hashes(words)
+    units = _Units(hashes, seq, rows, buckets)
+    own = np.repeat(target, np.diff(rows))
+    some = np.diff(rows) > 0
+    counts = []
+    for mask in (own, np.ones(len(seq), bool)):
+        tokens = np.bincount(seq[mask], minlength=units.n + 1)
+        tokens[units.n] = (some & (target if mask is own else True)).sum()
+        pairs = np.bincount(units.place[mask], minlength=len(units.keys))[units.n + 1 :]
+        counts.append(np.concatenate([tokens, pairs]))
+    head = C.pack(hashes)
+    body = C.pack(np.concatenate([[units.n], target, np.diff(rows), seq]).astype(np.int32))
+    ids = B.ids_of(batch, "id")
+    out = [(block, B.DOCS, ids, len(head).to_bytes(8, "little") + head + body)]
+    for b in range(buckets):
+        at = units.of(b)
+        if len(at):
+            steps = np.diff(units.keys[at], prepend=np.uint64(0))
+            out.append((block, b, C.pack(steps), C.pack(np.concatenate([counts[0][at], counts[1][at], at < units.n]).astype(np.uint32))))
     return out
 
 
-def _answer(vocabulary: int, target_mass: float, mass: float, smoothing: float):
-    def answer(rows):
-        held: dict[int, list] = {}
-        for block, bucket, head, body in rows:
-            held.setdefault(bucket, []).append((block, head, body))
-        for bucket, own in held.items():
-            keys = [C.unpack(head, np.uint64) for _, head, _ in own]
-            rest = [C.unpack(body, np.uint64).reshape(3, -1) for _, _, body in own]
-            every, three = np.concatenate(keys), np.concatenate(rest, axis=1)
-            del rest
-            _, first, inverse, (t, b) = _sums_of(every, three[1].astype(float), three[2].astype(float))
-            _, _, of, (ct, cb) = _sums_of(three[0][first], t, b)
-            if not target_mass or not mass:
-                ratio = np.zeros(len(first), np.float32)
-            else:
-                scale = target_mass / mass
-                target = (t + smoothing) / (ct[of] + smoothing * vocabulary)
-                background = (scale * b + smoothing) / (scale * cb[of] + smoothing * vocabulary)
-                ratio = (np.log(background) - np.log(target)).astype(np.float32)
-            at = 0
-            for (block, _, _), k in zip(own, keys, strict=True):
-                yield block, bucket, None, C.pack(ratio[inverse[at : at + len(k)]])
-                at += len(k)
-
-    return answer
-
-
-def _join(rows: list[dict]) -> pa.Table:
+def _answer(rows) -> Iterator[tuple]:
+    held: dict[int, list] = {}
+    for block, bucket, head, body in rows:
+        keys = np.cumsum(C.unpack(head, np.uint64), dtype=np.uint64)
+        held.setdefault(bucket, []).append((block, keys, C.unpack(body, np.uint32).reshape(3, -1)))
+    for bucket, own in held.items():
+        _, number = np.unique(np.concatenate([k for _, k, _ in own]), return_inverse=True)
+        t, b, token = np.concatenate([x for _, _, x in own], axis=1)
+        sums = [np.bincount(number, x).astype(np.int64) for x in (t, b)]
+        is_token = np.bincount(number, token) > 0
+        yield -1, bucket, C.pack(np.array([is_token.sum(), sums[0][is_token].sum(), sums[1][is_token].sum()])), None
+        at = 0
+        for block, keys, _ in own:
+            mine = number[at : at + len(keys)]
+            yield block, bucket, None, C.pack(np.concatenate([s[mine] for s in sums]))
+            at += len(keys)
+
+
+def _repeats(row: np.ndarray, unit: np.ndarray, n: int) -> np.ndarray:
+    """How often each place's unit stands in its own row."""
+    _, number, counts = np.unique(row * n + unit, return_inverse=True, return_counts=True)
+    return counts[number]
+
+
+def _join(rows: list[dict], buckets: int, vocabulary: int, target_mass: int, mass: int) -> pa.Table:
     docs = next(r for r in rows if r["bucket"] == B.DOCS)
-    ids = B.column(docs["head"])
-    blob = docs["body"]
-    size = int.from_bytes(blob[-8:], "little")
-    body, words = C.unpack(blob[-8 - size : -8], np.int32), C.unpack_strings(blob[: -8 - size])
-    counts, seq = body[1 : 1 + len(ids)], body[1 + len(ids) :]
-    grams, context, _, owner = token_ngrams(words)
-    keys, first, inverse, _ = _sums_of(grams)
-    replies = {r["bucket"]: C.unpack(r["body"], np.float32) for r in rows if r["bucket"] >= 0}
-    value = np.zeros(len(keys))
-    for k, at in B.deal(context[first], docs["buckets"]):
-        value[at] = replies[k]
-    per_word = np.bincount(owner, value[inverse], minlength=len(words)) if len(words) else np.zeros(0)
-    total = C.sums(per_word[seq], C.ends(counts))
+    ids, blob = B.column(docs["head"]), docs["body"]
+    size = int.from_bytes(blob[:8], "little")
+    hashes, body = C.unpack(blob[8 : 8 + size], np.uint64), C.unpack(blob[8 + size :], np.int32)
+    n_docs = len(ids)
+    target, counts, seq = body[1 : 1 + n_docs] > 0, body[1 + n_docs : 1 + 2 * n_docs], body[1 + 2 * n_docs :]
+    at = C.ends(counts)
+    units = _Units(hashes, seq, at, buckets)
+    sums = np.zeros((2, len(units.keys)))
+    for r in rows:
+        if r["bucket"] != B.DOCS:
+            sums[:, units.of(r["bucket"])] = C.unpack(r["body"], np.int64).reshape(2, -1)
+    total = np.zeros(n_docs)
+    for a, b in C.spans(at, _STEP) if target_mass and mass else []:
+        x, y = at[a], at[b]
+        own, row = counts[a:b], np.repeat(np.arange(b - a), counts[a:b])
+        token, pair, before = seq[x:y], units.place[x:y], units.before[x:y]
+        of_token = _repeats(row, token, units.n)
+        of_pair = _repeats(row, pair, len(units.keys))
+        of_before = np.where(before == units.n, 1, np.concatenate([[0], of_token[:-1]])[: y - x])
+        logs = []
+        # without the document's own counts: in the target's if it is one of them, and in the background's
+        for k, (m, without) in enumerate(((target_mass, np.repeat(target[a:b], own)), (mass, np.ones(y - x, bool)))):
+            scale = 1.0 if k == 0 else target_mass / mass
+            left = np.repeat(m - own * (target[a:b] if k == 0 else 1), own)
+            single = (scale * (sums[k][token] - without * of_token) + SMOOTHING) / (scale * left + SMOOTHING * vocabulary)
+            both = scale * (sums[k][pair] - without * of_pair) + BACK_OFF * single
+            logs.append(np.log(both / (scale * (sums[k][before] - without * of_before) + BACK_OFF)))
+        total[a:b] = C.sums(logs[1] - logs[0], at[a : b + 1] - x)
     return pa.table({"id": ids, "n_tokens": pa.array(counts, pa.int64()), "score": total / np.maximum(counts, 1)})
 
 
-def score(docs: DataFrame, target: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
+def score(docs: DataFrame, target: DataFrame, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """Per document: ``doc_id, n_tokens, score``; ``target`` has the target's ``doc_id``."""
     spark = docs.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema["doc_id"].dataType.simpleString()
     ids = C.broadcast_if_small(target.select(F.col("doc_id").alias("t_")).filter(F.col("t_").isNotNull()).distinct())
-    own = docs.select(F.col("doc_id").alias("id"), F.col("text")).join(ids, F.col("id") == F.col("t_"), "left")
+    own = docs.select(F.col("doc_id").alias("id"), F.make_valid_utf8("text").alias("text")).join(ids, F.col("id") == F.col("t_"), "left")
     own = own.select("id", "text", F.col("t_").isNotNull().alias("target"))
 
-    def between(table: DataFrame):
-        chars = table.filter(F.col("bucket") == CHARS).select("head", "body")
-
-        def read(batches):
-            for batch in batches:
-                for r in batch.to_pylist():
-                    m, p = C.unpack(r["head"], np.float64), C.unpack(r["body"], np.int32)
-                    yield pa.RecordBatch.from_pydict({"point": pa.array([-1, -2, *p.tolist()], pa.int32()), "mass": pa.array([*m.tolist(), *[0.0] * len(p)], pa.float64())})
-
-        # at most as many rows as there are code points, and two masses
-        found = chars.mapInArrow(C.in_worker(read), "point int, mass double").groupBy("point").agg(F.sum("mass").alias("mass"))
-        sums = found.agg(F.count_if(F.col("point") >= 0).alias("v"), F.max(F.when(F.col("point") == -1, F.col("mass"))).alias("t"), F.max(F.when(F.col("point") == -2, F.col("mass"))).alias("b")).first()
-        return _answer(max(sums["v"], 1), sums["t"] or 0.0, sums["b"] or 0.0, smoothing)
-
-    def join(rows):
-        next(r for r in rows if r["bucket"] == B.DOCS)["buckets"] = buckets
-        return _join(rows)
+    def after(replies: DataFrame):
+        # three numbers a bucket: its tokens, and their counts in the target and in all
+        found = [C.unpack(r["head"], np.int64) for r in replies.filter(F.col("block") < 0).select("head").collect()]
+        vocabulary, target_mass, mass = (int(x) for x in np.sum(found, axis=0)) if found else (0, 0, 0)
+        return lambda rows: _join(rows, buckets, vocabulary, target_mass, mass)
 
-    out = B.exchange(own, _cut, None, join, f"id {kind}, n_tokens long, score double", between=between)
+    out = B.exchange(own, _cut, _answer, None, f"id {kind}, n_tokens long, score double", block_bytes=block_bytes, after=after)
     return out.withColumnRenamed("id", "doc_id")
