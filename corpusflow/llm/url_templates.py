@@ -4,9 +4,11 @@ Urls are judged by host and path rules; the longest that fits wins. The others
 are judged by templates: for each host a tree of path segments, in which
 numbers, dates and hashes stand for themselves as classes, a place with many
 rarely used values becomes a wildcard, and branches whose share of blocked urls
-does not differ significantly from their parent's merge into one. A template is
-rejected if its smoothed share of blocked urls among labelled ones (those that a
-rule judged) is high enough.
+among labelled ones (those that a rule judged) does not differ significantly from
+their siblings' merge into one. Branches without enough labels are not merged: want of
+evidence is no likeness. A template is rejected if its smoothed purity, the share of
+blocked urls among its labelled ones, is high enough. So a template decides where its
+host has labelled urls of the same form; elsewhere urls are allowed.
 
 The tree grows level by level over distinct typed paths with their counts, by
 grouped sums; no host's urls are gathered in a task.
@@ -81,13 +83,17 @@ def templates(urls: DataFrame) -> DataFrame:
     tree = C.materialise(counts.withColumn("template", F.lit("")), "paths")
     for depth in range(DEPTH + 1):
         tree = tree.withColumn("s", F.get("typed", F.lit(depth)))
-        child = tree.filter(F.col("s").isNotNull()).groupBy("host", "template", "s").agg(F.sum("n").alias("n"), F.sum("blocked").alias("b"))
-        parent = child.groupBy("host", "template").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("pn"), F.sum("b").alias("pb"))
+        child = tree.filter(F.col("s").isNotNull()).groupBy("host", "template", "s").agg(F.sum("n").alias("n"), F.sum("blocked").alias("b"), F.sum(F.col("blocked") + F.col("allowed")).alias("l"))
+        parent = child.groupBy("host", "template").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("pn"), F.sum("b").alias("pb"), F.sum("l").alias("pl"))
         both = child.join(parent, ["host", "template"])
-        rate = (F.col("pb") + 0.5) / (F.col("pn") + 1)
-        z = F.abs(F.col("b") / F.col("n") - rate) / F.sqrt(rate * (1 - rate) / F.col("n"))
+        # two shares, of the branch and of its siblings, with half a count for each verdict
+        sb, sl = F.col("pb") - F.col("b"), F.col("pl") - F.col("l")
+        own, other = (F.col("b") + 0.5) / (F.col("l") + 1), (sb + 0.5) / (sl + 1)
+        pooled = (F.col("pb") + 1) / (F.col("pl") + 2)
+        z = F.abs(own - other) / F.sqrt(pooled * (1 - pooled) * (1 / (F.col("l") + 1) + 1 / (sl + 1)))
+        alike = (F.col("l") >= LEAST_LABELS) & (sl >= LEAST_LABELS) & (z < Z)
         variable = (F.col("k") >= MANY_VALUES) & (F.col("pn") / F.col("k") < PER_VALUE)
-        name = F.when((F.col("k") > 1) & (variable | (z < Z)), "*").otherwise(F.col("s"))
+        name = F.when((F.col("k") > 1) & (variable | alike), "*").otherwise(F.col("s"))
         named = both.select(F.col("host").alias("h_"), F.col("template").alias("t_"), F.col("s").alias("s_"), name.alias("name"))
         joined = tree.join(named, (F.col("host") == F.col("h_")) & (F.col("template") == F.col("t_")) & (F.col("s") == F.col("s_")), "left")
         grown = F.when(F.col("s").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.col("name")))
@@ -98,24 +104,25 @@ def templates(urls: DataFrame) -> DataFrame:
 
 
 def rejected(tree: DataFrame) -> DataFrame:
-    """``host, template, purity, rejected`` of every template."""
+    """``host, template, n_labels, purity, rejected`` of every template."""
     total = tree.agg(F.sum("blocked").alias("b"), F.sum("allowed").alias("a")).first()
     b, a = total["b"] or 0, total["a"] or 0
     prior = b / (a + b) if a + b else 0.0
     sums = tree.groupBy("host", "template").agg(F.sum("blocked").alias("b"), F.sum("allowed").alias("a"))
     purity = (F.col("b") + PRIOR_WEIGHT * prior) / (F.col("a") + F.col("b") + PRIOR_WEIGHT)
-    return sums.select("host", "template", purity.alias("purity"), ((purity >= REJECT) & (F.col("a") + F.col("b") >= LEAST_LABELS)).alias("rejected"))
+    return sums.select("host", "template", (F.col("a") + F.col("b")).alias("n_labels"), purity.alias("purity"), ((purity >= REJECT) & (F.col("a") + F.col("b") >= LEAST_LABELS)).alias("rejected"))
 
 
 def judge(pages: DataFrame, rules=None) -> DataFrame:
-    """Per page: ``page_id, host, path, rule, verdict, template``."""
+    """Per page: ``page_id, host, path, rule, verdict``, and what a template's verdict
+    rests on: ``template, n_labels, purity``."""
     host, path = parsed(F.col("url"))
     own = pages.select("page_id", host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     own = C.materialise(own.withColumn("rule", name).withColumn("label", verdict).withColumn("typed", typed(F.col("path"))), "urls")
     tree = templates(own)
     bad = rejected(tree)
-    of = tree.select("host", "typed", "template").join(bad, ["host", "template"]).select("host", "typed", "template", "rejected")
+    of = tree.select("host", "typed", "template").join(bad, ["host", "template"]).select("host", "typed", "template", "rejected", "n_labels", "purity")
     return own.join(of, ["host", "typed"], "left").select(
-        "page_id", "host", "path", "rule", F.coalesce("label", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"), "template"
+        "page_id", "host", "path", "rule", F.coalesce("label", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"), "template", "n_labels", "purity"
     )
