@@ -6,7 +6,8 @@ names; the ids join back to the positions and documents are reassembled (see
 ``blocks``). Decoding joins ids with the token-byte table, whose size the
 vocabulary file bounds.
 
-Cases: a null or empty text has no ids and decodes to zero bytes; texts of any
+Cases: a null or empty text has no ids and decodes to zero bytes; bytes that are not
+UTF-8 count as U+FFFD; texts of any
 length are whole; repeated rows (of ids too) give a row each; a null id stays
 null; an empty table gives an empty result; further columns are ignored.
 """
@@ -168,7 +169,7 @@ def _digests(rows: list[dict], path: str) -> pa.Table:
 
 def _exchanged(docs: DataFrame, join, schema: str, id_col: str, text_col: str, path: str, block_bytes: int) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).alias("id"), F.make_valid_utf8(F.col(text_col)).alias("text"))
     return B.exchange(own, _cut("text", "id"), _answer(path), join, f"id {kind}, {schema}", block_bytes=block_bytes).withColumnRenamed("id", id_col)
 
 

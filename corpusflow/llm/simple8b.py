@@ -13,7 +13,8 @@ each), then ids per document (int32), word offsets of blocks (int64), words.
 Ids are the tokenizers library's: an added token that stands in a text (such as
 ``<|endoftext|>``) is one id, and the texts around it are encoded by themselves.
 
-Cases: a null or empty text has the end id alone; rows with a null doc_id come
+Cases: a null or empty text has the end id alone; bytes that are not UTF-8 count as
+U+FFFD; rows with a null doc_id come
 first, equal doc_ids follow one another in order of their texts; an empty table
 writes no file; further columns are ignored.
 """
@@ -300,7 +301,10 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, end_id: i
     ship(spark)
     path = path or tokenizer_path()
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8("text").alias("text"))
+    # by id, then by how the texts begin and by row, so that one id of many rows is many ranges
+    ordered = ordered.withColumn("head", F.substring("text", 1, 32)).withColumn("row", F.monotonically_increasing_id())
+    ordered = ordered.repartitionByRange(n, "doc_id", "head", "row").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
 
     def run(batches):
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
