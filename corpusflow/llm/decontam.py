@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
+from corpusflow.storage import spread
 
 WINDOW = 8
 MIN_TOKENS = 5
@@ -82,7 +83,7 @@ def _sum(text: Column) -> Column:
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Contaminated documents by item: ``id, sum, item_id, n_matched, cover, longest``."""
     # a struct is never null itself, so rows with a null id meet in joins
-    docs = docs.select(F.struct(F.col(id_col).alias("id"), _sum(F.col("text")).alias("sum")).alias("id"), "text")
+    docs = spread(docs.select(F.struct(F.col(id_col).alias("id"), _sum(F.col("text")).alias("sum")).alias("id"), "text"))
     windows = C.materialise(benchmark_windows(items), "benchmark")
     # a window in which the item has fewer left to cover counts against what it has
     total = windows.groupBy("item").agg(F.count(F.lit(1)).alias("total"))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
 from corpusflow.shipping import ship
+from corpusflow.storage import spread
 
 SAMPLE_ROWS = 4000
 LEAST_ROWS = 40
@@ -269,7 +270,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
 
     whole = [] if text in keep else [F.col(f"`{text}`").alias(t)]
     own = docs.select(*[F.col(f"`{c}`") for c in keep], *whole, letter.alias(l))
-    return own.mapInArrow(C.in_worker(run), ", ".join([*fields, "lang_pred string, score double, ambiguous boolean"]))
+    return spread(own).mapInArrow(C.in_worker(run), ", ".join([*fields, "lang_pred string, score double, ambiguous boolean"]))
 
 
 def held_out(id_col: str = "doc_id"):

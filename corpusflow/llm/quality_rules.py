@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
+from corpusflow.storage import spread
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -39,7 +40,7 @@ def features(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
     """``keep`` columns with the base counts of each whole text."""
     keep = docs.columns if keep is None else keep
     t, w, n = (C.fresh(docs, x) for x in ("text_", "words_", "n_"))
-    d = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(t))
+    d = spread(docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(t)))
     d = d.withColumn(w, C.words_col(F.col(t)))
     d = d.withColumn(n, F.size(w))
     # Windows by hash, each with its position in the low bits, sorted: equal

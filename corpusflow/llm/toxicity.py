@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import common as C
 from corpusflow.shipping import ship
+from corpusflow.storage import spread
 
 SAMPLE_ROWS = 6000
 #: Of the whole sample.
@@ -275,7 +276,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     own = docs.select("doc_id", held_out().alias("held_out"), F.col("text"))
-    return own.mapInArrow(C.in_worker(run), f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return spread(own).mapInArrow(C.in_worker(run), f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
