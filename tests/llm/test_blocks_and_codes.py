@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import public_tokenizers
-from corpusflow.llm import bktree, common, simple8b
+from corpusflow.llm import bktree, blocks, bpe, common, simple8b
 
 PATTERN = regex.compile(public_tokenizers.PATTERN)
 
@@ -77,3 +77,46 @@ def test_packing():
     texts = pa.array(["", "ä", "xyz"], pa.large_string())
     assert common.unpack_strings(common.pack_strings(texts)).to_pylist() == texts.to_pylist()
     assert common.unpack_strings(common.pack_strings(texts[:0])).to_pylist() == []
+
+
+def every_code_point():
+    """Texts in which each code point follows and precedes a letter, a digit, a space and itself."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    return ["".join(f"a{c}1{c} {c}{c}b" for c in points[k : k + 4096]) for k in range(0, len(points), 4096)]
+
+
+def test_every_code_point_as_the_libraries_split_it():
+    path, tokens = bpe.vocabulary_path(), simple8b.word_encoder(simple8b.tokenizer_path())
+    encoder = bpe.encoder(path)
+    texts = every_code_point()
+    for k in range(0, len(texts), 32):
+        own = texts[k : k + 32]
+        cut = bpe._cut("text", "id")(7, pa.RecordBatch.from_pydict({"id": pa.array(range(len(own)), pa.int64()), "text": own}), 3)
+        rows = list(blocks.each(blocks.rows(cut)))
+        replies = bpe._answer(path)((r["block"], r["bucket"], r["head"], r["body"]) for r in rows if r["bucket"] >= 0)
+        found = bpe._lists([rows[0], *blocks.each(blocks.rows(list(replies)))]).to_pylist()
+        assert [r["ids"] for r in found] == [encoder.encode_ordinary(t) for t in own]
+        sizes, ids = simple8b.encode_batch(pa.array(own), tokens, 0)
+        want = [[*tokens.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in own]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+@pytest.mark.parametrize("step", [1, 7, 100, 10**4])
+def test_step_sizes_change_no_piece(step):
+    rng = np.random.default_rng(step)
+    texts = ["".join(rng.choice(list(" a1'é漢.\n\tsl"), n)) for n in (0, 1, 5, 400, 3, 0, 2500)]
+    raw, off = common.utf8(pa.array(texts))
+    for a, b in zip(common.split_pieces(raw, off), common.split_pieces(raw, off, step), strict=True):
+        assert a.tolist() == b.tolist()
+
+
+@pytest.mark.parametrize("step", [1, 3, 1000])
+def test_steps_change_no_digest(monkeypatch, step):
+    path = bpe.vocabulary_path()
+    texts = ["", "hello world, this is it", None, "x", "", "one two three four " * 9, "", "é漢 '"]
+    rows = list(blocks.each(blocks.rows(bpe._cut("text", "id")(1, pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts)), pa.int64()), "text": texts}), 5))))
+    replies = bpe._answer(path)((r["block"], r["bucket"], r["head"], r["body"]) for r in rows if r["bucket"] >= 0)
+    every = [rows[0], *blocks.each(blocks.rows(list(replies)))]
+    want = bpe._digests(every, path).to_pylist()
+    monkeypatch.setattr(bpe, "_STEP", step)
+    assert bpe._digests(every, path).to_pylist() == want

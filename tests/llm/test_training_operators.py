@@ -1,6 +1,7 @@
 """The ten operators on small tables, against brute force and in every odd case."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -8,9 +9,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 import xxhash
+from pyspark.sql import functions as F
 
+from corpusflow import storage
 from corpusflow.llm import bpe, common, components, decontam, kd_shards, langid, lm_score, quality_rules, simhash, simple8b, toxicity, url_templates
+from plain import plain_contaminated, plain_counts
 
 DIR = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -44,14 +49,6 @@ def by_id(df):
 # ------------------------------------------------------------------ quality rules
 
 
-def plain_counts(text):
-    words = WORD.findall(text or "")
-    grams = Counter(zip(words, words[1:], words[2:], strict=False))
-    hit = {p + k for p in range(len(words) - 2) if grams[tuple(words[p : p + 3])] > 1 for k in range(3)}
-    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
-    return len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(hit)
-
-
 def test_quality_counts(docs, odd, empty):
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     for df in (docs, odd):
@@ -89,6 +86,15 @@ def test_bpe(docs, odd, empty):
     assert bpe.digests(odd).count() == len(ODD) and bpe.digests(empty).count() == 0
 
 
+def test_bytes_that_are_not_utf8(spark):
+    bad = spark.sql("SELECT 1L AS doc_id, cast(unhex('61ff62c3') AS string) AS text")
+    text = "a\ufffdb\ufffd"
+    got = bpe.digests(bad).first()
+    assert (got["n_tokens"], got["decoded_sha256"]) == (len(bpe.encoder(bpe.vocabulary_path()).encode_ordinary(text)), hashlib.sha256(text.encode()).hexdigest())
+    assert simple8b.round_trip(bad).first()["n_tokens"] == len(library().encode(text, add_special_tokens=False).ids) + 1
+    assert lm_score.score(bad, bad.select("doc_id")).count() == 1
+
+
 def test_small_blocks_change_nothing(docs):
     a, b = (sorted((r["doc_id"], tuple(r["ids"])) for r in bpe.encode(docs, block_bytes=n).collect()) for n in (1000, 1 << 24))
     assert a == b
@@ -205,6 +211,49 @@ def test_templates_of_blocked_urls_are_rejected(spark):
     assert verdicts == {("a.com", "ads", "block"), ("a.com", "news", "allow"), ("b.com", "p", "allow")}
 
 
+def plain_template(typed, host, urls):
+    """The template of a typed path, segment by segment, from all ``(host, typed, label)``."""
+    path, here = "", [(t, l) for h, t, l in urls if h == host]
+    for depth, segment in enumerate(typed):
+        at = [(t[depth], l) for t, l in here if len(t) > depth]
+        labels = lambda own: (sum(l == "block" for l in own), sum(l is not None for l in own))
+
+        def name(s, at=at):
+            (b, n), (sb, sn) = labels([l for x, l in at if x == s]), labels([l for x, l in at if x != s])
+            k, p = len({x for x, _ in at}), (b + sb + 1) / (n + sn + 2)
+            z = abs((b + 0.5) / (n + 1) - (sb + 0.5) / (sn + 1)) / math.sqrt(p * (1 - p) * (1 / (n + 1) + 1 / (sn + 1)))
+            alike = min(n, sn) >= url_templates.LEAST_LABELS and z < url_templates.Z
+            return "*" if k > 1 and (k >= url_templates.MANY_VALUES and len(at) / k < url_templates.PER_VALUE or alike) else s
+
+        here = [(t, l) for t, l in here if len(t) > depth and name(t[depth]) == name(segment)]
+        path += "/" + name(segment)
+    return path
+
+
+def test_templates_decide_as_a_plain_tree(spark):
+    rng = random.Random(7)
+    rules = [("block", "a.com", "/shop/ad"), ("allow", "a.com", "/shop/it"), ("block", "b.org", "/x/p/1"), ("allow", "b.org", "/x/q/1"), ("block", "b.org", "/y/p/1"), ("allow", "b.org", "/y/q/1")]
+    urls = [f"http://a.com/shop/{rng.choice(['ad', 'it', 'zz'])}{k}/view" for k in range(60)] + [f"http://a.com/{x}/{k % 3}/y" for x in ("de", "en") for k in range(20)]
+    urls += [f"http://b.org/{rng.choice('xy')}/{rng.choice('pq')}/{rng.choice([1, 2])}{k}/z" for k in range(200)] + ["http://b.org", "http://b.org/"]
+    rows = url_templates.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    typed = {r["path"]: r["t"] for r in spark.createDataFrame([(r["path"],) for r in rows], "path string").select("path", url_templates.typed(F.col("path")).alias("t")).collect()}
+    label = lambda r: r["verdict"] if r["rule"] else None
+    every = [(r["host"], typed[r["path"]], label(r)) for r in rows]
+    blocked, labelled = sum(l == "block" for *_, l in every), sum(l is not None for *_, l in every)
+    want, purity = {}, {}
+    for r in rows:
+        want[r["page_id"]] = (r["host"], plain_template(typed[r["path"]], r["host"], every))
+    for t in set(want.values()):
+        own = [label(r) for r in rows if want[r["page_id"]] == t]
+        n = sum(x is not None for x in own)
+        purity[t] = (n, (sum(x == "block" for x in own) + url_templates.PRIOR_WEIGHT * blocked / labelled) / (n + url_templates.PRIOR_WEIGHT))
+    for r in rows:
+        n, p = purity[want[r["page_id"]]]
+        assert (r["host"], r["template"]) == want[r["page_id"]] and r["n_labels"] == n and abs(r["purity"] - p) < 1e-9
+        assert r["verdict"] == (label(r) or ("block" if n >= url_templates.LEAST_LABELS and p >= url_templates.REJECT else "allow"))
+    assert {r["verdict"] for r in rows if not r["rule"]} == {"allow", "block"} and any("*" in r["template"] for r in rows)
+
+
 # -------------------------------------------------------------------- language ID
 
 
@@ -420,7 +469,28 @@ def test_sets_in_cells(spark):
     want = split([(marks[i], marks[j]) for i in everyone for j in range(i) if len(set(sets[i]) & set(sets[j])) >= 0.8 * len(set(sets[i]) | set(sets[j]))])
     assert len(set(want.values())) < len(sets)
     for cells in (parts[:1], parts[1:]):
-        assert split([x for tree, asks in cells for x in simhash._similar_in(marks, asks, tree, flat, off, 0.8)]) == want
+        assert split([x for tree, asks in cells for x in simhash._similar_in(marks, marks, asks, tree, flat, off, 0.8)]) == want
+
+
+@pytest.mark.parametrize("cell", [5, 16, 1000])
+def test_large_candidate_groups(spark, cell):
+    """Every pair of a candidate group is compared, in whatever cells: chains, dense groups and strangers."""
+    rng = random.Random(cell)
+    sets = {}
+    for g in range(3):
+        base = rng.sample(range(10**6), 60)
+        sets |= {len(sets) + k: set(base) - {rng.choice(base)} for k in range(40)}  # near copies
+        sets |= {len(sets) + k: set(base[k : k + 30]) for k in range(0, 30, 3)}  # a chain of windows
+    sets = list({frozenset(x) for x in sets.values()})
+    rows = [(bytes([k % 2]), k + 1, sorted(s)) for k, s in enumerate(sets)]
+    got = {r["node"]: r["root"] for r in simhash._similar(spark.createDataFrame(rows, "v binary, mark long, h array<long>"), 0.8, cell).collect()}
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if i % 2 == j % 2 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    want = {k: min(x for x in range(len(sets)) if root[x] == root[k]) + 1 for k in range(len(sets))}
+    assert {k + 1: got.get(k + 1, k + 1) for k in want} == {k + 1: v for k, v in want.items()}
 
 
 # ---------------------------------------------------------------- decontamination
@@ -481,6 +551,22 @@ def test_rows_without_an_id_of_their_own(spark):
     assert sorted(kept, key=str) == sorted([rows[1], rows[2], rows[5]], key=str)
 
 
+def test_against_a_plain_matcher(spark, docs):
+    items = [r["text"] for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()] + [ITEM, BARNS, "five words make one window"]
+    rng = random.Random(12)
+    texts = [r["text"] for r in docs.collect()]
+    for k in range(120):  # items cut, re-parameterised and set into other texts
+        words = rng.choice(items).split()
+        a = rng.randrange(len(words))
+        own = words[a : a + rng.randint(4, 40)]
+        own = [str(rng.randrange(1000)) if x.isdigit() and rng.random() < 0.7 else rng.choice(["Otto", "Ida", x]) if x[:1].isupper() and rng.random() < 0.5 else x for x in own]
+        texts.append(" ".join(["some words before"] * (k % 2) + own + ["and some after"] * (k % 3)))
+    texts += [None, "", *items]
+    got = {r["doc_id"]: r["contaminated"] for r in decontam.judge(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    want = {k: plain_contaminated(t, items) for k, t in enumerate(texts)}
+    assert got == want and 20 < sum(want.values()) < len(texts) - 20
+
+
 def test_planted_passages(spark):
     d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     grams = {tuple(w[k : k + 8]) for w in (x["text"].lower().split() for x in b.collect()) for k in range(len(w) - 7)}
@@ -492,33 +578,46 @@ def test_planted_passages(spark):
 
 
 def test_lm_scores(spark, docs, odd, empty):
-    import math
-
     import public_tokenizers
-    import regex
 
     pattern, good = regex.compile(public_tokenizers.PATTERN), {r["doc_id"] for r in docs.collect() if r["doc_id"] % 3 == 0}
-    texts = {r["doc_id"]: pattern.findall(r["text"]) for r in docs.collect()}
-    grams, heads = [Counter(), Counter()], [Counter(), Counter()]
-    cut = lambda w: [(("\0" * 4 + w)[i : i + 4], w[i]) for i in range(len(w))]
-    for k, words in texts.items():
-        for w, n in Counter(words).items():
-            for g in cut(w):
-                for m in (0, 1) if k in good else (1,):
-                    grams[m][g] += n
-                    heads[m][g[0]] += n
-    v, a = len({g[1] for g in grams[1]}), lm_score.SMOOTHING
-    scale = sum(grams[0].values()) / sum(grams[1].values())
-    ratio = {g: math.log((scale * grams[1][g] + a) / (scale * heads[1][g[0]] + a * v)) - math.log((grams[0][g] + a) / (heads[0][g[0]] + a * v)) for g in grams[1]}
-    got = by_id(lm_score.score(docs, docs.filter("doc_id % 3 = 0").select("doc_id")))
-    for k, words in texts.items():
-        assert got[k]["n_tokens"] == len(words) and abs(got[k]["score"] - sum(ratio[g] for w in words for g in cut(w)) / len(words)) < 1e-3
+    texts = {r["doc_id"]: [None, *pattern.findall(r["text"])] for r in docs.collect()}
+    models = [Counter(), Counter()]
+    own = {k: Counter(w) + Counter(zip(w, w[1:], strict=False)) for k, w in texts.items()}
+    for k, c in own.items():
+        for m in (0, 1) if k in good else (1,):
+            models[m].update(c)
+    tokens = {t for w in texts.values() for t in w[1:]}
+    masses = [sum(len(w) - 1 for k, w in texts.items() if m or k in good) for m in (0, 1)]
+
+    def loss(m, k, before, token):
+        mine, scale = m or k in good, masses[0] / masses[m]
+        left = lambda unit: scale * (models[m][unit] - mine * own[k][unit])
+        single = (left(token) + lm_score.SMOOTHING) / (scale * (masses[m] - mine * (len(texts[k]) - 1)) + lm_score.SMOOTHING * len(tokens))
+        return -math.log((left((before, token)) + lm_score.BACK_OFF * single) / (left(before) + lm_score.BACK_OFF))
+
+    target = docs.filter("doc_id % 3 = 0").select("doc_id")
+    got, small = by_id(lm_score.score(docs, target)), by_id(lm_score.score(docs, target, block_bytes=5000))
+    for k, w in texts.items():
+        want = sum(loss(0, k, a, b) - loss(1, k, a, b) for a, b in zip(w, w[1:], strict=False)) / max(len(w) - 1, 1)
+        assert got[k]["n_tokens"] == len(w) - 1 and abs(got[k]["score"] - want) < 1e-9 and abs(small[k]["score"] - want) < 1e-9
     found = lm_score.score(odd, odd.filter("doc_id = 8").select("doc_id")).collect()
     assert len(found) == len(ODD) and {r["score"] for r in found if r["doc_id"] in (1, 2)} == {0.0}
     assert {r["score"] for r in lm_score.score(odd, odd.limit(0).select("doc_id")).collect()} == {0.0}
     assert lm_score.score(empty, odd.select("doc_id")).count() == 0
 
 
+def test_order_of_words_counts(spark):
+    """A document scores by what follows what: shuffled, it reads less like the target."""
+    rng = random.Random(3)
+    lines = [[f"{chr(97 + k)}{x}" for x in "abcdefgh"] for k in range(20)]
+    text = lambda: " ".join(" ".join(rng.choice(lines)) for _ in range(20))
+    mixed = lambda: " ".join(rng.sample([w for line in lines for w in line], 160))
+    rows = [(k, text()) for k in range(60)] + [(100 + k, mixed()) for k in range(60)]
+    got = by_id(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string"), spark.range(0, 40).withColumnRenamed("id", "doc_id")))
+    assert max(got[k]["score"] for k in range(60)) < min(got[100 + k]["score"] for k in range(60))
+
+
 # --------------------------------------------------------------------- Simple-8b
 
 
@@ -542,6 +641,18 @@ def test_token_files(spark, docs, odd, empty):
     assert simple8b.round_trip(odd).count() == len(ODD) and simple8b.round_trip(empty).count() == 0
 
 
+def test_one_id_of_many_rows(spark):
+    tokenizer = library()
+    rows = [(7, f"text {k % 50} " * 3) for k in range(2000)] + [(None, f"none {k}") for k in range(500)] + [(9, "last")]
+    got = simple8b.round_trip(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    at, want = 0, []
+    for k, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 0]
+        want.append((k, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+
+
 def test_added_tokens_at_every_step_size(monkeypatch):
     import pyarrow as pa
 
@@ -611,4 +722,4 @@ def test_the_toxicity_sample_does_not_depend_on_order_copies_or_length(spark, mo
 
 
 def test_checkpoint_dir_is_the_sessions(spark):
-    assert common.checkpoint_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or common.OWN_CHECKPOINT_DIR).rstrip("/")
+    assert common.checkpoint_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or storage.OWN_FOLDER).rstrip("/")
