@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusflow import storage
+
 #: ASCII white space of the word pattern ``[^\x20\x09-\x0D]+``.
 WS = " \t\n\x0b\x0c\r"
-#: Used only where a single machine (tests) names no folder.
-OWN_CHECKPOINT_DIR = "/tmp/checkpoints"
 #: A broadcast side has at most so many rows and bytes; beyond it joins shuffle.
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20
@@ -41,25 +41,46 @@ HEAVY_SHARE = 4096
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the session; on a single machine an own one where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        path = OWN_CHECKPOINT_DIR
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+    return storage.checkpoint_dir(spark).rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh path in the shared folder, deleted when the driver's JVM ends."""
     path = f"{checkpoint_dir(spark)}/corpusflow-{tag}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    files, target = _file_system(spark, path)
+    files.deleteOnExit(target)
+    if _STEPS:
+        _STEPS[-1].append(path)
     return path
 
 
+#: Paths of the steps that ``settled`` is in.
+_STEPS: list[list[str]] = []
+
+
+def settled(spark: SparkSession, tag: str, build) -> DataFrame:
+    """What ``build()`` returns, materialised; what it materialised on the way is deleted.
+
+    The result lies in the shared folder by then and depends on none of it.
+    """
+    paths: list[str] = []
+    _STEPS.append(paths)
+    try:
+        df = build()
+    finally:
+        _STEPS.pop()
+    out = materialise(df, tag)
+    for path in paths:
+        files, target = _file_system(spark, path)
+        files.delete(target, True)
+    return out
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

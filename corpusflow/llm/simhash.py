@@ -33,6 +33,7 @@ from corpusflow.llm import common as C
 from corpusflow.llm.bktree import Forest, Union
 from corpusflow.llm.components import components
 from corpusflow.shipping import ship
+from corpusflow.storage import spread
 
 SHINGLE = 3
 RADIUS = 3
@@ -45,6 +46,8 @@ FULL_SHARD = 256
 WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, WIDE_CELL = 5, 4, 54, 8192
 #: Least Jaccard similarity of linked texts, and members of a cell that holds whole sets.
 SIMILARITY, SET_CELL = 0.8, 512
+#: How often the members of large candidate groups are dealt to cells anew.
+ROUNDS = 2
 #: How many of the pairs at the radius the bands find (nearer ones: more).
 BAND_RECALL = 0.95
 #: Shingles hashed between two rounds of counting.
@@ -67,7 +70,7 @@ def _set_bits(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _hashed(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
     """``id, h``: the XXH64 hashes of each row's shingles, repeats included."""
     ship(docs.sparkSession)
-    own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = spread(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
     words = own.select("id", C.words_col(_lower_ascii(F.col("text"))).alias("w"))
     last = F.size("w") - shingle
     gram = lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(F.col("w"), i + k) for k in range(shingle)]))
@@ -156,15 +159,24 @@ def _words_of(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _links_of(table: pa.Table, radius: int) -> tuple[pa.Array, pa.Array]:
-    """One link for each member that is not its set's first, over whole cells."""
+    """One link for each member that is not its set's least, over whole cells.
+
+    The least, so that the links of one set from different cells are mostly the same.
+    Members of one ``label``, if there are labels, are one set from the start: such a
+    set counts as one member, and cells of one such set alone are not searched.
+    """
     column = table.column("fingerprint")
     cell, side, prints = table.column("cell").to_numpy(), table.column("side").to_numpy(), _words_of(column)
+    labels = table.column("label").to_numpy() if "label" in table.schema.names else np.arange(len(cell))
     _, number = np.unique(cell, return_inverse=True)
-    size = np.bincount(number)
-    keep = np.flatnonzero(size[number] > 1)
-    # by cell, the trees' members first
-    keep = keep[np.lexsort((side[keep] == 1, number[keep]))]
-    number, side, prints = number[keep], side[keep], prints[keep]
+    least, most = np.full(number.max() + 1, np.iinfo(np.int64).max), np.full(number.max() + 1, np.iinfo(np.int64).min)
+    np.minimum.at(least, number, labels)
+    np.maximum.at(most, number, labels)
+    keep = np.flatnonzero((least < most)[number])
+    # by cell, in order of the fingerprints
+    words = np.atleast_2d(prints[keep].T)
+    keep = keep[np.lexsort((*words, number[keep]))]
+    number, side, prints, labels = number[keep], side[keep], prints[keep], labels[keep]
     # side 0: the cell's tree; side 1: passes through it; side 2: both
     in_tree, asks = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     groups = np.unique(number[in_tree])
@@ -174,27 +186,37 @@ def _links_of(table: pa.Table, radius: int) -> tuple[pa.Array, pa.Array]:
         known = (at < len(groups)) & (groups[np.minimum(at, len(groups) - 1)] == number[asks])
         asks, at = asks[known], at[known]
     sets = Union(len(prints))
+    order = np.lexsort((np.arange(len(labels)), labels, number))
+    new = np.ones(len(order), bool)
+    new[1:] = (number[order][1:] != number[order][:-1]) | (labels[order][1:] != labels[order][:-1])
+    sets.label[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else order
+    start = sets.label.copy()
     if len(groups):
         for who, node in forest.search(prints[asks], forest.roots[at], radius):
             a, b = asks[who], in_tree[node]
-            other = a != b
+            other = sets.label[a] != sets.label[b]
             sets.link(a[other], b[other])
-    moved = np.flatnonzero(sets.label != np.arange(len(prints)))
+    moved = np.flatnonzero((start == np.arange(len(start))) & (sets.label != start))
     return column.take(pa.array(keep[moved])), column.take(pa.array(keep[sets.label[moved]]))
 
 
 def _cells(shards: DataFrame, cell: int, member: str = "fingerprint") -> DataFrame:
-    """``cell, side, member`` of shards ``k, v, member``; large ones in a triangle of cells."""
+    """``cell, side, member`` of shards ``k, v, member``, and what else these have; large
+    ones in a triangle of cells."""
+    own = [member, *[c for c in shards.columns if c not in ("k", "v", member)]]
     sizes = shards.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
-    large = C.broadcast_if_small(sizes.filter(F.col("n") > cell).select("k", "v", F.ceil(F.col("n") / cell).cast("int").alias("m")))
+    large = C.materialise(sizes.filter(F.col("n") > cell).select("k", "v", F.ceil(F.col("n") / cell).cast("int").alias("m")), "large")
+    if large.limit(1).count() == 0:
+        return shards.select(F.xxhash64("k", "v").alias("cell"), F.lit(2).alias("side"), *own)
+    large = C.broadcast_if_small(large)
     alone = C.materialise(shards.join(large, ["k", "v"], "left"), "shards")
-    small = alone.filter(F.col("m").isNull()).select(F.xxhash64("k", "v").alias("cell"), F.lit(2).alias("side"), member)
+    small = alone.filter(F.col("m").isNull()).select(F.xxhash64("k", "v").alias("cell"), F.lit(2).alias("side"), *own)
     # A large shard: part i is the tree of cells (i, j), and part j passes through.
     part = F.pmod(F.xxhash64(member), F.col("m")).cast("int")
-    cut = alone.filter(F.col("m").isNotNull()).select("k", "v", "m", part.alias("p"), member)
-    as_tree = cut.select("k", "v", F.explode(F.sequence("p", F.col("m") - 1)).alias("j"), F.col("p").alias("i"), member).withColumn("side", F.when(F.col("i") == F.col("j"), 2).otherwise(0))
-    asking = cut.filter(F.col("p") > 0).select("k", "v", F.explode(F.sequence(F.lit(0), F.col("p") - 1)).alias("i"), F.col("p").alias("j"), member).withColumn("side", F.lit(1))
-    cells = as_tree.unionByName(asking).select(F.xxhash64("k", "v", "i", "j").alias("cell"), "side", member)
+    cut = alone.filter(F.col("m").isNotNull()).select("k", "v", "m", part.alias("p"), *own)
+    as_tree = cut.select("k", "v", F.explode(F.sequence("p", F.col("m") - 1)).alias("j"), F.col("p").alias("i"), *own).withColumn("side", F.when(F.col("i") == F.col("j"), 2).otherwise(0))
+    asking = cut.filter(F.col("p") > 0).select("k", "v", F.explode(F.sequence(F.lit(0), F.col("p") - 1)).alias("i"), F.col("p").alias("j"), *own).withColumn("side", F.lit(1))
+    cells = as_tree.unionByName(asking).select(F.xxhash64("k", "v", "i", "j").alias("cell"), "side", *own)
     return small.unionByName(cells)
 
 
@@ -226,14 +248,17 @@ def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFram
     return _linked(_cells(shards, cell), radius)
 
 
-def _similar_in(marks: np.ndarray, asks: np.ndarray, tree: np.ndarray, flat: np.ndarray, off: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+def _similar_in(marks: np.ndarray, labels: np.ndarray, asks: np.ndarray, tree: np.ndarray, flat: np.ndarray, off: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
     """Links of one cell: a member of ``tree`` and one that asks, of at least that similarity.
 
-    Each member of the tree is compared with whoever is not yet in its set, so
-    that a group of near copies costs as many comparisons as it has members.
+    Members of one label are linked already. Each member of the tree is compared
+    with whoever is not yet in its set, so that a group of near copies costs as
+    many comparisons as it has members.
     """
     _, flat = np.unique(flat, return_inverse=True)
     size, sets = np.diff(off), Union(len(marks))
+    _, first, number = np.unique(labels, return_index=True, return_inverse=True)
+    sets.label = first[number]
     seen = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool)
     both_sides = np.array_equal(asks, tree)
     for t in tree:
@@ -248,37 +273,87 @@ def _similar_in(marks: np.ndarray, asks: np.ndarray, tree: np.ndarray, flat: np.
         both = C.sums(seen[flat[C.ragged(off[rest], size[rest])]], C.ends(size[rest])).astype(np.int64)
         seen[own] = False
         rest = rest[both >= least * (size[rest] + size[t] - both) - 1e-9]
+        # one link for each set that joins
+        rest = rest[np.unique(sets.label[rest], return_index=True)[1]]
         if len(rest):
             sets.link(np.full(len(rest), t), rest)
             yield from ((marks[t], marks[r]) for r in rest)
 
 
 def _verified(cells: DataFrame, least: float) -> DataFrame:
-    """Links ``(a, b)`` of marks whose sets have at least that Jaccard similarity."""
+    """Links ``(a, b)`` of marks whose sets have at least that Jaccard similarity,
+    out of cells ``cell, side, mark, label, h``."""
     ship(cells.sparkSession)
     n_parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
         for table in _groups(batches):
-            cell, side, marks = (table.column(c).to_numpy() for c in ("cell", "side", "mark"))
+            cell, side, marks, labels = (table.column(c).to_numpy() for c in ("cell", "side", "mark", "label"))
             lists = table.column("h").combine_chunks().cast(pa.large_list(pa.int64()))
             off = lists.offsets.to_numpy().astype(np.int64)
             flat, off = lists.values.to_numpy()[off[0] : off[-1]], off - off[0]
             cut = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1), len(cell)]
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 own = off[a : b + 1]
-                found = list(_similar_in(marks[a:b], np.flatnonzero(side[a:b] != 0), np.flatnonzero(side[a:b] != 1), flat[own[0] : own[-1]], own - own[0], least))
+                found = list(_similar_in(marks[a:b], labels[a:b], np.flatnonzero(side[a:b] != 0), np.flatnonzero(side[a:b] != 1), flat[own[0] : own[-1]], own - own[0], least))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
+    cells = cells.select("cell", "side", "mark", "label", "h")
     return cells.repartition(n_parts, "cell").sortWithinPartitions("cell").mapInArrow(C.in_worker(run), "a long, b long")
 
 
+def _similar(near: DataFrame, least: float, cell: int) -> DataFrame:
+    """``node, root`` of marks: groups of sets of that Jaccard similarity, each within its ``v``.
+
+    ``near`` has ``v, mark, h``. A ``v`` of at most ``cell`` members is a cell. The
+    members of a larger one are dealt to cells, and dealt anew, in ``ROUNDS``;
+    after that what is one group by then is not compared within itself any more:
+    its largest group meets all others, and these meet each other, in cells of two
+    parts. So each pair is compared, and near copies, however many, are copied to
+    ``ROUNDS`` cells each.
+    """
+    sizes = near.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    large = C.materialise(sizes.filter(F.col("n") > cell).select("v", F.ceil(F.col("n") / cell).cast("int").alias("m")), "large")
+    whole = lambda df: df.select(F.xxhash64("v").alias("cell"), F.lit(2).alias("side"), "mark", F.col("mark").alias("label"), "h")
+    if large.limit(1).count() == 0:
+        return components(_verified(whole(near), least))
+    large = C.broadcast_if_small(large)
+    links = C.materialise(_verified(whole(near.join(large, "v", "left_anti")), least), "links")
+    own = C.materialise(near.join(large, "v"), "sets")
+    labels = own.select("mark", F.col("mark").alias("label"))
+    found = links.limit(0)
+
+    def labelled() -> DataFrame:
+        roots = components(found)
+        return own.select("mark").join(roots, F.col("mark") == F.col("node"), "left").select("mark", F.coalesce("root", "mark").alias("label"))
+
+    for k in range(ROUNDS):
+        dealt = F.xxhash64("v", F.lit(k), F.pmod(F.xxhash64("mark", F.lit(k)), F.col("m")))
+        cells = own.join(labels, "mark").select(dealt.alias("cell"), F.lit(2).alias("side"), "mark", "label", "h")
+        found = found.unionByName(C.materialise(_verified(cells, least), "links"))
+        labels = C.materialise(labelled(), "labels")
+    # what is left: v of more than one group
+    groups = own.select("v", "mark").join(labels, "mark").groupBy("v", "label").agg(F.count(F.lit(1)).alias("n"))
+    top = groups.groupBy("v").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"))
+    parts = lambda n: F.ceil(n / cell).cast("int")
+    left = top.filter("groups > 1").select("v", "major", parts(F.col("n") - F.col("most")).alias("others"), parts(F.col("most")).alias("majors"))
+    own = own.select("v", "mark", "h").join(C.broadcast_if_small(C.materialise(left, "left")), "v").join(labels, "mark")
+    dealt = lambda n: F.pmod(F.xxhash64("mark", F.lit(ROUNDS)), n).cast("int")
+    own = own.withColumn("part", F.when(F.col("label") == F.col("major"), F.col("others") + dealt(F.col("majors"))).otherwise(dealt(F.col("others"))))
+    # cells (i, j) of parts i <= j, of which i is one of the others: i is the tree
+    tree = own.filter("part < others").withColumn("i", F.col("part")).withColumn("j", F.explode(F.sequence("part", F.col("others") + F.col("majors") - 1)))
+    tree = tree.withColumn("side", F.when(F.col("i") == F.col("j"), 2).otherwise(0))
+    asks = own.filter("part > 0").withColumn("j", F.col("part")).withColumn("i", F.explode(F.sequence(F.lit(0), F.least("part", "others") - 1))).withColumn("side", F.lit(1))
+    cells = tree.unionByName(asks).select(F.xxhash64("v", "i", "j").alias("cell"), "side", "mark", "label", "h")
+    return components(links.unionByName(found).unionByName(_verified(cells, least)))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Per row: ``id_col, fingerprint long, component_id`` (least id reachable)."""
     prints = C.materialise(fingerprints(docs, id_col, text, shingle).withColumnRenamed(id_col, "id"), "prints")
     least = C.materialise(prints.groupBy("fingerprint").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")), "least")
-    roots = components(links(least.select("fingerprint"), radius))
+    roots = C.settled(docs.sparkSession, "roots", lambda: components(links(least.select("fingerprint"), radius)))
     return _named(prints, least, roots, id_col)
 
 
@@ -298,9 +373,9 @@ def _named(prints: DataFrame, least: DataFrame, roots: DataFrame, id_col: str, b
 
 
 def band_bits(n: int, agree: float, recall: float) -> tuple[int, int]:
-    """Bits of a band and number of bands: buckets of a few dozen strangers, and
+    """Bits of a band and number of bands: buckets of a hundred strangers or so, and
     ``recall`` of the pairs whose fingerprints agree in a share ``agree`` of bits."""
-    bits = max(8, int(np.ceil(np.log2(max(n, 2)))) - 5)
+    bits = max(8, int(np.ceil(np.log2(max(n, 2)))) - 7)
     return bits, int(np.ceil(np.log(1 - recall) / np.log(1 - agree**bits)))
 
 
@@ -331,25 +406,38 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rng = np.random.default_rng(17)
     places = [rng.choice(64 * WIDE_WORDS, bits, replace=False) for _ in range(bands)]
 
-    def cut(batches):
-        for batch in batches:
-            values = pa.chunked_array([batch.column("fingerprint")])
-            rows = _words_of(values)
-            ones = np.unpackbits(rows.view(np.uint8), axis=1, bitorder="little")
-            for k, place in enumerate(places):
-                v = ones[:, place].astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), k, np.int32)), pa.array(v), batch.column("fingerprint")], names=["k", "v", "fingerprint"])
-
-    shards = distinct.mapInArrow(C.in_worker(cut), "k int, v long, fingerprint binary")
-    roots = components(_linked(_cells(shards, WIDE_CELL), radius))
+    def banded(own: DataFrame, bands: list[tuple[int, np.ndarray]]) -> DataFrame:
+        """Links by some bands of ``own(fingerprint, label)``."""
+
+        def cut(batches):
+            for batch in batches:
+                rows = _words_of(pa.chunked_array([batch.column("fingerprint")]))
+                ones = np.unpackbits(rows.view(np.uint8), axis=1, bitorder="little")
+                for k, place in bands:
+                    v = ones[:, place].astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), k, np.int32)), pa.array(v), *batch.columns], names=["k", "v", *batch.schema.names])
+
+        shards = own.mapInArrow(C.in_worker(cut), "k int, v long, fingerprint binary, label long")
+        return _linked(_cells(shards, WIDE_CELL), radius)
+
+    def found() -> DataFrame:
+        # some bands first: what they link needs no links of its own in the others
+        numbered = list(enumerate(places))
+        some = -(-bands // 4)
+        roots = components(banded(distinct.withColumn("label", F.xxhash64("fingerprint")), numbered[:some]))
+        named = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", F.xxhash64(F.coalesce("root", "fingerprint")).alias("label"))
+        rest = banded(C.materialise(named, "distinct"), numbered[some:])
+        return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))
+
+    roots = C.settled(docs.sparkSession, "roots", found)
     # candidates: the sets of components of more than one
     near = least.join(roots, least["fingerprint"] == roots["node"], "left").select("mark", "least", F.coalesce("root", "fingerprint").alias("v"))
     many = near.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("v")
     near = C.materialise(near.join(C.broadcast_if_small(C.materialise(many, "many")), "v"), "near")
     ids = C.broadcast_if_small(near.select(F.col("least").alias("least_")).distinct())
     again = _sets(docs.join(ids, docs[id_col].eqNullSafe(ids["least_"]), "left_semi"), id_col, text, shingle)
-    cells = _cells(near.select(F.lit(0).alias("k"), "v", "mark"), SET_CELL, "mark").join(again.select("mark", "h").dropDuplicates(["mark"]), "mark")
-    return _named(prints, least, components(_verified(cells, SIMILARITY)), id_col, "mark")
+    sets = near.select("v", "mark").join(again.select("mark", "h").dropDuplicates(["mark"]), "mark")
+    return _named(prints, least, _similar(C.materialise(sets, "sets"), SIMILARITY, SET_CELL), id_col, "mark")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -361,7 +449,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     key, gone_, twice_, row_ = (C.fresh(docs, c) for c in ("key_", "gone_", "twice_", "row_"))
     keyed = docs.withColumn(key, F.struct(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("sum")))
-    groups = C.materialise(similar_groups(keyed.select(F.col(key).alias("key"), "text"), "key"), "groups")
+    groups = C.settled(docs.sparkSession, "groups", lambda: similar_groups(keyed.select(F.col(key).alias("key"), "text"), "key"))
     gone = C.materialise(groups.filter(F.col("key") != F.col("component_id")).select(F.col("key").alias(gone_)).distinct(), "gone")
     kept = keyed.join(C.broadcast_if_small(gone), F.col(key) == F.col(gone_), "left_anti")
     twice = groups.filter(F.col("key") == F.col("component_id")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("key").alias(twice_))
