@@ -21,6 +21,12 @@ def first_wins(df: DataFrame, keys: list[str], order: list, bypass: Column | Non
     return picked(df.filter(~bypass)).unionByName(df.filter(bypass))
 
 
+def kept_counts(items: DataFrame, kept: DataFrame, by: str) -> DataFrame:
+    """``by, count, kept_count``: rows before and after duplicates went."""
+    both = items.select(by, F.lit(0).alias("kept_")).unionByName(kept.select(by, F.lit(1).alias("kept_")))
+    return both.groupBy(by).agg(F.count_if(F.col("kept_") == 0).alias("count"), F.sum("kept_").alias("kept_count"))
+
+
 def longest_wins(df: DataFrame, key: str, text: str, order: str) -> DataFrame:
     """One row for each non-empty key: the longest text, the first in ``order`` of equals."""
     best = F.max_by(F.struct(*df.columns), F.struct(F.length(text), -F.col(order)))

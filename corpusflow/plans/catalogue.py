@@ -548,8 +548,15 @@ def q41(spark, d):
     return enrich.staged(own, enrich.Stub(), _stored, form="indexed").select("doc_id", "title_out", "summary_out", "state")
 
 
-@query("q42_channel_status", "SELECT source AS channel, count(*) FILTER (doc_id % 2 = 0) AS n, CASE WHEN count(*) FILTER (doc_id % 2 = 0) = 0 THEN 'error' ELSE 'ok' END AS status FROM documents GROUP BY source")
+@query("q42_channel_status", "SELECT source AS channel, count(*) FILTER (doc_id % 2 = 0) AS n, CASE WHEN count(*) FILTER (doc_id % 2 = 0) = 0 THEN 'error' ELSE 'ok' END AS status, count(*) FILTER (doc_id % 2 = 1) AS feed_errors FROM documents GROUP BY source")
 def q42(spark, d):
     good = F.col("doc_id") % 2 == 0
     own = table(spark, d, "documents").select(F.col("source").alias("channel"), F.when(good, "ok").otherwise("error").alias("status"), F.when(good, "http://x").alias("link"), F.when(~good, "broken").alias("error"))
-    return feeds.channel_status(own, "channel").select("channel", "n", "status")
+    return feeds.channel_status(own, "channel").select("channel", "n", "status", "feed_errors")
+
+
+@query("q43_kept_counts", f"WITH k AS ({_KEYED}), f AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY {_SOURCE_ORD}, doc_id) = 1 OR key = '' AS kept FROM k) SELECT source, count(*) AS count, CAST(sum(CASE WHEN kept THEN 1 ELSE 0 END) AS BIGINT) AS kept_count FROM f GROUP BY source")
+def q43(spark, d):
+    own = _keyed(spark, d)
+    kept = select.first_wins(own.withColumn("source_ord", F.substring("source", 4, 9).cast("int")), ["key"], ["source_ord", "doc_id"], F.col("key") == "")
+    return select.kept_counts(own, kept, "source")

@@ -73,12 +73,13 @@ def entries(raw: DataFrame) -> DataFrame:
 
 
 def channel_status(rows: DataFrame, by: str = "feed_channel") -> DataFrame:
-    """``by, n, status, error``: a channel fails only if no feed of it gave an entry and one failed."""
+    """``by, n, status, error, feed_errors``: a channel fails only if no feed of it gave an
+    entry and one failed; how many rows say that a feed failed stands beside it."""
     ok = (F.col("status") == "ok") & (F.coalesce("link", F.lit("")) != "")
     errors = F.sort_array(F.collect_set("error"))  # a message a feed, at most
-    own = rows.groupBy(by).agg(F.count_if(ok).alias("n"), F.substring(F.array_join(errors, "; "), 1, 400).alias("error"))
+    own = rows.groupBy(by).agg(F.count_if(ok).alias("n"), F.count_if(F.col("status") == "error").alias("feed_errors"), F.substring(F.array_join(errors, "; "), 1, 400).alias("error"))
     failed = (F.col("n") == 0) & (F.col("error") != "")
-    return own.select(by, "n", F.when(failed, "error").otherwise("ok").alias("status"), F.when(failed, F.col("error")).alias("error"))
+    return own.select(by, "n", F.when(failed, "error").otherwise("ok").alias("status"), F.when(failed, F.col("error")).alias("error"), "feed_errors")
 
 
 class FeedReader(DataSourceReader):
