@@ -28,20 +28,25 @@ def resolve_roots(labels: DataFrame, edges: DataFrame, roots: DataFrame, keep: i
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= keep).select("label", "item", "rank")
 
 
-def descend(edges: DataFrame, roots: DataFrame, depth: int = MAX_DEPTH, max_classes: int | None = MAX_CLASSES, max_children: int | None = MAX_CHILDREN) -> DataFrame:
+def descend(edges: DataFrame, roots: DataFrame, depth: int = MAX_DEPTH, max_classes: int | None = MAX_CLASSES, max_children: int | None = MAX_CHILDREN, known: DataFrame | None = None) -> DataFrame:
     """``node, depth`` of the classes below the roots, levels 0 to ``depth``.
 
     A level expands at most what is left of ``max_classes``, in order of node; a
     node gives at most ``max_children`` children; None is no bound. Each level is
-    checkpointed.
+    checkpointed. ``known`` is the result of a run that ended early: its last level is
+    expanded next.
     """
     edges = edges.select("child", "parent").distinct()
     if max_children is not None:
         edges = first_of_each(edges, ["parent"], "child", max_children)
     edges = checkpointed(edges)  # read at each level
     visited = roots.select(F.col("node"), F.lit(0).alias("depth")).distinct()
-    frontier = visited.select("node")
-    for level in range(1, depth + 1):
+    at = 0
+    if known is not None:
+        visited = checkpointed(known.select("node", "depth").unionByName(visited).groupBy("node").agg(F.min("depth").alias("depth")))
+        at = visited.agg(F.max("depth").alias("d")).first()["d"] or 0
+    frontier = visited.filter(F.col("depth") == at).select("node")
+    for level in range(at + 1, depth + 1):
         found = frontier.join(edges, frontier["node"] == edges["parent"]).select(F.col("child").alias("node")).distinct()
         found = found.join(visited, "node", "left_anti")
         if max_classes is not None:

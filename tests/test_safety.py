@@ -297,3 +297,12 @@ def test_an_upsert_that_carries_forward(spark, tmp_path):
         df.write.mode("append").parquet(source)
         items.upsert(spark.readStream.schema(schema).parquet(source), table, str(tmp_path / "state"), carry=carry).awaitTermination()
     assert [(r["body"], r["note"]) for r in sinks.read(spark, table).collect()] == [("two", "kept")]
+
+
+def test_a_search_goes_on_from_its_last_level(spark):
+    edges = spark.createDataFrame([("r", "a"), ("a", "b"), ("b", "c"), ("c", "d"), ("r", "e")], "parent string, child string")
+    roots = spark.createDataFrame([("r",)], "node string")
+    whole = sorted(map(tuple, graph.descend(edges, roots).collect()))
+    for depth in range(4):
+        early = graph.descend(edges, roots, depth=depth)
+        assert sorted(map(tuple, graph.descend(edges, roots, known=early).collect())) == whole
