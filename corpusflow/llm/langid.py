@@ -194,11 +194,14 @@ def sample(docs: DataFrame) -> DataFrame:
     ids, lengths or numbers of copies.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", F.xxhash64("text", F.lit(5)).alias("h"))
-    counts = C.materialise(known.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    counts = known.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = C.materialise(counts.coalesce(1), "languages")  # a row a language
     each = max(SAMPLE_ROWS / max(counts.count(), 1), LEAST_ROWS)
     shares = C.broadcast_if_small(counts.select("lang", (F.lit(each) / F.col("n")).alias("share")))
     drawn = known.join(shares, "lang").filter(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    return C.materialise(drawn.select("lang", "h", "text").dropDuplicates(["lang", "h"]).drop("h"), "sample")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    # as many files as cores: the rows are bounded, and a file each for few rows is dear
+    return C.materialise(drawn.select("lang", "h", "text").dropDuplicates(["lang", "h"]).drop("h").coalesce(cores), "sample")
 
 
 def train(docs: DataFrame) -> Model:

@@ -258,7 +258,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(picked, "doc_id")
     # of an id's rows the one whose text has the least hash
     one = F.min_by(F.struct("text", "toxic", "draw"), F.xxhash64("text")).alias("own")
-    rows = C.materialise(texts.groupBy("doc_id").agg(one).select("doc_id", "own.*"), "sample")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    rows = C.materialise(texts.groupBy("doc_id").agg(one).select("doc_id", "own.*").coalesce(cores), "sample")
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     drawn = rows.filter(F.col("draw") < min(1.0, SAMPLE_BYTES / max(size, 1))).orderBy("doc_id").collect()
     return fit([r["text"] for r in drawn], [r["toxic"] for r in drawn])
