@@ -67,5 +67,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each over what its predecessor kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = common.materialise(stage(spark, docs, sf_dir), name)
+        # written and reread; what the stage wrote on its way is deleted
+        docs = common.settled(spark, name, lambda stage=stage, own=docs: stage(spark, own, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
