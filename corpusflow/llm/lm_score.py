@@ -9,8 +9,8 @@ target's loss minus the background's: low scores read like the target. A documen
 counts are taken off before it is scored, so a target document is not its own model.
 
 All tokens and pairs of all texts are counted. Documents are cut into blocks; a block
-sends each of its distinct tokens and pairs once, as 64-bit hashes with their counts, to
-the bucket of the hash; the bucket sums over blocks and answers with the sums (see
+sends each of its distinct tokens and pairs once, as 56-bit hashes with their counts, to
+the bucket of the hash (of 10^12 different ones, one in 70,000 meets another); the bucket sums over blocks and answers with the sums (see
 ``blocks``). What is gathered thus grows with the corpus, and no task or driver holds
 the model: a bucket holds its share of all blocks' rows, which ``spark.sql.shuffle.partitions``
 bounds.
@@ -36,8 +36,10 @@ from corpusflow.llm import common as C
 SMOOTHING, BACK_OFF = 0.05, 1.0
 #: Tokens scored at once.
 _STEP = 1 << 18
+#: Bits that a 64-bit hash loses: they would be a seventh of what blocks send.
+_SHORT = np.uint64(8)
 #: The hash of the start of a document.
-_START = np.uint64(0x243F6A8885A308D3)
+_START = np.uint64(0x243F6A8885A308D3) >> _SHORT
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -56,7 +58,7 @@ class _Units:
         hashes = np.append(hashes, _START)
         both = hashes[pairs // (n + 1)] * _M1 + hashes[pairs % (n + 1)]
         both = (both ^ (both >> np.uint64(30))) * _M2
-        self.keys = np.concatenate([hashes, both ^ (both >> np.uint64(27))])
+        self.keys = np.concatenate([hashes, (both ^ (both >> np.uint64(27))) >> _SHORT])
         to = self.keys % np.uint64(buckets)
         self.order = np.lexsort((self.keys, to))
         self.cut = np.searchsorted(to[self.order], np.arange(buckets + 1, dtype=np.uint64))
@@ -71,7 +73,7 @@ def _cut(block: int, batch: pa.RecordBatch, buckets: int) -> list[tuple]:
     bounds, rows = C.split_pieces(raw, off)
     words, seq = C.distinct_pieces(raw, bounds)
     target = batch.column("target").to_numpy(zero_copy_only=False)
-    hashes = B.hashes(words)
+    hashes = B.hashes(words) >> _SHORT
     units = _Units(hashes, seq, rows, buckets)
     own = np.repeat(target, np.diff(rows))
     some = np.diff(rows) > 0
