@@ -523,7 +523,7 @@ def q38(spark, d):
     return enrich.enrich(rows, enrich.Stub(), _stored, form="indexed").select("doc_id", "pos", "out", "via")
 
 
-@query("q39_titles", f"SELECT page_id AS doc_id, upper(t) AS title_out, 'OF ' || upper(t) AS summary_out, 'chunk' AS via FROM (SELECT page_id, trim({_TITLE}) AS t FROM pages)")
+@query("q39_titles", f"SELECT page_id AS doc_id, upper(t) AS title_out, 'OF ' || upper(t) AS summary_out, 'chunk' AS via FROM (SELECT page_id, replace(trim({_TITLE}), 'ß', 'ss') AS t FROM pages)")
 def q39(spark, d):
     own = table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.trim(_title()).alias("title"))
     return enrich.titles(own.withColumn("summary", F.concat(F.lit("of "), "title")), enrich.Stub(), _stored)
@@ -542,7 +542,7 @@ def q40(spark, d):
     return enrich.resume(own, enrich.Stub(), _stored, ["doc_id"], 3000, 10**9).select("doc_id", "n_done", "deferred")
 
 
-@query("q41_stage_order", "SELECT page_id AS doc_id, upper(t) AS title_out, CASE WHEN page_id % 2 = 0 THEN upper(s) END AS summary_out, 'ok' AS state FROM (SELECT page_id, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS t, 'summary of ' || page_id AS s FROM pages)")
+@query("q41_stage_order", "SELECT page_id AS doc_id, upper(t) AS title_out, CASE WHEN page_id % 2 = 0 THEN upper(s) END AS summary_out, 'ok' AS state FROM (SELECT page_id, replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), 'ß', 'ss') AS t, 'summary of ' || page_id AS s FROM pages)")
 def q41(spark, d):
     own = table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.trim(_title()).alias("title"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("summary of "), F.col("page_id").cast("string"))).alias("summary"), F.array(F.lit("one text"), F.lit("another text")).alias("paras"))
     return enrich.staged(own, enrich.Stub(), _stored, form="indexed").select("doc_id", "title_out", "summary_out", "state")
