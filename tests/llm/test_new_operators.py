@@ -7,7 +7,8 @@ import random
 import duckdb
 import numpy as np
 import pytest
-from corpusflow.llm import change_points, queries
+from corpusflow.llm import change_points, hard_negatives, queries
+from pyspark.sql import functions as F
 
 DIR = "/root/testdata/sf0.001"
 
@@ -95,3 +96,63 @@ def test_change_points_of_odd_rows(spark):
     assert (own[1, 1]["n_days"], own[1, 1]["total"], own[1, 1]["spread"], own[1, 1]["best_cost"]) == (1, 15, 1, 0)
     assert own[3, 2]["first_day"] - own[3, 1]["first_day"] in (30, 31)
     assert change_points.segments(df.limit(0), "vendor_id", "shipped_at", "quantity").count() == 0
+
+
+# ----------------------------------------------------------------- hard negatives
+
+
+def plain_mine(rows, every, limit=2**28):
+    """Every anchor against every row; ``rows``: ``(id, label, vector)``."""
+    own = []
+    for i, label, v in rows:
+        if i is None or label is None or not v or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        most = math.isqrt(2**62 // len(v))
+        own.append((i, label, [max(-most, min(most, math.floor(256 * x))) for x in v]))
+    out = []
+    for a, label, q in own:
+        if a % every:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(q, r, strict=True)), i, lab) for i, lab, r in own if i != a and len(r) == len(q))
+        for p, pid in [(-s, i) for s, i, lab in scored if lab == label][:5]:
+            fit = [(-s, i) for s, i, lab in scored if lab != label and 80 * p <= -100 * s <= 100 * p][:5]
+            out += [(a, pid, k + 1, i, p, s) for k, (s, i) in enumerate(fit)]
+    return sorted(out)
+
+
+VECTORS = "vec_id long, label int, embedding array<float>, q string, block int"
+
+
+def test_hard_negatives_equal_sql(spark):
+    assert equals_sql(spark, "op11_hard_negatives")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_hard_negatives_with_copies_and_odd_rows(spark, monkeypatch, seed):
+    """Many copies of one vector, of one id and of one label, small shards, blocks and groups, two lengths."""
+    for name, value in (("SHARD", 16), ("BLOCK", 3), ("GROUP", 1)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    rng = random.Random(seed)
+    vector = lambda n, wide=1.0: [float(np.float32(rng.uniform(-wide, wide))) for _ in range(n)]
+    common = vector(7)
+    rows = [(k, rng.choice([0, 0, 1, 2]), common if k % 3 == 0 else vector(7) if k % 3 == 1 else [x + 0.01 for x in common]) for k in range(90)]
+    rows += [(200 + k, k % 2, vector(4, 3e6)) for k in range(30)] + [(30, 0, common)] * 9 + [(40, 1, vector(7))] * 2
+    rows += [(None, 1, common), (500, None, common), (510, 1, None), (520, 1, []), (530, 1, [*common[:-1], None]), (540, 1, [*common[:-1], float("nan")]), (550, 1, [*common[:-1], float("inf")]), (-10, 1, common)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], VECTORS).repartition(3)
+    got = hard_negatives.mine(hard_negatives.quantised(df), F.col("id") % 10 == 0)
+    assert sorted(map(tuple, got.collect())) == plain_mine(df.select("vec_id", "label", "embedding").collect(), 10)
+    assert hard_negatives.mine(hard_negatives.quantised(df.limit(0)), F.col("id") % 10 == 0).count() == 0
+
+
+@pytest.mark.parametrize(("dims", "wide"), [(1, 5), (5, 300), (64, 256), (3, 2**30)])
+def test_bounds_hold(dims, wide):
+    rng = np.random.default_rng(dims)
+    q = rng.integers(-wide, wide, (200, dims))
+    q[50:120] = q[50]
+    codes, ends = hard_negatives.approximate(q)
+    for a in q[::20]:
+        lower, upper = hard_negatives.bounds(hard_negatives.tables(a, ends), codes)
+        score = [int(x) for x in q.astype(object) @ a.astype(object)]
+        assert all(lo <= s <= up for lo, s, up in zip(lower, score, upper, strict=True))
+        if dims == 64:
+            assert np.median(upper - lower) < 0.5 * (max(score) - min(score))
