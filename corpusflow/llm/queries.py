@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, change_points, decontam, hard_negatives, kd_shards, langid, lm_score, quality_rules, simhash, simple8b, toxicity, url_templates
+from corpusflow.llm import bpe, change_points, decontam, hard_negatives, imatch, kd_shards, langid, lm_score, quality_rules, simhash, simple8b, toxicity, url_templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,12 +63,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.quantised(table(spark, sf_dir, "embeddings"), label=moved), F.col("id") % 100 == 0)
 
 
+def op12_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.prints_and_edits(table(spark, sf_dir, "documents"))
+
+
 def op13_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_points.segments(table(spark, sf_dir, "sale_lines"), "vendor_id", "shipped_at", "quantity")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_quality_rules, op2_byte_bpe, op3_kd_shards, op4_url_templates, op5_language_id, op6_simhash, op7_decontamination, op8_lm_score, op9_simple8b, op10_toxicity, op11_hard_negatives, op13_change_points)
+    own = (op1_quality_rules, op2_byte_bpe, op3_kd_shards, op4_url_templates, op5_language_id, op6_simhash, op7_decontamination, op8_lm_score, op9_simple8b, op10_toxicity, op11_hard_negatives, op12_imatch, op13_change_points)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 

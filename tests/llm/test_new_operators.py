@@ -1,13 +1,16 @@
 """Operators 11 to 13 against their SQL and brute force, and in every odd case."""
 
 import datetime
+import hashlib
 import math
 import random
+import re
+from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
-from corpusflow.llm import change_points, hard_negatives, queries
+from corpusflow.llm import change_points, hard_negatives, imatch, queries
 from pyspark.sql import functions as F
 
 DIR = "/root/testdata/sf0.001"
@@ -156,3 +159,116 @@ def test_bounds_hold(dims, wide):
         assert all(lo <= s <= up for lo, s, up in zip(lower, score, upper, strict=True))
         if dims == 64:
             assert np.median(upper - lower) < 0.5 * (max(score) - min(score))
+
+
+# --------------------------------------------------------------- document prints
+
+M64 = 2**64 - 1
+
+
+def mixed(x):
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & M64
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & M64
+    return x ^ (x >> 31)
+
+
+def poly(values):
+    return sum(v * pow(0x9E3779B97F4A7C15, k + 1, 2**64) for k, v in enumerate(values)) & M64
+
+
+def plain_terms(text):
+    words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", text.encode())
+    return {mixed(poly(b + 1 for b in w.translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))))) & (2**48 - 1) for w in words}
+
+
+def plain_print(terms, lexicon):
+    kept = terms & lexicon
+    sign = "+" if kept or not terms else "-"
+    kept = kept or terms
+    cells = {}
+    for seed in range(imatch.SEEDS):
+        for h in sorted(kept):
+            u = mixed((h + (seed + 1) * 0x9E3779B97F4A7C15) & M64)
+            level = min((u & -u).bit_length() - 1 if u else 0, imatch.LEVELS - 1)
+            cells.setdefault((seed, level), []).append(mixed(u ^ 0x9E3779B97F4A7C15))
+    cell = lambda s, k: max(1, mixed(poly(cells[s, k])) >> 48) if (s, k) in cells else 0
+    return f"{sign}{len(kept):08x}" + "".join(f"{cell(s, k):04x}" for s in range(imatch.SEEDS) for k in range(imatch.LEVELS))
+
+
+def plain_near(a, b):
+    """The most likely number of differing terms, tried one by one."""
+    if a == b:
+        return 1.0
+    m, n = (abs(int(x[:9], 16)) for x in (a, b))
+    cells = [[x[9 + 4 * k : 13 + 4 * k] for k in range(imatch.SEEDS * imatch.LEVELS)] for x in (a, b)]
+    agree = [sum(cells[0][s * imatch.LEVELS + k] == cells[1][s * imatch.LEVELS + k] for s in range(imatch.SEEDS)) for k in range(imatch.LEVELS)]
+
+    def fits(d):
+        out = 0.0
+        for k, c in enumerate(agree):
+            q = min(max((1 - 0.5 ** min(k + 1, imatch.LEVELS - 1)) ** d, 1e-300), 1 - 1e-12)
+            out += c * math.log(q) + (imatch.SEEDS - c) * math.log1p(-q)
+        return out
+
+    d = max(imatch._TRIED, key=fits)
+    d = min(max(d, abs(m - n), 1), max(m + n, 1))
+    return (m + n - d) / max(m + n + d, 1)
+
+
+def plain_prints(rows, key=lambda r: r[0]):
+    rows = sorted(rows, key=key)
+    found = [plain_terms(t or "") for _, t in rows]
+    df = Counter(h for terms in found for h in terms)
+    lexicon = {h for h, n in df.items() if n >= 2 and n * 10 <= len(rows)}
+    out = []
+    for k, (i, t) in enumerate(rows):
+        t, after = t or "", rows[(k + 1) % len(rows)][1] or ""
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        own, other, follows = plain_print(found[k], lexicon), plain_print(plain_terms(edited), lexicon), plain_print(found[(k + 1) % len(rows)], lexicon)
+        out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), own, other, plain_near(own, other), plain_near(own, follows)))
+    return out
+
+
+def same_prints(got, want):
+    got = sorted(map(tuple, got.collect()), key=str)
+    want = sorted(want, key=str)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want])
+
+
+@pytest.mark.parametrize("step", [None, 300])
+def test_prints_equal_plain_ones(spark, monkeypatch, step):
+    if step:
+        monkeypatch.setattr(imatch, "STEP", step)
+        monkeypatch.setattr(imatch, "BLOCK_BYTES", 20_000)
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    got = imatch.prints_and_edits(docs.repartition(5) if step else docs)
+    same_prints(got, plain_prints([(r["doc_id"], r["text"]) for r in docs.collect()]))
+    plain = {r["doc_id"]: (abs(int(r["fingerprint"][:9], 16)), r["fingerprint"]) for r in got.collect()}
+    assert {r["doc_id"]: (r["n_terms"], r["fingerprint"]) for r in imatch.fingerprints(docs, block_bytes=step and 5000 or 1 << 20).collect()} == plain
+
+
+def test_prints_of_odd_rows(spark):
+    rows = [(1, None), (2, ""), (3, " .,- "), (4, "wörd"), (5, "Ünïcode “quotes” it's 12,5 kg\n漢字 😀"), (6, "same text here"), (7, "Same TEXT here"), (9, "a b c " * 30000), (10, "😀" * 7)]
+    rows += [(8, "one key of a third of all rows")] * 9 + [(11, "z")]
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "doc_id long, text string, block int, h string, row int").repartition(4)
+    got = imatch.prints_and_edits(df)
+    same_prints(got, plain_prints(rows))
+    near = {r["doc_id"]: r for r in got.collect()}
+    assert near[6]["fingerprint"] == near[7]["fingerprint"] and near[1]["fingerprint"] == near[3]["fingerprint"] and near[8]["near_next"] in (0.0, 1.0)
+    lone = imatch.prints_and_edits(df.filter("doc_id = 4"))
+    same_prints(lone, plain_prints([(4, "wörd")]))
+    without = spark.createDataFrame([(None, "no id"), (3, "three"), (None, "no id")], "doc_id long, text string")
+    same_prints(imatch.prints_and_edits(without), plain_prints([(None, "no id"), (None, "no id"), (3, "three")], key=lambda r: -1 if r[0] is None else r[0]))
+    assert imatch.prints_and_edits(df.limit(0)).count() == 0 and imatch.fingerprints(df.limit(0)).count() == 0
+
+
+def test_likeness_follows_the_shared_terms():
+    rng = random.Random(3)
+    for n, share in ((40, 0.9), (300, 0.5), (300, 0.1), (4000, 0.33), (4000, 0.8)):
+        found = []
+        for _ in range(30):
+            common, a, b = ({rng.getrandbits(48) for _ in range(k)} for k in (int(n * share), int(n * (1 - share) / 2), int(n * (1 - share) / 2)))
+            one, two = (imatch.prints(np.sort(np.array(sorted(common | x), np.uint64)), 1, np.zeros(1, bool)) for x in (a, b))
+            found.append(float(imatch.likeness(one, two)[0]))
+        assert abs(sum(found) / len(found) - share) < 0.1, (n, share)

@@ -1,4 +1,4 @@
-"""The ten operators on small tables, against brute force and in every odd case."""
+"""The first ten operators on small tables, against brute force and in every odd case."""
 
 import hashlib
 import math
