@@ -1,35 +1,51 @@
-"""Glossary hits: an n-gram dictionary join."""
+"""Glossary hits: an n-gram dictionary join, for a glossary and documents of any size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.storage import spread
+from corpusflow.operators.joins import bloom, known_keys, perhaps
+from corpusflow.operators.select import first_of_each
+from corpusflow.storage import checkpointed, spread
 
 MAX_WORDS, MAX_HITS = 4, 8
-#: Terms up to which a glossary is broadcast; it is shuffled beyond.
-BROADCAST_TERMS = 500_000
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _bare(c: Column) -> Column:
+    return F.btrim(c, F.lit(".-"))
+
+
+def windows(docs: DataFrame, terms: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``id, term, place``: windows of 1 to 4 words that may be terms, once a document, at their first place.
+
+    A word takes the three after it along and nothing else. Two Bloom filters, of the
+    terms' first words and of the terms, go to where the documents lie; only what passes
+    both is shuffled.
+    """
+    # words hold no other letters than these
+    words = F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _UPPER.lower())
+    words = F.split(words, r"[^a-z0-9\-]+")
+    heads = bloom(terms.select(_bare(F.substring_index("term", " ", 1)).alias("head")).distinct())
+    own = spread(docs.select(id_col, text)).select(id_col, words.alias("w"))
+    at = own.select(id_col, F.posexplode(F.transform("w", lambda _, i: F.slice("w", i + 1, MAX_WORDS))).alias("i", "g"))
+    at = perhaps(at, _bare(F.col("g")[0]), heads)
+    gram = lambda n: _bare(F.array_join(F.slice("g", 1, n), " "))
+    found = F.array(*[F.when(F.size("g") >= n, F.struct((F.col("i").cast("long") * 10 + n).alias("place"), gram(n).alias("term"))) for n in range(1, MAX_WORDS + 1)])
+    grams = at.select(id_col, F.explode(found).alias("x")).select(id_col, "x.place", "x.term").filter("term <> ''")
+    return perhaps(grams, F.col("term"), bloom(terms.select("term"))).groupBy(id_col, "term").agg(F.min("place").alias("place"))
 
 
 def hits(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text: str = "text", max_hits: int = MAX_HITS) -> DataFrame:
     """``id, rank, term`` (and the glossary's columns): distinct terms of windows of
     1 to 4 words, in order of first place and length, at most ``max_hits``.
 
-    ``terms`` has a unique lower-case ``term``. A window is built only where a word
-    is the first of some term, and only hits are shuffled.
+    ``terms`` has a unique lower-case ``term``; its other columns join the hits that are left.
     """
-    words = F.split(F.coalesce(F.col(text), F.lit("")), r"[^A-Za-z0-9\-]+")
-    bare = lambda c: F.btrim(c, F.lit(".-"))
-    small = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    hint = F.broadcast if small else lambda df: df
-    heads = terms.select(bare(F.substring_index("term", " ", 1)).alias("head")).distinct()
-    at = spread(docs.select(id_col, text)).select(id_col, words.alias("w")).select(id_col, "w", F.posexplode("w").alias("i", "x"))
-    at = at.join(hint(heads), bare(F.lower("x")) == F.col("head"), "left_semi")
-    gram = lambda n: bare(F.lower(F.array_join(F.slice("w", F.col("i") + 1, n), " ")))
-    windows = F.array(*[F.when(F.col("i") + n <= F.size("w"), F.struct((F.col("i") * 10 + n).alias("place"), gram(n).alias("term"))) for n in range(1, MAX_WORDS + 1)])
-    grams = at.select(id_col, F.explode(windows).alias("g")).select(id_col, "g.place", "g.term").filter("term <> ''")
-    side = hint(terms)
-    first = grams.join(side, "term").groupBy(id_col, "term", *[c for c in terms.columns if c != "term"]).agg(F.min("place").alias("place"))
-    rank = F.row_number().over(Window.partitionBy(id_col).orderBy("place"))
-    return first.withColumn("rank", rank).filter(F.col("rank") <= max_hits).drop("place")
+    names = checkpointed(terms.select("term"))
+    found = known_keys(checkpointed(windows(docs, names, id_col, text)), names, "term")
+    first = first_of_each(found, [id_col], "place", max_hits)
+    rank = F.row_number().over(Window.partitionBy(id_col).orderBy("place"))  # at most max_hits rows
+    first = first.withColumn("rank", rank).drop("place")
+    return first.join(terms, "term").select(id_col, "term", *[c for c in terms.columns if c != "term"], "rank") if len(terms.columns) > 1 else first.select(id_col, "term", "rank")

@@ -321,6 +321,25 @@ def q22(spark, d):
     return glossary.hits(table(spark, d, "documents").select("doc_id", "text"), terms).select("doc_id", "term", F.col("rank").cast("long").alias("rank"))
 
 
+_OPENINGS = "SELECT DISTINCT lower(t) AS term FROM (SELECT unnest([w[1] || ' ' || w[2], w[3] || ' ' || w[4] || ' ' || w[5], w[6], w[2] || ' ' || w[3] || ' ' || w[4] || ' ' || w[5]]) AS t FROM (SELECT regexp_split_to_array(text, '[^A-Za-z0-9\\-]+') AS w FROM documents WHERE text IS NOT NULL) WHERE len(w) > 5) WHERE trim(t) <> ''"
+
+
+@query(
+    "q22b_large_glossary",
+    rf"""WITH t AS ({_OPENINGS}), w AS (SELECT doc_id, regexp_split_to_array(text, '[^A-Za-z0-9\-]+') AS w FROM documents WHERE text IS NOT NULL),
+    g AS (SELECT doc_id, i * 10 + n AS place, lower(trim(array_to_string(w[i + 1:i + n], ' '), '.-')) AS term FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM w), (SELECT unnest([1, 2, 3, 4]) AS n) WHERE i + n <= len(w)),
+    f AS (SELECT doc_id, term, min(place) AS place FROM g JOIN t USING (term) WHERE term <> '' GROUP BY ALL)
+    SELECT doc_id, term, length(term) AS size, rank FROM (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS rank FROM f) WHERE rank <= 40""",
+)
+def q22b(spark, d):
+    # a glossary that grows with the documents: how each of them begins
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    own = docs.select(F.split("text", r"[^A-Za-z0-9\-]+").alias("w")).filter(F.size("w") > 5)
+    said = lambda *at: F.array_join(F.array(*[F.get("w", F.lit(k)) for k in at]), " ")
+    terms = own.select(F.explode(F.array(said(0, 1), said(2, 3, 4), said(5), said(1, 2, 3, 4))).alias("t")).filter(F.trim("t") != "").select(F.lower("t").alias("term")).distinct()
+    return glossary.hits(docs, terms.withColumn("size", F.length("term").cast("long")), max_hits=40).select("doc_id", "term", "size", F.col("rank").cast("long").alias("rank"))
+
+
 def _edges(spark, d):
     return table(spark, d, "part").filter("p_partkey > 1").select(F.floor(F.col("p_partkey") / 10).cast("long").alias("parent"), F.col("p_partkey").alias("child"))
 

@@ -1,11 +1,12 @@
 """Operators against micro-fixtures, sequential folds and properties."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators import carryover, enrich, glossary, graph, html, paragraphs, select
+from corpusflow.operators import carryover, enrich, glossary, graph, html, joins, paragraphs, select
 
 
 def fold(paras):
@@ -54,6 +55,34 @@ def test_glossary(spark):
     assert glossary.hits(docs, terms, max_hits=1).count() == 1
 
 
+def test_glossary_with_hot_terms_and_a_long_document(spark):
+    """A term of nearly all documents, one of 20,000 words, one id of many rows, more terms than a filter has false hits for."""
+    texts = [(k, f"the word{k % 50} Carrier Group {k}") for k in range(300)] + [(1000, " ".join(f"x{k} y{k}." for k in range(20000)))] + [(7, "again the -nato- term")] * 5 + [(8, None), (9, "Kelvin \u212a.x")]
+    terms = [("the",), ("nato",), ("carrier group",), ("word3 carrier",), ("k",), ("absent term",), *[(f"y{k} x{k + 1}",) for k in range(0, 30000, 3)]]
+    known = {t for (t,) in terms}
+    want = set()
+    for i in {i for i, _ in texts}:
+        first = {}
+        for text in [t for j, t in texts if j == i and t]:
+            w = re.split(r"[^A-Za-z0-9\-]+", text)
+            for at in range(len(w)):
+                for n in range(1, 5):
+                    g = " ".join(w[at : at + n]).lower().strip(".-")
+                    if at + n <= len(w) and g in known:
+                        first[g] = min(first.get(g, 10**9), at * 10 + n)
+        want |= {(i, g, r + 1) for r, (g, _) in enumerate(sorted(first.items(), key=lambda x: x[1])[:8])}
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    got = glossary.hits(docs, spark.createDataFrame(terms, "term string"))
+    assert {(r["doc_id"], r["term"], r["rank"]) for r in got.collect()} == want and len([w for w in want if w[0] == 1000]) == 8
+    assert glossary.hits(docs, spark.createDataFrame([], "term string")).count() == 0
+
+
+def test_bloom_filter_loses_nothing(spark):
+    rows = spark.range(40000).selectExpr("concat('v', id) AS v")
+    kept = joins.perhaps(rows, F.col("v"), joins.bloom(rows.filter("cast(substring(v, 2) as int) % 4 = 0")))
+    assert kept.filter("cast(substring(v, 2) as int) % 4 = 0").count() == 10000 and kept.count() < 10500
+
+
 def test_descend(spark):
     edges = spark.createDataFrame([("r", "a"), ("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("r", "b"), ("c", "r")], "parent string, child string")
     roots = spark.createDataFrame([("r",)], "node string")
