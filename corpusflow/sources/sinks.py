@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Iterator
@@ -9,6 +10,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpusflow.sources import versions
 
 
 def _fs(spark: SparkSession, path: str):
@@ -74,45 +78,40 @@ def read(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def current_version(spark: SparkSession, path: str) -> int:
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        return 0
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    return max([int(n[7:]) for n in names if n.startswith("commit-")], default=0)
+    """The newest version that can be read; 0: none."""
+    return versions.latest(versions.folder(spark, path))[0]
 
 
 def commit(df: DataFrame, path: str, expected: int) -> int:
-    """Write a version if ``expected`` is still the latest; raises on a conflict.
+    """Write a version if ``expected`` is still the latest; raises ``versions.Conflict`` if not.
 
-    The commit marker is created only if it does not exist, which file systems
-    decide atomically.
+    Spark's own writer writes the rows, then one marker makes them the version (see
+    ``versions``): a writer that ends before leaves the version before as it was.
     """
     spark = df.sparkSession
-    version = expected + 1
-    if current_version(spark, path) != expected:
-        raise RuntimeError(f"version {expected} is no longer the latest")
-    data = f"{path.rstrip('/')}/data-{version}-{uuid.uuid4().hex}"
-    df.write.parquet(data)
-    fs, marker = _fs(spark, f"{path.rstrip('/')}/commit-{version}")
+    at = versions.folder(spark, path)
+    if versions.latest(at)[0] != expected:
+        raise versions.Conflict(f"version {expected} is no longer the latest")
+    data = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path.rstrip('/')}/{data}")
     try:
-        out = fs.create(marker, False)
-    except Exception as e:
-        raise RuntimeError(f"version {version} was committed by another writer") from e
-    out.write(bytearray(data.encode()))
-    out.close()
-    return version
+        return versions.publish(at, expected, {"data": data, "schema": df.schema.json()})
+    except versions.Conflict:
+        fs, own = _fs(spark, f"{path.rstrip('/')}/{data}")
+        fs.delete(own, True)
+        raise
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The rows of a committed version, by default the latest."""
-    version = current_version(spark, path) if version is None else version
-    fs, marker = _fs(spark, f"{path.rstrip('/')}/commit-{version}")
-    if not fs.exists(marker):
-        raise FileNotFoundError(f"{path} has no version {version}")
-    stream = fs.open(marker)
-    data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
-    return spark.read.parquet(data)
+    path = path.rstrip("/")
+    said = versions.marker(versions.folder(spark, path), version)
+    own = lambda name: name if "/" in name and ("data" in said) else f"{path}/{name}"  # noqa: E731  once whole paths
+    paths = [own(n) for n in said.get("files", [said.get("data")])]
+    schema = T.StructType.fromJson(json.loads(said["schema"])) if "schema" in said else None
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(*paths)
 
 
 @contextmanager
