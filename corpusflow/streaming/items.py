@@ -33,6 +33,9 @@ def recent(items: DataFrame, channels: DataFrame, ts: str = "pub_ts", now: Colum
 def upsert(new: DataFrame, path: str, checkpoint: str, key: str = "url", ts: str = "pub_ts", carry: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Keep the latest row for each key at ``path``; a repeated batch changes nothing.
 
+    The table is rewritten with each batch: ``latest.follow`` does without, at the price of
+    a table of changes.
+
     ``carry(batch, table)`` may bring what is known of earlier versions forward
     before the batch is merged (columns as in the batch).
     """
@@ -41,8 +44,9 @@ def upsert(new: DataFrame, path: str, checkpoint: str, key: str = "url", ts: str
         spark: SparkSession = batch.sparkSession
         known = sinks.read(spark, path, batch.schema)
         own = carry(batch, known).select(*batch.columns) if carry else batch
-        both = own.unionByName(known)
-        best = F.max_by(F.struct(*both.columns), F.coalesce(F.col(ts).cast("double"), F.lit(0.0)))
+        both = own.withColumn("new_", F.lit(1)).unionByName(known.withColumn("new_", F.lit(0)))
+        # a null time loses to any other; of equal times the row that came later wins
+        best = F.max_by(F.struct(*batch.columns), F.struct(F.col(ts), "new_"))
         sinks.swap(both.groupBy(key).agg(best.alias("row")).select("row.*"), path)
 
     return new.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
