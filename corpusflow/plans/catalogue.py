@@ -478,10 +478,39 @@ def q32(spark, d):
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("ts"), "event_id")).cast("long"))
 
 
-@query("q33_enrichment", f"WITH {_SQL_PARAS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, para AS text, upper(replace(para, 'ß', 'ss')) AS out, 'chunk' AS via FROM p")
+def _answers(broken=None, lost=None) -> enrich.Answers:
+    """Answers that follow from the texts: upper case, in the form that is asked for. Of several
+    texts none is answered if one is ``broken``; alone, one that is ``lost`` never is; in
+    numbered answers those of 7 n characters are left out."""
+    no = lambda _: F.lit(False)
+    broken, lost = broken or no, lost or no
+
+    def column(prompt, texts):
+        asks = lambda kind: F.startswith(prompt, F.lit(enrich.TASKS[kind]))
+        one = F.upper(texts[0])
+        numbered = F.transform(F.filter(F.transform(texts, lambda t, i: F.struct(t.alias("t"), (i + 1).alias("i"))), lambda x: F.length(x["t"]) % 7 != 0), lambda x: F.struct(x["i"].alias("i"), F.upper(x["t"]).alias("p")))
+        cut = lambda t: F.regexp_extract(t, r"^Title: ([\s\S]*?)\nSummary: ([\s\S]*)$", 1)
+        rest = lambda t: F.regexp_extract(t, r"^Title: ([\s\S]*?)\nSummary: ([\s\S]*)$", 2)
+        pairs = F.transform(texts, lambda t: F.struct(F.upper(cut(t)).alias("t"), F.upper(rest(t)).alias("s")))
+        alone = F.when(lost(texts[0]), "{")
+        for kind in ("p", "s", "t"):
+            alone = alone.when(asks(kind), F.to_json(F.struct(one.alias(kind))))
+        many = F.when(asks("titles"), F.to_json(pairs)).when(asks("indexed"), F.to_json(numbered)).otherwise(F.concat(F.lit("ok "), F.to_json(F.transform(texts, F.upper))))
+        return F.when((F.size(texts) > 1) & F.exists(texts, broken), "no json here").when(F.size(texts) == 1, F.coalesce(alone, many)).otherwise(many)
+
+    return enrich.Answers(column)
+
+
+@query(
+    "q33_enrichment",
+    f"""WITH {_SQL_PARAS}, c AS (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1) // 6 AS chunk FROM p),
+    j AS (SELECT *, count(*) OVER w AS n, bool_or(length(para) % 13 = 0) OVER w AS broken FROM c WINDOW w AS (PARTITION BY doc_id, chunk)),
+    v AS (SELECT *, CASE WHEN (n > 1 AND broken) OR (n = 1 AND length(para) % 39 = 0) THEN 'single' ELSE 'chunk' END AS via FROM j)
+    SELECT doc_id, CAST(pos AS INTEGER) AS pos, para AS text, CASE WHEN via = 'single' AND length(para) % 39 = 0 THEN '' ELSE upper(replace(para, 'ß', 'ss')) END AS out, via FROM v""",
+)
 def q33(spark, d):
     rows = paragraphs.explode(table(spark, d, "documents"), separator="\n").select("doc_id", "pos", F.col("para").alias("text"))
-    return enrich.enrich(rows, enrich.Stub(), _stored)
+    return enrich.enrich(rows, _answers(lambda t: F.length(t) % 13 == 0, lambda t: F.length(t) % 39 == 0), _stored)
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -535,17 +564,24 @@ def q37(spark, d):
     return own.select("doc_id", html.body_or_fallback(*parts).alias("body"), html.fetch_status(*parts).alias("status"))
 
 
-@query("q38_indexed_enrichment", f"WITH {_SQL_PARAS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, upper(replace(para, 'ß', 'ss')) AS out, CASE WHEN length(para) % 7 = 0 THEN 'single' ELSE 'chunk' END AS via FROM p WHERE length(para) > 20 AND regexp_matches(para, '^[A-Za-z].*[a-z.]$')")
+@query("q38_indexed_enrichment", f"WITH {_SQL_PARAS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, CASE WHEN length(para) % 77 = 0 THEN '' ELSE upper(replace(para, 'ß', 'ss')) END AS out, CASE WHEN length(para) % 7 = 0 THEN 'single' ELSE 'chunk' END AS via FROM p WHERE length(para) > 20 AND regexp_matches(para, '^[A-Za-z].*[a-z.]$')")
 def q38(spark, d):
     rows = paragraphs.explode(table(spark, d, "documents"), separator="\n").select("doc_id", "pos", F.col("para").alias("text"))
     rows = rows.filter((F.length("text") > 20) & F.col("text").rlike("^[A-Za-z].*[a-z.]$")).withColumn("head", F.lit("head"))
-    return enrich.enrich(rows, enrich.Stub(), _stored, form="indexed").select("doc_id", "pos", "out", "via")
+    return enrich.enrich(rows, _answers(lost=lambda t: F.length(t) % 77 == 0), _stored, form="indexed").select("doc_id", "pos", "out", "via")
 
 
-@query("q39_titles", f"SELECT page_id AS doc_id, upper(t) AS title_out, 'OF ' || upper(t) AS summary_out, 'chunk' AS via FROM (SELECT page_id, replace(trim({_TITLE}), 'ß', 'ss') AS t FROM pages)")
+@query(
+    "q39_titles",
+    f"""SELECT doc_id, CASE WHEN NOT failed THEN upper(t) END AS title_out, CASE WHEN NOT failed THEN 'OF ' || upper(t) END AS summary_out, failed FROM
+    (SELECT page_id AS doc_id, replace(trim({_TITLE}), 'ß', 'ss') AS t, page_id % 10 = 3 AS failed FROM pages)""",
+)
 def q39(spark, d):
     own = table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.trim(_title()).alias("title"))
-    return enrich.titles(own.withColumn("summary", F.concat(F.lit("of "), "title")), enrich.Stub(), _stored)
+    # a chunk with such a page falls apart, and the page itself is never answered
+    marked = own.withColumn("summary", F.concat(F.lit("of "), "title", F.when(F.col("doc_id") % 10 == 3, "\u2063").otherwise("")))
+    said = _answers(lambda t: t.endswith("\u2063"), lambda t: t.endswith("\u2063"))
+    return enrich.titles(marked, said, _stored).select("doc_id", "title_out", "summary_out", (F.col("via") == "failed").alias("failed"))
 
 
 @query(
@@ -558,13 +594,29 @@ def q39(spark, d):
 def q40(spark, d):
     own = paragraphs.explode(table(spark, d, "documents"), separator="\n").groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "para"))), lambda x: x["para"]).alias("paras"))
     own = own.withColumn("paras_out", F.transform(F.slice("paras", F.lit(1), (F.col("doc_id") % 3).cast("int")), lambda _: F.lit("done")))
-    return enrich.resume(own, enrich.Stub(), _stored, ["doc_id"], 3000, 10**9).select("doc_id", "n_done", "deferred")
+    return enrich.resume(own, _answers(), _stored, ["doc_id"], 3000, 10**9).select("doc_id", "n_done", "deferred")
 
 
 @query("q41_stage_order", "SELECT page_id AS doc_id, upper(t) AS title_out, CASE WHEN page_id % 2 = 0 THEN upper(s) END AS summary_out, 'ok' AS state FROM (SELECT page_id, replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), 'ß', 'ss') AS t, 'summary of ' || page_id AS s FROM pages)")
 def q41(spark, d):
     own = table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.trim(_title()).alias("title"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("summary of "), F.col("page_id").cast("string"))).alias("summary"), F.array(F.lit("one text"), F.lit("another text")).alias("paras"))
-    return enrich.staged(own, enrich.Stub(), _stored, form="indexed").select("doc_id", "title_out", "summary_out", "state")
+    return enrich.staged(own, _answers(), _stored, form="indexed").select("doc_id", "title_out", "summary_out", "state")
+
+
+@query(
+    "q44_in_generations",
+    f"""WITH {_SQL_PARAS}, s AS (SELECT doc_id, pos, replace(para, 'ß', 'ss') AS t, length(para) % 5 = 0 AS lost FROM p WHERE doc_id % 3 <> 0 AND pos < 12 AND length(para) > 5)
+    SELECT doc_id, string_agg(CASE WHEN lost THEN '' ELSE upper(t) || '<' || CASE WHEN coalesce(before, '') = '' THEN '' ELSE left(before, 5) END || '>' END, '|' ORDER BY pos) AS paras, CAST(sum(CASE WHEN lost THEN 0 ELSE 1 END) AS INTEGER) AS n_done FROM
+    (SELECT *, lag(CASE WHEN lost THEN '' ELSE upper(t) END) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM s) GROUP BY doc_id""",
+)
+def q44(spark, d):
+    own = paragraphs.explode(table(spark, d, "documents"), separator="\n").filter("doc_id % 3 <> 0 AND pos < 12 AND length(para) > 5")
+    own = own.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "para"))), lambda x: x["para"]).alias("paras"))
+    own = own.withColumns({"title": F.lit("title"), "summary": F.lit(""), "paras_out": F.array().cast("array<string>")})
+    # an answer repeats the beginning of the translation before it, which its prompt tells
+    before = lambda prompt: F.substring(F.regexp_extract(prompt, r"(?s)Text before, translated: (.*)$", 1), 1, 5)
+    said = enrich.Answers(lambda prompt, texts: F.when(F.length(texts[0]) % 5 == 0, "{").otherwise(F.to_json(F.struct(F.concat(F.upper(texts[0]), F.lit("<"), before(prompt), F.lit(">")).alias("p")))))
+    return enrich.in_sequence(own, said, _stored, ratio=(0.01, 100.0)).select("doc_id", F.array_join("paras_out", "|").alias("paras"), "n_done")
 
 
 @query("q42_channel_status", "SELECT source AS channel, count(*) FILTER (doc_id % 2 = 0) AS n, CASE WHEN count(*) FILTER (doc_id % 2 = 0) = 0 THEN 'error' ELSE 'ok' END AS status, count(*) FILTER (doc_id % 2 = 1) AS feed_errors FROM documents GROUP BY source")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators import carryover, enrich, glossary, graph, html, joins, paragraphs, select
+from stub import Stub
 
 
 def fold(paras):
@@ -145,7 +146,7 @@ def test_html_paragraphs():
 
 def test_enrich(spark):
     rows = [(1, k, f"word{k} here") for k in range(8)] + [(2, 0, "BREAK me"), (2, 1, "fine words"), (3, 0, "x")]
-    got = enrich.enrich(spark.createDataFrame(rows, "doc_id long, pos int, text string"), enrich.Stub(), lambda df, name: df.cache())
+    got = enrich.enrich(spark.createDataFrame(rows, "doc_id long, pos int, text string"), Stub(), lambda df, name: df.cache())
     by = {(r["doc_id"], r["pos"]): (r["out"], r["via"]) for r in got.collect()}
     assert len(by) == len(rows) and by[1, 7] == ("WORD7 HERE", "chunk") and by[2, 1] == ("FINE WORDS", "single")
 
@@ -176,6 +177,6 @@ def test_preview_and_stages(spark):
     rows = spark.createDataFrame([(1, k, "x y") for k in range(7)] + [(2, 0, "z")], "doc_id long, pos int, text string")
     assert tuple(enrich.preview(rows).first()) == (2, 8, 3)
     items = spark.createDataFrame([(1, "A title", "", ["one two", "three four"]), (2, "T two", "sum mary", ["x"]), (3, "", None, [])], "doc_id long, title string, summary string, paras array<string>")
-    got = {r["doc_id"]: r for r in enrich.staged(items, enrich.Stub(), lambda df, name: df.cache()).collect()}
+    got = {r["doc_id"]: r for r in enrich.staged(items, Stub(), lambda df, name: df.cache()).collect()}
     assert (got[1]["paras_out"], got[1]["title_out"], got[1]["summary_out"], got[1]["state"]) == (["ONE TWO", "THREE FOUR"], "A TITLE", None, "ok")
     assert got[2]["summary_out"] == "SUM MARY" and got[3]["state"] == "failed"

@@ -9,6 +9,7 @@ from corpusflow import storage
 from corpusflow.functions import text as T
 from corpusflow.operators import enrich, graph, html, select
 from corpusflow.sources import feeds, fetch, sinks, sparql
+from stub import Stub
 
 WORDS = "The ferry left the harbour before dawn and the crew watched the lights of the town grow small behind them. "
 BAD_PAGES = [
@@ -192,7 +193,7 @@ def test_prompts_reach_the_client(spark):
 def test_titles_fall_back_one_by_one(spark):
     rows = [(k, f"title {k}" + (" BREAK" if k == 3 else ""), "" if k == 2 else f"summary {k}") for k in range(12)] + [(99, "a title that is never answered", "s")]
 
-    class Some(enrich.Stub):
+    class Some(Stub):
         def answer(self, prompt, texts):
             return "" if any("never" in t for t in texts) else super().answer(prompt, texts)
 
@@ -201,21 +202,79 @@ def test_titles_fall_back_one_by_one(spark):
     assert got[5]["summary_out"] == "SUMMARY 5" and got[2]["title_out"] == "TITLE 2"
 
 
-def test_paragraphs_told_the_one_before(spark):
+def test_paragraphs_told_the_one_before(spark, tmp_path):
     class Told:
         def answer(self, prompt, texts):
             before = prompt.split("Text before, translated: ")[1] if "Text before" in prompt else "-"
             return json.dumps({"p": f"{texts[0]}<{before[:3]}>"}) if texts[0] != "bad" else "{"
 
     items = spark.createDataFrame([(1, "t", "s", ["aaaa", "bad", "cccc", "dddd"], None), (2, "t", "s", ["aaaa", "bbbb"], ["old!", ""]), (3, None, None, None, None)], "doc_id long, title string, summary string, paras array<string>, paras_out array<string>")
-    got = {r["doc_id"]: (r["paras_out"], r["state"]) for r in enrich.in_sequence(items, Told()).collect()}
+    write = lambda df, name: storage.checkpointed(df)
+    got = {r["doc_id"]: (r["paras_out"], r["state"]) for r in enrich.in_sequence(items, Told(), write).collect()}
     assert got == {1: (["aaaa<->", "", "cccc<->", "dddd<ccc>"], "failed"), 2: (["old!", "bbbb<old>"], "ok"), 3: ([], "failed")}
-    assert enrich.in_sequence(items, Told(), max_paras=1).filter("doc_id = 1").first()["paras_out"] == ["aaaa<->", "", "", ""]
+    assert enrich.in_sequence(items, Told(), write, max_paras=1).filter("doc_id = 1").first()["paras_out"] == ["aaaa<->", "", "", ""]
+    some = {r["doc_id"]: r["paras_out"] for r in enrich.in_sequence(items, Told(), write, max_requests=2).collect()}
+    assert some == {1: ["aaaa<->", "", "", ""], 2: ["old!", ""], 3: []}
+    # a run that ended after its second stage goes on with the third
+    asked = spark.sparkContext.accumulator(0)
+
+    class Once(Told):
+        def answer(self, prompt, texts):
+            asked.add(1)
+            return super().answer(prompt, texts)
+
+    whole = enrich.kept_in(str(tmp_path / "run"))
+
+    def ends(df, name):
+        if name == "paragraph_2":
+            raise KeyboardInterrupt
+        return whole(df, name)
+
+    with pytest.raises(KeyboardInterrupt):
+        enrich.in_sequence(items, Once(), ends)
+    assert asked.value == 3
+    assert {r["doc_id"]: (r["paras_out"], r["state"]) for r in enrich.in_sequence(items, Once(), whole).collect()} == got and asked.value == 5
+
+
+def test_fields_of_single_answers(spark):
+    cases = {'{"p": "x"}': "x", 'said {"p": "a "quoted" b"} end': 'a "quoted" b', "p: line": "line", "plain\ntext": "plain\ntext", "{broken": "", "": "", '{"q": 1}': "", '{"p": ""}\np：文本': "文本"}
+    rows = spark.createDataFrame([(k,) for k in cases], "raw string").select("raw", T.parse_field(F.col("raw"), "p", False).alias("p"))
+    assert {r["raw"]: r["p"] for r in rows.collect()} == cases
+
+
+def test_answers_that_were_cut_short():
+    usage = {"usage": {"prompt_tokens": 7, "completion_tokens": 3}}
+    cut = enrich.Chat(lambda *a: {"choices": [{"message": {"content": "half"}, "finish_reason": "length"}], **usage}, "https://a.example/", "m")
+    with pytest.raises(enrich.Truncated):
+        enrich.Retrying(cut, lambda s: None).answer("do", ["a"])
+    assert cut.usage == (1, 7, 3) and cut.payload("do", ["a"])["temperature"] == 0.2 and cut.payload("do", ["a"])["max_tokens"] == 16384
+    with pytest.raises(enrich.Truncated):
+        enrich.LocalChat(lambda *a: {"message": {"content": "half"}, "done_reason": "length"}, "http://127.0.0.1:1/api", "m").answer("do", ["a"])
+
+
+def test_what_a_run_took(spark):
+    class Counting:
+        usage = (0, 0, 0)
+
+        def answer(self, prompt, texts):
+            self.usage = (2, 10, len(texts))
+            if any("BREAK" in t for t in texts):
+                raise OSError("refused")
+            return json.dumps([t.upper() for t in texts])
+
+    rows = spark.createDataFrame([(k, p, f"text {p}" + (" BREAK" if k == 3 and p == 0 else "")) for k in range(4) for p in range(8)], "doc_id long, pos int, text string")
+    run = enrich.Run()
+    enrich.enrich(rows, Counting(), lambda df, name: storage.checkpointed(df), run=run).count()
+    took = run.row()
+    # 8 chunks, of which one is refused; 6 texts alone, one of them twice
+    assert (took["calls"], took["requests"], took["errors"], took["tokens_in"]) == (15, 30, 3, 150) and took["texts"] == 32 + 7 and took["seconds"] >= 0
 
 
-def test_fields_of_single_answers():
-    cases = {'{"p": "x"}': "x", 'said {"p": "a "quoted" b"} end': 'a "quoted" b', "p: line": "line", "plain\ntext": "plain\ntext", "{broken": "", "": "", '{"q": 1}': ""}
-    assert {raw: enrich.field_of(raw, "p") for raw in cases} == cases
+def test_a_budget_for_staged_runs(spark):
+    items = spark.createDataFrame([(k, f"title {k}", "sum", [f"para {k} {p}" for p in range(4)]) for k in range(4)], "doc_id long, title string, summary string, paras array<string>")
+    got = {r["doc_id"]: r for r in enrich.staged(items, Stub(), lambda df, name: storage.checkpointed(df), max_paras=6).collect()}
+    assert got[0]["paras_out"] == [f"PARA 0 {p}" for p in range(4)] and got[0]["title_out"] == "TITLE 0" and got[1]["paras_out"] == ["PARA 1 0", "PARA 1 1", "", ""]
+    assert got[1]["title_out"] is None and got[3]["paras_out"] == [""] * 4 and got[3]["state"] == "failed"
 
 
 def test_backends():
@@ -244,7 +303,7 @@ def test_without_a_client_nothing_is_asked(spark):
 
 def test_locked_and_known_fields_stay(spark):
     items = spark.createDataFrame([(1, "title a", "sum a", ["para a", "para b"], ["OLD", ""], None, "KEEP", False), (2, "title b", "sum b", ["para c"], None, "HAS", None, True)], "doc_id long, title string, summary string, paras array<string>, paras_out array<string>, summary_out string, title_out string, locked boolean")
-    got = {r["doc_id"]: tuple(r)[1:] for r in enrich.staged(items, enrich.Stub(), lambda df, name: storage.checkpointed(df), form="indexed").collect()}
+    got = {r["doc_id"]: tuple(r)[1:] for r in enrich.staged(items, Stub(), lambda df, name: storage.checkpointed(df), form="indexed").collect()}
     assert got == {1: (["OLD", "PARA B"], "SUM A", "KEEP", "ok"), 2: (["PARA C"], "HAS", None, "ok")}
 
 
