@@ -25,34 +25,60 @@ def fill_slots(old: Column, new: Column) -> Column:
     return F.zip_with(old, new, lambda a, b: F.coalesce(F.when(T.strip(a) != "", a), b, F.lit("")))
 
 
+def prefix_hashes(paras: Column) -> Column:
+    """For each paragraph a hash of it and all before it: two texts agree up to a paragraph where these do."""
+    start = F.struct(F.lit(0).cast("long").alias("h"), F.array().cast("array<bigint>").alias("all"))
+
+    def step(acc: Column, p: Column) -> Column:
+        h = F.xxhash64(acc["h"], p)
+        return F.struct(h.alias("h"), F.concat(acc["all"], F.array(h)).alias("all"))
+
+    return F.aggregate(paras, start, step, lambda acc: acc["all"])
+
+
 def carry(items: DataFrame, previous: DataFrame, separator: str = r"\n{2,}") -> DataFrame:
-    """``items(url, body)`` with ``previous(url, body, title_out, summary_out, paras_out, state)``.
+    """``items(url, body)`` with ``previous(url, ord, body, title_out, summary_out, paras_out, state)``.
 
-    Titles and summaries carry on any match of the url; translated paragraphs for
+    Titles and summaries carry on any match of the url, and so do ``locked`` and
+    ``title_trans`` where ``previous`` has them; translated paragraphs for
     the common prefix of both bodies' paragraphs; a state of ``ok`` without
     paragraphs only if the body is unchanged. The last of repeated urls wins by
-    ``ord``.
+    ``ord``. ``carried``: whether the url was known; ``n_carried``: its paragraphs.
+
+    Bodies stay where they are: what meets on the url are a hash for each paragraph's
+    prefix and counts. Then what is carried goes to the items, by url and digest of the body.
     """
-    cols = ["body", "title_out", "summary_out", "paras_out", "state"]
-    prev = previous.groupBy("url").agg(*[F.max_by(c, "ord").alias(f"old_{c}") for c in cols])
-    norm = lambda b: F.transform(T.paragraphs(F.col(b), separator), T.collapse)
-    both = items.join(prev, "url", "left").withColumn("new_p", norm("body")).withColumn("old_p", norm("old_body"))
-    both = both.withColumn("prefix", F.when(F.size("old_paras_out") > 0, common_prefix(F.col("old_p"), F.col("new_p"))))
-    whole = (F.col("prefix") == F.size("old_p")) & (F.size("old_p") == F.size("new_p")) & (F.col("prefix") > 0)
-    k = F.when(whole, F.size("old_paras_out").cast("long")).otherwise(F.least("prefix", F.size("old_paras_out").cast("long")))
-    both = both.withColumn("k", F.coalesce(k, F.lit(0)).cast("int"))
-    pad = F.array_repeat(F.lit(""), F.greatest(F.size("new_p") - F.col("k"), F.lit(0)))
-    paras = F.when(F.col("k") > 0, F.concat(F.slice("old_paras_out", F.lit(1), F.col("k")), pad))
-    same = (F.col("old_state") == "ok") & (F.col("old_body") == F.col("body")) & (F.size(F.coalesce("old_paras_out", F.array())) == 0)
+    flags = [c for c in ("locked", "title_trans") if c in previous.columns]
+    norm = F.transform(T.paragraphs(F.col("body"), separator), T.collapse)
+    digest = F.sha2(F.coalesce("body", F.lit("")), 256)
+    done_old = F.size(F.coalesce("paras_out", F.array().cast("array<string>")))
+    narrow = previous.select("url", F.struct(prefix_hashes(norm).alias("hashes"), digest.alias("digest"), done_old.alias("n_out"), "state").alias("old"), "ord")
+    narrow = narrow.groupBy("url").agg(F.max_by("old", "ord").alias("old"))
+    own = items.withColumn("digest_", digest).withColumn("hashes_", prefix_hashes(norm))
+    new = own.select("url", "digest_", "hashes_").distinct()
+    plan = new.join(narrow, "url").withColumn("n_new", F.size("hashes_")).withColumn("prefix", F.when(F.col("old.n_out") > 0, common_prefix(F.col("old.hashes"), F.col("hashes_"))))
+    whole = (F.col("prefix") == F.size("old.hashes")) & (F.size("old.hashes") == F.col("n_new")) & (F.col("prefix") > 0)
+    k = F.when(whole, F.col("old.n_out").cast("long")).otherwise(F.least("prefix", F.col("old.n_out").cast("long")))
+    same = (F.col("old.state") == "ok") & (F.col("old.digest") == F.col("digest_")) & (F.col("old.n_out") == 0)
+    plan = plan.select("url", "digest_", "n_new", F.coalesce(k, F.lit(0)).cast("int").alias("k"), F.coalesce(same, F.lit(False)).alias("same"))
+    told = previous.groupBy("url").agg(F.max_by(F.struct("title_out", "summary_out", "paras_out", *flags), "ord").alias("told"))
+    told = plan.join(told, "url").select("url", "digest_", "n_new", "k", "same", "told.title_out", "told.summary_out", F.slice("told.paras_out", F.lit(1), F.col("k")).alias("kept"), *[f"told.{c}" for c in flags])
+    clash = [c for c in told.columns if c in items.columns and c not in ("url", "digest_")]
+    both = own.drop("hashes_", *clash).join(told, ["url", "digest_"], "left")
+    pad = F.array_repeat(F.lit(""), F.greatest(F.col("n_new") - F.col("k"), F.lit(0)))
+    both = both.withColumn("paras_out", F.when(F.col("k") > 0, F.concat("kept", pad)))
     done, _ = slots_state(F.col("paras_out"))
-    state = F.when(F.col("paras_out").isNotNull(), F.when((F.size("new_p") > 0) & (done == F.size("new_p")), "ok").otherwise("failed")).when(F.coalesce(same, F.lit(False)), "ok")
-    return both.withColumn("paras_out", paras).select(
-        *items.columns,
-        F.col("old_title_out").alias("title_out"),
-        F.col("old_summary_out").alias("summary_out"),
+    state = F.when(F.col("paras_out").isNotNull(), F.when((F.col("n_new") > 0) & (done == F.col("n_new")), "ok").otherwise("failed")).when(F.col("same"), "ok")
+    return both.select(
+        *[c for c in items.columns if c not in clash],
+        "title_out",
+        "summary_out",
+        *flags,
         "paras_out",
         F.array_join("paras_out", "\n\n").alias("full_out"),
         F.when(F.col("paras_out").isNotNull(), done).alias("n_done"),
-        F.when(F.col("paras_out").isNotNull(), F.size("new_p")).alias("n_paras"),
+        F.when(F.col("paras_out").isNotNull(), F.col("n_new")).alias("n_paras"),
         state.alias("state"),
+        F.col("k").isNotNull().alias("carried"),
+        F.coalesce("k", F.lit(0)).alias("n_carried"),
     )

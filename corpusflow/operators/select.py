@@ -81,10 +81,35 @@ def chunks(df: DataFrame, keys: list[str], order: list, size: int) -> DataFrame:
 
 
 def context(df: DataFrame, key: str, order: str, text: str, width: int = 200) -> DataFrame:
-    """The previous row's text (cut to ``width``) and the key's first non-null text."""
-    w = Window.partitionBy(key).orderBy(order)
+    """The previous row's text (cut to ``width``) and the key's first non-null text.
+
+    Rows are dealt out by ranges of key and order, so that a key that holds all rows is
+    split over the tasks. A range sees its own rows; of the ranges before and after it needs
+    their first and last keys alone: the last text of the range before, and the first
+    text of a key that goes on. That is two rows a range.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # computed once: ranges drawn anew could part the rows elsewhere
+    own = checkpointed(df.repartitionByRange(n, key, order).withColumn("part_", F.spark_partition_id()))
+    w = Window.partitionBy("part_", key).orderBy(order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return df.withColumn("prev", F.substring(F.lag(text).over(w), 1, width)).withColumn("head", F.first(text, ignorenulls=True).over(whole))
+    own = own.withColumns({"first_": F.row_number().over(w) == 1, "prev": F.substring(F.lag(text).over(w), 1, width), "head": F.first(text, ignorenulls=True).over(whole)})
+    of = lambda pick: pick(F.struct(F.struct(key, order).alias("at"), F.substring(text, 1, width).alias("text")), F.struct(key, order))
+    ends = checkpointed(own.groupBy("part_").agg(of(F.min_by).alias("low"), of(F.max_by).alias("high")))
+    # the key that the range before ends with, and its last text there
+    before = Window.orderBy("part_")
+    handed = ends.select("part_", F.lag("high").over(before).alias("handed_"))
+    own = own.join(F.broadcast(handed), "part_")  # a row a range
+    goes_on = F.col("first_") & F.col("handed_").isNotNull() & F.col(f"handed_.at.{key}").eqNullSafe(F.col(key))
+    own = own.withColumn("prev", F.when(goes_on, F.col("handed_.text")).otherwise(F.col("prev"))).drop("handed_", "first_")
+    # heads of the keys that begin or end a range, over all ranges that have them
+    edges = ends.select("part_", F.explode(F.array_distinct(F.array(f"low.at.{key}", f"high.at.{key}"))).alias("edge_"))
+    edges = own.join(F.broadcast(edges), ["part_"]).filter(F.col(key).eqNullSafe(F.col("edge_"))).groupBy("part_", "edge_").agg(F.first("head").alias("own_"))
+    heads = edges.groupBy(F.col("edge_").alias("known_")).agg(F.min_by("own_", F.when(F.col("own_").isNotNull(), F.col("part_"))).alias("of_all_"))
+    known = edges.select(F.col("part_").alias("at_"), "edge_").join(heads, F.col("edge_").eqNullSafe(F.col("known_"))).select("at_", "edge_", "of_all_")
+    same = (F.col("part_") == F.col("at_")) & F.col(key).eqNullSafe(F.col("edge_"))
+    both = own.join(F.broadcast(known), same, "left")  # two rows a range, at most
+    return both.withColumn("head", F.when(F.col("of_all_").isNotNull(), F.col("of_all_")).otherwise(F.col("head"))).select(*df.columns, "prev", "head")
 
 
 def in_requests(df: DataFrame, order: list, todo: str, size: int, cap: int) -> DataFrame:

@@ -302,6 +302,21 @@ def q21(spark, d):
     return carryover.carry(items, prev, "\n").select("doc_id", F.array_join("paras_out", "|").alias("paras"), "state", "title_out")
 
 
+@query(
+    "q21b_carried_flags",
+    """WITH d AS (SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) AS n, doc_id % 4 <> 3 AS has FROM documents WHERE text IS NOT NULL)
+    SELECT doc_id, CASE WHEN has THEN doc_id % 5 = 0 END AS locked, CASE WHEN has THEN 'by' || doc_id END AS title_trans, has AS carried, CAST(CASE WHEN NOT has OR n = 0 THEN 0 WHEN doc_id % 2 = 0 THEN n ELSE greatest(n - 1, 0) END AS INTEGER) AS n_carried FROM d""",
+)
+def q21b(spark, d):
+    own = table(spark, d, "documents").filter("text is not null").withColumn("p", T.paragraphs(F.col("text"), "\n")).withColumn("n", F.size("p")).withColumn("url", F.col("doc_id").cast("string"))
+    # every second body has its last line altered; an older version of each is known too
+    changed = F.transform("p", lambda x, i: F.when((F.col("doc_id") % 2 == 0) | (i < F.col("n") - 1), x).otherwise(F.concat(x, F.lit(" changed"))))
+    done = F.when(F.col("n") > 0, F.transform("p", lambda x: F.lit("T")))
+    prev = own.filter("doc_id % 4 <> 3").select("doc_id", "url", F.col("text").alias("body"), F.lit("t").alias("title_out"), F.lit("s").alias("summary_out"), done.alias("paras_out"), F.lit("ok").alias("state"))
+    prev = prev.select("*", F.lit(1).alias("ord"), (F.col("doc_id") % 5 == 0).alias("locked"), F.concat(F.lit("by"), "url").alias("title_trans")).unionByName(prev.select("*", F.lit(0).alias("ord"), F.lit(None).cast("boolean").alias("locked"), F.lit("old").alias("title_trans")))
+    return carryover.carry(own.select("doc_id", "url", F.array_join(changed, "\n").alias("body")), prev, "\n").select("doc_id", "locked", "title_trans", "carried", "n_carried")
+
+
 # --------------------------------------------------------------- glossary, graph
 
 _TERMS = "SELECT DISTINCT lower(t) AS term FROM (SELECT unnest([w[1], w[2] || ' ' || w[3]]) AS t FROM (SELECT regexp_split_to_array(text, '[^A-Za-z0-9\\-]+') AS w FROM benchmark) WHERE len(w) > 3) WHERE trim(t) <> ''"

@@ -99,6 +99,33 @@ def test_roots(spark):
     assert [r["item"] for r in graph.resolve_roots(labels, edges, roots).orderBy("rank").collect()] == ["Q7", "Q1", "Q2", "Q3"]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_context_of_hot_keys(spark, seed):
+    """One key of most rows, keys whose first texts are null, a null key, ends of ranges anywhere."""
+    rng = random.Random(seed)
+    rows = [(rng.choice(["hot"] * 8 + ["a", "b", None]), k, rng.choice([None, f"text {k}"]) if k % 3 else f"long {k} " * 40) for k in range(500)]
+    rows += [("z", 1000 + k, None if k < 60 else f"z {k}") for k in range(80)]
+    want, last, head = {}, {}, {}
+    for key, at, text in rows:
+        if text is not None:
+            head.setdefault(key, text)
+    for key, at, text in rows:
+        want[at] = ((last[key] or "")[:200] if last.get(key) is not None else None, head.get(key))
+        last[key] = text
+    got = select.context(spark.createDataFrame(rows, "k string, at int, t string").repartition(3), "k", "at", "t")
+    assert {r["at"]: (r["prev"], r["head"]) for r in got.collect()} == want
+
+
+def test_carried_text_never_meets_old_bodies(spark):
+    body = "\n\n".join(f"Paragraph {k} of the body." for k in range(6))
+    prev = spark.createDataFrame([("u", 0, "none", "t0", "s0", ["x"], "ok", False, "m0"), ("u", 1, body, "t", "s", [f"T{k}" for k in range(6)], "ok", True, "m")], "url string, ord int, body string, title_out string, summary_out string, paras_out array<string>, state string, locked boolean, title_trans string")
+    new = [("u", body.replace("3", "three")), ("u", body), ("u", None), ("v", body)]
+    got = carryover.carry(spark.createDataFrame(new, "url string, body string"), prev)
+    rows = {(r["url"], r["body"]): r for r in got.collect()}
+    assert rows[new[0]]["paras_out"] == ["T0", "T1", "T2", "", "", ""] and rows[new[0]]["n_carried"] == 3 and rows[new[0]]["locked"] and rows[new[0]]["title_trans"] == "m" and rows[new[0]]["state"] == "failed"
+    assert rows[new[1]]["state"] == "ok" and rows[new[1]]["n_carried"] == 6 and rows[new[2]]["carried"] and rows[new[2]]["n_carried"] == 0 and not rows[new[3]]["carried"] and rows[new[3]]["locked"] is None
+
+
 def test_budget_and_chunks(spark):
     rows = spark.createDataFrame([(k, n) for k, n in enumerate([4, 5, 6, 2])], "doc_id long, todo long")
     assert [r["granted"] for r in select.budget(rows, ["doc_id"], "todo", 10).orderBy("doc_id").collect()] == [4, 5, 1, 0]
