@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import json
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
+from email.utils import parsedate_to_datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.utils import AnalysisException
 
 from corpusflow.functions import text as X
@@ -82,23 +87,104 @@ def channel_status(rows: DataFrame, by: str = "feed_channel") -> DataFrame:
     return own.select(by, "n", F.when(failed, "error").otherwise("ok").alias("status"), F.when(failed, F.col("error")).alias("error"), "feed_errors")
 
 
+#: Feeds of a task.
+PER_TASK = 32
+_LINK, _DATES = ENTRY.names.index("link"), [ENTRY.names.index(c) for c in ("published", "updated", "pubDate")]
+
+
+def moment(entry: tuple) -> int | None:
+    """When an entry is of, in microseconds since 1970; None: it does not say."""
+    for at in _DATES:
+        raw = (entry[at] or "").strip()
+        with contextlib.suppress(ValueError, TypeError):
+            found = datetime.fromisoformat(raw) if raw[:4].isdigit() else parsedate_to_datetime(raw)
+            found = found if found.tzinfo else found.replace(tzinfo=timezone.utc)
+            return round(found.timestamp() * 1_000_000)
+    return None
+
+
+def seen(entries: list[tuple]) -> dict:
+    """What a feed has: its newest moment, the links of that moment, and the links that have none."""
+    dated = [(m, e[_LINK]) for e in entries if (m := moment(e)) is not None]
+    newest = max((m for m, _ in dated), default=None)
+    return {"at": newest, "links": sorted({u or "" for m, u in dated if m == newest}), "undated": sorted({e[_LINK] or "" for e in entries if moment(e) is None})}
+
+
+def is_new(entry: tuple, start: dict | None, end: dict) -> bool:
+    """Whether an entry came after what ``start`` has seen, and no later than ``end``."""
+    at, link = moment(entry), entry[_LINK] or ""
+    if at is None:
+        return link in end["undated"] and (start is None or link not in start["undated"])
+    if end["at"] is None or at > end["at"] or at == end["at"] and link not in end["links"]:
+        return False
+    return start is None or start["at"] is None or at > start["at"] or at == start["at"] and link not in start["links"]
+
+
+def _groups(urls: list, per_task: int) -> list[InputPartition]:
+    return [InputPartition(urls[k : k + per_task]) for k in range(0, len(urls), per_task)]
+
+
 class FeedReader(DataSourceReader):
-    def __init__(self, urls: list[str], fetch: Callable[[str], list[tuple]]):
-        self.urls, self.fetch = urls, fetch
+    def __init__(self, urls: list[str], fetch: Callable[[str], list[tuple]], per_task: int):
+        self.urls, self.fetch, self.per_task = urls, fetch, per_task
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(u) for u in self.urls]  # a feed each
+        return _groups(self.urls, self.per_task)
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        try:
-            for k, row in enumerate(self.fetch(partition.value)):
-                yield (partition.value, k, *row, "ok", None)
-        except Exception as e:  # a broken feed is a row, not a failed scan
-            yield (partition.value, 0, *[None] * len(ENTRY.names), "error", str(e)[:200])
+        for url in partition.value:
+            try:
+                for k, row in enumerate(self.fetch(url)):
+                    yield (url, k, *row, "ok", None)
+            except Exception as e:  # a broken feed is a row, not a failed scan
+                yield (url, 0, *[None] * len(ENTRY.names), "error", str(e)[:200])
+
+
+class FeedStreamReader(DataSourceStreamReader):
+    """Entries that are new since the last batch; the offset maps each feed to what it had.
 
+    ``latestOffset`` looks at the feeds from the driver, some at a time, through ``look``; a
+    feed that can't be looked at keeps its offset. A task then fetches its feeds' entries
+    between two offsets; if that fails the batch fails, and is read again, so that none is lost.
+    """
+
+    def __init__(self, urls: list[str], fetch: Callable[[str], list[tuple]], look: Callable[[str], dict], per_task: int):
+        self.urls, self.fetch, self.look, self.per_task, self.last = urls, fetch, look, per_task, {}
+
+    def initialOffset(self) -> dict:
+        return {}
+
+    def latestOffset(self) -> dict:
+        def one(url: str) -> str | None:
+            with contextlib.suppress(Exception):
+                return json.dumps(self.look(url))
+            return self.last.get(url)
 
-def feed_source(fetch: Callable[[str], list[tuple]]) -> type[DataSource]:
-    """A data source ``feed`` over ``fetch(url) -> entries``; option ``urls``: comma-separated."""
+        with ThreadPoolExecutor(16) as pool:
+            found = zip(self.urls, pool.map(one, self.urls), strict=True)
+        self.last = {u: x for u, x in found if x is not None}
+        return self.last
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        self.last = {**start, **self.last}
+        moved = [(u, json.loads(start[u]) if u in start else None, json.loads(x)) for u, x in sorted(end.items()) if start.get(u) != x]
+        return _groups(moved, self.per_task)
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for url, start, end in partition.value:
+            for k, entry in enumerate(self.fetch(url)):
+                if is_new(entry, start, end):
+                    yield (url, k, *entry, "ok", None)
+
+
+def feed_source(fetch: Callable[[str], list[tuple]], look: Callable[[str], dict] | None = None, per_task: int = PER_TASK) -> type[DataSource]:
+    """A data source ``feed`` over ``fetch(url) -> entries``, for batches and streams.
+
+    Options: ``feeds``, a JSON array of urls, or ``urls``, comma-separated where no url
+    has a comma. ``look(url)`` tells what ``seen`` tells, where there is a cheaper way
+    than to fetch. A task reads ``per_task`` feeds.
+    """
+    told = look or (lambda url: seen(fetch(url)))
 
     class FeedSource(DataSource):
         @classmethod
@@ -108,8 +194,16 @@ def feed_source(fetch: Callable[[str], list[tuple]]) -> type[DataSource]:
         def schema(self) -> T.StructType:
             return T.StructType([T.StructField("feed", T.StringType()), T.StructField("entry_ord", T.IntegerType()), *ENTRY.fields, T.StructField("status", T.StringType()), T.StructField("error", T.StringType())])
 
+        def _urls(self) -> list[str]:
+            if "feeds" in self.options:
+                return json.loads(self.options["feeds"])
+            return [u for u in self.options["urls"].split(",") if u]
+
         def reader(self, schema) -> DataSourceReader:
-            return FeedReader([u for u in self.options["urls"].split(",") if u], fetch)
+            return FeedReader(self._urls(), fetch, per_task)
+
+        def streamReader(self, schema) -> DataSourceStreamReader:
+            return FeedStreamReader(self._urls(), fetch, told, per_task)
 
     return FeedSource
 

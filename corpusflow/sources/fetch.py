@@ -28,6 +28,8 @@ ATTEMPTS, HOPS, SPACING = 3, 5, 2.5
 HTTP_WAIT, OTHER_WAIT = 6.0, 1.5
 #: Seconds that chance adds to a pause, at most.
 JITTER = 1.5
+#: Seconds in which all tasks of a barrier hear what one of them said.
+HEARD = 2.0
 SCHEMA = "url string, body binary, status int, error string"
 _RESERVED_NAME = re.compile(r"(?:localhost|.*\.(?:local|internal|localhost))$", re.I)
 _NUMBERS = re.compile(r"(?:0x[0-9a-f]*|\d+)(?:\.(?:0x[0-9a-f]*|\d+))*", re.I)
@@ -83,8 +85,8 @@ def loopback(url: str, port: int | None = None) -> str:
     return url
 
 
-def get(url: str, client: Callable[[str], Response], attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep, resolve: Callable[[str], list[str]] | None = None) -> Response:
-    """One page, through guarded redirects; waits grow with the attempt, client errors end at once."""
+def get(url: str, client: Callable[[str], Response], attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep, resolve: Callable[[str], list[str]] | None = None, wait: Callable[[int], float] | None = None) -> Response:
+    """One page, through guarded redirects; waits grow with the attempt (``wait`` of its number, if given), client errors end at once."""
     error: Exception | None = None
     for k in range(attempts):
         try:
@@ -101,13 +103,13 @@ def get(url: str, client: Callable[[str], Response], attempts: int = ATTEMPTS, s
             if found.status < 400 or found.status < 500 and found.status != 429:
                 return found
             error = OSError(f"status {found.status}")
-            wait = HTTP_WAIT * (k + 1)
+            pause = HTTP_WAIT * (k + 1)
         except ValueError:
             raise
         except Exception as e:
-            error, wait = e, OTHER_WAIT * (k + 1)
+            error, pause = e, OTHER_WAIT * (k + 1)
         if k + 1 < attempts:
-            sleep(wait)
+            sleep(wait(k) if wait else pause)
     raise error or OSError("no attempt")
 
 
@@ -143,6 +145,49 @@ def fetch(urls: DataFrame, client: Callable[[str], Response], spacing: float = S
     return own.mapInPandas(run, SCHEMA)
 
 
+def fetch_together(urls: DataFrame, client: Callable[[str], Response], tasks: int, spacing: float = SPACING, sleep: Callable[[float], None] = time.sleep, resolve: Callable[[str], list[str]] | None = None, of_host: bool = True) -> DataFrame:
+    """``fetch`` by ``tasks`` tasks at once, whichever host a page is of: a host with most of the
+    pages is read by all of them, and yet no two requests to it are closer than ``spacing``.
+
+    A barrier stage in rounds. In each, every task tells the others which host it will ask
+    next and what its clock says. From that all see the same timetable: those with one host
+    take turns, a ``spacing`` apart, from a time on at which all have heard of it. A task that
+    misses its turn, by more than a tenth of ``spacing``, waits for the next round. Clocks may
+    differ by another tenth. Without ``of_host`` all hosts count as one. There must be as
+    many free slots as tasks.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import BarrierTaskContext
+
+        context = BarrierTaskContext.get()
+        own, me = (u for frame in frames for u in frame["url"]), context.partitionId()
+        url = next(own, None)
+        while True:
+            host = "" if url is None else (urlsplit(url).hostname or "?") if of_host else "*"
+            said = [json.loads(x) for x in context.allGather(json.dumps([host, time.time()]))]
+            if not any(h for h, _ in said):
+                return
+            if url is None:
+                continue
+            turn = sum(h == host for h, _ in said[:me])
+            slot = max(t for _, t in said) + max(HEARD, spacing) + turn * spacing * 1.2
+            sleep(max(0.0, slot - time.time()))
+            if time.time() > slot + spacing / 10:
+                continue
+            try:
+                r = get(url, client, attempts=1, sleep=sleep, resolve=resolve)
+                row = (url, r.body, r.status, None)
+            except Exception as e:
+                row = (url, None, None, str(e)[:200])
+            url = next(own, None)
+            yield pd.DataFrame([row], columns=["url", "body", "status", "error"]).astype({"status": "Int32"})
+
+    ship(urls.sparkSession)
+    own = urls.select("url").filter(T.url_allowed(F.col("url"))).distinct()
+    return own.repartition(tasks).mapInPandas(run, SCHEMA, barrier=True)
+
+
 def routed(plain: Callable[[str], Response], special: Callable[[str], Response] | None, hosts: set[str]) -> Callable[[str], Response]:
     """A client that asks some hosts, with their subdomains, through a ``special`` client
     (such as one with a browser's handshake) where there is one, and all others as ever."""

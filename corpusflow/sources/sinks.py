@@ -102,6 +102,23 @@ def commit(df: DataFrame, path: str, expected: int) -> int:
         raise
 
 
+def append(df: DataFrame, path: str, of: str) -> int:
+    """Write a version of what is new, after whatever the latest is; 0 if one of the same ``of`` is there.
+
+    The rows are written once; only the marker is tried again if another writer was first.
+    """
+    at = versions.folder(df.sparkSession, path)
+    if any((versions.said(at.text(n)) or {}).get("of") == of for n in at.names() if n.startswith("commit-")):
+        return 0
+    data = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path.rstrip('/')}/{data}")
+    while True:
+        try:
+            return versions.publish(at, versions.latest(at)[0], {"data": data, "schema": df.schema.json(), "of": of})
+        except versions.Conflict:
+            continue
+
+
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The rows of a committed version, by default the latest."""
     path = path.rstrip("/")

@@ -6,11 +6,15 @@ only hosts that the caller lists are asked, by ``https``.
 
 from __future__ import annotations
 
+import json
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from urllib.parse import quote, urlsplit
 
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, In, InputPartition
+
 from corpusflow.sources import fetch
 
 PREFIXES = {
@@ -57,6 +61,18 @@ def _name(item: str) -> str:
     return item
 
 
+class Refused(RuntimeError):
+    """An endpoint answered, but not the question."""
+
+
+def bindings(answer: dict) -> list[dict[str, str]]:
+    """The rows of an answer; raises ``Refused`` for one that has none to give."""
+    rows = answer.get("results", {}).get("bindings")
+    if rows is None or answer.get("exception") or answer.get("status") == "ERROR":
+        raise Refused(f"no result: {answer.get('exception') or answer.get('status') or 'not a result'}"[:200])
+    return [{name: cell["value"] for name, cell in row.items()} for row in rows]
+
+
 @dataclass
 class Endpoint:
     """Asks one endpoint; a failed request is sent again after growing waits."""
@@ -73,14 +89,10 @@ class Endpoint:
         url = f"{self.url}?query={quote(prefixes + query)}"
         if not fetch.allowed(url, self.resolve, ("https",), self.hosts or {urlsplit(self.url).hostname or ""}):
             raise ValueError(f"not allowed: {self.url}")
-        said = fetch.json_of(url, self.client, attempts=ATTEMPTS, sleep=self.sleep, resolve=self.resolve)
-        if said.get("status") == "ERROR" or "exception" in said:
-            raise RuntimeError(str(said.get("exception"))[:160])
-        return [{k: v["value"] for k, v in b.items()} for b in said["results"]["bindings"]]
-
-    def terms(self, cls: str) -> Iterator[tuple[str, str, str]]:
-        """``(item, en, zh)`` of a class, page after page, for ``graph.harvest``."""
-        after = ""
+        return bindings(fetch.json_of(url, self.client, attempts=ATTEMPTS, sleep=self.sleep, resolve=self.resolve, wait=lambda k: min(30.0, 4.0 * (k + 1))))
+
+    def terms(self, cls: str, after: str = "") -> Iterator[tuple[str, str, str]]:
+        """``(item, en, zh)`` of a class, page after page, of items beyond ``after``; for ``graph.harvest``."""
         for page in range(PAGES):
             if page:
                 self.sleep(PAUSE)
@@ -92,3 +104,62 @@ class Endpoint:
 
     def items(self, query: str) -> list[str]:
         return [r["item"].rsplit("/", 1)[-1] for r in self.rows(query)]
+
+
+# ------------------------------------------------------------------ the data source
+
+#: Classes of a task.
+PER_TASK = 4
+TERM = T.StructType([T.StructField(c, T.StringType()) for c in ("class", "item", "en", "zh")])
+
+
+class TermReader(DataSourceReader):
+    """Terms of classes; filters on class and item become part of the requests.
+
+    ``class = x`` and ``class IN (...)`` choose the classes that are asked, and ``item > x``
+    is where the first page begins. Other filters stay with Spark, and so does ``item > x``
+    where the source orders names otherwise than Spark does.
+    """
+
+    def __init__(self, endpoint: Endpoint, classes: list[str], per_task: int):
+        self.endpoint, self.classes, self.after, self.per_task = endpoint, list(dict.fromkeys(classes)), "", per_task
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("class",):
+                self.classes = [c for c in self.classes if c == f.value]
+            elif isinstance(f, In) and f.attribute == ("class",):
+                self.classes = [c for c in self.classes if c in f.value]
+            else:
+                if isinstance(f, GreaterThan) and f.attribute == ("item",):
+                    self.after = max(self.after, f.value)
+                yield f
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(self.classes[k : k + self.per_task]) for k in range(0, len(self.classes), self.per_task)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for cls in partition.value if partition is not None else []:
+            after = ITEM_PREFIX.removesuffix("Q") + self.after if self.after else ""
+            for item, en, zh in self.endpoint.terms(cls, after):
+                yield (cls, item, en, zh)
+
+
+def term_source(endpoint: Endpoint, per_task: int = PER_TASK) -> type[DataSource]:
+    """A data source ``sparql_terms``: ``class, item, en, zh``; option ``classes``: a JSON array.
+
+    Filters reach the requests where ``spark.sql.python.filterPushdown.enabled`` is true.
+    """
+
+    class TermSource(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "sparql_terms"
+
+        def schema(self) -> T.StructType:
+            return TERM
+
+        def reader(self, schema) -> DataSourceReader:
+            return TermReader(endpoint, json.loads(self.options["classes"]), per_task)
+
+    return TermSource

@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 
 _MARKER = re.compile(r"commit-(\d+)")
 
@@ -205,9 +205,46 @@ class Reader(DataSourceReader):
             yield from pq.ParquetFile(local(self.path) / partition.value).iter_batches(columns=self.names)
 
 
+class StreamReader(DataSourceStreamReader):
+    """The rows of versions in their order, each version once; the offset is the last one read.
+
+    For a table whose versions each hold what is new. ``version_`` tells which.
+    """
+
+    def __init__(self, path: str, schema: T.StructType):
+        self.path, self.names = path, [n for n in schema.names if n != "version_"]
+
+    def initialOffset(self) -> dict:
+        return {"version": 0}
+
+    def latestOffset(self) -> dict:
+        return {"version": latest(Folder(self.path))[0]}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        at, out = Folder(self.path), []
+        for n in range(start["version"] + 1, end["version"] + 1):
+            what = said(at.text(f"commit-{n}")) if f"commit-{n}" in at.names() else None
+            for f in files_of(self.path, what) if what else []:
+                out.append(InputPartition((n, f)))
+        return out
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        version, file = partition.value
+        for batch in pq.ParquetFile(local(self.path) / file).iter_batches(columns=self.names):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([version] * batch.num_rows, pa.int64())], names=[*batch.schema.names, "version_"])
+
+
+def files_of(path: str, what: dict) -> list[str]:
+    """Data files of a version in a mounted folder, whoever wrote it."""
+    if "files" in what:
+        return what["files"]
+    return [str(p.relative_to(local(path))) for p in sorted((local(path) / what["data"]).glob("*.parquet"))]
+
+
 class Versions(DataSource):
     """``spark.read.format("versions").load(path)``, option ``version``; ``df.write.format("versions")
-    .option("expected", n).mode("append").save(path)``."""
+    .option("expected", n).mode("append").save(path)``; ``spark.readStream`` gives the versions'
+    rows in their order, with ``version_``."""
 
     @classmethod
     def name(cls) -> str:
@@ -216,15 +253,19 @@ class Versions(DataSource):
     def _marker(self) -> dict:
         version = self.options.get("version")
         found = marker(Folder(self.options["path"]), None if version is None else int(version))
-        if "files" not in found:
-            raise ValueError("a version of Spark's own writer: sinks.read_version reads it")
         return found
 
     def schema(self) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self._marker()["schema"]))
+        own = T.StructType.fromJson(json.loads(self._marker()["schema"]))
+        return own.add("version_", T.LongType()) if self.options.get("stream") == "true" else own
 
     def reader(self, schema: T.StructType) -> Reader:
-        return Reader(self.options["path"], schema, self._marker()["files"])
+        return Reader(self.options["path"], schema, files_of(self.options["path"], self._marker()))
+
+    def streamReader(self, schema: T.StructType) -> StreamReader:
+        if "version_" not in schema.names:
+            raise ValueError("option stream: true")
+        return StreamReader(self.options["path"], schema)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> Writer:
         if "expected" not in self.options:

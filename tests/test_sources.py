@@ -95,3 +95,65 @@ def test_fetch(spark):
     got = {r["url"].rsplit("/", 1)[1]: r for r in fetching.fetch(df, client, 0.0, lambda s: None).collect()}
     assert len(got) == 5 and bytes(got["moved"]["body"]) == b"https://a.example/there" and got["gone"]["status"] == 404
     assert "not allowed" in got["inside"]["error"] and got["down"]["error"] == "refused" and got["x"]["error"] is None
+
+
+def test_terms_as_a_source(spark, tmp_path):
+    """A recorded server: classes and the cursor are in the requests, pages come in order."""
+    from urllib.parse import unquote
+
+    from corpusflow.sources import fetch as fetching
+    from corpusflow.sources import sparql
+
+    log, page = str(tmp_path / "log"), 1000
+
+    def client(url):
+        import json
+        import re
+
+        q = unquote(url.split("query=")[1])
+        cls, after = re.search(r"wd:(C\d)", q)[1], re.search(r'STR\(\?item\) > "([^"]*)"', q)
+        after = after[1] if after else ""
+        with open(log, "a") as out:
+            out.write(f"{cls} {after.rsplit('/', 1)[-1]}\n")
+        have = [f"http://www.wikidata.org/entity/Q{k:05d}" for k in range(1500 if cls == "C1" else 3)]
+        rows = [{"item": {"value": i}, "en": {"value": "en"}, "zh": {"value": cls}} for i in have if i > after][:page]
+        return fetching.Response(200, json.dumps({"results": {"bindings": rows}}).encode())
+
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(sparql.term_source(sparql.Endpoint("https://e.example/q", client, sleep=lambda s: None), per_task=1))
+    asked = lambda: open(log).read().split("\n")[:-1]  # noqa: E731, SIM115
+    load = lambda: spark.read.format("sparql_terms").option("classes", '["C1", "C2", "C3"]').load()
+    df = load().filter("class IN ('C1', 'C2') AND item > 'Q00001' AND zh <> ''")
+    got = sorted((r["class"], r["item"]) for r in df.collect())
+    assert got == sorted([("C1", f"Q{k:05d}") for k in range(2, 1500)] + [("C2", "Q00002")])
+    assert sorted(asked()) == ["C1 Q00001", "C1 Q01001", "C2 Q00001"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "class" not in "".join(x for x in plan.splitlines() if "Filter" in x and "Batch" not in x).replace("isnotnull(class", "")
+    assert load().filter("class = 'C3'").count() == 3 and asked()[-1] == "C3 " and load().filter("class = 'C9'").count() == 0
+    with pytest.raises(sparql.Refused):
+        sparql.bindings({"status": "ERROR", "exception": "slow"})
+
+
+def test_tasks_keep_their_distance(spark, tmp_path):
+    """By recorded times: one host of most pages, read by all tasks, never closer than the spacing."""
+    from corpusflow.sources import fetch as fetching
+
+    log = str(tmp_path / "log")
+
+    def client(url):
+        import random
+        import time
+
+        with open(log, "a") as out:
+            out.write(f"{time.time()} {url.split('/')[2]}\n")
+        time.sleep(random.random() * 0.05)
+        return fetching.Response(200, b"x")
+
+    urls = spark.createDataFrame([(f"https://{'hot' if k < 6 else f'h{k}'}.example/{k}",) for k in range(9)], "url string")
+    for of_host in (True, False):
+        (tmp_path / "log").write_text("")
+        got = fetching.fetch_together(urls, client, 3, spacing=0.5, of_host=of_host).collect()
+        assert len(got) == 9 and all(r["status"] == 200 for r in got)
+        times = sorted((float(t), h) for t, h in (x.split() for x in open(log)))  # noqa: SIM115
+        own = [t for t, h in times if not of_host or h.startswith("hot")]
+        assert min(b - a for a, b in zip(own, own[1:], strict=False)) >= 0.49

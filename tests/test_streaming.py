@@ -1,10 +1,11 @@
 """State, refills and sources of streams, batch after batch."""
 
 import datetime
+import json
 import time
 
-from corpusflow.sources import sinks
-from corpusflow.streaming import items, latest
+from corpusflow.sources import feeds, sinks
+from corpusflow.streaming import items, latest, refill
 
 ROW = "url string, pub_ts timestamp_ntz, arrived int, body string, big long"
 DAY = lambda k: None if k is None else datetime.datetime(1969 if k < 0 else 2024, 1, abs(k) or 1, 1, 2, 3, 456)
@@ -57,3 +58,63 @@ def test_upsert_takes_the_later_of_equals(spark, tmp_path):
         items.upsert(spark.readStream.schema(ROW).parquet(source), path, str(tmp_path / "state")).awaitTermination()
     got = {r["url"]: r["body"] for r in sinks.read(spark, path).collect()}
     assert {**got, "u5": "y"} == WANT and got["u5"] in "xy"
+
+
+def test_refill_asks_only_for_blank_slots(spark, tmp_path):
+    path, check = str(tmp_path / "slots"), str(tmp_path / "check")
+    rows = [(d, p, f"text {d} {p}", "kept" if p == 0 else None) for d in range(3) for p in range(3)]
+    sinks.append(spark.createDataFrame(rows, "doc_id long, pos int, text string, out string"), path, "first")
+    asked = []
+
+    def ask(df):
+        found = df.collect()
+        asked.append(sorted((r["doc_id"], r["pos"]) for r in found))
+        return spark.createDataFrame([(r["doc_id"], r["pos"], "" if (r["doc_id"], r["pos"]) == (1, 1) and len(asked) < 4 else r["text"].upper()) for r in found], "doc_id long, pos int, out string")
+
+    run = lambda **how: refill.refill(spark, path, check, ask, **how).awaitTermination()
+    state = lambda: {(r["doc_id"], r["pos"]): r["out"] for r in refill.slots(spark, path).collect()}
+    run(max_slots=4)
+    assert asked == [[(0, 1), (0, 2), (1, 1), (1, 2)]] and state()[0, 1] == "TEXT 0 1" and state()[2, 2] == "" and state()[1, 0] == "kept"
+    run()
+    assert asked[1:] == [[(1, 1), (2, 1), (2, 2)]]
+    once = state()
+    run()
+    assert asked[2:] == [[(1, 1)]] and state() == once  # it failed again, and nothing else is asked
+    sinks.append(spark.createDataFrame([(9, 0, "more", None), (0, 0, "text 0 0", "")], "doc_id long, pos int, text string, out string"), path, "second")
+    run()
+    assert asked[3:] == [[(0, 0), (1, 1), (9, 0)]] and all(state().values())
+    run()
+    run()
+    assert len(asked) == 4
+    assert sinks.append(spark.range(1), path, "second") == 0
+
+
+def test_feeds_as_a_stream(spark, tmp_path):
+    box = tmp_path / "feeds"
+    box.mkdir()
+    entry = lambda link, at: (link, "T", None, at if at and at[0] == "M" else None, None if at and at[0] == "M" else at, None, "s", None, None)
+    put = lambda name, *rows: (box / name).write_text(json.dumps([entry(*r) for r in rows]))
+    folder = str(box)
+
+    def fetch(url):
+        import json
+        import pathlib
+
+        return [tuple(e) for e in json.loads((pathlib.Path(folder) / url.split("/")[-1]).read_text())]
+
+    urls = ["https://a.example/x?y=1,2/one", "https://a.example/two", "https://a.example/gone"]
+    put("one", ("1", "2024-01-01T00:00:00Z"), ("2", "2024-01-02T00:00:00Z"))
+    put("two", ("u", None), ("m", "Mon, 01 Jan 2024 00:00:00 +0000"))
+    spark.dataSource.register(feeds.feed_source(fetch, per_task=2))
+
+    def new():
+        query = spark.readStream.format("feed").option("feeds", json.dumps(urls)).load().writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        query.awaitTermination()
+        return sorted((r["feed"].split("/")[-1], r["link"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    first = [("one", "1"), ("one", "2"), ("two", "m"), ("two", "u")]
+    assert new() == first and new() == first
+    put("one", ("2", "2024-01-02T00:00:00Z"), ("2b", "2024-01-02T00:00:00+00:00"), ("3", "2024-01-03T00:00:00Z"), ("0", "2023-12-01"))
+    put("two", ("u", None), ("v", None))
+    put("gone", ("g", "2024-01-01"))
+    assert new() == sorted([*first, ("one", "2b"), ("one", "3"), ("two", "v"), ("gone", "g")])
