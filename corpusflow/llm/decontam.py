@@ -16,9 +16,13 @@ The first pass hashes each document's windows in place and sends only those that
 the benchmark has; the benchmark's windows are broadcast behind a count and
 joined by shuffle beyond it. Only documents with hits are read again.
 
+An item without a window (fewer than ``MIN_TOKENS`` tokens, or numbers and names with
+too few words) is matched as it stands, from ``MIN_EXACT`` tokens on: where a document holds
+its whole run of tokens, values and all, in any case.
+
 Cases: null or blank texts have no windows; items of fewer than ``WINDOW`` but at
-least ``MIN_TOKENS`` tokens are one window of their own length; shorter items
-match nothing; repeated items and rows count each for themselves; an empty
+least ``MIN_TOKENS`` tokens are one window of their own length; items of fewer than
+``MIN_EXACT`` match nothing; repeated items and rows count each for themselves; an empty
 benchmark or table gives no contamination; rows are told apart by doc_id and text, so a
 null or repeated doc_id is judged as the row it is; further columns are ignored by ``judge`` and kept by ``filter_documents``.
 """
@@ -33,6 +37,8 @@ from corpusflow.storage import spread
 
 WINDOW = 8
 MIN_TOKENS = 5
+#: Tokens from which on an item without windows is looked for as it stands.
+MIN_EXACT = 4
 MIN_COVER = 0.25
 #: Tokens of windows that touch, within one alignment.
 MIN_RUN = 13
@@ -63,11 +69,14 @@ def _prepared(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return own.select("id", split(F.col("m")).alias("raw"), split(kinds).alias("tpl"))
 
 
-def benchmark_windows(items: DataFrame, id_col: str = "item_id", text: str = "text") -> DataFrame:
-    """``item, at, w, h, n_windows, raw, tpl``: windows of ``w`` tokens at ``at``."""
-    own = _prepared(items, id_col, text).withColumn("n", F.size("tpl")).filter(F.col("n") >= MIN_TOKENS)
-    # equal items are told apart by a row number of their own
-    own = own.withColumn("item", F.monotonically_increasing_id()).withColumn("w", F.least(F.col("n"), F.lit(WINDOW)))
+def _numbered(items: DataFrame, id_col: str = "item_id", text: str = "text") -> DataFrame:
+    """Prepared items; equal ones are told apart by a row number of their own."""
+    return _prepared(items, id_col, text).withColumn("n", F.size("tpl")).withColumn("item", F.monotonically_increasing_id())
+
+
+def benchmark_windows(own: DataFrame) -> DataFrame:
+    """``item, at, w, h, n_windows, raw, tpl`` of ``_numbered`` items: windows of ``w`` tokens at ``at``."""
+    own = own.filter(F.col("n") >= MIN_TOKENS).withColumn("w", F.least(F.col("n"), F.lit(WINDOW)))
     own = own.withColumn("n_windows", F.col("n") - F.col("w") + 1)
     rows = own.select("item", "id", "w", "n_windows", "tpl", "raw", F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1)).alias("at"))
     rows = rows.withColumn("tpl", F.slice("tpl", F.col("at") + 1, F.col("w"))).withColumn("raw", F.slice("raw", F.col("at") + 1, F.col("w")))
@@ -80,16 +89,44 @@ def _sum(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def _bare() -> Column:
+    """Tokens without marks, in lower case."""
+    return F.transform("raw", lambda x: F.lower(F.regexp_replace(x, f"[{_MARKS}]", "")))
+
+
+def _as_they_stand(docs: DataFrame, exact: DataFrame) -> DataFrame:
+    """Documents that hold a whole item of ``exact(item, item_id, run)``, as ``matches`` has them."""
+    head = lambda run: F.xxhash64(F.slice(run, 1, MIN_EXACT))
+    known = C.broadcast_if_small(exact.select(head(F.col("run")).alias("h")).distinct())
+    own = _prepared(docs, "id", "text").select("id", _bare().alias("run"))
+    starts = F.sequence(F.lit(0), F.size("run") - MIN_EXACT)
+    at = own.filter(F.size("run") >= MIN_EXACT).select("id", F.explode(F.transform(starts, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(F.col("run"), i + 1, MIN_EXACT)).alias("h")))).alias("g"))
+    hits = C.materialise(at.select("id", "g.pos", "g.h").join(known, "h", "left_semi"), "heads")
+    ids = C.broadcast_if_small(hits.select("id").distinct())
+    again = _prepared(docs.join(ids, "id", "left_semi").dropDuplicates(["id"]), "id", "text").select("id", _bare().alias("whole"))
+    items = C.broadcast_if_small(exact.withColumn("h", head(F.col("run"))))
+    # a place is a place of few items: those that begin alike
+    met = hits.join(items, "h").join(again, "id").filter(F.slice("whole", F.col("pos") + 1, F.size("run")) == F.col("run"))
+    return met.select("id.id", "id.sum", "item_id", F.lit(1).cast("long").alias("n_matched"), F.lit(1.0).alias("cover"), F.size("run").alias("longest"), "item").distinct().drop("item")
+
+
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Contaminated documents by item: ``id, sum, item_id, n_matched, cover, longest``."""
     # a struct is never null itself, so rows with a null id meet in joins
     docs = spread(docs.select(F.struct(F.col(id_col).alias("id"), _sum(F.col("text")).alias("sum")).alias("id"), "text"))
-    windows = C.materialise(benchmark_windows(items), "benchmark")
+    numbered = C.materialise(_numbered(items), "items")
+    windows = C.materialise(benchmark_windows(numbered), "benchmark")
+    exact = numbered.filter(F.col("n") >= MIN_EXACT).join(windows.select("item").distinct(), "item", "left_anti").select("item", F.col("id").alias("item_id"), _bare().alias("run"))
+    found = _by_windows(docs, windows)
+    return found if exact.isEmpty() else found.unionByName(_as_they_stand(docs, C.materialise(exact, "exact")))
+
+
+def _by_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     # a window in which the item has fewer left to cover counts against what it has
     total = windows.groupBy("item").agg(F.count(F.lit(1)).alias("total"))
     lengths = sorted(r["w"] for r in windows.select("w").distinct().collect())  # at most WINDOW values
     if not lengths:
-        return docs.limit(0).select("id.id", "id.sum", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_matched"), F.lit(0.0).alias("cover"), F.lit(0).alias("longest"))
+        return docs.limit(0).select("id.id", "id.sum", F.lit(None).cast(windows.schema["id"].dataType).alias("item_id"), F.lit(0).cast("long").alias("n_matched"), F.lit(0.0).alias("cover"), F.lit(0).alias("longest"))
     prepared = _prepared(docs, "id", "text").select("id", "tpl", F.size("tpl").alias("n"))
 
     def hashed(w: int) -> Column:

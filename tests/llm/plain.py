@@ -37,10 +37,16 @@ def plain_contaminated(text, items):
     marks = {decontam.NAME, decontam.NUMBER, decontam.UNIT}
     for item in items:
         itpl, iraw = plain_tokens(item)
-        if len(itpl) < decontam.MIN_TOKENS:
+        if not itpl:
             continue
         w = min(len(itpl), decontam.WINDOW)
-        own = [a for a in range(len(itpl) - w + 1) if sum(x not in marks for x in itpl[a : a + w]) >= min(decontam.MIN_WORDS, w)]
+        own = [a for a in range(len(itpl) - w + 1) if sum(x not in marks for x in itpl[a : a + w]) >= min(decontam.MIN_WORDS, w)] if len(itpl) >= decontam.MIN_TOKENS else []
+        if not own:
+            bare = lambda tokens: [regex.sub("[\U000f0000-\U000f0003]", "", x).lower() for x in tokens]
+            run, whole = bare(iraw), bare(raw)
+            if len(run) >= decontam.MIN_EXACT and any(whole[p : p + len(run)] == run for p in range(len(whole))):
+                return True
+            continue
         met = {}
         places = {}
         for p in range(len(tpl) - w + 1):

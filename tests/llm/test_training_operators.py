@@ -520,6 +520,22 @@ BARNS = (
 )
 
 
+def test_items_without_windows_are_matched_as_they_stand(spark):
+    """Four tokens, numbers and names alone, one word, twice the same."""
+    texts = ["Which planet is largest", "17, 4 and 2.5 kg: 99, 12 kg 8 3 1", "Paris", "Anna Bo Cy 12 Dee", "Anna Bo Cy 12 Dee", "", None, "42 7"]
+    docs = [
+        "so which PLANET is largest of all", "which planet is the largest", "with 17 4 and 2.5 kg 99 12 kg 8 3 1 in it", "with 17 4 and 2.5 kg 99 12 kg 8 3 2 in it", "paris", "They went to Paris, not to Rome", " Paris.",
+        "Here Anna Bo Cy 12 Dee met", "Here Anna Bo Cy 13 Dee met", "42 7", "42 7 9", "largest", "", None, "Which planet is largest " * 3,
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id int, text string")
+    rows = decontam.judge(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), items).collect()
+    got = {docs[r["doc_id"]]: (r["contaminated"], r["n_items"]) for r in rows}
+    assert {d: c for d, (c, _) in got.items()} == {d: plain_contaminated(d, texts) for d in docs}
+    assert got[docs[7]] == (True, 2) and not got[docs[1]][0] and not got[docs[5]][0] and got[docs[14]] == (True, 1) and sum(c for c, _ in got.values()) == 4
+    mixed = items.unionByName(spark.createDataFrame([(90, "How many apples does Tom have after he eats 3 of the 7 apples he bought")], "item_id int, text string"))
+    assert decontam.matches(spark.createDataFrame([(1, "how many apples does tom have after he eats 3 of the 7 apples he bought"), (2, "anna bo cy 12 dee")], "doc_id long, text string"), mixed).count() == 3
+
+
 def test_one_contradiction_does_not_clear_a_copy(spark):
     items = spark.createDataFrame([(1, BARNS)], "item_id long, text string")
     texts = [(1, BARNS.replace("2 blue", "3 blue")), (2, BARNS.replace("2 red", "5 red").replace("2 blue", "7 blue")), (3, "Only 2 red barns and 7 blue barns stand here.")]
