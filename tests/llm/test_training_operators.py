@@ -254,6 +254,23 @@ def test_templates_decide_as_a_plain_tree(spark):
     assert {r["verdict"] for r in rows if not r["rule"]} == {"allow", "block"} and any("*" in r["template"] for r in rows)
 
 
+def test_a_branch_without_labels_inherits(spark):
+    """From a node that rules judge nearly as a whole much, from one that they hardly touch little; deep paths are told apart."""
+    deep = "/1/2/3/4/5/6"
+    rules = [("block", "most.com", f"/x/{c}/") for c in "abcdefgh"] + [("block", "few.com", "/x/a/"), ("allow", "c.com", "/x/a/")] + [("block", "d.com", f"{deep}/bad/"), ("allow", "d.com", f"{deep}/good/")]
+    urls = [f"http://most.com/x/{c}/{k}" for c in "abcdefgh" for k in range(20)] + [f"http://most.com/x/new/{k}" for k in range(6)]
+    urls += [f"http://few.com/x/{c}/{k}" for c in "abcdefgh" for k in range(20)] + [f"http://c.com/x/{c}/{k}" for c in "ab" for k in range(60)]
+    urls += [f"http://d.com{deep}/{kind}/p{k % 3}" for kind in ("bad", "good") for k in range(30)] + ["http://e.com/x", "http://most.com"]
+    rows = url_templates.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    own = {(r["host"], "/".join(r["path"].split("/")[:3])): r for r in rows if not r["rule"]}
+    new, old = own["most.com", "/x/new"], own["few.com", "/x/h"]
+    assert new["verdict"] == "block" and new["n_labels"] == 0 and new["n_inherited"] == 160 and new["inherited"] > 0.9
+    assert old["verdict"] == "allow" and old["n_labels"] == 0 and old["n_inherited"] == 20 and 0.5 < old["inherited"] < 0.8
+    assert own["c.com", "/x/b"]["verdict"] == "allow" and own["c.com", "/x/b"]["inherited"] < 0.5 and own["e.com", "/x"]["n_inherited"] == 0
+    kinds = {(r["path"].split("/")[7], r["template"]) for r in rows if r["host"] == "d.com"}
+    assert len({t for _, t in kinds}) == 6 and {t.split("/")[7] for _, t in kinds} == {"bad", "good"}
+
+
 # -------------------------------------------------------------------- language ID
 
 
