@@ -9,7 +9,8 @@ from corpusflow.functions import text as T
 from corpusflow.operators import carryover, enrich, glossary, graph, html, paragraphs, select
 from corpusflow.registry import query
 from corpusflow.sources import feeds, sinks
-from corpusflow.storage import checkpointed, spread
+from corpusflow.storage import checkpointed, scratch, spread
+from corpusflow.streaming import latest
 
 #: The end of the data's time span; queries never read the clock.
 NOW = "2024-01-31 00:00:00"
@@ -646,3 +647,30 @@ def q43(spark, d):
     own = _keyed(spark, d)
     kept = select.first_wins(own.withColumn("source_ord", F.substring("source", 4, 9).cast("int")), ["key"], ["source_ord", "doc_id"], F.col("key") == "")
     return select.kept_counts(own, kept, "source")
+
+
+_SALE = "sold_at DESC NULLS LAST, arrived_at DESC NULLS LAST, sale_id DESC NULLS LAST"
+
+
+@query("q45_latest_by_state", f"SELECT client_id, sale_id, sold_at, arrived_at FROM (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY {_SALE}) AS r FROM sales) WHERE r = 1 AND client_id IS NOT NULL")
+def q45(spark, d):
+    # each client's last sale, as a stream that keeps it in a state store
+    path, names = scratch(spark, "latest"), ["client_id", "sale_id", "sold_at", "arrived_at"]
+    schema = table(spark, d, "sales").select(*names).schema
+    sales = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(f"{d}/sales.parquet*")
+    latest.follow(sales, f"{path}/table", f"{path}/state", "client_id", ["sold_at", "arrived_at", "sale_id"]).awaitTermination()
+    return latest.current(spark, f"{path}/table", "client_id").select(*names)
+
+
+@query(
+    "q46_run_took",
+    f"""WITH {_SQL_PARAS}, n AS (SELECT doc_id, count(*) AS k FROM p GROUP BY doc_id)
+    SELECT CAST(sum(ceil(k / 6)) AS BIGINT) AS calls, CAST(sum(ceil(k / 6)) AS BIGINT) AS requests, CAST(0 AS BIGINT) AS errors, CAST(sum(k) AS BIGINT) AS texts, CAST(0 AS BIGINT) AS tokens_in FROM n""",
+)
+def q46(spark, d):
+    # a run's statistics, observed while it runs
+    rows, run = paragraphs.explode(table(spark, d, "documents"), separator="\n").select("doc_id", "pos", F.col("para").alias("text")), enrich.Run()
+    enrich.enrich(rows, _answers(), _stored, run=run)
+    took = run.row()
+    names = ["calls", "requests", "errors", "texts", "tokens_in"]
+    return spark.range(1).select(*[F.lit(int(took[c])).cast("long").alias(c) for c in names])

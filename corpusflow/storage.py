@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where a single machine (tests) names no folder.
@@ -18,6 +20,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A fresh path in the shared folder, deleted when the driver's JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/corpusflow-{tag}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once, without its lineage."""
     spark = df.sparkSession

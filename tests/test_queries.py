@@ -7,7 +7,7 @@ import __spark_entry__
 from corpusflow import registry
 
 DIR = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations sales".split()
 
 
 @pytest.fixture(scope="module")
