@@ -20,8 +20,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -183,7 +184,10 @@ class Writer(DataSourceArrowWriter):
         publish(Folder(self.path), self.expected, {"files": sorted(m.file for m in own if m.file), "rows": sum(m.rows for m in own), "schema": self.schema.json()})
 
     def abort(self, messages: list[Part | None]) -> None:
-        """Deletes all that the job's tasks have written, also attempts that sent no message."""
+        """Deletes all that the job's tasks have written, also attempts that sent no message.
+
+        A task that still runs then may leave a file that no version lists: see ``vacuum``.
+        """
         folder = local(self.path) / f"data-{self.job}"
         for p in folder.glob("*"):
             p.unlink(missing_ok=True)
@@ -191,6 +195,21 @@ class Writer(DataSourceArrowWriter):
             folder.rmdir()
 
 
+def vacuum(path: str, older: float = 7 * 86400, now: Callable[[], float] = time.time) -> list[str]:
+    """Deletes data folders of a mounted table that no marker lists, untouched for ``older``
+    seconds: what writers left that ended, or lost. A writer at work must be younger than that."""
+    at, gone = Folder(path), []
+    said_ = [said(at.text(n)) or {} for n in at.names() if _MARKER.fullmatch(n)]
+    kept = {f.split("/")[0] for what in said_ for f in what.get("files", [])} | {what["data"].rstrip("/").split("/")[-1] for what in said_ if "data" in what}
+    for folder in at.root.glob("data-*"):
+        if folder.name not in kept and now() - max(p.stat().st_mtime for p in [folder, *folder.glob("*")]) >= older:
+            for p in folder.glob("*"):
+                p.unlink(missing_ok=True)
+            folder.rmdir()
+            gone.append(folder.name)
+    return gone
+
+
 class Reader(DataSourceReader):
     """A task for each file of a version."""
 
