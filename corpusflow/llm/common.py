@@ -49,6 +49,12 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def full_address(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and host that Spark reads it under: ``fs.defaultFS`` where it names none."""
+    files, target = _file_system(spark, path)
+    return files.makeQualified(target).toUri().toString()
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh path in the shared folder, deleted when the driver's JVM ends."""
     path = f"{checkpoint_dir(spark)}/corpusflow-{tag}-{uuid.uuid4().hex}"
@@ -64,21 +70,23 @@ _STEPS: list[list[str]] = []
 
 
 def settled(spark: SparkSession, tag: str, build) -> DataFrame:
-    """What ``build()`` returns, materialised; what it materialised on the way is deleted.
+    """What ``build()`` returns, materialised; what it materialised on the way is deleted,
+    also where it fails.
 
     The result lies in the shared folder by then and depends on none of it.
     """
     paths: list[str] = []
-    _STEPS.append(paths)
     try:
-        df = build()
+        _STEPS.append(paths)
+        try:
+            df = build()
+        finally:
+            _STEPS.pop()
+        return materialise(df, tag)
     finally:
-        _STEPS.pop()
-    out = materialise(df, tag)
-    for path in paths:
-        files, target = _file_system(spark, path)
-        files.delete(target, True)
-    return out
+        for path in paths:
+            files, target = _file_system(spark, path)
+            files.delete(target, True)
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:

@@ -15,8 +15,10 @@ Ids are the tokenizers library's: an added token that stands in a text (such as
 
 Cases: a null or empty text has the end id alone; bytes that are not UTF-8 count as
 U+FFFD; rows with a null doc_id come
-first, equal doc_ids follow one another in order of their texts; an empty table
-writes no file; further columns are ignored.
+first, equal doc_ids follow one another in order of how their texts begin (32
+characters) and, within a file, of their whole texts; an empty table writes no file;
+further columns are ignored. A folder without a scheme is one of the session's default
+file system, on the driver and in every worker.
 """
 
 from __future__ import annotations
@@ -284,10 +286,11 @@ def encode_batch(column: pa.Array, encode: WordEncoder, end_id: int) -> tuple[np
 # --------------------------------------------------------------------- the files
 
 
-def _place(path: str):
+def _place(uri: str):
+    """The file system and the path in it that a full address names."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
+    return fs.FileSystem.from_uri(uri)
 
 
 def write_files(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID, partitions: int | None = None) -> DataFrame:
@@ -299,7 +302,7 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, end_id: i
     """
     spark = docs.sparkSession
     ship(spark)
-    path = path or tokenizer_path()
+    path, folder = path or tokenizer_path(), C.full_address(spark, folder)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8("text").alias("text"))
     # by id, then by how the texts begin and by row, so that one id of many rows is many ranges
@@ -349,6 +352,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
     The number of ids before each part is a list as long as there are parts.
     """
     ship(manifest.sparkSession)
+    folder = C.full_address(manifest.sparkSession, folder)
     totals = {r["part"]: r["n"] for r in manifest.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
     before, at = {}, 0
     for part in sorted(totals):
