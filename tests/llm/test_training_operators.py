@@ -394,6 +394,45 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("share", [1, common.HEAVY_SHARE])
+def test_components_of_hot_nodes(spark, monkeypatch, share):
+    """A node with half of all links, a long chain and small groups, with and without groups that count as heavy."""
+    monkeypatch.setattr(common, "HEAVY_SHARE", share)
+    rng = random.Random(4)
+    pairs = [(7000 + k, 9) for k in range(900)] + [(20000 + k, 20001 + k) for k in range(70)] + [tuple(rng.sample(range(30000, 30600), 2)) for _ in range(300)]
+    root = {n: n for p in pairs for n in p}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {n: find(n) for n in root}
+
+
+def test_scratch_of_a_step_that_fails(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "checkpoint_dir", lambda _: str(tmp_path))
+    with pytest.raises(ZeroDivisionError):
+        common.settled(spark, "step", lambda: common.materialise(spark.range(3), "inner").limit(1 // 0))
+    assert not [p for p in tmp_path.iterdir() if p.is_dir()]
+
+
+def test_a_folder_without_a_scheme_is_the_session_s(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "hdfs://localhost:9")
+    try:
+        assert common.full_address(spark, "/shared/x") == "hdfs://localhost:9/shared/x"
+        assert common.full_address(spark, "file:/shared/x").startswith("file:/")
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert common.full_address(spark, "/shared/x").startswith("file:/")
+
+
 def test_components_of_links_that_change(spark):
     """Links in another order at each evaluation: the two directions must be of one evaluation."""
     from pyspark.sql import functions as F
