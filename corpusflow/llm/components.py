@@ -2,9 +2,10 @@
 
 Rounds of two steps: every node takes the least label among its neighbours',
 then labels jump to their labels' labels. Minima are summed up by partial
-aggregation and labels meet links in joins that Spark may split, so a node with
-a third of all links is no single task's work. Each round is written to the
-shared folder; only a count of changes reaches the driver.
+aggregation. Links of a node that has many, and nodes of a label that many have,
+stay where they are when labels meet them (``join_groups``), so that neither is a
+single task's work. Each round is written to the shared folder; only a count of
+changes reaches the driver.
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     links = C.materialise(links.select("a", "b"), "links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = C.materialise(both, "links")
+    total = both.count()
+    degrees = C.materialise(both.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "degrees")
     labels = C.materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node"), "labels")
+    n_nodes = labels.count()
     for _ in range(max_rounds):
-        labels = C.settled(spark, "labels", lambda own=labels: _round(both, own))
+        labels = C.settled(spark, "labels", lambda own=labels: _round(both, degrees, own, total, n_nodes))
         if labels.filter("moved").limit(1).count() == 0:
             break
         labels = labels.select("node", "root")
@@ -36,12 +40,14 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     return labels.select("node", "root")
 
 
-def _round(both: DataFrame, labels: DataFrame) -> DataFrame:
+def _round(both: DataFrame, degrees: DataFrame, labels: DataFrame, total: int, n_nodes: int) -> DataFrame:
     """``node, root, moved`` after a step to the neighbours' labels and one to labels' labels."""
-    seen = both.join(labels.select(F.col("node").alias("b"), F.col("root").alias("near")), "b").select("a", "near")
-    lowest = seen.groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
-    hooked = labels.join(lowest, "node", "left").select("node", F.col("root").alias("was"), F.least("root", F.coalesce("near", "root")).alias("root"))
+    near = degrees.join(labels.select(F.col("node").alias("b"), F.col("root").alias("near")), "b")
+    lowest = C.join_groups(both, near, "b", "n", total).groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
+    hooked = labels.join(lowest, "node", "left").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
     hooked = C.materialise(hooked, "labels")
-    up = hooked.select(F.col("node").alias("root"), F.col("root").alias("up"))
-    again = hooked.join(up, "root", "left").select("node", "was", F.least("root", F.coalesce("up", "root")).alias("root"))
-    return again.select("node", "root", (F.col("was") != F.col("root")).alias("moved"))
+    # a label is a node itself
+    sizes = hooked.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    up = sizes.join(hooked.select(F.col("node").alias("root"), F.col("root").alias("up")), "root")
+    again = C.join_groups(hooked, C.materialise(up, "labels"), "root", "n", n_nodes)
+    return again.select("node", F.least("root", "up").alias("root"), (F.col("was") != F.least("root", "up")).alias("moved"))
