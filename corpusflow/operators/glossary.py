@@ -10,29 +10,44 @@ from corpusflow.operators.select import first_of_each
 from corpusflow.storage import checkpointed, spread
 
 MAX_WORDS, MAX_HITS = 4, 8
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORD = r"A-Za-z0-9\-"
 
 
 def _bare(c: Column) -> Column:
     return F.btrim(c, F.lit(".-"))
 
 
+def _words(text: Column) -> Column:
+    """What stands between other characters than letters, digits and hyphens; '' before the first or after the last.
+
+    Taking words out is some four times as fast as a split at what they are not.
+    """
+    c = F.coalesce(text, F.lit(""))
+    edge = lambda at: F.when(F.substring(c, at, 1).rlike(f"^[^{_WORD}]"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(edge(1), F.regexp_extract_all(c, F.lit(f"[{_WORD}]+"), F.lit(0)), edge(-1))
+
+
+def _bit(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), n)
+
+
 def windows(docs: DataFrame, terms: DataFrame, id_col: str, text: str) -> DataFrame:
     """``id, term, place``: windows of 1 to 4 words that may be terms, once a document, at their first place.
 
     A word takes the three after it along and nothing else. Two Bloom filters, of the
-    terms' first words and of the terms, go to where the documents lie; only what passes
-    both is shuffled.
+    terms' first words with the numbers of words of their terms, and of the terms, go to
+    where the documents lie; only what passes both is shuffled.
     """
-    # words hold no other letters than these
-    words = F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _UPPER.lower())
-    words = F.split(words, r"[^a-z0-9\-]+")
-    heads = bloom(terms.select(_bare(F.substring_index("term", " ", 1)).alias("head")).distinct())
-    own = spread(docs.select(id_col, text)).select(id_col, words.alias("w"))
-    at = own.select(id_col, F.posexplode(F.transform("w", lambda _, i: F.slice("w", i + 1, MAX_WORDS))).alias("i", "g"))
-    at = perhaps(at, _bare(F.col("g")[0]), heads)
-    gram = lambda n: _bare(F.array_join(F.slice("g", 1, n), " "))
-    found = F.array(*[F.when(F.size("g") >= n, F.struct((F.col("i").cast("long") * 10 + n).alias("place"), gram(n).alias("term"))) for n in range(1, MAX_WORDS + 1)])
+    n_words = F.size(F.split("term", " "))
+    heads = terms.filter(n_words <= MAX_WORDS).select(_bare(F.substring_index("term", " ", 1)).alias("head"), _bit(n_words).alias("sizes"))
+    own = spread(docs.select(id_col, text)).select(id_col, _words(F.col(text)).alias("w"))
+    names = [f"w{n}" for n in range(MAX_WORDS)]
+    own = own.select(id_col, *[F.slice("w", n + 1, F.size("w")).alias(name) for n, name in enumerate(names)])
+    at = own.select(id_col, F.posexplode(F.arrays_zip(*names)).alias("i", "g")).select(id_col, "i", "g.*")
+    at = perhaps(at, _bare(F.lower(names[0])), bloom(heads.distinct()))
+    wanted = lambda n: F.col(names[n - 1]).isNotNull() & (F.col("sizes").bitwiseAND(_bit(F.lit(n))) != 0)
+    gram = lambda n: _bare(F.lower(F.concat_ws(" ", *names[:n])))
+    found = F.array(*[F.when(wanted(n), F.struct((F.col("i").cast("long") * 10 + n).alias("place"), gram(n).alias("term"))) for n in range(1, MAX_WORDS + 1)])
     grams = at.select(id_col, F.explode(found).alias("x")).select(id_col, "x.place", "x.term").filter("term <> ''")
     return perhaps(grams, F.col("term"), bloom(terms.select("term"))).groupBy(id_col, "term").agg(F.min("place").alias("place"))
 

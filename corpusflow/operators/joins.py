@@ -21,17 +21,22 @@ def _bits(value: Column) -> tuple[Column, Column]:
 
 
 def bloom(values: DataFrame) -> DataFrame:
-    """A Bloom filter ``slot_, mask_`` of the one column of ``values``: at most ``SLOTS`` rows, however many values."""
-    slot, bits = _bits(F.col(values.columns[0]))
-    return values.select(slot.alias("slot_"), bits.alias("bits_")).groupBy("slot_").agg(F.bit_or("bits_").alias("mask_"))
+    """A Bloom filter ``slot_, mask_`` of the first column of ``values``: at most ``SLOTS`` rows, however many values.
+
+    Other columns are bit sets; a slot has those of all its values.
+    """
+    first, *marks = values.columns
+    slot, bits = _bits(F.col(first))
+    own = values.select(slot.alias("slot_"), bits.alias("bits_"), *marks)
+    return own.groupBy("slot_").agg(F.bit_or("bits_").alias("mask_"), *[F.bit_or(m).alias(m) for m in marks])
 
 
 def perhaps(rows: DataFrame, value: Column, known: DataFrame) -> DataFrame:
-    """Rows whose ``value`` a ``bloom`` filter may have: all that it has, few others. No row is shuffled."""
+    """Rows whose ``value`` a ``bloom`` filter may have: all that it has, few others; its bit sets beside them. No row is shuffled."""
     slot, bits = _bits(value)
     own = rows.withColumn("of_", slot).withColumn("bits_", bits)
-    own = own.join(F.broadcast(known), F.col("of_") == F.col("slot_"))  # at most SLOTS rows of two numbers
-    return own.filter(F.col("mask_").bitwiseAND(F.col("bits_")) == F.col("bits_")).select(*rows.columns)
+    own = own.join(F.broadcast(known), F.col("of_") == F.col("slot_"))  # at most SLOTS rows of a few numbers
+    return own.filter(F.col("mask_").bitwiseAND(F.col("bits_")) == F.col("bits_")).select(*rows.columns, *known.columns[2:])
 
 
 def known_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
