@@ -56,6 +56,18 @@ def test_glossary(spark):
     assert glossary.hits(docs, terms, max_hits=1).count() == 1
 
 
+def test_glossary_at_the_ends_of_texts(spark):
+    texts = ["", ".", "...", "A b", " A b.", "-a- B", "É a.b\u212a", "a  B\nc d e", "\U0001f600a"]
+    terms = ["a", "a b", " a", " a b", "b ", "b", "a b c d", "a b c d e", "b c", "e", "k", "a "]
+    found = set()
+    for k, text in enumerate(texts):
+        words = re.split(r"[^A-Za-z0-9\-]+", text)
+        for i in range(len(words)):
+            found |= {(k, g) for n in range(1, 5) if i + n <= len(words) and (g := " ".join(words[i : i + n]).lower().strip(".-")) in terms}
+    got = glossary.hits(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame([(t,) for t in terms], "term string"), max_hits=99)
+    assert {(r["doc_id"], r["term"]) for r in got.collect()} == found and len(found) > 12
+
+
 def test_glossary_with_hot_terms_and_a_long_document(spark):
     """A term of nearly all documents, one of 20,000 words, one id of many rows, more terms than a filter has false hits for."""
     texts = [(k, f"the word{k % 50} Carrier Group {k}") for k in range(300)] + [(1000, " ".join(f"x{k} y{k}." for k in range(20000)))] + [(7, "again the -nato- term")] * 5 + [(8, None), (9, "Kelvin \u212a.x")]
