@@ -58,7 +58,8 @@ def hits(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text: str =
 
     ``terms`` has a unique lower-case ``term``; its other columns join the hits that are left.
     """
-    names = checkpointed(terms.select("term"))
+    terms = checkpointed(terms)
+    names = terms.select("term")
     found = known_keys(checkpointed(windows(docs, names, id_col, text)), names, "term")
     first = first_of_each(found, [id_col], "place", max_hits)
     rank = F.row_number().over(Window.partitionBy(id_col).orderBy("place"))  # at most max_hits rows

@@ -3,6 +3,7 @@
 import duckdb
 
 from corpusflow import registry
+from corpusflow.plans import catalogue
 
 
 def equal_sql(spark, folder, name, tables):
@@ -27,3 +28,18 @@ def test_titles_as_their_sql_has_them(spark, tmp_path):
     con.execute(f"COPY pages TO '{tmp_path}/pages.parquet' (FORMAT parquet)")
     got = dict(equal_sql(spark, tmp_path, "q13b_page_titles", ["pages"]))
     assert got[0] == "Rea&& thou &amp" and got[1] == "token = &quot;0b96&quot;" and got[90] is None
+
+
+def documents(folder, texts):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    con.execute(f"COPY documents TO '{folder}/documents.parquet' (FORMAT parquet)")
+
+
+def test_openings_search_no_whole_text(spark, tmp_path):
+    texts = ["a b c d e", "a b c d e ", "One two, three-four (five) six. Seven one two", ". lead b c d e f", "\n\n, ; x", None, "", "é a é b é c é d é e f", "word " * 5000]
+    documents(tmp_path, texts)
+    assert len(equal_sql(spark, tmp_path, "q22b_large_glossary", ["documents"])) > 20
+    plan = catalogue._openings(spark.read.parquet(f"{tmp_path}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "split(text" not in plan
