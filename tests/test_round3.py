@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusflow import registry
 from corpusflow.functions import text as T
+from corpusflow.operators import enrich
 from corpusflow.plans import catalogue
 
 
@@ -65,3 +66,18 @@ def test_strip_takes_the_white_space_of_the_pattern(spark):
     assert signs.filter(F.col("c").rlike(r"^(?U)\s$")).count() == len(T.SPACES)
     assert sorted(r["c"] for r in signs.filter(T.strip(F.col("c")) == "").collect()) == sorted(T.SPACES)
     assert "regexp_replace" not in plan_of(signs.select(T.strip(F.col("c")).alias("s")))
+
+
+def test_generations_make_documents_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def made(k):
+        seen.add(1)
+        return [f"text {k} {n}" for n in range(k)]
+
+    items = spark.range(1, 6).select(F.col("id").alias("doc_id"), F.lit("t").alias("title"), F.lit("").alias("summary"), made("id").alias("paras"), F.when(F.col("id") == 5, F.array(F.lit(""), F.lit("old"))).alias("paras_out"))
+    said = enrich.Answers(lambda prompt, texts: F.to_json(F.struct(F.upper(texts[0]).alias("p"))))
+    got = {r["doc_id"]: r["paras_out"] for r in enrich.in_sequence(items, said, lambda df, name: df.checkpoint()).collect()}
+    assert got[5] == ["TEXT 5 0", "old", "TEXT 5 2", "TEXT 5 3", "TEXT 5 4"] and len(got) == 5
+    assert seen.value == 5
