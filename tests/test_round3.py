@@ -81,3 +81,8 @@ def test_generations_make_documents_once(spark):
     got = {r["doc_id"]: r["paras_out"] for r in enrich.in_sequence(items, said, lambda df, name: df.checkpoint()).collect()}
     assert got[5] == ["TEXT 5 0", "old", "TEXT 5 2", "TEXT 5 3", "TEXT 5 4"] and len(got) == 5
     assert seen.value == 5
+
+
+def test_carried_digests_are_not_filtered_by(spark):
+    for name in ("q21_carry_over", "q21b_carried_flags"):
+        assert "isnotnull(sha2" not in plan_of(registry.queries()[name](spark, "/root/testdata/sf0.001"))
