@@ -7,6 +7,7 @@ from corpusflow import registry
 from corpusflow.functions import text as T
 from corpusflow.operators import enrich
 from corpusflow.plans import catalogue
+from corpusflow.storage import spread
 
 
 def equal_sql(spark, folder, name, tables):
@@ -86,3 +87,10 @@ def test_generations_make_documents_once(spark):
 def test_carried_digests_are_not_filtered_by(spark):
     for name in ("q21_carry_over", "q21b_carried_flags"):
         assert "isnotnull(sha2" not in plan_of(registry.queries()[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_larger_tables_of_pages_have_more_pieces(spark, tmp_path):
+    spark.range(20_000).selectExpr("id AS page_id", "sha2(cast(id AS string), 512) AS html").coalesce(1).write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    own = spread(pages, 100_000)
+    assert own.rdd.getNumPartitions() >= 10 and own.count() == 20_000
