@@ -80,11 +80,14 @@ def exchange(
     text: str = "text",
     block_bytes: int = BLOCK_BYTES,
     after: Callable[[DataFrame], Callable] | None = None,
+    sent: Callable[[dict, int], list[tuple]] | None = None,
 ) -> DataFrame:
     """Run the three stages.
 
     ``cut(block, batch, buckets)`` gives the rows of a block: one of bucket
-    ``DOCS`` and one for each bucket that has items. ``answer(rows)`` takes all
+    ``DOCS`` and one for each bucket that has items. With ``sent`` it gives the
+    first alone, and ``sent(row, buckets)`` makes the others from it on their way
+    into the shuffle, so that they do not lie in the table besides. ``answer(rows)`` takes all
     rows of some whole buckets, in any order, and yields one row for each.
     ``join(rows)`` takes a block's DOCS row and answers, and gives documents.
     ``after(replies)`` may make ``join`` from all answers, among them those to no
@@ -98,6 +101,11 @@ def exchange(
         for number, batch in blocks(batches, text, block_bytes):
             yield rows(cut(number, batch, buckets))
 
+    def between(batches):
+        for batch in batches:
+            for r in each(batch):
+                yield rows(sent(r, buckets))
+
     def second(batches):
         found = ((r["block"], r["bucket"], r["head"], r["body"]) for batch in batches for r in each(batch))
         for r in answer(found):
@@ -110,7 +118,8 @@ def exchange(
         return out
 
     table = C.bucketed(spread(docs).mapInArrow(C.in_worker(first), ROW), "blocks", buckets, "block")
-    replies = table.filter(F.col("bucket") >= 0).repartitionById(buckets, F.col("bucket")).mapInArrow(C.in_worker(second), ROW)
+    items = table.mapInArrow(C.in_worker(between), ROW) if sent else table.filter(F.col("bucket") >= 0)
+    replies = items.repartitionById(buckets, F.col("bucket")).mapInArrow(C.in_worker(second), ROW)
     if after:
         replies = C.materialise(replies, "replies")
         join = after(replies)

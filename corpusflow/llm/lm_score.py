@@ -11,7 +11,8 @@ counts are taken off before it is scored, so a target document is not its own mo
 All tokens and pairs of all texts are counted. Documents are cut into blocks; a block
 sends each of its distinct tokens and pairs once, as 56-bit hashes with their counts, to
 the bucket of the hash (of 10^12 different ones, one in 70,000 meets another); the bucket sums over blocks and answers with the sums (see
-``blocks``). What is gathered thus grows with the corpus, and no task or driver holds
+``blocks``). These rows are made from the block's documents on their way into the shuffle and
+lie nowhere else. What is gathered thus grows with the corpus, and no task or driver holds
 the model: a bucket holds its share of all blocks' rows, which ``spark.sql.shuffle.partitions``
 bounds.
 
@@ -73,25 +74,37 @@ def _cut(block: int, batch: pa.RecordBatch, buckets: int) -> list[tuple]:
     bounds, rows = C.split_pieces(raw, off)
     words, seq = C.distinct_pieces(raw, bounds)
     target = batch.column("target").to_numpy(zero_copy_only=False)
-    hashes = B.hashes(words) >> _SHORT
-    units = _Units(hashes, seq, rows, buckets)
-    own = np.repeat(target, np.diff(rows))
-    some = np.diff(rows) > 0
+    head = C.pack(B.hashes(words) >> _SHORT)
+    body = C.pack(np.concatenate([target, np.diff(rows), seq]).astype(np.int32))
+    return [(block, B.DOCS, B.ids_of(batch, "id"), len(head).to_bytes(8, "little") + len(target).to_bytes(8, "little") + head + body)]
+
+
+def _held(blob) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block's documents: their distinct tokens' hashes, which are of the target, their lengths, their tokens."""
+    size, n_docs = (int.from_bytes(blob[k : k + 8], "little") for k in (0, 8))
+    hashes, body = C.unpack(blob[16 : 16 + size], np.uint64), C.unpack(blob[16 + size :], np.int32)
+    return hashes, body[:n_docs] > 0, body[n_docs : 2 * n_docs], body[2 * n_docs :]
+
+
+def _sent(docs: dict, buckets: int) -> list[tuple]:
+    """A block's rows to the buckets, from its documents."""
+    hashes, target, lengths, seq = _held(docs["body"])
+    units = _Units(hashes, seq, C.ends(lengths), buckets)
+    own = np.repeat(target, lengths)
+    some = lengths > 0
     counts = []
     for mask in (own, np.ones(len(seq), bool)):
         tokens = np.bincount(seq[mask], minlength=units.n + 1)
         tokens[units.n] = (some & (target if mask is own else True)).sum()
         pairs = np.bincount(units.place[mask], minlength=len(units.keys))[units.n + 1 :]
         counts.append(np.concatenate([tokens, pairs]))
-    head = C.pack(hashes)
-    body = C.pack(np.concatenate([[units.n], target, np.diff(rows), seq]).astype(np.int32))
-    ids = B.ids_of(batch, "id")
-    out = [(block, B.DOCS, ids, len(head).to_bytes(8, "little") + head + body)]
+    out = []
     for b in range(buckets):
         at = units.of(b)
         if len(at):
-            steps = np.diff(units.keys[at], prepend=np.uint64(0))
-            out.append((block, b, C.pack(steps), C.pack(np.concatenate([counts[0][at], counts[1][at], at < units.n]).astype(np.uint32))))
+            # keys of a bucket leave the same remainder, which need not be sent
+            steps = np.diff(units.keys[at] // np.uint64(buckets), prepend=np.uint64(0))
+            out.append((docs["block"], b, C.pack(steps), C.pack(np.concatenate([counts[0][at], counts[1][at], at < units.n]).astype(np.uint32))))
     return out
 
 
@@ -121,11 +134,9 @@ def _repeats(row: np.ndarray, unit: np.ndarray, n: int) -> np.ndarray:
 
 def _join(rows: list[dict], buckets: int, vocabulary: int, target_mass: int, mass: int) -> pa.Table:
     docs = next(r for r in rows if r["bucket"] == B.DOCS)
-    ids, blob = B.column(docs["head"]), docs["body"]
-    size = int.from_bytes(blob[:8], "little")
-    hashes, body = C.unpack(blob[8 : 8 + size], np.uint64), C.unpack(blob[8 + size :], np.int32)
+    ids = B.column(docs["head"])
     n_docs = len(ids)
-    target, counts, seq = body[1 : 1 + n_docs] > 0, body[1 + n_docs : 1 + 2 * n_docs], body[1 + 2 * n_docs :]
+    hashes, target, counts, seq = _held(docs["body"])
     at = C.ends(counts)
     units = _Units(hashes, seq, at, buckets)
     sums = np.zeros((2, len(units.keys)))
@@ -167,5 +178,5 @@ def score(docs: DataFrame, target: DataFrame, block_bytes: int = B.BLOCK_BYTES)
         vocabulary, target_mass, mass = (int(x) for x in np.sum(found, axis=0)) if found else (0, 0, 0)
         return lambda rows: _join(rows, buckets, vocabulary, target_mass, mass)
 
-    out = B.exchange(own, _cut, _answer, None, f"id {kind}, n_tokens long, score double", block_bytes=block_bytes, after=after)
+    out = B.exchange(own, _cut, _answer, None, f"id {kind}, n_tokens long, score double", block_bytes=block_bytes, after=after, sent=_sent)
     return out.withColumnRenamed("id", "doc_id")

@@ -679,6 +679,15 @@ def test_lm_scores(spark, docs, odd, empty):
     assert lm_score.score(empty, odd.select("doc_id")).count() == 0
 
 
+def test_rows_for_buckets_are_not_in_the_table_too(spark, docs, monkeypatch):
+    """What is dealt to buckets is on disk once, in the shuffle; the table has blocks' documents alone."""
+    tables, write = [], common.bucketed
+    monkeypatch.setattr(common, "bucketed", lambda *a: tables.append(write(*a)) or tables[-1])
+    assert lm_score.score(docs, docs.select("doc_id"), block_bytes=5000).count() == docs.count()
+    found = [r["bucket"] for r in tables[0].select("bucket").collect()]
+    assert len(found) > 1 and set(found) == {-1}
+
+
 def test_order_of_words_counts(spark):
     """A document scores by what follows what: shuffled, it reads less like the target."""
     rng = random.Random(3)
