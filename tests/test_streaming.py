@@ -2,8 +2,11 @@
 
 import datetime
 import json
+import random
 import time
 
+import pandas as pd
+
 from corpusflow.sources import feeds, sinks
 from corpusflow.streaming import items, latest, refill
 
@@ -37,6 +40,59 @@ def test_latest_by_state(spark, tmp_path):
     assert spark.read.parquet(path).count() == 7
 
 
+class Kept(dict):
+    """A group's map, and how often it is asked."""
+
+    asked = 0
+
+    def getMapState(self, *_):
+        return self
+
+    def iterator(self):
+        self.asked += 1
+        return iter(list(self.items()))
+
+    def getValue(self, key):
+        self.asked += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.asked += 1
+        self[key] = value
+
+
+def test_a_key_that_does_not_change_is_not_asked_for_by_itself():
+    keep, kept = latest.KeepLatest(), Kept()
+    keep.init(kept)
+
+    def batch(keys, place, row):
+        kept.asked = 0
+        frame = pd.DataFrame([(str(k), place, f"{row}{k}") for k in keys], columns=["key_", "place_", "row_"])
+        return [list(r) for told in keep.handleInputRows(("0",), iter([frame[:30], frame[30:]]), None) for r in told.to_numpy()], kept.asked
+
+    every = range(100)
+    assert batch(every, "1b", "x") == ([[f"x{k}", 1, False] for k in every], 101)
+    assert batch(every, "1b", "x") == batch(every, "1a", "y") == ([], 1)
+    assert batch([*every, *every], "1b", "z")[0] == [[f"z{k}", 2, False] for k in every]  # of equals the later arrival
+    # few of many: no more is read than some times what came, the others one by one
+    assert batch([99, 0, 100], "1c", "w") == ([["w99", 3, False], ["w0", 3, False], ["w100", 1, False]], 6)
+    assert kept["5",] == ("1b", "z5", 2, 0)
+
+
+def test_latest_by_state_of_many_keys(spark, tmp_path, monkeypatch):
+    """Groups of many keys over several batches, against plain Python; some batches are few of a group's keys."""
+    monkeypatch.setattr(latest, "GROUPS", 3)
+    rng, want = random.Random(5), {}
+    source, path, check = (str(tmp_path / x) for x in ("in", "out", "state"))
+    for n, size in enumerate((300, 300, 9)):
+        rows = [(f"u{rng.randrange(80)}", rng.randrange(1, 20), 1000 * n + k, f"{n} {k}") for k in range(size)]
+        feed(spark, source, rows)
+        for r in rows:
+            want[r[0]] = max(want.get(r[0], r), r, key=lambda x: x[1:3])
+        latest.follow(spark.readStream.schema(ROW).parquet(source), path, check, "url", ["pub_ts", "arrived"]).awaitTermination()
+        assert {r["url"]: r["body"] for r in latest.current(spark, path, "url").collect()} == {u: r[3] for u, r in want.items()}
+
+
 def test_keys_that_nothing_comes_for_are_gone(spark, tmp_path):
     source, path, check = (str(tmp_path / x) for x in ("in", "out", "state"))
     feed(spark, source, [("u1", 1, 1, "a")])
