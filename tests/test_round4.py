@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow import storage
-from corpusflow.operators import glossary
+from corpusflow.functions import text as T
+from corpusflow.operators import enrich, glossary
 
 
 @pytest.fixture
@@ -60,3 +61,23 @@ def test_hits_keep_no_more_windows_than_they_need(spark, shared):
     got = glossary.hits(docs, terms, max_hits=3).collect()
     assert len(got) == 180 and {r["term"] for r in got if r["doc_id"] == 5} == {"t5", "t12", "t19"}
     assert shared() < 1_000_000
+
+
+def test_a_generation_parses_its_answers_once(spark):
+    plans = []
+
+    def write(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.checkpoint()
+
+    items = spark.createDataFrame([(1, "t", "", ["a", "b"], None), (2, "t", "", ["c"], None)], "doc_id long, title string, summary string, paras array<string>, paras_out array<string>")
+    said = enrich.Answers(lambda prompt, texts: F.to_json(F.struct(F.upper(texts[0]).alias("p"))))
+    got = {r["doc_id"]: r["paras_out"] for r in enrich.in_sequence(items, said, write).collect()}
+    assert got == {1: ["A", "B"], 2: ["C"]}
+    assert [p.count("from_json") for p in plans] == [1, 1]
+
+
+def test_fields_of_odd_answers(spark):
+    odd = {'{"p": " a "}': "a", '{"p": ""}': "", '{"p": null} p: b': "", "{": "", "": "", None: "", " plain ": "plain", 'x {"p": "c\nd"} y': "c\nd", '{"p": "say "e" \\"f\\""}': 'say "e" "f', 'p: g': "g", "p: h {": "h {", "} {": "", '{"q": "i"}': "", '{"p": "译文：j"}': "j"}
+    rows = spark.createDataFrame([(k, v) for k, v in odd.items()], "answer string, want string")
+    assert [tuple(r) for r in rows.withColumn("got", T.parse_field(F.col("answer"), "p", False)).filter("got IS NULL OR got <> want").collect()] == []
